@@ -28,19 +28,33 @@ from playmetrics.operators.user_days import user_days
 # tracked, so the broadcast list has a fixed size bound.
 HOT_USER_MIN_ROWS = 1_000_000
 HOT_USER_LIMIT = 10_000
+SESSION_COLUMNS = ["session_number", "is_session_first_event", "seconds_since_previous_event",
+                   "session_id"]
 
 
 class Models:
-    def __init__(self, raw: DataFrame, hot_user_min_rows: int = HOT_USER_MIN_ROWS,
-                 hot_user_limit: int = HOT_USER_LIMIT, staging: DataFrame | None = None):
+    def __init__(self, raw: DataFrame | None, hot_user_min_rows: int = HOT_USER_MIN_ROWS,
+                 hot_user_limit: int = HOT_USER_LIMIT, staging: DataFrame | None = None,
+                 sessionized: DataFrame | None = None, user_days: DataFrame | None = None,
+                 users: DataFrame | None = None):
+        """``staging``/``sessionized``/``user_days``/``users`` may be given
+        pre-materialized (e.g. read back from written tables); models below
+        them are then built from those frames instead of from ``raw``."""
         self.raw = raw
         self._hot_min = hot_user_min_rows
         self._hot_limit = hot_user_limit
         self._staging = staging
+        self._sessionized = sessionized
+        self._user_days = user_days
+        self._users = users
 
     @cached_property
     def staging(self) -> DataFrame:
-        return self._staging if self._staging is not None else stage_events(self.raw)
+        if self._staging is not None:
+            return self._staging
+        if self._sessionized is not None:
+            return self._sessionized.drop(*SESSION_COLUMNS)
+        return stage_events(self.raw)
 
     @cached_property
     def hot_users(self) -> DataFrame:
@@ -49,6 +63,8 @@ class Models:
     @cached_property
     def sessionized(self) -> DataFrame:
         """Staging plus the four session columns (one row per event)."""
+        if self._sessionized is not None:
+            return self._sessionized
         return sessionize(self.staging, hot_users=self.hot_users)
 
     @cached_property
@@ -57,6 +73,8 @@ class Models:
 
     @cached_property
     def int_user_days(self) -> DataFrame:
+        if self._user_days is not None:
+            return self._user_days
         return user_days(self.sessionized)
 
     @cached_property
@@ -65,6 +83,8 @@ class Models:
 
     @cached_property
     def dim_users(self) -> DataFrame:
+        if self._users is not None:
+            return self._users
         return dim_users(self.sessionized)
 
     @cached_property

@@ -81,7 +81,9 @@ stg AS (
         CASE WHEN event_name = 'screen_view' AND k % 2 = 0 THEN 'main' END AS screen_name,
         CASE user_id % 5 WHEN 0 THEN 3 WHEN 1 THEN 5 WHEN 2 THEN 10 WHEN 3 THEN 20 END
             AS initial_extra_steps,
-        event_id, k
+        event_id, k,
+        -- stand-in row key: uniqueness facts match, hash text differs by engine
+        md5(CAST(event_id AS VARCHAR)) AS event_pk
     FROM named
 ),
 gapped AS (
@@ -241,7 +243,7 @@ retention_by_grant AS (
     FROM grant_agg
 ),
 fct_events AS (
-    SELECT event_date, event_at, event_name, user_pseudo_id, session_id, platform,
+    SELECT event_pk, event_date, event_at, event_name, user_pseudo_id, session_id, platform,
         device_category, device_os, country, app_version, board, level_number, level_name,
         score, event_value, virtual_currency_name, item_name, screen_class,
         engagement_time_msec, initial_extra_steps

@@ -6,16 +6,34 @@ in full, so its work grows with the data.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playmetrics.functions.params import extract_param, param_map
+from playmetrics.operators import quality as Q
+from playmetrics.operators.diff import key_diff
+from playmetrics.operators.staging import stage_events
+from playmetrics.plans.sinks import write_incremental
+from playmetrics.plans.suite import declarations, spark_checks, sql_failures
+from playmetrics.schema import FCT_EVENTS
+from playmetrics.sources.faults import null_out_column
+from playmetrics.sources.raw_table import (
+    frame_source,
+    last_loaded_day,
+    partition_stats,
+    read_raw,
+    read_state,
+    reset_state,
+    run_load,
+)
 from playmetrics.operators.core import _first_non_null
+from playmetrics.plans.build import build
 from playmetrics.plans.models import Models
 from playmetrics.plans.oracle import with_models
-from playmetrics.session import configure
+from playmetrics.session import configure, scratch_path
 from playmetrics.sources.fixture_events import read_fixture_raw
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -120,7 +138,11 @@ FCT_NO_KEY = ["event_date", "event_at", "event_name", "user_pseudo_id", "session
               "screen_class", "engagement_time_msec", "initial_extra_steps"]
 
 
-@register("fct_events", with_models("SELECT * FROM fct_events"))
+@register("fct_events", with_models(
+    "SELECT event_date, event_at, event_name, user_pseudo_id, session_id, platform, device_category, "
+    "device_os, country, app_version, board, level_number, level_name, score, event_value, "
+    "virtual_currency_name, item_name, screen_class, engagement_time_msec, initial_extra_steps "
+    "FROM fct_events"))
 def q_fct_events(spark, sf_dir):
     return models(spark, sf_dir).fct_events.select(*FCT_NO_KEY)
 
@@ -179,6 +201,307 @@ def q_economy_daily(spark, sf_dir):
     return models(spark, sf_dir).extra_steps_economy_daily
 
 
+# ---------------------------------------------------------------- ingest, faults
+
+FIXTURE_FIRST_DAY = dt.date(2024, 1, 1)
+FIXTURE_LAST_DAY = dt.date(2024, 1, 30)
+LAST_DAY_SQL = "(SELECT max(CAST(ts AS DATE)) FROM events)"
+
+
+def _loaded_raw_table(spark: SparkSession, sf_dir: str) -> str:
+    """Load every fixture day into a fresh raw table under the checkpoint folder."""
+    configure(spark)
+    raw = read_fixture_raw(spark, sf_dir)
+    path = scratch_path(spark, "raw-events")
+    state = scratch_path(spark, "load-state")
+    reset_state(spark, state, FIXTURE_FIRST_DAY)
+    run_load(spark, frame_source(raw), path, state, FIXTURE_LAST_DAY,
+             catch_up=(FIXTURE_LAST_DAY - FIXTURE_FIRST_DAY).days)
+    return path
+
+
+BOUNDED_START, BOUNDED_END = "2024-01-08", "2024-01-21"
+
+
+@register("bounded_scan", with_models(f"""
+SELECT event_date, count(*) AS num_events, count(DISTINCT user_pseudo_id) AS num_users
+FROM stg WHERE event_date BETWEEN DATE '{BOUNDED_START}' AND DATE '{BOUNDED_END}'
+GROUP BY event_date
+"""))
+def q_bounded_scan(spark, sf_dir):
+    """Date-bounded read of the loaded raw table (partition-pruned), staged."""
+    path = _loaded_raw_table(spark, sf_dir)
+    stg = stage_events(read_raw(spark, path, BOUNDED_START, BOUNDED_END))
+    return stg.groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("num_events"),
+        F.count_distinct("user_pseudo_id").alias("num_users"))
+
+
+@register("partition_stats", """
+SELECT CAST(ts AS DATE) AS shard_date, count(*) AS num_rows FROM events GROUP BY 1
+""")
+def q_partition_stats(spark, sf_dir):
+    path = _loaded_raw_table(spark, sf_dir)
+    stats = partition_stats(spark, path, FIXTURE_FIRST_DAY, FIXTURE_LAST_DAY)
+    return stats.select("shard_date", "num_rows")
+
+
+def _redelivered_raw(raw: DataFrame) -> DataFrame:
+    """The raw rows plus the last day delivered again, differing only in the
+    server offset (metadata the staging model drops)."""
+    last = raw.agg(F.max("event_date")).scalar()
+    again = raw.where(F.col("event_date") == last).withColumn(
+        "event_server_timestamp_offset", F.lit(17).cast("bigint"))
+    return raw.unionByName(again)
+
+
+@register("staging_dedup", with_models(f"""
+SELECT event_date,
+    count(*) * CASE WHEN event_date = {LAST_DAY_SQL} THEN 2 ELSE 1 END AS raw_rows,
+    count(*) AS staged_events
+FROM stg GROUP BY event_date
+"""))
+def q_staging_dedup(spark, sf_dir):
+    """Re-delivered events collapse: raw rows per day vs. staged events per day."""
+    configure(spark)
+    raw = _redelivered_raw(read_fixture_raw(spark, sf_dir))
+    stg = stage_events(raw)
+    r = raw.groupBy(F.to_date("event_date", "yyyyMMdd").alias("event_date")).agg(
+        F.count(F.lit(1)).alias("raw_rows"))
+    s = stg.groupBy("event_date").agg(F.count(F.lit(1)).alias("staged_events"))
+    return r.join(s, "event_date", "inner")
+
+
+INCREMENT_FIRST_RUN_THROUGH = dt.date(2024, 1, 28)
+
+
+@register("fct_events_incremental", with_models("""
+SELECT event_date, count(*) AS num_events, count(DISTINCT session_id) AS num_sessions
+FROM sess GROUP BY event_date
+"""))
+def q_fct_events_incremental(spark, sf_dir):
+    """Fact built through day 28, then the next load and an incremental run
+    that rewrites only the last existing day and the one before onward."""
+    configure(spark)
+    raw = read_fixture_raw(spark, sf_dir)
+    raw_path, state_path = scratch_path(spark, "raw-events"), scratch_path(spark, "load-state")
+    fct_path = scratch_path(spark, "fct-events")
+    reset_state(spark, state_path, FIXTURE_FIRST_DAY)
+    source = frame_source(raw)
+    for catch_up in ((INCREMENT_FIRST_RUN_THROUGH - FIXTURE_FIRST_DAY).days, 5):
+        run_load(spark, source, raw_path, state_path, FIXTURE_LAST_DAY, catch_up=catch_up)
+        loaded = read_state(spark, state_path)
+        m = Models(read_raw(spark, raw_path, loaded.simulation_start_date,
+                            last_loaded_day(loaded)))
+        write_incremental(spark, m.fct_events, FCT_EVENTS, fct_path)
+    out = spark.read.parquet(fct_path)
+    return out.groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("num_events"),
+        F.count_distinct("session_id").alias("num_sessions"),
+    )
+
+
+def _null_faulted_table(spark: SparkSession, sf_dir: str) -> str:
+    path = _loaded_raw_table(spark, sf_dir)
+    null_out_column(spark, path, "platform", FIXTURE_LAST_DAY, NULL_SPIKE_PCT, NULL_SPIKE_SEED)
+    return path
+
+
+NULL_SPIKE_PCT = 0.35
+NULL_SPIKE_SEED = "null-spike"
+NULL_SELECTED_SQL = (
+    "CAST(('0x' || substr(md5('" + NULL_SPIKE_SEED + "' || ':' || CAST(epoch_us(event_at) AS VARCHAR)"
+    " || ':' || user_pseudo_id || ':' || event_name), 1, 8)) AS BIGINT) / 4294967296.0 < "
+    + str(NULL_SPIKE_PCT))
+FAULTED_STG_SQL = f"""
+faulted AS (
+    SELECT * REPLACE (CASE WHEN event_date = {LAST_DAY_SQL} AND {NULL_SELECTED_SQL}
+                      THEN NULL ELSE platform END AS platform)
+    FROM stg
+)"""
+
+
+def _with_faulted(final_select: str) -> str:
+    return with_models(",\n" + FAULTED_STG_SQL.strip() + "\n" + final_select).replace(
+        "\n,\nfaulted", ",\nfaulted", 1)
+
+
+@register("null_out_column", _with_faulted("""
+SELECT event_date, count(*) AS num_events, count_if(platform IS NULL) AS null_platform
+FROM faulted GROUP BY event_date
+"""))
+def q_null_out_column(spark, sf_dir):
+    """platform nulled on 35% of the last day's rows in the raw table, in place."""
+    path = _null_faulted_table(spark, sf_dir)
+    stg = stage_events(read_raw(spark, path, FIXTURE_FIRST_DAY, FIXTURE_LAST_DAY))
+    return stg.groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("num_events"),
+        F.count_if(F.col("platform").isNull()).alias("null_platform"))
+
+
+@register("monitor_null_rate", _with_faulted("""
+SELECT event_date, round(count_if(platform IS NULL) / count(*), 4) AS null_rate
+FROM faulted GROUP BY event_date HAVING count_if(platform IS NULL) / count(*) > 0.01
+"""))
+def q_monitor_null_rate(spark, sf_dir):
+    path = _null_faulted_table(spark, sf_dir)
+    stg = stage_events(read_raw(spark, path, FIXTURE_FIRST_DAY, FIXTURE_LAST_DAY))
+    return Q.null_rate(stg, "platform", 0.01)
+
+
+@register("table_diff", _with_faulted(f"""
+SELECT count(*) AS a_rows, count(*) AS b_rows,
+    count_if(event_date = {LAST_DAY_SQL} AND {NULL_SELECTED_SQL}) AS only_in_a,
+    count_if(event_date = {LAST_DAY_SQL} AND {NULL_SELECTED_SQL}) AS only_in_b,
+    count(*) - count_if(event_date = {LAST_DAY_SQL} AND {NULL_SELECTED_SQL}) AS in_both
+FROM stg
+"""))
+def q_table_diff(spark, sf_dir):
+    """Key diff of staging before and after the null spike: every touched row
+    gets a new content key."""
+    clean = stage_events(read_fixture_raw(spark, sf_dir))
+    path = _null_faulted_table(spark, sf_dir)
+    faulted = stage_events(read_raw(spark, path, FIXTURE_FIRST_DAY, FIXTURE_LAST_DAY))
+    return key_diff(clean, faulted, "event_pk")
+
+
+VOLUME_BAND = (0.8, 1.2)   # the reference's 40k..60k around 50k, as fractions
+
+
+@register("monitor_daily_volume", with_models(f"""
+, daily AS (SELECT event_date, count(*) AS n FROM stg GROUP BY event_date),
+band AS (SELECT avg(n) AS mean_n FROM daily),
+raw_daily AS (
+    SELECT event_date, n * CASE WHEN event_date = {LAST_DAY_SQL} THEN 2 ELSE 1 END AS n
+    FROM daily)
+SELECT 'raw' AS layer, event_date, n AS num_events FROM raw_daily, band
+WHERE n NOT BETWEEN {VOLUME_BAND[0]} * mean_n AND {VOLUME_BAND[1]} * mean_n
+UNION ALL
+SELECT 'staging' AS layer, event_date, n AS num_events FROM daily, band
+WHERE n NOT BETWEEN {VOLUME_BAND[0]} * mean_n AND {VOLUME_BAND[1]} * mean_n
+""".replace("\n, daily AS", ", daily AS", 1)))
+def q_monitor_daily_volume(spark, sf_dir):
+    """Volume band on raw (with a re-delivered day) and on deduplicated
+    staging; the band is +-20% of the mean staged daily volume."""
+    configure(spark)
+    raw = _redelivered_raw(read_fixture_raw(spark, sf_dir))
+    stg = stage_events(raw)
+    daily = stg.groupBy("event_date").agg(F.count(F.lit(1)).alias("n"))
+    mean_n = daily.agg(F.avg("n")).scalar()
+    raw_days = raw.withColumn("event_date", F.to_date("event_date", "yyyyMMdd"))
+    lo, hi = VOLUME_BAND
+    band = [(F.lit(lo) * mean_n), (F.lit(hi) * mean_n)]
+    out = []
+    for layer, frame in (("raw", raw_days), ("staging", stg)):
+        per_day = frame.groupBy("event_date").agg(F.count(F.lit(1)).alias("num_events"))
+        v = per_day.where(~F.col("num_events").between(*band))
+        out.append(v.select(F.lit(layer).alias("layer"), "event_date", "num_events"))
+    return out[0].unionByName(out[1])
+
+
+FRESHNESS_AS_OF = ["2024-01-31 12:00:00", "2024-02-01 06:00:00", "2024-02-02 06:00:00"]
+
+
+@register("freshness", with_models("""
+, newest AS (SELECT max(event_at) AS loaded_at FROM stg),
+as_of(t) AS (VALUES """ + ", ".join(f"(TIMESTAMP '{t}')" for t in FRESHNESS_AS_OF) + """),
+aged AS (SELECT t AS as_of, loaded_at,
+                round((epoch_us(t) - epoch_us(loaded_at)) / 3600000000.0, 2) AS age_hours
+         FROM newest, as_of)
+SELECT as_of, loaded_at, age_hours,
+    CASE WHEN age_hours > 50 THEN 'error' WHEN age_hours > 26 THEN 'warn' ELSE 'pass' END
+        AS status
+FROM aged
+""".replace("\n, newest AS", ", newest AS", 1)))
+def q_freshness(spark, sf_dir):
+    """Hours since the newest event at three fixed check times, with the
+    26 h warn / 50 h error policy."""
+    stg = models(spark, sf_dir).staging
+    newest = stg.agg(F.max("event_at").alias("loaded_at"))
+    frames = [Q.freshness(newest, dt.datetime.fromisoformat(t))
+              .select(F.lit(t).cast("timestamp").alias("as_of"), "*")
+              for t in FRESHNESS_AS_OF]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+# ---------------------------------------------------------------- data tests
+
+def _suite_frames(m: Models) -> dict[str, DataFrame]:
+    return {
+        "stg_events": m.staging,
+        "int_events_sessionized": m.int_events_sessionized,
+        "int_user_days": m.int_user_days,
+        "fct_events": m.fct_events,
+        "dim_users": m.dim_users,
+        "daily_active_users": m.daily_active_users,
+        "retention_cohorts": m.retention_cohorts,
+        "retention_by_extra_steps_grant": m.retention_by_extra_steps_grant,
+        "level_funnel_daily": m.level_funnel_daily,
+        "extra_steps_economy_daily": m.extra_steps_economy_daily,
+    }
+
+
+ORACLE_RELATION = {
+    "stg_events": "stg", "int_events_sessionized": "sess", "int_user_days": "user_days",
+    "fct_events": "fct_events", "dim_users": "dim_users",
+    "daily_active_users": "daily_active_users", "retention_cohorts": "retention_cohorts",
+    "retention_by_extra_steps_grant": "retention_by_grant",
+    "level_funnel_daily": "level_funnel_daily", "extra_steps_economy_daily": "economy_daily",
+}
+
+
+def _sql_text(text: str) -> str:
+    return text.replace("'", "''")
+
+
+def _suite_oracle(kinds: set[str]) -> str:
+    decls = [d for d in declarations(FIXTURE_FIRST_DAY, FIXTURE_LAST_DAY) if d.kind in kinds]
+    parts = [f"SELECT '{_sql_text(d.name)}' AS check_name, '{d.severity}' AS severity, "
+             f"{sql_failures(d, ORACLE_RELATION[d.model])} AS failures" for d in decls]
+    return with_models("\nUNION ALL\n".join(parts))
+
+
+def _suite_query(kinds: set[str]):
+    def run(spark, sf_dir):
+        """Build every model into tables, then read the suite's report rows."""
+        configure(spark)
+        result = build(spark, read_fixture_raw(spark, sf_dir), scratch_path(spark, "marts"),
+                       FIXTURE_FIRST_DAY, FIXTURE_LAST_DAY)
+        prefixes = [F.col("check").startswith(k + ":") for k in kinds]
+        keep = prefixes[0]
+        for p in prefixes[1:]:
+            keep = keep | p
+        return result.report.where(keep).select(
+            F.col("check").alias("check_name"), "severity", "failures")
+    return run
+
+
+for _name, _kinds in (("check_unique", {"unique"}), ("check_not_null", {"not_null"}),
+                      ("check_accepted_values", {"accepted_values"}),
+                      ("check_expression", {"expression"})):
+    register(_name, _suite_oracle(_kinds))(_suite_query(_kinds))
+
+
+@register("check_dau_reconciles", with_models("""
+, spine AS (SELECT event_date, count(DISTINCT user_pseudo_id) AS spine_dau
+           FROM user_days GROUP BY event_date)
+SELECT m.activity_date, m.dau, s.spine_dau, m.dau <> s.spine_dau AS violates
+FROM daily_active_users m JOIN spine s ON m.activity_date = s.event_date
+""".replace("\n, spine AS", ", spine AS", 1)))
+def q_check_dau_reconciles(spark, sf_dir):
+    """Mart DAU against the spine's distinct users, per day, with the verdict."""
+    m = models(spark, sf_dir)
+    spine = m.int_user_days.groupBy("event_date").agg(
+        F.count_distinct("user_pseudo_id").alias("spine_dau"))
+    j = m.daily_active_users.select("activity_date", "dau").join(
+        spine, F.col("activity_date") == F.col("event_date"), "inner")
+    return j.select("activity_date", "dau", "spine_dau",
+                    (F.col("dau") != F.col("spine_dau")).alias("violates"))
+
+
 def all_queries() -> dict[str, QueryFn]:
     return dict(_QUERIES)
 

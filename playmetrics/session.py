@@ -36,6 +36,7 @@ def build_session(master: str | None = None, app_name: str = "playmetrics",
     conf = {
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        "spark.driver.memory": "8g",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
