@@ -52,45 +52,77 @@ def hot_keys(df: DataFrame, key: str = USER, min_rows: int = 5_000_000,
     return counts.orderBy(F.col("_n").desc(), F.col(key)).limit(max_keys).select(key)
 
 
-def sessionize(stg: DataFrame, gap_seconds: int = 1800, bucket_seconds: int = DAY_SECONDS,
-               hot_users: DataFrame | None = None, hot_bucket_seconds: int = 60) -> DataFrame:
-    """Add session_number, is_session_first_event, seconds_since_previous_event,
-    session_id to every staging row (one output row per input row)."""
-    columns = stg.columns
+def _with_bucket(df: DataFrame, bucket_seconds: int, hot_users: DataFrame | None,
+                 hot_bucket_seconds: int) -> DataFrame:
+    """Add ``_bucket``: a time bucket id, monotone in event_at within a user."""
+    columns = df.columns
     width_us = F.lit(bucket_seconds * 1_000_000)
     if hot_users is not None:
         marks = hot_users.select(USER).distinct().withColumn("_hot", F.lit(True))
-        stg = stg.join(F.broadcast(marks), on=USER, how="left")
+        df = df.join(F.broadcast(marks), on=USER, how="left")
         width_us = F.when(F.col("_hot"), F.lit(hot_bucket_seconds * 1_000_000)).otherwise(width_us)
     bucket = F.coalesce(F.floor(F.unix_micros("event_at") / width_us).cast("bigint"),
                         F.lit(_NULL_TIME_BUCKET))
-    ev = stg.withColumn("_bucket", bucket).select(*columns, "_bucket")
-
-    w = Window.partitionBy(USER, "_bucket").orderBy("event_at", "event_pk")
-    prev_at = F.lag("event_at").over(w)
-    first_in_bucket = F.lag("event_pk").over(w).isNull()
-    ev = (ev.withColumn("_first_in_bucket", first_in_bucket)
-            .withColumn("_local_gap", F.when(~F.col("_first_in_bucket"),
-                                             _gap_seconds(prev_at, F.col("event_at"))))
-            .withColumn("_local_flag", ~F.col("_first_in_bucket") & (
-                F.col("_local_gap").isNull() | (F.col("_local_gap") > gap_seconds)))
-            .withColumn("_local_cum", F.sum(F.col("_local_flag").cast("bigint")).over(
-                w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
-
-    summary = ev.groupBy(USER, "_bucket").agg(
+    return df.withColumn("_bucket", bucket).select(*columns, "_bucket")
+
+
+def _local_flags(df: DataFrame, order: list[str], gap_seconds: int) -> DataFrame:
+    """Per (user, bucket): first-row marker, gap to the previous row, the
+    new-session flag of every non-first row and the running count of flags."""
+    w = Window.partitionBy(USER, "_bucket").orderBy(*order)
+    return (df.withColumn("_first_in_bucket", F.lag(F.lit(1)).over(w).isNull())
+              .withColumn("_local_gap", F.when(~F.col("_first_in_bucket"), _gap_seconds(
+                  F.lag("event_at").over(w), F.col("event_at"))))
+              .withColumn("_local_flag", ~F.col("_first_in_bucket") & (
+                  F.col("_local_gap").isNull() | (F.col("_local_gap") > gap_seconds)))
+              .withColumn("_local_cum", F.sum(F.col("_local_flag").cast("bigint")).over(
+                  w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+
+
+def bucket_summary(timeline: DataFrame, gap_seconds: int = 1800,
+                   bucket_seconds: int = DAY_SECONDS, hot_users: DataFrame | None = None,
+                   hot_bucket_seconds: int = 60) -> DataFrame:
+    """Per (user, bucket): the gap from the previous bucket's last event, whether
+    the bucket opens a session, and how many sessions began in earlier buckets.
+
+    ``timeline`` holds (user_pseudo_id, event_at) rows. Only timestamps matter
+    here: repeated timestamps add gaps of 0, which never open a session, so
+    the timeline may contain duplicate deliveries of an event as long as it
+    has each user's distinct timestamps and the exact rows without one.
+    """
+    tl = _with_bucket(timeline.select(USER, "event_at"), bucket_seconds, hot_users,
+                      hot_bucket_seconds)
+    flagged = _local_flags(tl, ["event_at"], gap_seconds)
+    summary = flagged.groupBy(USER, "_bucket").agg(
         F.min("event_at").alias("_b_min"),
         F.max("event_at").alias("_b_max"),
         F.sum(F.col("_local_flag").cast("bigint")).alias("_b_local"),
     )
     ws = Window.partitionBy(USER).orderBy("_bucket")
-    summary = (summary
-               .withColumn("_b_gap", _gap_seconds(F.lag("_b_max").over(ws), F.col("_b_min")))
-               .withColumn("_b_flag", F.col("_b_gap").isNull() | (F.col("_b_gap") > gap_seconds))
-               .withColumn("_b_sessions", F.col("_b_flag").cast("bigint") + F.col("_b_local"))
-               .withColumn("_b_offset", F.coalesce(F.sum("_b_sessions").over(
-                   ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("bigint")))
-               .select(USER, "_bucket", "_b_gap", "_b_flag", "_b_offset"))
+    return (summary
+            .withColumn("_b_gap", _gap_seconds(F.lag("_b_max").over(ws), F.col("_b_min")))
+            .withColumn("_b_flag", F.col("_b_gap").isNull() | (F.col("_b_gap") > gap_seconds))
+            .withColumn("_b_sessions", F.col("_b_flag").cast("bigint") + F.col("_b_local"))
+            .withColumn("_b_offset", F.coalesce(F.sum("_b_sessions").over(
+                ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("bigint")))
+            .select(USER, "_bucket", "_b_gap", "_b_flag", "_b_offset"))
+
 
+def sessionize(stg: DataFrame, gap_seconds: int = 1800, bucket_seconds: int = DAY_SECONDS,
+               hot_users: DataFrame | None = None, hot_bucket_seconds: int = 60,
+               timeline: DataFrame | None = None) -> DataFrame:
+    """Add session_number, is_session_first_event, seconds_since_previous_event,
+    session_id to every staging row (one output row per input row).
+
+    ``timeline`` (see :func:`bucket_summary`) lets the small per-bucket
+    summary come from a cheap source, e.g. two columns of the raw table,
+    instead of a second evaluation of ``stg``; it defaults to ``stg`` itself.
+    """
+    columns = stg.columns
+    ev = _with_bucket(stg, bucket_seconds, hot_users, hot_bucket_seconds)
+    ev = _local_flags(ev, ["event_at", "event_pk"], gap_seconds)
+    summary = bucket_summary(stg if timeline is None else timeline, gap_seconds,
+                             bucket_seconds, hot_users, hot_bucket_seconds)
     joined = ev.join(summary, on=[USER, "_bucket"], how="inner")
     first = F.col("_first_in_bucket")
     out = joined.select(

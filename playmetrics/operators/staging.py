@@ -85,11 +85,13 @@ def stage_events(raw: DataFrame) -> DataFrame:
 
     ``event_pk`` is the md5 of the JSON of every output column plus the raw
     params JSON, so only rows identical in everything kept share a key; the
-    choice of survivor among them is therefore immaterial. The dedup is a
-    hash aggregate with map-side combine, so a heavily re-delivered event
-    collapses before the shuffle.
+    choice of survivor among them is therefore immaterial. Because the key
+    is a function of the other columns, a DISTINCT over all columns is the
+    same as one row per key; it plans as a hash aggregate with map-side
+    combine (no sort), so a heavily re-delivered event collapses before the
+    shuffle.
     """
     flat = flatten_events(raw)
     payload = flat.columns
     keyed = flat.select(content_key(*payload).alias("event_pk"), *payload)
-    return keyed.drop("event_params_json").dropDuplicates(["event_pk"])
+    return keyed.drop("event_params_json").distinct()

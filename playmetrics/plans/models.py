@@ -10,6 +10,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from playmetrics.operators.core import dim_users, fct_events
 from playmetrics.operators.economy import extra_steps_economy_daily
@@ -65,7 +66,22 @@ class Models:
         """Staging plus the four session columns (one row per event)."""
         if self._sessionized is not None:
             return self._sessionized
-        return sessionize(self.staging, hot_users=self.hot_users)
+        return sessionize(self.staging, hot_users=self.hot_users, timeline=self.timeline)
+
+    @cached_property
+    def timeline(self) -> DataFrame | None:
+        """(user, event_at) rows for the session bucket summary, read from two
+        raw columns instead of re-deriving staging: raw duplicates only repeat
+        timestamps. Rows without a timestamp each open a session, so those go
+        through staging's dedup (a rare, pushed-down IS NULL slice)."""
+        if self.raw is None or self._staging is not None:
+            return None
+        ts = F.timestamp_micros("event_timestamp")
+        timed = self.raw.where(F.col("event_timestamp").isNotNull()).select(
+            "user_pseudo_id", ts.alias("event_at"))
+        untimed = stage_events(self.raw.where(F.col("event_timestamp").isNull())).select(
+            "user_pseudo_id", "event_at")
+        return timed.unionByName(untimed)
 
     @cached_property
     def int_events_sessionized(self) -> DataFrame:

@@ -176,5 +176,14 @@ def adapt_events(events: DataFrame) -> DataFrame:
 
 
 def read_fixture_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw events derived from ``{sf_dir}/events.parquet``."""
-    return adapt_events(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
+    """Raw events derived from ``{sf_dir}/events.parquet``.
+
+    A small fixture file is a single scan split; it is spread round-robin over
+    the default parallelism so the per-row building work runs on all cores.
+    A large input already has at least that many splits and is left as is.
+    """
+    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    target = spark.sparkContext.defaultParallelism
+    if events.rdd.getNumPartitions() < target:
+        events = events.repartition(target)
+    return adapt_events(events)
