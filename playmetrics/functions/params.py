@@ -43,7 +43,8 @@ def param_map(array_col: str | Column, keys: Iterable[str]) -> Column:
 
 
 def extract_param(pmap: Column, key: str, mode: str = "string") -> Column:
-    """Typed value of ``key`` from a map built by :func:`param_map`; NULL if absent."""
+    """Typed value of ``key`` from a map built by :func:`param_map`; NULL if
+    absent or held in another slot."""
     return _slot(F.try_element_at(pmap, F.lit(key)), mode)
 
 

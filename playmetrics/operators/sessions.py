@@ -58,25 +58,25 @@ def _with_bucket(df: DataFrame, bucket_seconds: int, hot_users: DataFrame | None
     columns = df.columns
     width_us = F.lit(bucket_seconds * 1_000_000)
     if hot_users is not None:
-        marks = hot_users.select(USER).distinct().withColumn("_hot", F.lit(True))
+        marks = hot_users.select(USER).distinct().select(USER, F.lit(True).alias("_hot"))
         df = df.join(F.broadcast(marks), on=USER, how="left")
         width_us = F.when(F.col("_hot"), F.lit(hot_bucket_seconds * 1_000_000)).otherwise(width_us)
     bucket = F.coalesce(F.floor(F.unix_micros("event_at") / width_us).cast("bigint"),
                         F.lit(_NULL_TIME_BUCKET))
-    return df.withColumn("_bucket", bucket).select(*columns, "_bucket")
+    return df.select(*columns, bucket.alias("_bucket"))
 
 
 def _local_flags(df: DataFrame, order: list[str], gap_seconds: int) -> DataFrame:
     """Per (user, bucket): first-row marker, gap to the previous row, the
     new-session flag of every non-first row and the running count of flags."""
     w = Window.partitionBy(USER, "_bucket").orderBy(*order)
-    return (df.withColumn("_first_in_bucket", F.lag(F.lit(1)).over(w).isNull())
-              .withColumn("_local_gap", F.when(~F.col("_first_in_bucket"), _gap_seconds(
-                  F.lag("event_at").over(w), F.col("event_at"))))
-              .withColumn("_local_flag", ~F.col("_first_in_bucket") & (
-                  F.col("_local_gap").isNull() | (F.col("_local_gap") > gap_seconds)))
-              .withColumn("_local_cum", F.sum(F.col("_local_flag").cast("bigint")).over(
-                  w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+    first = F.lag(F.lit(1)).over(w).isNull()
+    gap = F.when(~first, _gap_seconds(F.lag("event_at").over(w), F.col("event_at")))
+    flag = ~first & (gap.isNull() | (gap > gap_seconds))
+    running = F.sum(flag.cast("bigint")).over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return df.select("*", first.alias("_first_in_bucket"), gap.alias("_local_gap"),
+                     flag.alias("_local_flag"), running.alias("_local_cum"))
 
 
 def bucket_summary(timeline: DataFrame, gap_seconds: int = 1800,
@@ -99,13 +99,12 @@ def bucket_summary(timeline: DataFrame, gap_seconds: int = 1800,
         F.sum(F.col("_local_flag").cast("bigint")).alias("_b_local"),
     )
     ws = Window.partitionBy(USER).orderBy("_bucket")
-    return (summary
-            .withColumn("_b_gap", _gap_seconds(F.lag("_b_max").over(ws), F.col("_b_min")))
-            .withColumn("_b_flag", F.col("_b_gap").isNull() | (F.col("_b_gap") > gap_seconds))
-            .withColumn("_b_sessions", F.col("_b_flag").cast("bigint") + F.col("_b_local"))
-            .withColumn("_b_offset", F.coalesce(F.sum("_b_sessions").over(
-                ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("bigint")))
-            .select(USER, "_bucket", "_b_gap", "_b_flag", "_b_offset"))
+    gap = _gap_seconds(F.lag("_b_max").over(ws), F.col("_b_min"))
+    opens = gap.isNull() | (gap > gap_seconds)
+    earlier = F.sum(opens.cast("bigint") + F.col("_b_local")).over(
+        ws.rowsBetween(Window.unboundedPreceding, -1))
+    return summary.select(USER, "_bucket", gap.alias("_b_gap"), opens.alias("_b_flag"),
+                          F.coalesce(earlier, F.lit(0).cast("bigint")).alias("_b_offset"))
 
 
 def sessionize(stg: DataFrame, gap_seconds: int = 1800, bucket_seconds: int = DAY_SECONDS,
@@ -133,8 +132,10 @@ def sessionize(stg: DataFrame, gap_seconds: int = 1800, bucket_seconds: int = DA
         .alias("is_session_first_event"),
         F.when(first, F.col("_b_gap")).otherwise(F.col("_local_gap"))
         .alias("seconds_since_previous_event"),
+        surrogate_key(F.col(USER), F.col("_b_offset") + F.col("_b_flag").cast("bigint")
+                      + F.col("_local_cum")).alias("session_id"),
     )
-    return out.withColumn("session_id", surrogate_key(USER, "session_number"))
+    return out
 
 
 def sessionize_single_window(stg: DataFrame, gap_seconds: int = 1800) -> DataFrame:

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playmetrics.schema import RAW_SCHEMA
+from playmetrics.functions.cache import per_jvm
+from playmetrics.schema import EVENT_PARAMS_TYPE, RAW_SCHEMA, USER_PROPERTIES_TYPE
 
 # Fixed values of the fixture mapping. ``k`` is the integer in ``props``.
 # event_type -> list of (highest k inclusive, event_name), in k order.
@@ -64,18 +65,31 @@ def _kv(key: str, string_value: Column | None = None, int_value: Column | None =
         null_d.alias("float_value"),
         (double_value if double_value is not None else null_d).alias("double_value"),
     )
-    entry = F.struct(F.lit(key).alias("key"), value.alias("value"))
-    return F.when(cond, entry) if cond is not None else entry
+    entry = F.array(F.struct(F.lit(key).alias("key"), value.alias("value")))
+    return F.when(cond, entry).otherwise(F.array().cast(EVENT_PARAMS_TYPE))
+
+
+def _present(*optional: Column) -> Column:
+    """Concatenate zero-or-one-element arrays (no lambda, stays in codegen)."""
+    return F.flatten(F.array(*optional))
 
 
 def adapt_events(events: DataFrame) -> DataFrame:
     """Map the flat ``events`` table onto RAW_SCHEMA (one raw row per event)."""
-    e = events.select(
+    parsed, named, nested, typed = _adapter_columns()
+    return events.select(*parsed).select(*named).select(*nested).select(*typed)
+
+
+@per_jvm
+def _adapter_columns() -> tuple[list[Column], ...]:
+    parsed = [
         "event_id", "user_id", "value",
         F.col("ts").cast("timestamp").alias("_ts"),
         F.get_json_object("props", "$.k").cast("bigint").alias("k"),
         F.col("event_type"),
-    ).withColumn("_name", F.expr(event_name_sql()))
+    ]
+    named = ["event_id", "user_id", "value", "_ts", "k",
+             F.expr(event_name_sql()).alias("_name")]
 
     name, k, eid, uid = F.col("_name"), F.col("k"), F.col("event_id"), F.col("user_id")
     even_id = (eid % 2) == 0
@@ -83,7 +97,7 @@ def adapt_events(events: DataFrame) -> DataFrame:
     value = 1 + k % 20
     is_economy = name.isin(ECONOMY_EVENTS)
 
-    params = F.filter(F.array(
+    params = _present(
         _kv("firebase_screen_class", string_value=F.concat(F.lit("Screen"), (k % 4).cast("string")),
             cond=name.isin("screen_view", "user_engagement")),
         _kv("firebase_screen", string_value=F.lit("main"),
@@ -100,18 +114,17 @@ def adapt_events(events: DataFrame) -> DataFrame:
             double_value=F.when(~even_id, value.cast("double")), cond=is_economy),
         _kv("virtual_currency_name", string_value=F.lit("steps"), cond=is_economy),
         _kv("item_name", string_value=level.cast("string"), cond=is_economy),
-    ), lambda p: p.isNotNull())
+    )
 
     first_touch_us = F.unix_micros(F.lit(FIRST_TOUCH_BASE).cast("timestamp")) + uid * HOUR_US
     grant = F.expr(pick_sql(GRANTS, "user_id % 5"))
-    user_props = F.filter(F.array(
-        F.when(grant.isNotNull(), F.struct(
-            F.lit("initial_extra_steps").alias("key"),
-            F.struct(grant.alias("string_value"), F.lit(None).cast("bigint").alias("int_value"),
-                     F.lit(None).cast("double").alias("float_value"),
-                     F.lit(None).cast("double").alias("double_value"),
-                     first_touch_us.alias("set_timestamp_micros")).alias("value"))),
-    ), lambda p: p.isNotNull())
+    user_props = F.when(grant.isNotNull(), F.array(F.struct(
+        F.lit("initial_extra_steps").alias("key"),
+        F.struct(grant.alias("string_value"), F.lit(None).cast("bigint").alias("int_value"),
+                 F.lit(None).cast("double").alias("float_value"),
+                 F.lit(None).cast("double").alias("double_value"),
+                 first_touch_us.alias("set_timestamp_micros")).alias("value")),
+    )).otherwise(F.array().cast(USER_PROPERTIES_TYPE))
 
     android = (uid % 2) == 0
     platform = F.when(android, "ANDROID").otherwise("IOS")
@@ -150,7 +163,7 @@ def adapt_events(events: DataFrame) -> DataFrame:
         F.when((eid % 4) != 0, F.expr(pick_sql(MEDIUMS, "user_id % 3"))).alias("medium"),
         F.expr(pick_sql(SOURCES, "user_id % 3")).alias("source"),
     )
-    raw = e.select(
+    nested = [
         F.date_format("_ts", "yyyyMMdd").alias("event_date"),
         F.unix_micros("_ts").alias("event_timestamp"),
         name.alias("event_name"),
@@ -171,8 +184,10 @@ def adapt_events(events: DataFrame) -> DataFrame:
         F.when(android, "100").otherwise("200").alias("stream_id"),
         platform.alias("platform"),
         F.lit(None).cast("struct<hostname:string>").alias("event_dimensions"),
-    )
-    return raw.to(RAW_SCHEMA)
+    ]
+    # casts (not DataFrame.to) relax nested nullability without a lambda
+    typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_SCHEMA.fields]
+    return parsed, named, nested, typed
 
 
 def read_fixture_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
