@@ -42,7 +42,8 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 def build(spark: SparkSession, raw: DataFrame, out_dir: str, window_start: dt.date,
           window_end: dt.date, rebuild_start_date: dt.date | None = None,
           volume_band: tuple[int, int] = (40_000, 60_000), null_rate_column: str = "platform",
-          null_rate_threshold: float = 0.01, **model_kwargs) -> BuildResult:
+          null_rate_threshold: float = 0.01, fail_on_error: bool = False,
+          **model_kwargs) -> BuildResult:
     configure(spark)
     out = out_dir.rstrip("/")
     base = Models(raw, **model_kwargs)
@@ -93,4 +94,8 @@ def build(spark: SparkSession, raw: DataFrame, out_dir: str, window_start: dt.da
     Q.run_checks(spark, checks).coalesce(1).write.mode("overwrite").parquet(report_path)
     result.tables["_checks"] = report_path
     result.report = spark.read.parquet(report_path)
+    if fail_on_error:
+        # one small row per check: error-severity failures stop the build,
+        # warnings only report
+        Q.raise_on_errors(result.report.collect())
     return result
