@@ -47,15 +47,22 @@ def _cohort_users(users: DataFrame, *extra: str) -> DataFrame:
                          *extra))
 
 
-def retention_cohorts(users: DataFrame, user_days: DataFrame) -> DataFrame:
+def last_loaded_day(user_days: DataFrame) -> Column:
+    """The newest activity day, as a scalar subquery (one small job, inlined)."""
+    return user_days.agg(F.max("event_date")).scalar()
+
+
+def retention_cohorts(users: DataFrame, user_days: DataFrame,
+                      max_loaded: Column | None = None) -> DataFrame:
     """Day-N retention per first_open cohort date, N in 1, 7, 30.
 
     A user is retained on day N iff active exactly N days after the cohort
     date; (user, day) is unique in user days, so counting matching rows per
-    cohort counts users. The last loaded day is a scalar subquery; a rate is
-    NULL (counts stay 0) while cohort_date + N is past it.
+    cohort counts users. The last loaded day is a scalar subquery (``max_loaded``
+    may supply an equal, cheaper one); a rate is NULL (counts stay 0) while
+    cohort_date + N is past it.
     """
-    max_loaded = user_days.agg(F.max("event_date")).scalar()
+    max_loaded = last_loaded_day(user_days) if max_loaded is None else max_loaded
     cohort = _cohort_users(users)
     joined = cohort.join(user_days.select("user_pseudo_id", "event_date"), "user_pseudo_id")
     offset = F.datediff(F.col("event_date"), F.col("cohort_date"))
@@ -72,13 +79,14 @@ def retention_cohorts(users: DataFrame, user_days: DataFrame) -> DataFrame:
                          *[f"retained_d{n}" for n in RETENTION_DAYS], *rates)
 
 
-def retention_by_grant(users: DataFrame, user_days: DataFrame) -> DataFrame:
+def retention_by_grant(users: DataFrame, user_days: DataFrame,
+                       max_loaded: Column | None = None) -> DataFrame:
     """Day-N retention per extra-steps grant bucket ('unassigned' when none).
 
     Each day-N rate has its own denominator: the bucket's users whose day N
     is observable. A rate is NULL iff that denominator is 0.
     """
-    max_loaded = user_days.agg(F.max("event_date")).scalar()
+    max_loaded = last_loaded_day(user_days) if max_loaded is None else max_loaded
     bucket = F.coalesce(F.col("initial_extra_steps").cast("string"), F.lit("unassigned"))
     cohort = _cohort_users(users, bucket.alias("grant_bucket"))
     joined = cohort.join(user_days.select("user_pseudo_id", "event_date"), "user_pseudo_id")

@@ -87,6 +87,7 @@ def build(spark: SparkSession, raw: DataFrame, out_dir: str, window_start: dt.da
         Q.Check("monitor:daily_volume", Q.daily_volume(m.staging, *volume_band), "warn"),
         Q.Check(f"monitor:null_rate:{null_rate_column}",
                 Q.null_rate(m.staging, null_rate_column, null_rate_threshold), "warn"),
+        Q.Check("monitor:redelivered_events", Q.duplicate_ratio(raw, m.staging), "warn"),
         Q.Check("monitor:event_date_is_utc_day",
                 m.staging.where(F.col("event_date") != F.to_date("event_at")), "warn"),
     ]

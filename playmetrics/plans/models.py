@@ -107,13 +107,22 @@ class Models:
     def daily_active_users(self) -> DataFrame:
         return daily_active_users(self.int_user_days)
 
+    @cached_property
+    def max_loaded_date(self):
+        """Newest event_date. Every raw row's day survives into the user-day
+        spine, so with raw at hand the scalar reads one raw column instead of
+        re-deriving the spine."""
+        if self.raw is None or self._user_days is not None:
+            return None
+        return self.raw.agg(F.max(F.to_date("event_date", "yyyyMMdd"))).scalar()
+
     @cached_property
     def retention_cohorts(self) -> DataFrame:
-        return retention_cohorts(self.dim_users, self.int_user_days)
+        return retention_cohorts(self.dim_users, self.int_user_days, self.max_loaded_date)
 
     @cached_property
     def retention_by_extra_steps_grant(self) -> DataFrame:
-        return retention_by_grant(self.dim_users, self.int_user_days)
+        return retention_by_grant(self.dim_users, self.int_user_days, self.max_loaded_date)
 
     @cached_property
     def level_funnel_daily(self) -> DataFrame:
