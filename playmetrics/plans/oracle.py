@@ -79,8 +79,8 @@ stg AS (
         CASE WHEN event_name IN ('screen_view', 'user_engagement')
             THEN 'Screen' || CAST(k % 4 AS VARCHAR) END AS screen_class,
         CASE WHEN event_name = 'screen_view' AND k % 2 = 0 THEN 'main' END AS screen_name,
-        CASE user_id % 5 WHEN 0 THEN 3 WHEN 1 THEN 5 WHEN 2 THEN 10 WHEN 3 THEN 20 END
-            AS initial_extra_steps,
+        CAST(CASE user_id % 5 WHEN 0 THEN 3 WHEN 1 THEN 5 WHEN 2 THEN 10 WHEN 3 THEN 20 END
+            AS BIGINT) AS initial_extra_steps,
         event_id, k,
         -- stand-in row key: uniqueness facts match, hash text differs by engine
         md5(CAST(event_id AS VARCHAR)) AS event_pk
@@ -293,4 +293,22 @@ economy_daily AS (
 
 def with_models(final_select: str) -> str:
     """The shared model CTEs followed by one final SELECT."""
-    return "WITH" + BASE_CTES + "\n" + final_select.strip() + "\n"
+    return bigint_counts("WITH" + BASE_CTES + "\n" + final_select.strip() + "\n")
+
+
+def bigint_counts(sql: str) -> str:
+    """Rewrite ``count_if(p)`` as ``count(*) FILTER (WHERE p)``: the same count,
+    typed BIGINT like Spark's (DuckDB's count_if is HUGEINT)."""
+    out, i, token = [], 0, "count_if("
+    while True:
+        j = sql.find(token, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(token)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        inner = bigint_counts(sql[j + len(token):k - 1])
+        out.append(sql[i:j] + f"count(*) FILTER (WHERE {inner})")
+        i = k
