@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from playmetrics.operators import quality as Q
 from playmetrics.plans.models import Models
 from playmetrics.plans.sinks import write_contracted, write_incremental
-from playmetrics.plans.suite import declarations, spark_checks
+from playmetrics.plans.suite import declarations, suite_report
 from playmetrics.schema import MART_CONTRACTS
 from playmetrics.session import configure, scratch_path
 
@@ -80,9 +80,8 @@ def build(spark: SparkSession, raw: DataFrame, out_dir: str, window_start: dt.da
         "int_user_days": spine,
         **{name: spark.read.parquet(path) for name, path in result.tables.items()},
     }
-    checks = spark_checks(frames, declarations(window_start, window_end))
     dau = frames["daily_active_users"]
-    checks += [
+    checks = [
         Q.Check("singular:dau_reconciles", Q.dau_reconciles(dau, spine), "error"),
         Q.Check("monitor:daily_volume", Q.daily_volume(m.staging, *volume_band), "warn"),
         Q.Check(f"monitor:null_rate:{null_rate_column}",
@@ -92,7 +91,8 @@ def build(spark: SparkSession, raw: DataFrame, out_dir: str, window_start: dt.da
                 m.staging.where(F.col("event_date") != F.to_date("event_at")), "warn"),
     ]
     report_path = f"{out}/_checks"
-    Q.run_checks(spark, checks).coalesce(1).write.mode("overwrite").parquet(report_path)
+    report = suite_report(spark, frames, declarations(window_start, window_end), checks)
+    report.coalesce(1).write.mode("overwrite").parquet(report_path)
     result.tables["_checks"] = report_path
     result.report = spark.read.parquet(report_path)
     if fail_on_error:

@@ -1,13 +1,18 @@
 """The declared data-test suite of the models, as data.
 
-Each entry is rendered twice: as Spark violation frames (``spark_checks``)
-and, for the oracle, as SQL counting the same violations.
+Each entry is rendered twice: on Spark, as violation frames (``spark_checks``,
+for inspecting the offending rows) and as one report (``suite_report``); for
+the oracle, as SQL counting the same violations.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from playmetrics.operators import quality as Q
 from playmetrics.platform_values import PLATFORMS
@@ -110,6 +115,45 @@ def spark_checks(frames: dict, decls: list[Decl]) -> list[Q.Check]:
     return checks
 
 
+def row_predicate(decl: Decl) -> Column:
+    """The per-row violation predicate of a row-level declaration."""
+    if decl.kind == "not_null":
+        return F.col(decl.arg).isNull()
+    if decl.kind == "accepted_values":
+        return ~F.col(decl.arg).isin(PLATFORMS)
+    if decl.kind == "expression":
+        return ~F.expr(decl.arg)
+    raise ValueError(f"{decl.kind} is not a row-level test")
+
+
+def suite_report(spark: SparkSession, frames: dict, decls: list[Decl],
+                 extra: list[Q.Check] | None = None) -> DataFrame:
+    """(check, severity, failures, status) for every declaration and extra check.
+
+    Row-level tests of one model share one scan of it; uniqueness tests are
+    one grouped count each; extra checks count their violation frames.
+    """
+    parts = []
+    by_model: dict[str, list[Decl]] = {}
+    for decl in decls:
+        if decl.kind == "unique":
+            v = Q.unique(frames[decl.model], decl.arg)
+            parts.append(v.agg(F.count(F.lit(1)).alias("failures")).select(
+                F.lit(decl.name).alias("check"), F.lit(decl.severity).alias("severity"),
+                "failures"))
+        else:
+            by_model.setdefault(decl.model, []).append(decl)
+    for model, group in by_model.items():
+        counted = Q.count_row_violations(frames[model], [(d.name, row_predicate(d))
+                                                         for d in group])
+        severity = F.create_map(*[x for d in group for x in (F.lit(d.name), F.lit(d.severity))])
+        parts.append(counted.select("check", severity[F.col("check")].alias("severity"),
+                                    "failures"))
+    if extra:
+        parts.append(Q.run_checks(spark, extra).drop("status"))
+    return Q.with_status(reduce(DataFrame.unionByName, parts))
+
+
 def sql_failures(decl: Decl, relation: str) -> str:
     """SQL counting the violations of one declaration over ``relation``."""
     if decl.kind == "unique":
