@@ -86,28 +86,28 @@ stg AS (
         md5(CAST(event_id AS VARCHAR)) AS event_pk
     FROM named
 ),
-gapped AS (
+ev_gaps AS (
     SELECT *,
         (epoch_us(event_at) - epoch_us(lag(event_at) OVER (
             PARTITION BY user_pseudo_id ORDER BY event_at))) // 1000000
             AS seconds_since_previous_event
     FROM stg
 ),
-flagged AS (
+ev_starts AS (
     SELECT *, coalesce(seconds_since_previous_event IS NULL
                        OR seconds_since_previous_event > 1800, false) AS is_session_first_event
-    FROM gapped
+    FROM ev_gaps
 ),
-numbered AS (
+ev_numbered AS (
     SELECT *, CAST(sum(CAST(is_session_first_event AS BIGINT)) OVER (
         PARTITION BY user_pseudo_id ORDER BY event_at
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS session_number
-    FROM flagged
+    FROM ev_starts
 ),
 sess AS (
-    SELECT *, {skey('user_pseudo_id', 'session_number')} AS session_id FROM numbered
+    SELECT *, {skey('user_pseudo_id', 'session_number')} AS session_id FROM ev_numbered
 ),
-daily_events AS (
+ud_event_counts AS (
     SELECT user_pseudo_id, event_date,
         count(*) AS num_events,
         count_if(event_name = 'first_open') > 0 AS has_first_open,
@@ -117,7 +117,7 @@ daily_events AS (
         round(sum(engagement_time_msec) / 60000, 2) AS engagement_minutes
     FROM stg GROUP BY user_pseudo_id, event_date
 ),
-daily_sessions AS (
+ud_session_counts AS (
     SELECT user_pseudo_id, event_date, count(DISTINCT session_id) AS num_sessions
     FROM sess GROUP BY user_pseudo_id, event_date
 ),
@@ -126,10 +126,10 @@ user_days AS (
         d.user_pseudo_id, d.event_date, d.num_events, s.num_sessions, d.has_first_open,
         d.has_played_quickplay, d.has_played_progressive, d.has_spent_steps,
         d.engagement_minutes
-    FROM daily_events d JOIN daily_sessions s
+    FROM ud_event_counts d JOIN ud_session_counts s
         ON d.user_pseudo_id = s.user_pseudo_id AND d.event_date = s.event_date
 ),
-per_user AS (
+user_rollup AS (
     SELECT user_pseudo_id,
         min(CASE WHEN event_name = 'first_open' THEN event_at END) AS first_open_at,
         min(first_touch_at) AS first_touch_at,
@@ -148,10 +148,10 @@ per_user AS (
         count_if(event_name = 'app_remove') > 0 AS has_uninstalled
     FROM stg GROUP BY user_pseudo_id
 ),
-ud_count AS (
+user_day_counts AS (
     SELECT user_pseudo_id, count(*) AS num_days_active FROM user_days GROUP BY user_pseudo_id
 ),
-sess_max AS (
+user_session_max AS (
     SELECT user_pseudo_id, max(session_number) AS num_sessions FROM sess GROUP BY user_pseudo_id
 ),
 dim_users AS (
@@ -159,9 +159,9 @@ dim_users AS (
         p.first_touch_at, p.first_seen_date, p.last_seen_date, u.num_days_active,
         s.num_sessions, p.num_events, p.platform, p.first_country, p.acquisition_medium,
         p.acquisition_source, p.initial_extra_steps, p.num_spend_events, p.has_uninstalled
-    FROM per_user p
-    JOIN ud_count u ON p.user_pseudo_id = u.user_pseudo_id
-    JOIN sess_max s ON p.user_pseudo_id = s.user_pseudo_id
+    FROM user_rollup p
+    JOIN user_day_counts u ON p.user_pseudo_id = u.user_pseudo_id
+    JOIN user_session_max s ON p.user_pseudo_id = s.user_pseudo_id
 ),
 daily_active_users AS (
     SELECT activity_date, dau, new_users, dau - new_users AS returning_users, num_sessions,
@@ -183,25 +183,25 @@ daily_active_users AS (
         GROUP BY ud.event_date
     )
 ),
-window_bounds AS (
+last_day AS (
     SELECT max(event_date) AS max_loaded_date FROM user_days
 ),
-cohort_users AS (
+cohort_members AS (
     SELECT user_pseudo_id, CAST(first_open_at AS DATE) AS cohort_date, initial_extra_steps
     FROM dim_users WHERE has_observed_first_open
 ),
-retained AS (
+member_returns AS (
     SELECT c.cohort_date, c.user_pseudo_id,
         count_if(ud.event_date = c.cohort_date + INTERVAL 1 DAY) > 0 AS r1,
         count_if(ud.event_date = c.cohort_date + INTERVAL 7 DAY) > 0 AS r7,
         count_if(ud.event_date = c.cohort_date + INTERVAL 30 DAY) > 0 AS r30
-    FROM cohort_users c JOIN user_days ud ON c.user_pseudo_id = ud.user_pseudo_id
+    FROM cohort_members c JOIN user_days ud ON c.user_pseudo_id = ud.user_pseudo_id
     GROUP BY c.cohort_date, c.user_pseudo_id
 ),
-cohorts AS (
+cohort_counts AS (
     SELECT cohort_date, count(*) AS cohort_size, count_if(r1) AS retained_d1,
         count_if(r7) AS retained_d7, count_if(r30) AS retained_d30
-    FROM retained GROUP BY cohort_date
+    FROM member_returns GROUP BY cohort_date
 ),
 retention_cohorts AS (
     SELECT c.cohort_date, c.cohort_size, c.retained_d1, c.retained_d7, c.retained_d30,
@@ -211,28 +211,28 @@ retention_cohorts AS (
             THEN round(c.retained_d7 / c.cohort_size, 4) END AS retention_d7,
         CASE WHEN c.cohort_date + INTERVAL 30 DAY <= w.max_loaded_date
             THEN round(c.retained_d30 / c.cohort_size, 4) END AS retention_d30
-    FROM cohorts c, window_bounds w
+    FROM cohort_counts c, last_day w
 ),
-user_retention AS (
+bucket_member_returns AS (
     SELECT coalesce(CAST(c.initial_extra_steps AS VARCHAR), 'unassigned') AS grant_bucket,
         c.user_pseudo_id, c.cohort_date,
         max(CASE WHEN ud.event_date = c.cohort_date + INTERVAL 1 DAY THEN 1 ELSE 0 END) AS r1,
         max(CASE WHEN ud.event_date = c.cohort_date + INTERVAL 7 DAY THEN 1 ELSE 0 END) AS r7,
         max(CASE WHEN ud.event_date = c.cohort_date + INTERVAL 30 DAY THEN 1 ELSE 0 END) AS r30
-    FROM cohort_users c JOIN user_days ud ON c.user_pseudo_id = ud.user_pseudo_id
+    FROM cohort_members c JOIN user_days ud ON c.user_pseudo_id = ud.user_pseudo_id
     GROUP BY 1, 2, 3
 ),
-grant_agg AS (
-    SELECT grant_bucket, count(*) AS cohort_users,
+bucket_counts AS (
+    SELECT grant_bucket, count(*) AS cohort_members,
         count_if(cohort_date + INTERVAL 1 DAY <= w.max_loaded_date) AS d1_denominator,
         count_if(cohort_date + INTERVAL 7 DAY <= w.max_loaded_date) AS d7_denominator,
         count_if(cohort_date + INTERVAL 30 DAY <= w.max_loaded_date) AS d30_denominator,
         CAST(sum(r1) AS BIGINT) AS retained_d1, CAST(sum(r7) AS BIGINT) AS retained_d7,
         CAST(sum(r30) AS BIGINT) AS retained_d30
-    FROM user_retention, window_bounds w GROUP BY grant_bucket
+    FROM bucket_member_returns, last_day w GROUP BY grant_bucket
 ),
 retention_by_grant AS (
-    SELECT grant_bucket, cohort_users, d1_denominator, d7_denominator, d30_denominator,
+    SELECT grant_bucket, cohort_members, d1_denominator, d7_denominator, d30_denominator,
         retained_d1, retained_d7, retained_d30,
         CASE WHEN d1_denominator > 0 THEN round(retained_d1 / d1_denominator, 4) END
             AS retention_d1,
@@ -240,7 +240,7 @@ retention_by_grant AS (
             AS retention_d7,
         CASE WHEN d30_denominator > 0 THEN round(retained_d30 / d30_denominator, 4) END
             AS retention_d30
-    FROM grant_agg
+    FROM bucket_counts
 ),
 fct_events AS (
     SELECT event_pk, event_date, event_at, event_name, user_pseudo_id, session_id, platform,
@@ -249,7 +249,7 @@ fct_events AS (
         engagement_time_msec, initial_extra_steps
     FROM sess
 ),
-funnel_daily AS (
+funnel_counts AS (
     SELECT event_date, board,
         count_if(event_name = 'level_start_quickplay') AS starts,
         count_if(event_name = 'level_end_quickplay') AS ends,
@@ -267,7 +267,7 @@ level_funnel_daily AS (
     SELECT {skey('event_date', 'board')} AS funnel_day_pk, event_date, board, starts, ends,
         completes, fails, retries, resets, users_starting,
         CASE WHEN starts > 0 THEN round(completes / starts, 4) END AS completion_rate
-    FROM funnel_daily
+    FROM funnel_counts
 ),
 economy_daily AS (
     SELECT event_date,

@@ -111,7 +111,7 @@ def q_extract_param_modes(spark, sf_dir):
 
 
 @register("session_gaps", with_models("""
-SELECT user_pseudo_id, event_at, seconds_since_previous_event FROM gapped
+SELECT user_pseudo_id, event_at, seconds_since_previous_event FROM ev_gaps
 """))
 def q_session_gaps(spark, sf_dir):
     return models(spark, sf_dir).sessionized.select(
