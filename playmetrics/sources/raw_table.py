@@ -148,13 +148,18 @@ def run_load(spark: SparkSession, source: ShardSource, path: str, state_path: st
              last_shard_date: dt.date, catch_up: int = 0) -> list[dt.date]:
     """Load the next day (plus ``catch_up`` more) and advance the state.
 
-    No state is an error; nothing left to load is a no-op without a state
+    No state is an error; a pending skip (the stalled-load fault) consumes one
+    run and loads nothing; nothing left to load is a no-op without a state
     write. All days go in one job, then the state is written once, so a crash
     before the state write only repeats idempotent partition overwrites.
     """
     state = read_state(spark, state_path)
     if state is None:
         raise RuntimeError("no load state found: reset it with a start date first")
+    if state.skip_runs > 0:
+        write_state(spark, state_path, LoadState(state.simulation_start_date,
+                                                 state.next_shard_date, state.skip_runs - 1))
+        return []
     days = days_to_load(state, catch_up, last_shard_date)
     if not days:
         return []
@@ -163,6 +168,17 @@ def run_load(spark: SparkSession, source: ShardSource, path: str, state_path: st
     return days
 
 
+def skip_runs(spark: SparkSession, state_path: str, runs: int = 1) -> LoadState:
+    """Stalled-load fault: the next ``runs`` loads do nothing (freshness then ages)."""
+    state = read_state(spark, state_path)
+    if state is None:
+        raise RuntimeError("no load state found")
+    stalled = LoadState(state.simulation_start_date, state.next_shard_date,
+                        state.skip_runs + runs)
+    write_state(spark, state_path, stalled)
+    return stalled
+
+
 def reload_day(source: ShardSource, path: str, day: dt.date, first_shard_date: dt.date,
                last_shard_date: dt.date) -> None:
     """Re-copy one day (the repair path); the state is not touched."""

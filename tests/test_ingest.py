@@ -26,6 +26,7 @@ from playmetrics.sources.raw_table import (
     reload_day,
     reset_state,
     run_load,
+    skip_runs,
 )
 
 D = dt.timedelta(days=1)
@@ -124,3 +125,14 @@ def test_incremental_fact_after_repair_equals_full_build(spark, make_raw, tmp_di
     assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
     assert sorted(spark.read.parquet(fct_path).where(F.col("event_date") == DAY0).collect()) \
         == sorted(untouched)
+
+
+def test_skipped_runs_load_nothing_then_resume(spark, make_raw, tmp_dir):
+    src, path, state = _source(make_raw), f"{tmp_dir}/raw", f"{tmp_dir}/state"
+    reset_state(spark, state, DAY0)
+    skip_runs(spark, state, 2)
+    assert run_load(spark, src, path, state, DAY0 + 3 * D) == []
+    assert run_load(spark, src, path, state, DAY0 + 3 * D) == []
+    assert read_state(spark, state).skip_runs == 0 and not os.path.exists(path)
+    assert run_load(spark, src, path, state, DAY0 + 3 * D) == [DAY0]
+    assert read_state(spark, state).loaded_days == 1
