@@ -272,6 +272,18 @@ def q_staging_dedup(spark, sf_dir):
     return r.join(s, "event_date", "inner")
 
 
+@register("monitor_redelivery", with_models(f"""
+SELECT event_date, count(*) * 2 AS raw_rows, count(*) AS staged_rows, CAST(2 AS DOUBLE) AS ratio
+FROM stg WHERE event_date = {LAST_DAY_SQL} GROUP BY event_date
+"""))
+def q_monitor_redelivery(spark, sf_dir):
+    """Raw rows per staged event by day, flagging the re-delivered day (the
+    volume band alone cannot see it: it counts deduplicated events)."""
+    configure(spark)
+    raw = _redelivered_raw(read_fixture_raw(spark, sf_dir))
+    return Q.duplicate_ratio(raw, stage_events(raw))
+
+
 INCREMENT_FIRST_RUN_THROUGH = dt.date(2024, 1, 28)
 
 
