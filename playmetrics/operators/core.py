@@ -57,3 +57,18 @@ def dim_users(sessionized: DataFrame) -> DataFrame:
         F.col("first_open_at").isNotNull().alias("has_observed_first_open"),
         *DIM_USERS.fieldNames()[3:],
     )
+
+
+def user_cohort_attributes(events: DataFrame) -> DataFrame:
+    """The dim_users columns retention reads (first_open_at,
+    has_observed_first_open, latest non-NULL grant), straight from events:
+    the same expressions as :func:`dim_users` without the session columns,
+    so retention needs no sessionization."""
+    per_user = events.groupBy("user_pseudo_id").agg(
+        F.min(F.when(F.col("event_name") == "first_open", F.col("event_at")))
+        .alias("first_open_at"),
+        _first_non_null("initial_extra_steps", latest=True).alias("initial_extra_steps"),
+    )
+    return per_user.select("user_pseudo_id", "first_open_at",
+                           F.col("first_open_at").isNotNull().alias("has_observed_first_open"),
+                           "initial_extra_steps")

@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playmetrics.operators.core import dim_users, fct_events
+from playmetrics.operators.core import dim_users, fct_events, user_cohort_attributes
 from playmetrics.operators.economy import extra_steps_economy_daily
 from playmetrics.operators.engagement import (
     daily_active_users,
@@ -116,13 +116,29 @@ class Models:
             return None
         return self.raw.agg(F.max(F.to_date("event_date", "yyyyMMdd"))).scalar()
 
+    @cached_property
+    def retention_users(self) -> DataFrame:
+        """Users as retention reads them: the materialized dimension when given,
+        else a light per-user aggregate of staging (no sessions needed)."""
+        if self._users is not None:
+            return self._users
+        return user_cohort_attributes(self.staging)
+
+    @cached_property
+    def activity_days(self) -> DataFrame:
+        """(user, event_date) pairs: the spine when given, else distinct pairs of
+        staging (the spine has exactly one row per such pair)."""
+        if self._user_days is not None:
+            return self._user_days
+        return self.staging.select("user_pseudo_id", "event_date").distinct()
+
     @cached_property
     def retention_cohorts(self) -> DataFrame:
-        return retention_cohorts(self.dim_users, self.int_user_days, self.max_loaded_date)
+        return retention_cohorts(self.retention_users, self.activity_days, self.max_loaded_date)
 
     @cached_property
     def retention_by_extra_steps_grant(self) -> DataFrame:
-        return retention_by_grant(self.dim_users, self.int_user_days, self.max_loaded_date)
+        return retention_by_grant(self.retention_users, self.activity_days, self.max_loaded_date)
 
     @cached_property
     def level_funnel_daily(self) -> DataFrame:
