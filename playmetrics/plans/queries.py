@@ -17,7 +17,7 @@ from playmetrics.operators import quality as Q
 from playmetrics.operators.diff import key_diff
 from playmetrics.operators.staging import stage_events
 from playmetrics.plans.sinks import write_incremental
-from playmetrics.plans.suite import declarations, spark_checks, sql_failures
+from playmetrics.plans.suite import declarations, sql_failures
 from playmetrics.schema import FCT_EVENTS
 from playmetrics.sources.faults import null_out_column
 from playmetrics.sources.raw_table import (
