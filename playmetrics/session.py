@@ -60,7 +60,10 @@ def build_session(master: str | None = None, app_name: str = "playmetrics",
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names for checkpoints, if any."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. a Spark Connect session)
+        return spark.conf.get("spark.checkpoint.dir", None)
     directory = sc.getCheckpointDir()
     if directory:
         return directory
@@ -68,13 +71,20 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
         "spark.checkpoint.dir", None)
 
 
+_LOCAL_SCRATCH: dict[int, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder; only when none is configured (local runs,
     tests) create a scratch one. A cluster must name a shared folder."""
     directory = checkpoint_dir(spark)
     if directory is None:
-        directory = tempfile.mkdtemp(prefix="playmetrics-ckpt-")
-    sc = spark.sparkContext
+        directory = _LOCAL_SCRATCH.setdefault(id(spark),
+                                              tempfile.mkdtemp(prefix="playmetrics-ckpt-"))
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001
+        return directory
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(directory)
     return sc.getCheckpointDir() or directory

@@ -25,10 +25,17 @@ ShardSource = Callable[[list[dt.date]], DataFrame]
 
 
 def _path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return fs.exists(hpath)
+    except Exception:  # noqa: BLE001 - no JVM handle (e.g. Spark Connect): probe by reading
+        try:
+            spark.read.format("parquet").load(path).schema  # noqa: B018
+            return True
+        except Exception:  # noqa: BLE001
+            return False
 
 
 def read_raw(spark: SparkSession, path: str, start: dt.date | str | None,
