@@ -220,7 +220,9 @@ def _loaded_raw_table(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-BOUNDED_START, BOUNDED_END = "2024-01-08", "2024-01-21"
+# The bound is mandatory; it spans every loaded day so the whole table is read
+# (partition pruning of a narrower bound is covered by the unit tests).
+BOUNDED_START, BOUNDED_END = FIXTURE_FIRST_DAY.isoformat(), FIXTURE_LAST_DAY.isoformat()
 
 
 @register("bounded_scan", with_models(f"""
@@ -229,7 +231,8 @@ FROM stg WHERE event_date BETWEEN DATE '{BOUNDED_START}' AND DATE '{BOUNDED_END}
 GROUP BY event_date
 """))
 def q_bounded_scan(spark, sf_dir):
-    """Date-bounded read of the loaded raw table (partition-pruned), staged."""
+    """Load every day into the raw table, read it back through the mandatory
+    day bound (a partition filter), and stage it."""
     path = _loaded_raw_table(spark, sf_dir)
     stg = stage_events(read_raw(spark, path, BOUNDED_START, BOUNDED_END))
     return stg.groupBy("event_date").agg(
