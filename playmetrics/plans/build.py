@@ -76,7 +76,9 @@ def build(spark: SparkSession, raw: DataFrame, out_dir: str, window_start: dt.da
         result.tables[name] = path
 
     frames = {
-        "stg_events": m.staging, "int_events_sessionized": m.int_events_sessionized,
+        # staging and sessionized events are the same materialized table here;
+        # one frame lets their shared uniqueness test run once
+        "stg_events": sessionized, "int_events_sessionized": sessionized,
         "int_user_days": spine,
         **{name: spark.read.parquet(path) for name, path in result.tables.items()},
     }

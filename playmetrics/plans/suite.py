@@ -135,10 +135,15 @@ def suite_report(spark: SparkSession, frames: dict, decls: list[Decl],
     """
     parts = []
     by_model: dict[str, list[Decl]] = {}
+    unique_counts: dict[tuple[int, str], DataFrame] = {}
     for decl in decls:
         if decl.kind == "unique":
-            v = Q.unique(frames[decl.model], decl.arg)
-            parts.append(v.agg(F.count(F.lit(1)).alias("failures")).select(
+            # models backed by the same frame share one grouped count per column
+            key = (id(frames[decl.model]), decl.arg)
+            if key not in unique_counts:
+                unique_counts[key] = Q.unique(frames[decl.model], decl.arg).agg(
+                    F.count(F.lit(1)).alias("failures"))
+            parts.append(unique_counts[key].select(
                 F.lit(decl.name).alias("check"), F.lit(decl.severity).alias("severity"),
                 "failures"))
         else:
