@@ -54,22 +54,26 @@ def hot_keys(df: DataFrame, key: str = USER, min_rows: int = 5_000_000,
 
 def _with_bucket(df: DataFrame, bucket_seconds: int, hot_users: DataFrame | None,
                  hot_bucket_seconds: int) -> DataFrame:
-    """Add ``_bucket``: a time bucket id, monotone in event_at within a user."""
+    """Add ``_uk`` (the user wrapped in a struct, so a NULL user is an ordinary,
+    joinable key, as it is a partition of its own in a window) and ``_bucket``
+    (a time bucket id, monotone in event_at within a user)."""
     columns = df.columns
+    uk = F.struct(F.col(USER).alias("u"))
     width_us = F.lit(bucket_seconds * 1_000_000)
+    df = df.withColumn("_uk", uk)
     if hot_users is not None:
-        marks = hot_users.select(USER).distinct().select(USER, F.lit(True).alias("_hot"))
-        df = df.join(F.broadcast(marks), on=USER, how="left")
+        marks = hot_users.select(uk.alias("_uk")).distinct().withColumn("_hot", F.lit(True))
+        df = df.join(F.broadcast(marks), on="_uk", how="left")
         width_us = F.when(F.col("_hot"), F.lit(hot_bucket_seconds * 1_000_000)).otherwise(width_us)
     bucket = F.coalesce(F.floor(F.unix_micros("event_at") / width_us).cast("bigint"),
                         F.lit(_NULL_TIME_BUCKET))
-    return df.select(*columns, bucket.alias("_bucket"))
+    return df.select(*columns, "_uk", bucket.alias("_bucket"))
 
 
 def _local_flags(df: DataFrame, order: list[str], gap_seconds: int) -> DataFrame:
     """Per (user, bucket): first-row marker, gap to the previous row, the
     new-session flag of every non-first row and the running count of flags."""
-    w = Window.partitionBy(USER, "_bucket").orderBy(*order)
+    w = Window.partitionBy("_uk", "_bucket").orderBy(*order)
     first = F.lag(F.lit(1)).over(w).isNull()
     gap = F.when(~first, _gap_seconds(F.lag("event_at").over(w), F.col("event_at")))
     flag = ~first & (gap.isNull() | (gap > gap_seconds))
@@ -93,17 +97,17 @@ def bucket_summary(timeline: DataFrame, gap_seconds: int = 1800,
     tl = _with_bucket(timeline.select(USER, "event_at"), bucket_seconds, hot_users,
                       hot_bucket_seconds)
     flagged = _local_flags(tl, ["event_at"], gap_seconds)
-    summary = flagged.groupBy(USER, "_bucket").agg(
+    summary = flagged.groupBy("_uk", "_bucket").agg(
         F.min("event_at").alias("_b_min"),
         F.max("event_at").alias("_b_max"),
         F.sum(F.col("_local_flag").cast("bigint")).alias("_b_local"),
     )
-    ws = Window.partitionBy(USER).orderBy("_bucket")
+    ws = Window.partitionBy("_uk").orderBy("_bucket")
     gap = _gap_seconds(F.lag("_b_max").over(ws), F.col("_b_min"))
     opens = gap.isNull() | (gap > gap_seconds)
     earlier = F.sum(opens.cast("bigint") + F.col("_b_local")).over(
         ws.rowsBetween(Window.unboundedPreceding, -1))
-    return summary.select(USER, "_bucket", gap.alias("_b_gap"), opens.alias("_b_flag"),
+    return summary.select("_uk", "_bucket", gap.alias("_b_gap"), opens.alias("_b_flag"),
                           F.coalesce(earlier, F.lit(0).cast("bigint")).alias("_b_offset"))
 
 
@@ -122,7 +126,7 @@ def sessionize(stg: DataFrame, gap_seconds: int = 1800, bucket_seconds: int = DA
     ev = _local_flags(ev, ["event_at", "event_pk"], gap_seconds)
     summary = bucket_summary(stg if timeline is None else timeline, gap_seconds,
                              bucket_seconds, hot_users, hot_bucket_seconds)
-    joined = ev.join(summary, on=[USER, "_bucket"], how="inner")
+    joined = ev.join(summary, on=["_uk", "_bucket"], how="inner")
     first = F.col("_first_in_bucket")
     out = joined.select(
         *columns,

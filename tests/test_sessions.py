@@ -56,6 +56,8 @@ def test_two_level_equals_single_window_with_hot_users(spark, make_raw):
     rows.append(raw_event(user="u1", at=None, name="untimed"))
     rows.append(raw_event(user="u1", at=None, name="untimed"))        # same content: one event
     rows.append(raw_event(user="u1", at=None, name="untimed2"))
+    # events without a user form one group of their own, as in a window partition
+    rows += [raw_event(user=None, at=BASE + i * 1000 * S, name=f"anon{i}") for i in range(6)]
     raw = make_raw(rows)
     stg = stage_events(raw)
     cols = ["event_pk", "session_number", "is_session_first_event",
@@ -64,6 +66,7 @@ def test_two_level_equals_single_window_with_hot_users(spark, make_raw):
     for kw in ({}, {"bucket_seconds": 3600}):
         got = sessionize(stg, **kw).select(cols)
         assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+    assert sessionize(stg).where("user_pseudo_id IS NULL").count() == 6
     hot = hot_keys(raw, min_rows=100, max_keys=1)
     assert [r.user_pseudo_id for r in hot.collect()] == ["u0"]
     got = Models(raw, hot_user_min_rows=100, hot_user_limit=1).sessionized.select(cols)
