@@ -30,18 +30,19 @@ def _first_non_null(value: str, latest: bool = False) -> Column:
 def dim_users(sessionized: DataFrame) -> DataFrame:
     """One row per user from a single aggregation over sessionized events.
 
-    ``num_days_active`` is the number of user-day rows (distinct event_date,
-    with a NULL date counted as a day of its own, as grouping does);
-    ``num_sessions`` is the highest session number.
+    ``num_days_active`` is the number of user-day rows (distinct non-NULL
+    event_date); ``num_sessions`` is the highest session number. As in the
+    source definition (inner joins with the user-day spine and the sessions),
+    a user without a key or without any dated event has no row.
     """
     name = F.col("event_name")
-    per_user = sessionized.groupBy("user_pseudo_id").agg(
+    per_user = sessionized.where(F.col("user_pseudo_id").isNotNull()).groupBy(
+        "user_pseudo_id").agg(
         F.min(F.when(name == "first_open", F.col("event_at"))).alias("first_open_at"),
         F.min("first_touch_at").alias("first_touch_at"),
         F.min("event_date").alias("first_seen_date"),
         F.max("event_date").alias("last_seen_date"),
-        (F.count_distinct("event_date")
-         + F.max(F.col("event_date").isNull().cast("bigint"))).alias("num_days_active"),
+        F.count_distinct("event_date").alias("num_days_active"),
         F.max("session_number").alias("num_sessions"),
         F.count(F.lit(1)).alias("num_events"),
         F.min("platform").alias("platform"),
@@ -52,7 +53,7 @@ def dim_users(sessionized: DataFrame) -> DataFrame:
         F.count_if(name == "spend_virtual_currency").alias("num_spend_events"),
         (F.count_if(name == "app_remove") > 0).alias("has_uninstalled"),
     )
-    return per_user.select(
+    return per_user.where(F.col("num_days_active") > 0).select(
         "user_pseudo_id", "first_open_at",
         F.col("first_open_at").isNotNull().alias("has_observed_first_open"),
         *DIM_USERS.fieldNames()[3:],

@@ -26,9 +26,13 @@ def user_days(sessionized: DataFrame) -> DataFrame:
     engagement rows. The single distinct aggregate is planned as two hash
     aggregates keyed (user, day, session) then (user, day), both with
     map-side combine, so a very active user does not land in one task.
+    Rows without a user or a day are left out, as the equi-join of the two
+    per-day aggregates in the source definition leaves them out.
     """
     name = F.col("event_name")
-    daily = sessionized.groupBy("user_pseudo_id", "event_date").agg(
+    keyed = sessionized.where(F.col("user_pseudo_id").isNotNull()
+                              & F.col("event_date").isNotNull())
+    daily = keyed.groupBy("user_pseudo_id", "event_date").agg(
         F.count(F.lit(1)).alias("num_events"),
         F.count_distinct("session_number").alias("num_sessions"),
         (F.count_if(name == "first_open") > 0).alias("has_first_open"),

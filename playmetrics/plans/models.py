@@ -130,7 +130,9 @@ class Models:
         staging (the spine has exactly one row per such pair)."""
         if self._user_days is not None:
             return self._user_days
-        return self.staging.select("user_pseudo_id", "event_date").distinct()
+        pairs = self.staging.select("user_pseudo_id", "event_date")
+        return pairs.where(F.col("user_pseudo_id").isNotNull()
+                           & F.col("event_date").isNotNull()).distinct()
 
     @cached_property
     def retention_cohorts(self) -> DataFrame:

@@ -88,3 +88,20 @@ def test_daily_active_users_new_vs_returning(spark, make_raw):
     out = {r.activity_date: r for r in Models(make_raw(rows)).daily_active_users.collect()}
     d1 = out[(BASE + D).date()]
     assert (d1.dau, d1.new_users, d1.returning_users) == (2, 1, 1)
+
+
+def test_events_without_user_or_day_follow_the_join_semantics(spark, make_raw):
+    rows = [raw_event(user="u1", at=BASE, name="first_open"),
+            raw_event(user="u1", at=BASE + D, name="x"),
+            raw_event(user=None, at=BASE, name="first_open"),
+            raw_event(user=None, at=BASE + D, name="x")]
+    m = Models(make_raw(rows))
+    assert [r.user_pseudo_id for r in m.int_user_days.select("user_pseudo_id").distinct()
+            .collect()] == ["u1"]
+    assert [r.user_pseudo_id for r in m.dim_users.collect()] == ["u1"]
+    (c,) = m.retention_cohorts.collect()
+    assert (c.cohort_size, c.retained_d1) == (1, 1)
+    dau = {r.activity_date: r.dau for r in m.daily_active_users.collect()}
+    assert dau == {BASE.date(): 1, (BASE + D).date(): 1}
+    # the sessions themselves keep the user-less events, one partition of their own
+    assert m.sessionized.where("user_pseudo_id IS NULL").count() == 2
