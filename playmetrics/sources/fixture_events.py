@@ -152,7 +152,7 @@ def _adapter_columns() -> tuple[list[Column], ...]:
         *[F.lit(None).cast("string").alias(n) for n in ("region", "city", "sub_continent", "metro")],
     )
     app_info = F.struct(
-        F.lit("com.example.floodgame").alias("id"),
+        F.lit("com.example.puzzlegame").alias("id"),
         F.concat(F.lit("1."), (uid % 3).cast("string")).alias("version"),
         F.lit("store").alias("install_store"),
         F.lit(None).cast("string").alias("firebase_app_id"),
