@@ -35,6 +35,7 @@ from playmetrics.plans.models import Models
 from playmetrics.plans.oracle import with_models
 from playmetrics.session import configure, scratch_path
 from playmetrics.sources.fixture_events import read_fixture_raw
+from playmetrics.streaming.shard_stream import load_landed_shards
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, QueryFn] = {}
@@ -287,6 +288,25 @@ def q_monitor_redelivery(spark, sf_dir):
     return Q.duplicate_ratio(raw, stage_events(raw))
 
 
+@register("stream_load", """
+SELECT CAST(ts AS DATE) AS shard_date, count(*) AS num_rows,
+    count(DISTINCT user_id) AS num_users
+FROM events GROUP BY 1
+""")
+def q_stream_load(spark, sf_dir):
+    """Day shards landed as files, picked up by the availableNow file stream
+    into the raw table, read back through the day bound."""
+    configure(spark)
+    raw = read_fixture_raw(spark, sf_dir)
+    landing, raw_path = scratch_path(spark, "landing"), scratch_path(spark, "raw-events")
+    raw.repartition("event_date").write.parquet(landing)
+    load_landed_shards(spark, landing, raw_path, scratch_path(spark, "stream-ckpt"))
+    loaded = read_raw(spark, raw_path, FIXTURE_FIRST_DAY, FIXTURE_LAST_DAY)
+    return loaded.groupBy("shard_date").agg(
+        F.count(F.lit(1)).alias("num_rows"),
+        F.count_distinct("user_pseudo_id").alias("num_users"))
+
+
 INCREMENT_FIRST_RUN_THROUGH = dt.date(2024, 1, 28)
 
 
