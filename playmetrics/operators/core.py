@@ -27,13 +27,17 @@ def _first_non_null(value: str, latest: bool = False) -> Column:
     return (F.max(keyed) if latest else F.min(keyed))["v"]
 
 
-def dim_users(sessionized: DataFrame) -> DataFrame:
+def dim_users(sessionized: DataFrame, session_counts: DataFrame | None = None) -> DataFrame:
     """One row per user from a single aggregation over sessionized events.
 
     ``num_days_active`` is the number of user-day rows (distinct non-NULL
     event_date); ``num_sessions`` is the highest session number. As in the
     source definition (inner joins with the user-day spine and the sessions),
     a user without a key or without any dated event has no row.
+
+    ``session_counts`` (user_pseudo_id, num_sessions) may replace the highest
+    session number, e.g. counts derived from the session bucket summary; then
+    ``sessionized`` needs no session columns.
     """
     name = F.col("event_name")
     per_user = sessionized.where(F.col("user_pseudo_id").isNotNull()).groupBy(
@@ -43,7 +47,8 @@ def dim_users(sessionized: DataFrame) -> DataFrame:
         F.min("event_date").alias("first_seen_date"),
         F.max("event_date").alias("last_seen_date"),
         F.count_distinct("event_date").alias("num_days_active"),
-        F.max("session_number").alias("num_sessions"),
+        *([] if session_counts is not None
+          else [F.max("session_number").alias("num_sessions")]),
         F.count(F.lit(1)).alias("num_events"),
         F.min("platform").alias("platform"),
         _first_non_null("country").alias("first_country"),
@@ -53,6 +58,8 @@ def dim_users(sessionized: DataFrame) -> DataFrame:
         F.count_if(name == "spend_virtual_currency").alias("num_spend_events"),
         (F.count_if(name == "app_remove") > 0).alias("has_uninstalled"),
     )
+    if session_counts is not None:
+        per_user = per_user.join(session_counts, "user_pseudo_id", "inner")
     return per_user.where(F.col("num_days_active") > 0).select(
         "user_pseudo_id", "first_open_at",
         F.col("first_open_at").isNotNull().alias("has_observed_first_open"),

@@ -83,6 +83,28 @@ def _local_flags(df: DataFrame, order: list[str], gap_seconds: int) -> DataFrame
                      flag.alias("_local_flag"), running.alias("_local_cum"))
 
 
+def _bucket_stats(timeline: DataFrame, gap_seconds: int, bucket_seconds: int,
+                  hot_users: DataFrame | None, hot_bucket_seconds: int) -> DataFrame:
+    """Per (user, bucket): first and last timestamp and the number of
+    in-bucket session starts (rows after the first whose gap opens one)."""
+    tl = _with_bucket(timeline.select(USER, "event_at"), bucket_seconds, hot_users,
+                      hot_bucket_seconds)
+    flagged = _local_flags(tl, ["event_at"], gap_seconds)
+    return flagged.groupBy("_uk", "_bucket").agg(
+        F.min("event_at").alias("_b_min"),
+        F.max("event_at").alias("_b_max"),
+        F.sum(F.col("_local_flag").cast("bigint")).alias("_b_local"),
+    )
+
+
+def _bucket_opens(gap_seconds: int) -> tuple[Column, Column]:
+    """Gap from the previous bucket's last event, and whether the bucket's
+    first event opens a session, over the user's buckets in time order."""
+    ws = Window.partitionBy("_uk").orderBy("_bucket")
+    gap = _gap_seconds(F.lag("_b_max").over(ws), F.col("_b_min"))
+    return gap, gap.isNull() | (gap > gap_seconds)
+
+
 def bucket_summary(timeline: DataFrame, gap_seconds: int = 1800,
                    bucket_seconds: int = DAY_SECONDS, hot_users: DataFrame | None = None,
                    hot_bucket_seconds: int = 60) -> DataFrame:
@@ -94,21 +116,26 @@ def bucket_summary(timeline: DataFrame, gap_seconds: int = 1800,
     the timeline may contain duplicate deliveries of an event as long as it
     has each user's distinct timestamps and the exact rows without one.
     """
-    tl = _with_bucket(timeline.select(USER, "event_at"), bucket_seconds, hot_users,
-                      hot_bucket_seconds)
-    flagged = _local_flags(tl, ["event_at"], gap_seconds)
-    summary = flagged.groupBy("_uk", "_bucket").agg(
-        F.min("event_at").alias("_b_min"),
-        F.max("event_at").alias("_b_max"),
-        F.sum(F.col("_local_flag").cast("bigint")).alias("_b_local"),
-    )
+    stats = _bucket_stats(timeline, gap_seconds, bucket_seconds, hot_users, hot_bucket_seconds)
+    gap, opens = _bucket_opens(gap_seconds)
     ws = Window.partitionBy("_uk").orderBy("_bucket")
-    gap = _gap_seconds(F.lag("_b_max").over(ws), F.col("_b_min"))
-    opens = gap.isNull() | (gap > gap_seconds)
     earlier = F.sum(opens.cast("bigint") + F.col("_b_local")).over(
         ws.rowsBetween(Window.unboundedPreceding, -1))
-    return summary.select("_uk", "_bucket", gap.alias("_b_gap"), opens.alias("_b_flag"),
-                          F.coalesce(earlier, F.lit(0).cast("bigint")).alias("_b_offset"))
+    return stats.select("_uk", "_bucket", gap.alias("_b_gap"), opens.alias("_b_flag"),
+                        F.coalesce(earlier, F.lit(0).cast("bigint")).alias("_b_offset"))
+
+
+def user_session_counts(timeline: DataFrame, gap_seconds: int = 1800,
+                        bucket_seconds: int = DAY_SECONDS, hot_users: DataFrame | None = None,
+                        hot_bucket_seconds: int = 60) -> DataFrame:
+    """(user_pseudo_id, num_sessions): each user's number of sessions, i.e. the
+    highest session number, from the bucket summary alone (no event-level
+    session numbering needed)."""
+    stats = _bucket_stats(timeline, gap_seconds, bucket_seconds, hot_users, hot_bucket_seconds)
+    _, opens = _bucket_opens(gap_seconds)
+    per_bucket = stats.select("_uk", (opens.cast("bigint") + F.col("_b_local")).alias("_n"))
+    return per_bucket.groupBy("_uk").agg(F.sum("_n").alias("num_sessions")).select(
+        F.col("_uk.u").alias(USER), "num_sessions")
 
 
 def sessionize(stg: DataFrame, gap_seconds: int = 1800, bucket_seconds: int = DAY_SECONDS,

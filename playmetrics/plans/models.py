@@ -20,7 +20,12 @@ from playmetrics.operators.engagement import (
     retention_cohorts,
 )
 from playmetrics.operators.funnels import level_funnel_daily
-from playmetrics.operators.sessions import hot_keys, sessionize, sessionized_events
+from playmetrics.operators.sessions import (
+    hot_keys,
+    sessionize,
+    sessionized_events,
+    user_session_counts,
+)
 from playmetrics.operators.staging import stage_events
 from playmetrics.operators.user_days import user_days
 
@@ -101,6 +106,11 @@ class Models:
     def dim_users(self) -> DataFrame:
         if self._users is not None:
             return self._users
+        if self._sessionized is None and self.timeline is not None:
+            # only each user's session count is needed: take it from the small
+            # bucket summary instead of numbering every event
+            counts = user_session_counts(self.timeline, hot_users=self.hot_users)
+            return dim_users(self.staging, session_counts=counts)
         return dim_users(self.sessionized)
 
     @cached_property

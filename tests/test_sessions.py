@@ -82,3 +82,21 @@ def test_user_day_minutes_null_without_engagement(spark, make_raw):
     assert ud["u1"].engagement_minutes == 1.5
     assert ud["u2"].engagement_minutes is None
     assert ud["u1"].num_events == 2 and ud["u1"].num_sessions == 1
+
+
+def test_session_counts_from_summary_match_numbering(spark, make_raw):
+    rng = random.Random(11)
+    rows = []
+    for u in range(5):
+        t = BASE
+        for i in range(60 if u else 300):
+            t = t + rng.choice([0, 30, 1800, 1801, 7200, 90000]) * S
+            rows.append(raw_event(user=f"u{u}", at=t, name=f"n{i % 4}"))
+    rows.append(raw_event(user="u2", at=None, name="untimed"))
+    raw = make_raw(rows)
+    lazy = Models(raw, hot_user_min_rows=200, hot_user_limit=1)
+    via_counts = lazy.dim_users                     # session counts from the summary
+    via_numbers = Models(None, sessionized=lazy.sessionized).dim_users
+    assert via_counts.exceptAll(via_numbers).count() == 0
+    assert via_numbers.exceptAll(via_counts).count() == 0
+    assert via_counts.count() == 5
