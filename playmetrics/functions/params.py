@@ -11,7 +11,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Value-slot expression per extraction mode. A GA-style param carries its
+# Value-slot expression per extraction mode. An exported param carries its
 # value in exactly one typed slot; "numeric" accepts any numeric slot.
 MODES = ("string", "int", "float", "numeric")
 
