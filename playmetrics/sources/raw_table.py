@@ -110,10 +110,11 @@ class LoadState:
 
 
 def read_state(spark: SparkSession, state_path: str) -> LoadState | None:
-    """The single state row; None when the table is missing or empty."""
+    """The newest state row; None when the table is missing or empty."""
     if not _path_exists(spark, state_path):
         return None
-    rows = spark.read.schema(STATE_SCHEMA).parquet(state_path).take(1)
+    state = spark.read.schema(STATE_SCHEMA).parquet(state_path)
+    rows = state.orderBy(F.col("updated_at").desc()).take(1)
     if not rows:
         return None
     row = rows[0]
@@ -122,9 +123,12 @@ def read_state(spark: SparkSession, state_path: str) -> LoadState | None:
 
 
 def write_state(spark: SparkSession, state_path: str, state: LoadState) -> None:
+    """Record a new state version. Versions are appended (one small file per
+    run, committed atomically by the job) and the newest wins, so a crash
+    while writing can never leave the loader without a state."""
     row = (state.simulation_start_date, state.next_shard_date,
            dt.datetime.now(dt.timezone.utc), state.skip_runs)
-    spark.createDataFrame([row], STATE_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
+    spark.createDataFrame([row], STATE_SCHEMA).coalesce(1).write.mode("append").parquet(
         state_path)
 
 
