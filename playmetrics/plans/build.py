@@ -21,6 +21,13 @@ from playmetrics.plans.sinks import write_contracted, write_incremental
 from playmetrics.plans.suite import declarations, suite_report
 from playmetrics.schema import MART_CONTRACTS
 from playmetrics.session import configure, scratch_path
+from playmetrics.sources.raw_table import (
+    ShardSource,
+    last_loaded_day,
+    read_raw,
+    read_state,
+    run_load,
+)
 
 
 @dataclass
@@ -102,3 +109,18 @@ def build(spark: SparkSession, raw: DataFrame, out_dir: str, window_start: dt.da
         # warnings only report
         Q.raise_on_errors(result.report.collect())
     return result
+
+
+def scheduled_run(spark: SparkSession, source: ShardSource, raw_path: str, state_path: str, out_dir: str,
+                  last_shard_date: dt.date, catch_up: int = 0,
+                  rebuild_start_date: dt.date | None = None, **build_kwargs) -> BuildResult | None:
+    """One scheduled cycle: load the next day(s), then rebuild the models over
+    every loaded day (the fact table incrementally). Returns None when there
+    was nothing new to load and no rebuild was asked for."""
+    loaded = run_load(spark, source, raw_path, state_path, last_shard_date, catch_up)
+    if not loaded and rebuild_start_date is None:
+        return None
+    state = read_state(spark, state_path)
+    raw = read_raw(spark, raw_path, state.simulation_start_date, last_loaded_day(state))
+    return build(spark, raw, out_dir, state.simulation_start_date, last_loaded_day(state),
+                 rebuild_start_date=rebuild_start_date, **build_kwargs)

@@ -80,3 +80,19 @@ def test_monitors_fire_on_their_faults(spark, make_raw):
     statuses = [Q.freshness(newest, BASE + dt.timedelta(hours=h)).collect()[0].status
                 for h in (1, 30, 60)]
     assert statuses == ["pass", "warn", "error"]
+
+
+def test_scheduled_runs_grow_the_marts_day_by_day(spark, tmp_dir):
+    from playmetrics.plans.build import scheduled_run
+    source = frame_source(read_fixture_raw(spark, SMALL))
+    raw_path, state, marts = f"{tmp_dir}/raw", f"{tmp_dir}/state", f"{tmp_dir}/marts"
+    reset_state(spark, state, FIRST)
+    first = scheduled_run(spark, source, raw_path, state, marts, LAST, catch_up=27,
+                          volume_band=(1, 10_000))
+    days_1 = first.read(spark, "daily_active_users").count()
+    second = scheduled_run(spark, source, raw_path, state, marts, LAST, catch_up=5,
+                           volume_band=(1, 10_000))
+    assert (days_1, second.read(spark, "daily_active_users").count()) == (28, 30)
+    fct = second.read(spark, "fct_events")
+    assert fct.select("event_date").distinct().count() == 30
+    assert scheduled_run(spark, source, raw_path, state, marts, LAST) is None
