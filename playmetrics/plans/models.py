@@ -119,12 +119,13 @@ class Models:
 
     @cached_property
     def max_loaded_date(self):
-        """Newest event_date. Every raw row's day survives into the user-day
-        spine, so with raw at hand the scalar reads one raw column instead of
-        re-deriving the spine."""
+        """Newest event_date of the user-day spine. Every raw row with a user
+        has its day in the spine, so with raw at hand the scalar reads two raw
+        columns instead of re-deriving the spine."""
         if self.raw is None or self._user_days is not None:
             return None
-        return self.raw.agg(F.max(F.to_date("event_date", "yyyyMMdd"))).scalar()
+        with_user = self.raw.where(F.col("user_pseudo_id").isNotNull())
+        return with_user.agg(F.max(F.to_date("event_date", "yyyyMMdd"))).scalar()
 
     @cached_property
     def retention_users(self) -> DataFrame:
