@@ -40,7 +40,7 @@ def _gap_seconds(prev: Column, cur: Column) -> Column:
     return F.timestamp_diff("SECOND", prev, cur)
 
 
-def hot_keys(df: DataFrame, key: str = USER, min_rows: int = 5_000_000,
+def hot_keys(df: DataFrame, key: str = USER, min_rows: int = 1_000_000,
              max_keys: int = 10_000) -> DataFrame:
     """At most ``max_keys`` keys with ``min_rows`` or more rows, heaviest first.
 
