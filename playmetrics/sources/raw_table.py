@@ -66,6 +66,7 @@ def frame_source(raw: DataFrame) -> ShardSource:
     def pick(days: list[dt.date]) -> DataFrame:
         wanted = [d.strftime("%Y%m%d") for d in days]
         return raw.where(F.col("event_date").isin(wanted))
+    pick.mixed_days = True   # a task may hold rows of many days
     return pick
 
 
@@ -90,8 +91,12 @@ def load_days(source: ShardSource, path: str, days: Iterable[dt.date],
         return []
     rows = source(days).withColumn(RAW_PARTITION_COLUMN, F.to_date("event_date", "yyyyMMdd"))
     rows = rows.select(*RAW_TABLE_SCHEMA.fieldNames())
-    # No shuffle before the write: a per-day shard source yields tasks that
-    # each hold one day, so each task writes into a single partition.
+    # A per-day shard source yields tasks that each hold one day, so each task
+    # writes into a single partition and no shuffle is needed. A source that
+    # mixes days in its tasks is rebalanced by day first (AQE splits big days),
+    # so each day gets a few right-sized files instead of one per task.
+    if getattr(source, "mixed_days", False):
+        rows = rows.hint("rebalance", RAW_PARTITION_COLUMN)
     writer = rows.write.partitionBy(RAW_PARTITION_COLUMN).option(
         "partitionOverwriteMode", "dynamic")
     writer.mode("append" if append else "overwrite").parquet(path)
