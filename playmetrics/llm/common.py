@@ -11,6 +11,8 @@ from playmetrics.session import ensure_checkpoint_dir
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
+BATCH_BYTES = 8 << 20
+
 REPO_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -26,6 +28,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if REPO_ROOT not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([REPO_ROOT, *filter(None, paths)])
+    # bounds what a Python worker holds at once, however long the texts are
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 
@@ -59,3 +63,10 @@ def unused_name(df: DataFrame, base: str) -> str:
     while base.lower() in taken:
         base += "_"
     return base
+
+
+def tokenizer_path(name: str) -> str:
+    """Where the installed public tokenizer files keep ``name`` (same place on every worker)."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

@@ -6,8 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playmetrics.llm import content_sort
-from playmetrics.llm.common import read
+from playmetrics.llm import content_sort, packing
+from playmetrics.llm.common import read, tokenizer_path
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
 def op7_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,7 +32,10 @@ FROM n
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op7_content_sort": op7_content_sort}
+    return {
+        "op3_best_fit_packing": op3_best_fit_packing,
+        "op7_content_sort": op7_content_sort,
+    }
 
 
 def llm_oracles() -> dict[str, str]:
