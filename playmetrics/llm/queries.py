@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playmetrics.llm import content_sort, packing
+from playmetrics.llm import content_sort, odd_sketch, packing
 from playmetrics.llm.common import read, tokenizer_path
 
 
@@ -18,6 +18,10 @@ def op7_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.mark_copies(read(spark, sf_dir, "documents"))
 
 
+def op9_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return odd_sketch.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 OP7_SQL = """
 WITH n AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -35,6 +39,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_best_fit_packing": op3_best_fit_packing,
         "op7_content_sort": op7_content_sort,
+        "op9_odd_sketch": op9_odd_sketch,
     }
 
 
