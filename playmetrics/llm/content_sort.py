@@ -1,9 +1,10 @@
 """Exact deduplication by content sort (native: DataFrame functions only).
 
 Normalised texts are range-partitioned by sampled splitters (Spark's range
-partitioner), sorted within each partition by Spark's external sort so that
-equal texts become neighbours, and each run of equal neighbours keeps one row.
-The comparison is of full texts, never of a hash alone.
+partitioner on the text's first characters and its hash), sorted by full text
+within each partition by Spark's external sort so that equal texts become
+neighbours, and each run of equal neighbours keeps one row. The comparison is
+of full texts, never of a hash alone.
 
 Skew: a text that a sample finds in more than ``1 / hot_share`` of the rows is
 dealt out by (text, salt), so its run is spread over several partitions. Each
@@ -27,6 +28,7 @@ from playmetrics.llm.common import ascii_lower, prepare, shuffle_partitions, unu
 
 HOT_SHARE = 1000
 HOT_SAMPLE_ROWS = 200_000
+LEAD_CHARS = 48
 
 
 def hot_texts(docs: DataFrame, text: str, hot_share: int, sample_rows: int) -> dict[int, int]:
@@ -56,16 +58,20 @@ def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          ascii_lower(F.col(text_col)).alias("norm"))
     if hot:
         pairs = F.create_map(*[F.lit(x) for kv in hot.items() for x in kv])
-        salts = F.coalesce(F.element_at(pairs, F.xxhash64("norm")), F.lit(1))
+        salts = F.coalesce(F.element_at(pairs, F.col("hash")), F.lit(1))
     else:
         salts = F.lit(1)
     # the identifier decides the salt, so rows that repeat one stay together
-    dealt = (hashed.withColumn("salts", salts.cast("int"))
+    dealt = (hashed.withColumns({"lead": F.left("norm", F.lit(LEAD_CHARS)),
+                                 "hash": F.xxhash64("norm")})
+             .withColumn("salts", salts.cast("int"))
              .withColumn("salt", F.expr("cast(pmod(xxhash64(id), salts) as int)")))
     order = F.desc_nulls_last("id") if keep == "largest" else F.asc_nulls_last("id")
-    run = Window.partitionBy("norm", "salt").orderBy(order)
+    # lead and hash follow from the text, so they may stand before it in the sort; they keep
+    # the splitters that Spark samples and sends to the driver short
+    run = Window.partitionBy("lead", "hash", "norm", "salt").orderBy(order)
     whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    runs = (dealt.repartitionByRange(shuffle_partitions(spark), "norm", "salt")
+    runs = (dealt.repartitionByRange(shuffle_partitions(spark), "lead", "hash", "salt")
             .withColumns({"rank": F.row_number().over(run),
                           "run_keep": F.first("id").over(whole),
                           "run_size": F.count(F.lit(1)).over(whole)})
