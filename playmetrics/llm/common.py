@@ -70,3 +70,9 @@ def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+def label_sample(labels: DataFrame, most: int, seed: int, id_col: str = "doc_id") -> DataFrame:
+    """At most ``most`` label rows with an identifier: those whose seeded hash is least."""
+    return (labels.where(F.col(id_col).isNotNull())
+            .orderBy(F.xxhash64(F.lit(seed), F.col(id_col)), id_col).limit(most))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playmetrics.llm import content_sort, odd_sketch, packing
+from playmetrics.llm import content_sort, odd_sketch, ordinal_quality, packing
 from playmetrics.llm.common import read, tokenizer_path
 
 
@@ -14,6 +14,11 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op4_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return ordinal_quality.grade(docs, read(spark, sf_dir, "labels"))
+
+
 def op7_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.mark_copies(read(spark, sf_dir, "documents"))
 
@@ -38,6 +43,7 @@ FROM n
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_best_fit_packing": op3_best_fit_packing,
+        "op4_ordinal_quality": op4_ordinal_quality,
         "op7_content_sort": op7_content_sort,
         "op9_odd_sketch": op9_odd_sketch,
     }

@@ -31,6 +31,7 @@ def _byte_values() -> np.ndarray:
 
 
 _VALUES = _byte_values()
+_SHAPE_VALUES = np.random.default_rng(5).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2)
 _POWERS = np.ones(1, dtype=np.uint64)
 _INVERSES = np.ones(1, dtype=np.uint64)
 
@@ -86,6 +87,37 @@ def _split(data: np.ndarray, offsets: np.ndarray) -> Words:
     return Words(hashes, np.searchsorted(starts, offsets), starts, ends, data)
 
 
+def _shape_classes() -> np.ndarray:
+    classes = np.arange(256, dtype=np.uint8)
+    classes[ord("A"):ord("Z") + 1] = ord("A")
+    classes[ord("a"):ord("z") + 1] = ord("a")
+    classes[0x80:] = ord("a")
+    classes[ord("0"):ord("9") + 1] = ord("9")
+    return classes
+
+
+_CLASSES = _shape_classes()
+
+
+def shape_hashes(words: Words) -> np.ndarray:
+    """Hash of each word's shape: letters read A or a, digits 9, and runs of one class shrink to one."""
+    n = len(words.data)
+    if not len(words.starts):
+        return np.zeros(0, dtype=np.uint64)
+    classes = _CLASSES[words.data]
+    keep = np.ones(n, dtype=bool)
+    keep[1:] = classes[1:] != classes[:-1]
+    keep[words.starts] = True
+    before = np.concatenate([[0], np.cumsum(keep)])
+    kept = classes[keep]
+    powers, inverses = _powers(len(kept) + 1)
+    sums = np.zeros(len(kept) + 1, dtype=np.uint64)
+    # classes keep their letters' case apart, so read the values before A-Z were folded
+    np.cumsum(_SHAPE_VALUES[kept] * powers[:len(kept)], out=sums[1:])
+    starts, ends = before[words.starts], before[words.ends]
+    return mix((sums[ends] - sums[starts]) * inverses[starts])
+
+
 def slices(column: pa.Array, most_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, Words]]:
     """(first row, words) for runs of rows of at most ``most_bytes``, or one longer row."""
     column = pc.fill_null(column, "")
