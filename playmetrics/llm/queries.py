@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playmetrics.llm import content_sort, odd_sketch, ordinal_quality, packing
+from playmetrics.llm import content_sort, odd_sketch, ordinal_quality, packing, piece_bpe
 from playmetrics.llm.common import read, tokenizer_path
 
 
+def op2_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.encode_and_decode(read(spark, sf_dir, "documents"),
+                                       tokenizer_path("piece_bpe_32k.model"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -42,6 +47,7 @@ FROM n
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_piece_bpe": op2_piece_bpe,
         "op3_best_fit_packing": op3_best_fit_packing,
         "op4_ordinal_quality": op4_ordinal_quality,
         "op7_content_sort": op7_content_sort,
