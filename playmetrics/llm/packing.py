@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,8 +34,8 @@ from playmetrics.llm.common import prepare, shuffle_partitions
 
 CAPACITY = 4096
 END_ID = 1
-MAX_BUCKETS = 256
-ROWS_AT_ONCE = 256
+MAX_BUCKETS = 128
+SLICE_BYTES = 4 << 20
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -50,31 +51,38 @@ def cut(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int =
     prepare(docs.sparkSession)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from playmetrics.llm.word_bpe import encoder
+        from playmetrics.llm.word_bpe import segment_ids
+        from playmetrics.llm.wordstream import slices
 
-        enc = encoder(tokenizer)
-        end = int(end_id).to_bytes(4, "little")
+        table = segment_ids(tokenizer)
+        end = np.array([end_id], "<u4")
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-                rows = batch.slice(at, ROWS_AT_ONCE)
-                out: list[tuple] = []
-                ids_of: list[np.ndarray] = []
-                for doc, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(),
-                                     strict=True):
-                    ids = memoryview(enc.encode(text or "") + end)
-                    total = len(ids) // 4
-                    for k, start in enumerate(range(0, total, capacity)):
-                        part = ids[4 * start:4 * (start + capacity)]
-                        out.append((doc, k, start, len(part) // 4, zlib.crc32(part)))
-                        if with_ids:
-                            ids_of.append(np.frombuffer(part, "<u4").astype(np.int32))
-                doc, k, start, length, crc = zip(*out, strict=True)
-                columns = [pa.array(doc, pa.int64()), pa.array(k, pa.int32()),
-                           pa.array(start, pa.int64()), pa.array(length, pa.int64()),
+            # the vocabulary lower-cases all but its special tokens, which start with "<|"
+            fold = not pc.any(pc.match_substring(batch.column(1), "<|")).as_py()
+            for first, words in slices(batch.column(1), SLICE_BYTES, fold):
+                flat, counts = table.ids(words.hashes, words.starts, words.ends, words.data)
+                offsets = np.concatenate([[0], np.cumsum(counts)])[words.offsets]
+                # the end id stands after each row's ids
+                flat = np.insert(flat, offsets[1:], end).astype("<u4", copy=False)
+                offsets += np.arange(len(offsets))
+                lengths = np.diff(offsets)
+                per_row = -(-lengths // capacity)
+                row = np.repeat(np.arange(len(lengths)), per_row)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(per_row) - per_row, per_row)
+                start = piece * capacity
+                length = np.minimum(lengths[row] - start, capacity)
+                at = offsets[row] + start
+                raw = memoryview(flat).cast("B")
+                crc = [zlib.crc32(raw[4 * a:4 * b])
+                       for a, b in zip(at.tolist(), (at + length).tolist(), strict=True)]
+                columns = [batch.column(0).slice(first, len(lengths)).take(pa.array(row)),
+                           pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length),
                            pa.array(crc, pa.int64())]
                 names = ["doc_id", "piece", "start", "length", "ids_crc32"]
                 if with_ids:
-                    columns.append(pa.array(ids_of, pa.list_(pa.int32())))
+                    bounds = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
+                    columns.append(pa.ListArray.from_arrays(
+                        pa.array(bounds), pa.array(flat.astype(np.int32))))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 

@@ -2,45 +2,34 @@
 
 The vocabulary's pre-tokenizer drops white space and never joins characters
 across it, and its normaliser composes no character with a space, so the ids
-of a text are the ids of its space- and newline-separated segments in order.
-A worker keeps the ids of the segments it has met (up to ``CACHED``) and asks
-the library only for new ones.
+of a text are the ids of its white-space separated segments in order.
 """
 
 from __future__ import annotations
 
 import os
-from struct import pack
+
+import numpy as np
+
+from playmetrics.llm.segments import SegmentIds
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-CACHED = 700_000
-_STATE: dict[str, SegmentEncoder] = {}
+_STATE: dict[str, SegmentIds] = {}
 
 
-class SegmentEncoder:
-    def __init__(self, path: str):
+def segment_ids(path: str) -> SegmentIds:
+    """The worker's segment table of the vocabulary at ``path``."""
+    if path not in _STATE:
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.ids: dict[str, bytes] = {}
-
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        segments = text.replace("\n", " ").split(" ")
-        ids = self.ids
-        new = [s for s in dict.fromkeys(segments) if s not in ids]
-        if new:
-            if len(ids) > CACHED:
-                ids.clear()
-                new = list(dict.fromkeys(segments))
-            for segment, found in zip(new, self.tokenizer.encode_batch_fast(
-                    new, add_special_tokens=False), strict=True):
-                ids[segment] = pack(f"<{len(found)}I", *found.ids)
-        return b"".join([ids[s] for s in segments])
-
-
-def encoder(path: str) -> SegmentEncoder:
-    if path not in _STATE:
-        _STATE[path] = SegmentEncoder(path)
+        tokenizer = Tokenizer.from_file(path)
+
+        def encode(segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+            found = [x.ids for x in tokenizer.encode_batch_fast(
+                [s.decode("utf-8", "replace") for s in segments], add_special_tokens=False)]
+            counts = np.fromiter(map(len, found), np.int64, len(found))
+            return np.fromiter((i for ids in found for i in ids), np.uint32, counts.sum()), counts
+
+        _STATE[path] = SegmentIds(encode)
     return _STATE[path]

@@ -23,15 +23,10 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _MULTIPLIER = 0x9E3779B97F4A7C15
 
 
-def _byte_values() -> np.ndarray:
-    values = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2)
-    values |= np.uint64(1)
-    values[ord("A"):ord("Z") + 1] = values[ord("a"):ord("z") + 1]
-    return values
-
-
-_VALUES = _byte_values()
-_SHAPE_VALUES = np.random.default_rng(5).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2)
+EXACT = np.random.default_rng(20240229).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2)
+EXACT |= np.uint64(1)
+FOLDED = EXACT.copy()  # A-Z read as a-z
+FOLDED[ord("A"):ord("Z") + 1] = EXACT[ord("a"):ord("z") + 1]
 _POWERS = np.ones(1, dtype=np.uint64)
 _INVERSES = np.ones(1, dtype=np.uint64)
 
@@ -68,7 +63,16 @@ class Words:
     data: np.ndarray
 
 
-def _split(data: np.ndarray, offsets: np.ndarray) -> Words:
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+                values: np.ndarray) -> np.ndarray:
+    """Hash of each span of bytes; ``values`` holds one odd 64-bit value per byte."""
+    powers, inverses = _powers(len(data) + 1)
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(values[data] * powers[:len(data)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * inverses[starts])
+
+
+def _split(data: np.ndarray, offsets: np.ndarray, values: np.ndarray) -> Words:
     inside = ~_SPACE[data]
     n = len(data)
     cuts = offsets[:-1][offsets[:-1] < n]
@@ -80,10 +84,7 @@ def _split(data: np.ndarray, offsets: np.ndarray) -> Words:
     inner = cuts[cuts > 0] - 1
     last[inner] = inside[inner]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    powers, inverses = _powers(n + 1)
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_VALUES[data] * powers[:n], out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * inverses[starts])
+    hashes = span_hashes(data, starts, ends, values)
     return Words(hashes, np.searchsorted(starts, offsets), starts, ends, data)
 
 
@@ -101,25 +102,20 @@ _CLASSES = _shape_classes()
 
 def shape_hashes(words: Words) -> np.ndarray:
     """Hash of each word's shape: letters read A or a, digits 9, and runs of one class shrink to one."""
-    n = len(words.data)
     if not len(words.starts):
         return np.zeros(0, dtype=np.uint64)
     classes = _CLASSES[words.data]
-    keep = np.ones(n, dtype=bool)
+    keep = np.ones(len(classes), dtype=bool)
     keep[1:] = classes[1:] != classes[:-1]
     keep[words.starts] = True
     before = np.concatenate([[0], np.cumsum(keep)])
     kept = classes[keep]
-    powers, inverses = _powers(len(kept) + 1)
-    sums = np.zeros(len(kept) + 1, dtype=np.uint64)
-    # classes keep their letters' case apart, so read the values before A-Z were folded
-    np.cumsum(_SHAPE_VALUES[kept] * powers[:len(kept)], out=sums[1:])
-    starts, ends = before[words.starts], before[words.ends]
-    return mix((sums[ends] - sums[starts]) * inverses[starts])
+    return span_hashes(kept, before[words.starts], before[words.ends], EXACT)
 
 
-def slices(column: pa.Array, most_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, Words]]:
-    """(first row, words) for runs of rows of at most ``most_bytes``, or one longer row."""
+def byte_slices(column: pa.Array,
+                most_bytes: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, bytes, row offsets) for runs of rows of at most ``most_bytes``, or one longer row."""
     column = pc.fill_null(column, "")
     if pa.types.is_large_string(column.type):
         width, kind = 8, np.int64
@@ -136,10 +132,17 @@ def slices(column: pa.Array, most_bytes: int = SLICE_BYTES) -> Iterator[tuple[in
     while row < len(column):
         past = int(np.searchsorted(offsets, offsets[row] + most_bytes, side="right")) - 1
         past = min(max(past, row + 1), len(column))
-        yield row, _split(data[offsets[row]:offsets[past]], offsets[row:past + 1] - offsets[row])
+        yield row, data[offsets[row]:offsets[past]], offsets[row:past + 1] - offsets[row]
         row = past
 
 
+def slices(column: pa.Array, most_bytes: int = SLICE_BYTES,
+           fold: bool = True) -> Iterator[tuple[int, Words]]:
+    """(first row, words) for runs of rows; ``fold`` lower-cases A-Z in the hashes."""
+    for row, data, offsets in byte_slices(column, most_bytes):
+        yield row, _split(data, offsets, FOLDED if fold else EXACT)
+
+
 def shingle_hashes(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct hashes of each row's ``width``-word shingles, and their offsets.
 

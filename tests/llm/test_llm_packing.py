@@ -48,6 +48,13 @@ def test_pieces_and_gapless_sequences(spark, capacity):
     check_sequences(rows, capacity)
 
 
+def test_special_tokens_and_case(spark):
+    texts = ["a<|endoftext|>b <|ENDOFTEXT|> Word WORD", "Word <|startoftext|>", "thin Thin's THIN"]
+    docs = documents(spark, texts)
+    rows = packing.cut(docs, WORD).collect()
+    assert Counter(tuple(r) for r in rows) == brute_pieces(list(enumerate(texts, 1)), 4096)
+
+
 def test_few_sequences_and_their_ids(spark):
     rng = np.random.default_rng(5)
     texts = [" ".join(["word"] * int(n)) for n in rng.integers(1, 90, 400)]
