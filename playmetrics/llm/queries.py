@@ -6,7 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playmetrics.llm import content_sort, odd_sketch, ordinal_quality, packing, piece_bpe
+from playmetrics.llm import (
+    content_sort,
+    odd_sketch,
+    ordinal_quality,
+    packing,
+    piece_bpe,
+    weak_pii,
+)
 from playmetrics.llm.common import read, tokenizer_path
 
 
@@ -24,6 +31,10 @@ def op4_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal_quality.grade(docs, read(spark, sf_dir, "labels"))
 
 
+def op5_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_pii.find(read(spark, sf_dir, "documents"))
+
+
 def op7_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.mark_copies(read(spark, sf_dir, "documents"))
 
@@ -50,6 +61,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_piece_bpe": op2_piece_bpe,
         "op3_best_fit_packing": op3_best_fit_packing,
         "op4_ordinal_quality": op4_ordinal_quality,
+        "op5_weak_pii": op5_weak_pii,
         "op7_content_sort": op7_content_sort,
         "op9_odd_sketch": op9_odd_sketch,
     }
