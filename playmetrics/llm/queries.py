@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from playmetrics.llm import (
     content_sort,
+    hnsw,
     odd_sketch,
     ordinal_quality,
     packing,
@@ -17,6 +18,11 @@ from playmetrics.llm import (
 from playmetrics.llm.common import read, tokenizer_path
 
 
+def op1_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return hnsw.nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op2_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.encode_and_decode(read(spark, sf_dir, "documents"),
                                        tokenizer_path("piece_bpe_32k.model"))
@@ -58,6 +64,7 @@ FROM n
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_hnsw": op1_hnsw,
         "op2_piece_bpe": op2_piece_bpe,
         "op3_best_fit_packing": op3_best_fit_packing,
         "op4_ordinal_quality": op4_ordinal_quality,
