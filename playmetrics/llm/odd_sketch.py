@@ -10,9 +10,12 @@ which tells high similarities apart sharply.
    only one member per class goes on, so copies are never paired.
 2. In each bucket every class meets one pivot, the class with most copies. That
    is at most one pair per membership, however large the bucket.
-3. A pair goes on if the sizes allow the similarity and the odd sketch does not
-   rule it out (chance of ruling out a true link: about 1e-6), and becomes a
-   link if the full sets confirm it.
+3. A pair goes on if the sizes allow the similarity, the odd sketch does not
+   rule it out (chance of ruling out a true link: about 1e-6) and a parity bitmap
+   of the whole sets does not either, and becomes a link if the full sets
+   confirm it. The bitmap never rules out a true link: the XOR has at most as
+   many ones as elements differ. On sets of up to about ``SET_BITS`` shingles it
+   tells 0.75 from 0.7, so a large group of half-alike texts leaves few pairs.
 4. Links give components. Buckets that still hold several components then meet
    again: every member outside a bucket's largest component meets the members of
    other components, with the sketch test inside the join. After that, any two
@@ -42,10 +45,11 @@ from playmetrics.llm.components import components
 
 BANDS, ROWS = 32, 4
 BITS = 512
+SET_BITS = 1024
 WIDTH = 5
 SIMILARITY = (75, 100)
 SIGNATURE = ("doc_id long, n_shingles long, set_a long, set_b long, "
-             "bands array<long>, sketch array<long>")
+             "bands array<long>, sketch array<long>, parity array<long>")
 
 
 # ------------------------------------------------------------------ signatures
@@ -85,6 +89,17 @@ def odd_sketches(samples: np.ndarray, bits: int = BITS) -> np.ndarray:
                      for w in range(bits // 64)], axis=1)
 
 
+def set_parities(values: np.ndarray, starts: np.ndarray, bits: int = SET_BITS) -> np.ndarray:
+    """Parity bitmap of each non-empty set itself, as 64-bit words."""
+    from playmetrics.llm.wordstream import mix
+
+    position = mix(values) % np.uint64(bits)
+    bit = np.uint64(1) << (position & np.uint64(63))
+    word = position >> np.uint64(6)
+    return np.stack([np.bitwise_xor.reduceat(np.where(word == w, bit, np.uint64(0)), starts)
+                     for w in range(bits // 64)], axis=1)
+
+
 def most_ones(samples: int, bits: int, similarity: float, sigmas: float = 4.9) -> int:
     """Largest XOR population count that a pair at ``similarity`` or above may show.
 
@@ -114,11 +129,13 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, bits: int
                 set_a, set_b = np.zeros(n, np.int64), np.zeros(n, np.int64)
                 keys = np.zeros((n, bands), np.int64)
                 sketch = np.zeros((n, bits // 64), np.int64)
+                parity = np.zeros((n, SET_BITS // 64), np.int64)
                 if len(full):
                     starts = offsets[full]
                     set_a[full], set_b[full] = _fingerprint(values, starts)
                     samples = _samples(values, starts, bands * rows)
                     sketch[full] = odd_sketches(samples, bits).view(np.int64)
+                    parity[full] = set_parities(values, starts).view(np.int64)
                     parts = samples.reshape(len(full), bands, rows)
                     key = np.arange(1, bands + 1, dtype=np.uint64)[None, :].repeat(len(full), 0)
                     for r in range(rows):
@@ -126,8 +143,8 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, bits: int
                     keys[full] = key.view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(first, n), pa.array(sizes.astype(np.int64)), pa.array(set_a),
-                     pa.array(set_b), _lists(keys), _lists(sketch)],
-                    names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "sketch"])
+                     pa.array(set_b), _lists(keys), _lists(sketch), _lists(parity)],
+                    names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "sketch", "parity"])
 
     return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(sign, SIGNATURE)
 
@@ -164,12 +181,27 @@ def _sets(texts: DataFrame, width: int) -> DataFrame:
 
 # ------------------------------------------------------------------ links
 
-def _alike(n_a: Column, n_b: Column, sketch_a: Column, sketch_b: Column, words: int,
-           similarity: tuple[int, int], ones: int) -> Column:
-    """Sizes allow the similarity and the odd sketches do not rule it out."""
+def _apart(a: str, b: str, words: int) -> Column:
+    """Ones in the XOR of two bitmaps."""
+    return sum((F.bit_count(F.col(a)[w].bitwiseXOR(F.col(b)[w])) for w in range(words)), F.lit(0))
+
+
+def _alike(words: int, similarity: tuple[int, int], ones: int) -> Column:
+    """Whether sizes, odd sketches and set parities allow the similarity of sides a and b."""
     part, whole = similarity
-    apart = sum((F.bit_count(sketch_a[w].bitwiseXOR(sketch_b[w])) for w in range(words)), F.lit(0))
-    return (whole * F.least(n_a, n_b) >= part * F.greatest(n_a, n_b)) & (apart <= ones)
+    n_a, n_b = F.col("n_a"), F.col("n_b")
+    # of a + b elements at most this share differs: (1 - s) / (1 + s)
+    sets = (whole + part) * _apart("parity_a", "parity_b", SET_BITS // 64) <= (
+        (whole - part) * (n_a + n_b))
+    return ((whole * F.least(n_a, n_b) >= part * F.greatest(n_a, n_b))
+            & (_apart("sketch_a", "sketch_b", words) <= ones) & sets)
+
+
+def _side(frame: DataFrame, side: str, *more: str) -> DataFrame:
+    """Class, size and bitmaps named for one side of a pair."""
+    return frame.select(*more, F.col("class_id").alias(side), F.col("n").alias(f"n_{side}"),
+                        F.col("sketch").alias(f"sketch_{side}"),
+                        F.col("parity").alias(f"parity_{side}"))
 
 
 def confirm(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int,
@@ -204,29 +236,26 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, bits:
     classes = (signed.where("n_shingles > 0 and doc_id is not null")
                .groupBy("set_a", "set_b", "n_shingles")
                .agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("copies"),
-                    F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+                    F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
+                    F.first("parity").alias("parity"))
                .checkpoint())
     members = classes.select(F.explode("bands").alias("bucket"), "class_id", "copies")
     buckets = (members.groupBy("bucket")
                .agg(F.count(F.lit(1)).alias("size"),
                     F.max(F.struct("copies", -F.col("class_id"))).alias("top"))
                .where("size > 1").select("bucket", (-F.col("top")["col2"]).alias("pivot")))
-    plain = classes.select("class_id", F.col("n_shingles").alias("n"), "sketch")
+    plain = classes.select("class_id", F.col("n_shingles").alias("n"), "sketch", "parity")
     meeting = (members.drop("copies").join(buckets, "bucket").join(plain, "class_id")
                .checkpoint())  # memberships of buckets with company
 
-    pivots = plain.select(F.col("class_id").alias("b"), F.col("n").alias("n_b"),
-                          F.col("sketch").alias("sketch_b"))
-    tried = (meeting.where("class_id <> pivot")
-             .select(F.col("class_id").alias("a"), F.col("pivot").alias("b"), "n", "sketch")
-             .dropDuplicates(["a", "b"]).join(pivots, "b")
-             .where(_alike(F.col("n"), F.col("n_b"), F.col("sketch"), F.col("sketch_b"),
-                           words, similarity, ones))
-             .select("a", "b").checkpoint())
+    alike = _alike(words, similarity, ones)
+    tried = (_side(meeting.where("class_id <> pivot").dropDuplicates(["class_id", "pivot"]),
+                   "a", F.col("pivot").alias("b"))
+             .join(_side(plain, "b"), "b").where(alike).select("a", "b").checkpoint())
     links = confirm(docs, classes, tried, width, similarity, id_col, text_col).checkpoint()
     found = components(links).checkpoint()
 
-    rest = _unmet(meeting, found, tried, words, similarity, ones).checkpoint()
+    rest = _unmet(meeting, found, tried, alike).checkpoint()
     if not rest.isEmpty():
         more = confirm(docs, classes, rest, width, similarity, id_col, text_col)
         found = components(links.union(more))
@@ -243,28 +272,22 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, bits:
             .withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id"))))
 
 
-def _unmet(meeting: DataFrame, found: DataFrame, tried: DataFrame, words: int,
-           similarity: tuple[int, int], ones: int) -> DataFrame:
+def _unmet(meeting: DataFrame, found: DataFrame, tried: DataFrame, alike: Column) -> DataFrame:
     """Pairs of classes that share a bucket, are not yet connected and were not yet compared."""
     placed = (meeting.drop("pivot").join(found, F.col("class_id") == F.col("id"), "left")
-              .select("bucket", "class_id", "n", "sketch",
+              .select("bucket", "class_id", "n", "sketch", "parity",
                       F.coalesce("component", "class_id").alias("part")))
     sizes = placed.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("size"))
     by_bucket = sizes.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("parts"), F.max(F.struct("size", "part")).alias("top"))
     mixed = by_bucket.where("parts > 1").select("bucket", F.col("top.part").alias("main"))
     inside = placed.join(mixed, "bucket").checkpoint()
-    a = inside.where("part <> main").select(
-        "bucket", F.col("class_id").alias("a"), F.col("n").alias("n_a"),
-        F.col("sketch").alias("sketch_a"), F.col("part").alias("part_a"))
-    b = inside.select("bucket", F.col("class_id").alias("b"), F.col("n").alias("n_b"),
-                      F.col("sketch").alias("sketch_b"), F.col("part").alias("part_b"), "main")
+    a = _side(inside.where("part <> main"), "a", "bucket", F.col("part").alias("part_a"))
+    b = _side(inside, "b", "bucket", "main", F.col("part").alias("part_b"))
     # both ends outside the main component meet once, as a < b
     once = (F.col("part_b") == F.col("main")) | (F.col("a") < F.col("b"))
     pairs = a.join(b, "bucket").where(
-        (F.col("part_a") != F.col("part_b")) & once
-        & _alike(F.col("n_a"), F.col("n_b"), F.col("sketch_a"), F.col("sketch_b"),
-                 words, similarity, ones)).select("a", "b").distinct()
+        (F.col("part_a") != F.col("part_b")) & once & alike).select("a", "b").distinct()
     done = tried.union(tried.select("b", "a"))
     return pairs.join(done, ["a", "b"], "left_anti")
 

@@ -115,3 +115,24 @@ def test_components_of_a_long_path(spark):
                                   "a long, b long")
     rows = {r.id: r.component for r in components(edges).collect()}
     assert rows == {**{i: 0 for i in range(41)}, 99: 99, 100: 99}
+
+
+def test_set_parities_never_exceed_the_difference():
+    rng = np.random.default_rng(2)
+    for size, change in ((40, 5), (150, 40), (3000, 900)):
+        a = rng.integers(0, 2**63, size).astype(np.uint64)
+        b = a.copy()
+        b[:change] = rng.integers(0, 2**63, change).astype(np.uint64)
+        x, y = odd_sketch.set_parities(np.concatenate([a, b]), np.array([0, size]))
+        assert int(np.bitwise_count(x ^ y).sum()) <= 2 * change
+
+
+def test_large_group_of_half_alike_texts_leaves_few_pairs(spark):
+    rng = random.Random(6)
+    words = ["w%d" % i for i in range(150)]
+    texts = [" ".join(words)] * 5 + [mutated(rng, words, rng.choice((2, 3, 6, 9)))
+                                     for _ in range(150)]
+    docs = documents(spark, texts)
+    rows = odd_sketch.near_duplicates(docs).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute(
+        list(enumerate(texts, 1)))
