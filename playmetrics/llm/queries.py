@@ -13,6 +13,7 @@ from playmetrics.llm import (
     ordinal_quality,
     packing,
     piece_bpe,
+    secret_owners,
     weak_pii,
 )
 from playmetrics.llm.common import read, tokenizer_path
@@ -41,6 +42,10 @@ def op5_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_pii.find(read(spark, sf_dir, "documents"))
 
 
+def op6_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_owners.scan(read(spark, sf_dir, "documents"))
+
+
 def op7_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.mark_copies(read(spark, sf_dir, "documents"))
 
@@ -62,6 +67,44 @@ FROM n
 """
 
 
+def _secret_sql() -> str:
+    """Matches and the pieces between them give positions; ownership is counted per value."""
+    kinds = []
+    for order, (kind, pattern, group, least) in enumerate(secret_owners.KINDS):
+        quoted = pattern.replace("'", "''")
+        kinds.append(f"""
+  SELECT row, doc_id, owner, {order} AS k, '{kind}' AS kind, i,
+         list_sum(list_transform(gaps[:i], lambda g: length(g)))
+           + coalesce(list_sum(list_transform(hits[:i - 1], lambda m: length(m))), 0) AS s,
+         length(hits[i]) AS size, vals[i] AS v, {least} AS least
+  FROM (SELECT row, doc_id, owner, hits, vals, gaps, unnest(range(1, len(hits) + 1)) AS i FROM (
+    SELECT row, doc_id, owner, regexp_extract_all(t, '{quoted}', 0) AS hits,
+           regexp_extract_all(t, '{quoted}', {group}) AS vals,
+           string_split_regex(t, '{quoted}') AS gaps
+    FROM d WHERE regexp_matches(t, '{quoted}')))""")
+    base = len(secret_owners.BASE)
+    counts = ", ".join(f"count(f.k) FILTER (f.k = {i}) AS n_{kind[0]}"
+                       for i, kind in enumerate(secret_owners.BASE))
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, source AS owner, coalesce(text, '') AS t
+           FROM documents),
+found AS (SELECT *, kind || ':' || s::BIGINT || ':' || (s + size)::BIGINT AS w FROM ({
+    " UNION ALL ".join(kinds)}) WHERE length(v) >= least),
+own AS (SELECT v, count(DISTINCT coalesce(owner, chr(1))) AS owners FROM found GROUP BY v),
+judged AS (
+  SELECT f.*, owners >= {secret_owners.EXAMPLE_OWNERS} AS example,
+         owners < {secret_owners.EXAMPLE_OWNERS}
+           AND len(list_distinct(string_split(v, ''))) >= {secret_owners.VARIED} AS live
+  FROM found f JOIN own USING (v)),
+f AS (SELECT * FROM judged WHERE k < {base} OR live)
+SELECT d.doc_id, {counts},
+       sha256(coalesce(string_agg(f.w, ',' ORDER BY f.s, f.k) FILTER (f.k < {base}), '')) AS base_sha256,
+       coalesce(string_agg(f.w, ',' ORDER BY f.s, f.k), '') AS spans,
+       count(f.k) FILTER (f.live) AS n_live, count(f.k) FILTER (f.example) AS n_example
+FROM d LEFT JOIN f ON f.row = d.row GROUP BY d.row, d.doc_id
+"""
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_hnsw": op1_hnsw,
@@ -69,10 +112,11 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_best_fit_packing": op3_best_fit_packing,
         "op4_ordinal_quality": op4_ordinal_quality,
         "op5_weak_pii": op5_weak_pii,
+        "op6_secret_owners": op6_secret_owners,
         "op7_content_sort": op7_content_sort,
         "op9_odd_sketch": op9_odd_sketch,
     }
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op7_content_sort": OP7_SQL}
+    return {"op6_secret_owners": _secret_sql(), "op7_content_sort": OP7_SQL}
