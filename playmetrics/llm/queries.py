@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from playmetrics.llm import (
     content_sort,
     hnsw,
+    interpolation,
     odd_sketch,
     ordinal_quality,
     packing,
@@ -50,6 +51,10 @@ def op7_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.mark_copies(read(spark, sf_dir, "documents"))
 
 
+def op8_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolation.scores(read(spark, sf_dir, "documents"))
+
+
 def op9_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return odd_sketch.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -114,6 +119,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_weak_pii": op5_weak_pii,
         "op6_secret_owners": op6_secret_owners,
         "op7_content_sort": op7_content_sort,
+        "op8_interpolation": op8_interpolation,
         "op9_odd_sketch": op9_odd_sketch,
     }
 
