@@ -15,6 +15,7 @@ from playmetrics.llm import (
     packing,
     piece_bpe,
     secret_owners,
+    toxicity,
     weak_pii,
 )
 from playmetrics.llm.common import read, tokenizer_path
@@ -59,6 +60,10 @@ def op9_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return odd_sketch.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op10_bigru_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 OP7_SQL = """
 WITH n AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -121,6 +126,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_content_sort": op7_content_sort,
         "op8_interpolation": op8_interpolation,
         "op9_odd_sketch": op9_odd_sketch,
+        "op10_bigru_toxicity": op10_bigru_toxicity,
     }
 
 
