@@ -21,7 +21,7 @@ clash.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from playmetrics.llm.common import ascii_lower, prepare, shuffle_partitions, unused_name
@@ -48,36 +48,55 @@ def hot_texts(docs: DataFrame, text: str, hot_share: int, sample_rows: int) -> d
     return {r.h: -(-r.n * hot_share // seen) for r in rows}
 
 
-def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                keep: str = "largest", hot_share: int = HOT_SHARE,
-                sample_rows: int = HOT_SAMPLE_ROWS) -> DataFrame:
-    """One row per input row: id, keep_id, group_size, kept, text_sha256."""
-    spark = prepare(docs.sparkSession)
-    hot = hot_texts(docs, text_col, hot_share, sample_rows)
-    hashed = docs.select(F.col(id_col).alias("id"),
-                         ascii_lower(F.col(text_col)).alias("norm"))
+def _dealt(docs: DataFrame, id_col: str, text_col: str, hot: dict[int, int]
+           ) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` range-partitioned so that equal texts of one salt meet, and the added columns' names.
+
+    The normalised text is computed behind the exchange, so a text travels once.
+    """
+    spark = docs.sparkSession
+    name = {k: unused_name(docs, f"{k}_of_text") for k in ("lead", "hash", "salts", "salt", "norm")}
+    norm = ascii_lower(F.col(text_col))
     if hot:
         pairs = F.create_map(*[F.lit(x) for kv in hot.items() for x in kv])
-        salts = F.coalesce(F.element_at(pairs, F.col("hash")), F.lit(1))
+        salts = F.coalesce(F.element_at(pairs, F.xxhash64(norm)), F.lit(1))
     else:
         salts = F.lit(1)
     # the identifier decides the salt, so rows that repeat one stay together
-    dealt = (hashed.withColumns({"lead": F.left("norm", F.lit(LEAD_CHARS)),
-                                 "hash": F.xxhash64("norm")})
-             .withColumn("salts", salts.cast("int"))
-             .withColumn("salt", F.expr("cast(pmod(xxhash64(id), salts) as int)")))
-    order = F.desc_nulls_last("id") if keep == "largest" else F.asc_nulls_last("id")
+    salt = F.expr(f"cast(pmod(xxhash64(`{id_col}`), `{name['salts']}`) as int)")
+    dealt = (docs.withColumns({name["lead"]: F.left(norm, F.lit(LEAD_CHARS)),
+                               name["hash"]: F.xxhash64(norm), name["salts"]: salts.cast("int")})
+             .withColumn(name["salt"], salt)
+             .repartitionByRange(shuffle_partitions(spark), name["lead"], name["hash"],
+                                 name["salt"])
+             .withColumn(name["norm"], norm))
+    return dealt, name
+
+
+def _run(name: dict[str, str], id_col: str, keep: str) -> WindowSpec:
     # lead and hash follow from the text, so they may stand before it in the sort; they keep
     # the splitters that Spark samples and sends to the driver short
-    run = Window.partitionBy("lead", "hash", "norm", "salt").orderBy(order)
+    order = F.desc_nulls_last(id_col) if keep == "largest" else F.asc_nulls_last(id_col)
+    return Window.partitionBy(name["lead"], name["hash"], name["norm"], name["salt"]).orderBy(order)
+
+
+def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                keep: str = "largest", hot_share: int = HOT_SHARE,
+                sample_rows: int = HOT_SAMPLE_ROWS) -> DataFrame:
+    """One row per input row: id, keep_id, group_size, kept, text_sha256."""
+    prepare(docs.sparkSession)
+    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    hot = hot_texts(docs, "text", hot_share, sample_rows)
+    dealt, name = _dealt(docs, "id", "text", hot)
+    run = _run(name, "id", keep)
     whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    runs = (dealt.repartitionByRange(shuffle_partitions(spark), "lead", "hash", "salt")
-            .withColumns({"rank": F.row_number().over(run),
-                          "run_keep": F.first("id").over(whole),
-                          "run_size": F.count(F.lit(1)).over(whole)})
-            .select("id", "salts", "rank", "run_keep", "run_size",
-                    F.sha2("norm", 256).alias("text_sha256"),
-                    F.when((F.col("salts") > 1) & (F.col("rank") == 1), F.col("norm")).alias("head"))
+    salted, norm = F.col(name["salts"]) > 1, F.col(name["norm"])
+    runs = (dealt.withColumns({"rank": F.row_number().over(run),
+                               "run_keep": F.first("id").over(whole),
+                               "run_size": F.count(F.lit(1)).over(whole)})
+            .select("id", salted.alias("salted"), "rank", "run_keep", "run_size",
+                    F.sha2(norm, 256).alias("text_sha256"),
+                    F.when(salted & (F.col("rank") == 1), norm).alias("head"))
             .checkpoint())
     best = F.max if keep == "largest" else F.min
     heads = (runs.where(F.col("head").isNotNull()).groupBy("head")
@@ -85,8 +104,8 @@ def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   F.first("text_sha256").alias("text_sha256"))
              .drop("head"))
     joined = runs.drop("head").join(F.broadcast(heads), "text_sha256", "left")  # <= hot_share rows
-    keep_id = F.when(F.col("salts") > 1, F.col("all_keep")).otherwise(F.col("run_keep"))
-    size = F.when(F.col("salts") > 1, F.col("all_size")).otherwise(F.col("run_size"))
+    keep_id = F.when(F.col("salted"), F.col("all_keep")).otherwise(F.col("run_keep"))
+    size = F.when(F.col("salted"), F.col("all_size")).otherwise(F.col("run_size"))
     return joined.select(F.col("id").alias(id_col), keep_id.alias("keep_id"),
                          size.alias("group_size"),
                          ((F.col("rank") == 1) & F.col("id").eqNullSafe(keep_id)).alias("kept"),
@@ -94,12 +113,27 @@ def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                keep: str = "largest") -> DataFrame:
-    """The rows of ``docs`` that :func:`mark_copies` keeps, with all their columns."""
-    kept_id, kept_sha = unused_name(docs, "kept_id"), unused_name(docs, "kept_sha")
-    kept = mark_copies(docs, id_col, text_col, keep).where("kept").select(
-        F.col(id_col).alias(kept_id), F.col("text_sha256").alias(kept_sha))
-    found = docs.join(kept, docs[id_col].eqNullSafe(F.col(kept_id))
-                      & (F.sha2(ascii_lower(docs[text_col]), 256) == F.col(kept_sha)))
-    # of rows that repeat identifier and text, each met the one kept mark
-    return found.dropDuplicates([kept_id, kept_sha]).select(docs.columns)
+                keep: str = "largest", hot_share: int = HOT_SHARE,
+                sample_rows: int = HOT_SAMPLE_ROWS) -> DataFrame:
+    """The rows of ``docs`` that :func:`mark_copies` would keep, with all their columns.
+
+    Rows travel once. The best identifier of each hot text is found beforehand,
+    by an aggregation that every task reduces to one row per hot text.
+    """
+    prepare(docs.sparkSession)
+    hot = hot_texts(docs, text_col, hot_share, sample_rows)
+    dealt, name = _dealt(docs, id_col, text_col, hot)
+    rank = unused_name(docs, "rank_of_text")
+    heads = dealt.withColumn(rank, F.row_number().over(_run(name, id_col, keep))).where(
+        F.col(rank) == 1)
+    if hot:
+        norm = ascii_lower(F.col(text_col))
+        best_id, best_sha = unused_name(docs, "best_id"), unused_name(docs, "best_sha")
+        best = (docs.select(F.col(id_col).alias("id"), norm.alias("norm"))
+                .where(F.xxhash64("norm").isin(list(hot))).groupBy("norm")
+                .agg((F.max if keep == "largest" else F.min)("id").alias(best_id))
+                .select(best_id, F.sha2("norm", 256).alias(best_sha)))  # <= hot_share rows
+        heads = heads.join(F.broadcast(best), (F.col(name["salts"]) > 1) & (
+            F.sha2(F.col(name["norm"]), 256) == F.col(best_sha)), "left").where(
+            (F.col(name["salts"]) == 1) | F.col(id_col).eqNullSafe(F.col(best_id)))
+    return heads.select(docs.columns)

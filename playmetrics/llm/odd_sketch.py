@@ -298,8 +298,9 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id",
     kept_id = unused_name(docs, "kept_id")
     kept = (near_duplicates(docs, id_col=id_col, text_col=text_col).where("kept")
             .select(F.col(id_col).alias(kept_id)).distinct())
-    found = docs.join(kept, docs[id_col].eqNullSafe(F.col(kept_id)))
+    found = docs.join(kept, docs[id_col] == F.col(kept_id), "left_semi")
+    # the join has dealt the rows by identifier, so this window needs no exchange
     rank = unused_name(docs, "rank")
-    first = Window.partitionBy(kept_id, F.col(text_col)).orderBy(F.lit(1))
-    return found.withColumn(rank, F.row_number().over(first)).where(
-        F.col(rank) == 1).select(docs.columns)
+    first = Window.partitionBy(id_col, text_col).orderBy(F.lit(1))
+    once = found.withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1)
+    return once.select(docs.columns).union(docs.where(F.col(id_col).isNull()))

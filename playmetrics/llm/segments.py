@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-CACHED = 2_500_000
+CACHED = 1_500_000
 
 Encode = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]  # -> (all ids, ids per segment)
 

@@ -47,3 +47,13 @@ def test_drop_copies_keeps_columns_and_one_row_each(spark):
 
 def test_empty_table(spark):
     assert content_sort.mark_copies(documents(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("hot_share", [2, 5, 1000])
+def test_dropping_agrees_with_marking_on_hot_texts(spark, hot_share):
+    docs = documents(spark, ["Hot Text"] * 60 + ["hot text"] * 25 + ["other"] * 9 + ["x", "y"], 100)
+    for keep in ("largest", "smallest"):
+        marks = content_sort.mark_copies(docs, keep=keep, hot_share=hot_share).where("kept")
+        out = content_sort.drop_copies(docs, keep=keep, hot_share=hot_share)
+        assert sorted(r.doc_id for r in out.collect()) == sorted(r.doc_id for r in marks.collect())
+        assert out.count() == 4
