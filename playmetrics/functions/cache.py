@@ -14,15 +14,17 @@ from typing import TypeVar
 from pyspark import SparkContext
 
 T = TypeVar("T")
-_CACHE: dict[tuple[str, int], object] = {}
 
 
 def per_jvm(build: Callable[[], T]) -> Callable[[], T]:
+    held: dict[str, object] = {}
+
     @wraps(build)
     def get() -> T:
         sc = SparkContext._active_spark_context
-        key = (build.__qualname__, id(sc._jsc) if sc is not None else 0)
-        if key not in _CACHE:
-            _CACHE[key] = build()
-        return _CACHE[key]  # type: ignore[return-value]
+        context = sc._jsc if sc is not None else None
+        # the context itself is held, so a later one cannot pass for it
+        if "value" not in held or held["context"] is not context:
+            held["context"], held["value"] = context, build()
+        return held["value"]  # type: ignore[return-value]
     return get

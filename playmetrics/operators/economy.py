@@ -10,6 +10,7 @@ SPEND = "spend_virtual_currency"
 USE = "use_extra_steps"
 EXHAUSTED = "no_more_extra_steps"
 AD_REWARD = "ad_reward"
+AMOUNT = "decimal(18,6)"
 ECONOMY_EVENTS = [SPEND, USE, EXHAUSTED, AD_REWARD]
 
 
@@ -27,8 +28,14 @@ def extra_steps_economy_daily(events: DataFrame) -> DataFrame:
     ev = economy_events(events)
     name, value = F.col("event_name"), F.col("event_value")
 
+    # decimals add up to the same total in any order
+    exact = value.cast(AMOUNT)
+
     def steps(event: str):
-        return F.sum(F.when(name == event, value).otherwise(F.lit(0.0)))
+        return F.sum(F.when(name == event, exact).otherwise(F.lit(0).cast(AMOUNT)))
+
+    def rounded(column: str):
+        return F.round(F.sum(column), 1).cast("double")
 
     per_user = ev.groupBy("event_date", "user_pseudo_id").agg(
         F.count_if(name == SPEND).alias("_spend"),
@@ -42,12 +49,12 @@ def extra_steps_economy_daily(events: DataFrame) -> DataFrame:
     known_user = F.col("user_pseudo_id").isNotNull()
     return per_user.groupBy("event_date").agg(
         F.sum("_spend").cast("bigint").alias("spend_events"),
-        F.round(F.sum("_spent"), 1).alias("steps_spent"),
+        rounded("_spent").alias("steps_spent"),
         F.count_if((F.col("_spend") > 0) & known_user).alias("spenders"),
         F.sum("_use").cast("bigint").alias("use_events"),
-        F.round(F.sum("_used"), 1).alias("steps_used"),
+        rounded("_used").alias("steps_used"),
         F.sum("_exhausted").cast("bigint").alias("exhaustion_events"),
         F.count_if((F.col("_exhausted") > 0) & known_user).alias("exhausted_users"),
         F.sum("_ads").cast("bigint").alias("ad_rewards"),
-        F.round(F.sum("_granted"), 1).alias("steps_granted_by_ads"),
+        rounded("_granted").alias("steps_granted_by_ads"),
     )

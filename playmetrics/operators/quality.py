@@ -47,7 +47,7 @@ def dau_reconciles(dau: DataFrame, user_days: DataFrame) -> DataFrame:
         "activity_date", "dau", "spine_dau")
 
 
-def daily_volume(events: DataFrame, low: int = 40_000, high: int = 60_000,
+def daily_volume(events: DataFrame, low: int | Column = 40_000, high: int | Column = 60_000,
                  date_column: str = "event_date") -> DataFrame:
     """Days whose row count is outside [low, high]."""
     daily = events.groupBy(date_column).agg(F.count(F.lit(1)).alias("num_events"))
@@ -75,7 +75,7 @@ def duplicate_ratio(raw: DataFrame, staged: DataFrame, date_column: str = "event
     return j.where(F.col("raw_rows") > F.col("staged_rows") * max_ratio)
 
 
-def freshness(loaded: DataFrame, as_of: dt.datetime, loaded_at: str = "loaded_at",
+def freshness(loaded: DataFrame, as_of: dt.datetime | Column, loaded_at: str = "loaded_at",
               warn_hours: float = 26, error_hours: float = 50) -> DataFrame:
     """One row per input row: hours since ``loaded_at`` and its status.
 
@@ -83,11 +83,12 @@ def freshness(loaded: DataFrame, as_of: dt.datetime, loaded_at: str = "loaded_at
     table, or newest event time); ``as_of`` is explicit so results do not
     depend on the wall clock.
     """
-    age = (F.unix_micros(F.lit(as_of).cast("timestamp"))
+    as_of = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
+    age = (F.unix_micros(as_of)
            - F.unix_micros(F.col(loaded_at))) / F.lit(3_600_000_000.0)
     status = (F.when(age > error_hours, "error").when(age > warn_hours, "warn")
               .otherwise("pass"))
-    return loaded.select(F.col(loaded_at), F.round(age, 2).alias("age_hours"),
+    return loaded.select(as_of.alias("as_of"), F.col(loaded_at), F.round(age, 2).alias("age_hours"),
                          status.alias("status"))
 
 

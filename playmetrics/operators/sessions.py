@@ -8,9 +8,9 @@ A plain ``Window.partitionBy(user)`` sorts every event of a user in a single
 task, so a user holding a third of the rows would become one task. Instead:
 
 1. Events are windowed per (user, time bucket): local lag, local new-session
-   flags and their running count. Buckets are one day by default; the few
-   hottest users (a top-K list, so its size is bounded by K) get fine buckets
-   of ``hot_bucket_seconds`` so even their events spread over many tasks.
+   flags and their running count. Buckets are one day by default; users with
+   more than ``1 / HOT_SHARE`` of all rows (fewer than ``HOT_SHARE`` of them)
+   get fine buckets of ``hot_bucket_seconds``, so their events spread as well.
 2. A per-bucket summary (first/last timestamp, number of local flags) is
    windowed per user. It holds one row per non-empty bucket, which is far
    smaller than the events; from it come the gap across the bucket boundary
@@ -33,6 +33,8 @@ from playmetrics.functions.params import surrogate_key
 USER = "user_pseudo_id"
 DAY_SECONDS = 86_400
 _NULL_TIME_BUCKET = -(2**63)  # events without a timestamp sort first, like NULLs do
+UNTIMED_DIGITS = 3            # up to 16 ** 3 buckets for a user's events without a time
+HOT_SHARE = 10_000
 
 
 def _gap_seconds(prev: Column, cur: Column) -> Column:
@@ -40,33 +42,35 @@ def _gap_seconds(prev: Column, cur: Column) -> Column:
     return F.timestamp_diff("SECOND", prev, cur)
 
 
-def hot_keys(df: DataFrame, key: str = USER, min_rows: int = 1_000_000,
-             max_keys: int = 10_000) -> DataFrame:
-    """At most ``max_keys`` keys with ``min_rows`` or more rows, heaviest first.
+def hot_keys(df: DataFrame, key: str = USER, share: int = HOT_SHARE) -> DataFrame:
+    """Keys that hold more than ``1 / share`` of all rows: fewer than ``share`` keys, always.
 
-    Counting is a partial (map-side) aggregate over one column; the top-K step
-    keeps K rows per task, so the result is small by construction and safe to
-    broadcast.
+    The bound follows from the share, so nothing is cut off: a key that is not
+    listed is small beside the whole. Counting is a partial aggregate over one
+    column.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_rows)
-    return counts.orderBy(F.col("_n").desc(), F.col(key)).limit(max_keys).select(key)
+    total = df.agg(F.count(F.lit(1))).scalar()
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where(F.col("_n") * share > total).select(key)
 
 
 def _with_bucket(df: DataFrame, bucket_seconds: int, hot_users: DataFrame | None,
                  hot_bucket_seconds: int) -> DataFrame:
     """Add ``_uk`` (the user wrapped in a struct, so a NULL user is an ordinary,
     joinable key, as it is a partition of its own in a window) and ``_bucket``
-    (a time bucket id, monotone in event_at within a user)."""
-    columns = df.columns
+    (monotone in the event order within a user). Events without a time come
+    first, by their key; its leading digits spread them over buckets."""
+    columns = [c for c in df.columns if c != "_untimed_key"]
     uk = F.struct(F.col(USER).alias("u"))
     width_us = F.lit(bucket_seconds * 1_000_000)
     df = df.withColumn("_uk", uk)
     if hot_users is not None:
         marks = hot_users.select(uk.alias("_uk")).distinct().withColumn("_hot", F.lit(True))
-        df = df.join(F.broadcast(marks), on="_uk", how="left")
+        df = df.join(F.broadcast(marks), on="_uk", how="left")  # fewer than HOT_SHARE rows
         width_us = F.when(F.col("_hot"), F.lit(hot_bucket_seconds * 1_000_000)).otherwise(width_us)
+    digits = F.conv(F.substring("event_pk", 1, UNTIMED_DIGITS), 16, 10).cast("bigint")
     bucket = F.coalesce(F.floor(F.unix_micros("event_at") / width_us).cast("bigint"),
-                        F.lit(_NULL_TIME_BUCKET))
+                        F.lit(_NULL_TIME_BUCKET) + F.coalesce(digits, F.lit(0).cast("bigint")))
     return df.select(*columns, "_uk", bucket.alias("_bucket"))
 
 
@@ -87,9 +91,9 @@ def _bucket_stats(timeline: DataFrame, gap_seconds: int, bucket_seconds: int,
                   hot_users: DataFrame | None, hot_bucket_seconds: int) -> DataFrame:
     """Per (user, bucket): first and last timestamp and the number of
     in-bucket session starts (rows after the first whose gap opens one)."""
-    tl = _with_bucket(timeline.select(USER, "event_at"), bucket_seconds, hot_users,
+    tl = _with_bucket(timeline.select(USER, "event_at", "event_pk"), bucket_seconds, hot_users,
                       hot_bucket_seconds)
-    flagged = _local_flags(tl, ["event_at"], gap_seconds)
+    flagged = _local_flags(tl, ["event_at", "event_pk"], gap_seconds)
     return flagged.groupBy("_uk", "_bucket").agg(
         F.min("event_at").alias("_b_min"),
         F.max("event_at").alias("_b_max"),
@@ -111,8 +115,8 @@ def bucket_summary(timeline: DataFrame, gap_seconds: int = 1800,
     """Per (user, bucket): the gap from the previous bucket's last event, whether
     the bucket opens a session, and how many sessions began in earlier buckets.
 
-    ``timeline`` holds (user_pseudo_id, event_at) rows. Only timestamps matter
-    here: repeated timestamps add gaps of 0, which never open a session, so
+    ``timeline`` holds (user_pseudo_id, event_at, event_pk) rows; the key is only
+    read where the time is missing. Only timestamps matter here: repeated timestamps add gaps of 0, which never open a session, so
     the timeline may contain duplicate deliveries of an event as long as it
     has each user's distinct timestamps and the exact rows without one.
     """
@@ -153,7 +157,10 @@ def sessionize(stg: DataFrame, gap_seconds: int = 1800, bucket_seconds: int = DA
     ev = _local_flags(ev, ["event_at", "event_pk"], gap_seconds)
     summary = bucket_summary(stg if timeline is None else timeline, gap_seconds,
                              bucket_seconds, hot_users, hot_bucket_seconds)
-    joined = ev.join(summary, on=["_uk", "_bucket"], how="inner")
+    # every event's bucket is in the summary; one that is not must not vanish unseen
+    joined = ev.join(summary, on=["_uk", "_bucket"], how="left").withColumn(
+        "_b_offset", F.coalesce("_b_offset", F.raise_error(F.lit(
+            "an event's time bucket is missing from the session summary")).cast("bigint")))
     first = F.col("_first_in_bucket")
     out = joined.select(
         *columns,
@@ -169,19 +176,6 @@ def sessionize(stg: DataFrame, gap_seconds: int = 1800, bucket_seconds: int = DA
     return out
 
 
-def sessionize_single_window(stg: DataFrame, gap_seconds: int = 1800) -> DataFrame:
-    """Textbook single-window form; the reference definition, used by tests."""
-    w = Window.partitionBy(USER).orderBy("event_at", "event_pk")
-    gap = _gap_seconds(F.lag("event_at").over(w), F.col("event_at"))
-    out = (stg.withColumn("seconds_since_previous_event", gap)
-              .withColumn("is_session_first_event",
-                          F.col("seconds_since_previous_event").isNull()
-                          | (F.col("seconds_since_previous_event") > gap_seconds))
-              .withColumn("session_number", F.sum(F.col("is_session_first_event").cast("bigint"))
-                          .over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
-    return out.withColumn("session_id", surrogate_key(USER, "session_number"))
-
-
 SESSIONIZED_COLUMNS = ["event_pk", "user_pseudo_id", "event_at", "event_date", "session_number",
                        "is_session_first_event", "seconds_since_previous_event", "session_id"]
 

@@ -1,10 +1,11 @@
-"""One build of the whole model DAG: materialize, write marts, run checks.
+"""One build of the whole model DAG: materialize, stage, check, publish.
 
 Staging with its session columns is computed once and written as a table in
 the shared checkpoint folder; the user-day spine likewise. Every mart is then
-built from those tables (lineage cut, so a lost executor only re-runs the
-current stage), written under its contract, and the data-test suite runs over
-the written tables.
+written under its contract to a staging place and the data-test suite runs
+over what is staged. Only if no error-severity check fails are the staged marts
+published; otherwise the old ones stay and the report says why. The tables in
+the checkpoint folder are removed at the end.
 """
 
 from __future__ import annotations
@@ -17,17 +18,21 @@ from pyspark.sql import functions as F
 
 from playmetrics.operators import quality as Q
 from playmetrics.plans.models import Models
-from playmetrics.plans.sinks import write_contracted, write_incremental
+from playmetrics.plans.sinks import (
+    enforce_contract,
+    incremental_rows,
+    partition_days,
+    replace_days,
+    write_contracted,
+)
 from playmetrics.plans.suite import declarations, suite_report
 from playmetrics.schema import MART_CONTRACTS
 from playmetrics.session import configure, scratch_path
-from playmetrics.sources.raw_table import (
-    ShardSource,
-    last_loaded_day,
-    read_raw,
-    read_state,
-    run_load,
-)
+from playmetrics.sources.files import remove
+from playmetrics.sources.ledger import Ledger
+from playmetrics.sources.raw_table import RawTable, Shards, load_pending
+
+FCT = "fct_events"
 
 
 @dataclass
@@ -39,59 +44,87 @@ class BuildResult:
         return spark.read.parquet(self.tables[name])
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a fresh table in the checkpoint folder and read it back."""
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+class Scratch:
+    """Tables of one build in the checkpoint folder, removed together."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def path(self, name: str) -> str:
+        self.paths.append(scratch_path(self.spark, name))
+        return self.paths[-1]
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        path = self.path(name)
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
+    def drop(self) -> None:
+        for path in self.paths:
+            remove(self.spark, path)
 
 
 def build(spark: SparkSession, raw: DataFrame, out_dir: str, window_start: dt.date,
           window_end: dt.date, rebuild_start_date: dt.date | None = None,
           volume_band: tuple[int, int] = (40_000, 60_000), null_rate_column: str = "platform",
-          null_rate_threshold: float = 0.01, fail_on_error: bool = False,
+          null_rate_threshold: float = 0.01, block_on_errors: bool = True,
+          loaded: DataFrame | None = None, as_of: dt.datetime | None = None,
           **model_kwargs) -> BuildResult:
+    """Build, check and publish every mart under ``out_dir``.
+
+    A failing error check raises :class:`QualityError` after the report is
+    written and before any mart is replaced, unless ``block_on_errors`` is off.
+    ``loaded`` (one row, ``loaded_at``) adds the freshness of the load as of
+    ``as_of``: late is a warning, far too late an error.
+    """
     configure(spark)
-    out = out_dir.rstrip("/")
+    scratch = Scratch(spark)
+    try:
+        return _build(spark, scratch, raw, out_dir.rstrip("/"), window_start, window_end,
+                      rebuild_start_date, volume_band, null_rate_column, null_rate_threshold,
+                      block_on_errors, loaded, as_of, model_kwargs)
+    finally:
+        scratch.drop()
+
+
+def _build(spark, scratch, raw, out, window_start, window_end, rebuild_start_date, volume_band,
+           null_rate_column, null_rate_threshold, block_on_errors, loaded, as_of,
+           model_kwargs) -> BuildResult:
     base = Models(raw, **model_kwargs)
-    sessionized = materialize(spark, base.sessionized, "sessionized")
-    spine = materialize(spark, Models(None, sessionized=sessionized).int_user_days, "user-days")
+    sessionized = scratch.table(base.sessionized, "sessionized")
+    spine = scratch.table(Models(None, sessionized=sessionized).int_user_days, "user-days")
     m = Models(None, sessionized=sessionized, user_days=spine)
 
-    result = BuildResult()
-    fct_path = f"{out}/fct_events"
-    write_incremental(spark, m.fct_events, MART_CONTRACTS["fct_events"], fct_path,
-                      rebuild_start_date)
-    result.tables["fct_events"] = fct_path
-    dim_path = f"{out}/dim_users"
-    write_contracted(m.dim_users, MART_CONTRACTS["dim_users"], dim_path, "dim_users")
-    result.tables["dim_users"] = dim_path
-    users = spark.read.parquet(dim_path)
-    fct = spark.read.parquet(fct_path)
-    m = Models(None, sessionized=sessionized, user_days=spine, users=users)
-    marts = {
-        "daily_active_users": m.daily_active_users,
-        "retention_cohorts": m.retention_cohorts,
-        "retention_by_extra_steps_grant": m.retention_by_extra_steps_grant,
-        # the funnel and economy marts read the fact table, as in the DAG
-        "level_funnel_daily": Models(None, staging=fct).level_funnel_daily,
-        "extra_steps_economy_daily": Models(None, staging=fct).extra_steps_economy_daily,
-    }
-    for name, df in marts.items():
-        path = f"{out}/{name}"
-        write_contracted(df, MART_CONTRACTS[name], path, name)
-        result.tables[name] = path
+    fct_path, staged = f"{out}/{FCT}", {FCT: scratch.path(FCT)}
+    changed = enforce_contract(incremental_rows(spark, m.fct_events, fct_path, rebuild_start_date),
+                               MART_CONTRACTS[FCT], FCT)
+    replace_days(changed, staged[FCT])
+    fct = _as_published(spark, staged[FCT], fct_path)
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        staged[name] = scratch.path(name)
+        write_contracted(df, MART_CONTRACTS[name], staged[name], name)
+        return spark.read.parquet(staged[name])
 
+    users = stage(m.dim_users, "dim_users")
+    m = Models(None, sessionized=sessionized, user_days=spine, users=users)
     frames = {
         # staging and sessionized events are the same materialized table here;
         # one frame lets their shared uniqueness test run once
         "stg_events": sessionized, "int_events_sessionized": sessionized,
-        "int_user_days": spine,
-        **{name: spark.read.parquet(path) for name, path in result.tables.items()},
+        "int_user_days": spine, FCT: fct, "dim_users": users,
+        "daily_active_users": stage(m.daily_active_users, "daily_active_users"),
+        "retention_cohorts": stage(m.retention_cohorts, "retention_cohorts"),
+        "retention_by_extra_steps_grant": stage(m.retention_by_extra_steps_grant,
+                                                "retention_by_extra_steps_grant"),
+        # the funnel and economy marts read the fact table, as in the DAG
+        "level_funnel_daily": stage(Models(None, staging=fct).level_funnel_daily,
+                                    "level_funnel_daily"),
+        "extra_steps_economy_daily": stage(Models(None, staging=fct).extra_steps_economy_daily,
+                                           "extra_steps_economy_daily"),
     }
-    dau = frames["daily_active_users"]
     checks = [
-        Q.Check("singular:dau_reconciles", Q.dau_reconciles(dau, spine), "error"),
+        Q.Check("singular:dau_reconciles", Q.dau_reconciles(frames["daily_active_users"], spine)),
         Q.Check("monitor:daily_volume", Q.daily_volume(m.staging, *volume_band), "warn"),
         Q.Check(f"monitor:null_rate:{null_rate_column}",
                 Q.null_rate(m.staging, null_rate_column, null_rate_threshold), "warn"),
@@ -99,28 +132,46 @@ def build(spark: SparkSession, raw: DataFrame, out_dir: str, window_start: dt.da
         Q.Check("monitor:event_date_is_utc_day",
                 m.staging.where(F.col("event_date") != F.to_date("event_at")), "warn"),
     ]
-    report_path = f"{out}/_checks"
+    if loaded is not None:
+        age = Q.freshness(loaded, as_of or dt.datetime.now(dt.timezone.utc))
+        checks += [Q.Check("freshness:raw:late", age.where("status = 'warn'"), "warn"),
+                   Q.Check("freshness:raw:stale", age.where("status = 'error'"))]
+    result = BuildResult({"_checks": f"{out}/_checks"})
     report = suite_report(spark, frames, declarations(window_start, window_end), checks)
-    report.coalesce(1).write.mode("overwrite").parquet(report_path)
-    result.tables["_checks"] = report_path
-    result.report = spark.read.parquet(report_path)
-    if fail_on_error:
-        # one small row per check: error-severity failures stop the build,
-        # warnings only report
-        Q.raise_on_errors(result.report.collect())
+    report.coalesce(1).write.mode("overwrite").parquet(result.tables["_checks"])
+    result.report = spark.read.parquet(result.tables["_checks"])
+    if block_on_errors:
+        Q.raise_on_errors(result.report.collect())  # one small row per check
+    for name, path in staged.items():
+        result.tables[name] = f"{out}/{name}"
+        rows = spark.read.schema(MART_CONTRACTS[name]).parquet(path)
+        if name == FCT:
+            replace_days(rows, result.tables[name])
+        else:
+            rows.write.mode("overwrite").parquet(result.tables[name])
     return result
 
 
-def scheduled_run(spark: SparkSession, source: ShardSource, raw_path: str, state_path: str, out_dir: str,
-                  last_shard_date: dt.date, catch_up: int = 0,
-                  rebuild_start_date: dt.date | None = None, **build_kwargs) -> BuildResult | None:
-    """One scheduled cycle: load the next day(s), then rebuild the models over
+def _as_published(spark: SparkSession, staged: str, published: str) -> DataFrame:
+    """The fact table as it will be: staged days, and the published ones they do not replace."""
+    rows = spark.read.schema(MART_CONTRACTS[FCT]).parquet(staged)
+    kept = sorted(set(partition_days(spark, published)) - set(partition_days(spark, staged)))
+    if not kept:
+        return rows
+    old = spark.read.schema(MART_CONTRACTS[FCT]).parquet(published)
+    return rows.unionByName(old.where(F.col("event_date").isin(kept)))
+
+
+def scheduled_run(spark: SparkSession, shards: Shards, table: RawTable, ledger: Ledger, out_dir: str,
+                  most_days: int | None = 1, rebuild_start_date: dt.date | None = None,
+                  as_of: dt.datetime | None = None, **build_kwargs) -> BuildResult | None:
+    """One scheduled cycle: load what is pending, then rebuild the models over
     every loaded day (the fact table incrementally). Returns None when there
     was nothing new to load and no rebuild was asked for."""
-    loaded = run_load(spark, source, raw_path, state_path, last_shard_date, catch_up)
-    if not loaded and rebuild_start_date is None:
+    loads = load_pending(table, shards, ledger, most_days)
+    if not loads and rebuild_start_date is None:
         return None
-    state = read_state(spark, state_path)
-    raw = read_raw(spark, raw_path, state.simulation_start_date, last_loaded_day(state))
-    return build(spark, raw, out_dir, state.simulation_start_date, last_loaded_day(state),
-                 rebuild_start_date=rebuild_start_date, **build_kwargs)
+    state = ledger.state()
+    span = (state.first_day, state.last_day)
+    return build(spark, table.read(*span), out_dir, *span, rebuild_start_date=rebuild_start_date,
+                 loaded=table.last_modified(*span), as_of=as_of, **build_kwargs)

@@ -21,6 +21,7 @@ from playmetrics.operators.engagement import (
 )
 from playmetrics.operators.funnels import level_funnel_daily
 from playmetrics.operators.sessions import (
+    HOT_SHARE,
     hot_keys,
     sessionize,
     sessionized_events,
@@ -29,26 +30,20 @@ from playmetrics.operators.sessions import (
 from playmetrics.operators.staging import stage_events
 from playmetrics.operators.user_days import user_days
 
-# A user with at least this many raw rows is "hot": their events are cut into
-# fine time buckets for sessionization. At most HOT_USER_LIMIT such users are
-# tracked, so the broadcast list has a fixed size bound.
-HOT_USER_MIN_ROWS = 1_000_000
-HOT_USER_LIMIT = 10_000
 SESSION_COLUMNS = ["session_number", "is_session_first_event", "seconds_since_previous_event",
                    "session_id"]
 
 
 class Models:
-    def __init__(self, raw: DataFrame | None, hot_user_min_rows: int = HOT_USER_MIN_ROWS,
-                 hot_user_limit: int = HOT_USER_LIMIT, staging: DataFrame | None = None,
+    def __init__(self, raw: DataFrame | None, hot_share: int = HOT_SHARE,
+                 staging: DataFrame | None = None,
                  sessionized: DataFrame | None = None, user_days: DataFrame | None = None,
                  users: DataFrame | None = None):
         """``staging``/``sessionized``/``user_days``/``users`` may be given
         pre-materialized (e.g. read back from written tables); models below
         them are then built from those frames instead of from ``raw``."""
         self.raw = raw
-        self._hot_min = hot_user_min_rows
-        self._hot_limit = hot_user_limit
+        self._hot_share = hot_share
         self._staging = staging
         self._sessionized = sessionized
         self._user_days = user_days
@@ -64,7 +59,7 @@ class Models:
 
     @cached_property
     def hot_users(self) -> DataFrame:
-        return hot_keys(self.raw, "user_pseudo_id", self._hot_min, self._hot_limit)
+        return hot_keys(self.raw, "user_pseudo_id", self._hot_share)
 
     @cached_property
     def sessionized(self) -> DataFrame:
@@ -75,7 +70,7 @@ class Models:
 
     @cached_property
     def timeline(self) -> DataFrame | None:
-        """(user, event_at) rows for the session bucket summary, read from two
+        """(user, time, key) rows for the session bucket summary, read from two
         raw columns instead of re-deriving staging: raw duplicates only repeat
         timestamps. Rows without a timestamp each open a session, so those go
         through staging's dedup (a rare, pushed-down IS NULL slice)."""
@@ -83,9 +78,9 @@ class Models:
             return None
         ts = F.timestamp_micros("event_timestamp")
         timed = self.raw.where(F.col("event_timestamp").isNotNull()).select(
-            "user_pseudo_id", ts.alias("event_at"))
+            "user_pseudo_id", ts.alias("event_at"), F.lit(None).cast("string").alias("event_pk"))
         untimed = stage_events(self.raw.where(F.col("event_timestamp").isNull())).select(
-            "user_pseudo_id", "event_at")
+            "user_pseudo_id", "event_at", "event_pk")
         return timed.unionByName(untimed)
 
     @cached_property

@@ -1,16 +1,23 @@
 """Independent DuckDB SQL for every registered query.
 
-The oracle does not share code paths with the Spark side: it rebuilds the
-flattened staging rows straight from the ``events`` view with the fixture
-rules (no nested arrays, no param maps) and then follows the reference model
-definitions literally (single per-user window for sessions, joins and
-distinct counts where the reference has them). Only the rule *values* are
-shared, rendered as SQL CASE expressions.
+The oracle shares no code path with the Spark side. It rebuilds the flattened
+staging rows straight from the ``events`` view with the fixture rules (no
+nested arrays, no param maps); only the rule *values* are shared. The models
+are then stated by what they mean, another way than Spark computes them:
+
+* events are numbered per user and paired with the one before; those that come
+  too late after it open a session, and every event belongs to the last opening
+  at or before it (an as-of join);
+* user days and users are one grouping of those events each;
+* retention looks a day up in the list of days on which a user was active;
+* repeated columns (retention days, funnel steps, economy events) are generated.
 """
 
 from __future__ import annotations
 
 from playmetrics.functions.params import SURROGATE_NULL_MARKER
+from playmetrics.operators.engagement import RETENTION_DAYS
+from playmetrics.schema import FCT_EVENTS
 from playmetrics.sources.fixture_events import (
     BOARDS,
     COUNTRIES,
@@ -38,6 +45,29 @@ ECON = _in(ECONOMY_EVENTS)
 PROGRESSIVE = _in(["level_start", "level_end", "level_complete", "level_fail",
                    "level_retry", "level_reset", "level_up"])
 
+def n(condition: str) -> str:
+    """How many rows meet a condition."""
+    return f"count(*) FILTER (WHERE {condition})"
+
+
+def users(condition: str) -> str:
+    return f"count(DISTINCT user_pseudo_id) FILTER (WHERE {condition})"
+
+
+def per_day(template: str) -> str:
+    """A select list with one entry for each retention day {d}."""
+    return ",\n    ".join(template.format(d=d) for d in RETENTION_DAYS)
+
+
+def amount(event: str) -> str:
+    total = f"sum(CAST(event_value AS DECIMAL(18, 6))) FILTER (WHERE event_name = '{event}')"
+    return f"CAST(round(coalesce({total}, 0), 1) AS DOUBLE)"
+
+
+SESSION_GAP_SECONDS = 1800
+FUNNEL_STEPS = {"starts": "start", "ends": "end", "completes": "complete", "fails": "fail",
+                "retries": "retry", "resets": "reset"}
+
 BASE_CTES = f"""
 ev AS (
     SELECT event_id, ts, user_id, event_type, value,
@@ -86,208 +116,118 @@ stg AS (
         md5(CAST(event_id AS VARCHAR)) AS event_pk
     FROM named
 ),
-ev_gaps AS (
-    SELECT *,
-        (epoch_us(event_at) - epoch_us(lag(event_at) OVER (
-            PARTITION BY user_pseudo_id ORDER BY event_at))) // 1000000
-            AS seconds_since_previous_event
-    FROM stg
+nth_events AS (
+    SELECT *, row_number() OVER (PARTITION BY user_pseudo_id ORDER BY event_at) AS nth FROM stg
 ),
-ev_starts AS (
-    SELECT *, coalesce(seconds_since_previous_event IS NULL
-                       OR seconds_since_previous_event > 1800, false) AS is_session_first_event
+ev_gaps AS (
+    SELECT e.*, (epoch_us(e.event_at) - epoch_us(b.event_at)) // 1000000
+        AS seconds_since_previous_event
+    FROM nth_events e LEFT JOIN nth_events b
+        ON b.user_pseudo_id = e.user_pseudo_id AND b.nth + 1 = e.nth
+),
+openings AS (
+    SELECT user_pseudo_id AS who, nth AS opened_at,
+        row_number() OVER (PARTITION BY user_pseudo_id ORDER BY nth) AS session_number
     FROM ev_gaps
-),
-ev_numbered AS (
-    SELECT *, CAST(sum(CAST(is_session_first_event AS BIGINT)) OVER (
-        PARTITION BY user_pseudo_id ORDER BY event_at
-        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS session_number
-    FROM ev_starts
+    WHERE nth = 1 OR seconds_since_previous_event > {SESSION_GAP_SECONDS}
 ),
 sess AS (
-    SELECT *, {skey('user_pseudo_id', 'session_number')} AS session_id FROM ev_numbered
-),
-ud_event_counts AS (
-    SELECT user_pseudo_id, event_date,
-        count(*) AS num_events,
-        count_if(event_name = 'first_open') > 0 AS has_first_open,
-        count_if(event_name LIKE '%_quickplay') > 0 AS has_played_quickplay,
-        count_if(event_name IN {PROGRESSIVE}) > 0 AS has_played_progressive,
-        count_if(event_name = 'spend_virtual_currency') > 0 AS has_spent_steps,
-        round(sum(engagement_time_msec) / 60000, 2) AS engagement_minutes
-    FROM stg GROUP BY user_pseudo_id, event_date
-),
-ud_session_counts AS (
-    SELECT user_pseudo_id, event_date, count(DISTINCT session_id) AS num_sessions
-    FROM sess GROUP BY user_pseudo_id, event_date
+    SELECT e.*, o.session_number, o.opened_at = e.nth AS is_session_first_event,
+        {skey('e.user_pseudo_id', 'o.session_number')} AS session_id
+    FROM ev_gaps e ASOF JOIN openings o ON o.who = e.user_pseudo_id AND e.nth >= o.opened_at
 ),
 user_days AS (
-    SELECT {skey('d.user_pseudo_id', 'd.event_date')} AS user_day_pk,
-        d.user_pseudo_id, d.event_date, d.num_events, s.num_sessions, d.has_first_open,
-        d.has_played_quickplay, d.has_played_progressive, d.has_spent_steps,
-        d.engagement_minutes
-    FROM ud_event_counts d JOIN ud_session_counts s
-        ON d.user_pseudo_id = s.user_pseudo_id AND d.event_date = s.event_date
+    SELECT {skey('user_pseudo_id', 'event_date')} AS user_day_pk, user_pseudo_id, event_date,
+        count(*) AS num_events, count(DISTINCT session_number) AS num_sessions,
+        bool_or(event_name = 'first_open') AS has_first_open,
+        bool_or(ends_with(event_name, '_quickplay')) AS has_played_quickplay,
+        bool_or(event_name IN {PROGRESSIVE}) AS has_played_progressive,
+        bool_or(event_name = 'spend_virtual_currency') AS has_spent_steps,
+        round(sum(engagement_time_msec) / 60000, 2) AS engagement_minutes
+    FROM sess GROUP BY ALL
 ),
-user_rollup AS (
+dim_users AS (
     SELECT user_pseudo_id,
-        min(CASE WHEN event_name = 'first_open' THEN event_at END) AS first_open_at,
+        min(event_at) FILTER (WHERE event_name = 'first_open') AS first_open_at,
+        bool_or(event_name = 'first_open') AS has_observed_first_open,
         min(first_touch_at) AS first_touch_at,
-        min(event_date) AS first_seen_date,
-        max(event_date) AS last_seen_date,
-        count(*) AS num_events,
-        min(platform) AS platform,
-        arg_min(country, event_at) FILTER (WHERE country IS NOT NULL) AS first_country,
-        arg_min(acquisition_medium, event_at) FILTER (WHERE acquisition_medium IS NOT NULL)
+        min(event_date) AS first_seen_date, max(event_date) AS last_seen_date,
+        count(DISTINCT event_date) AS num_days_active, max(session_number) AS num_sessions,
+        count(*) AS num_events, min(platform) AS platform,
+        (list(country ORDER BY nth) FILTER (WHERE country IS NOT NULL))[1] AS first_country,
+        (list(acquisition_medium ORDER BY nth) FILTER (WHERE acquisition_medium IS NOT NULL))[1]
             AS acquisition_medium,
-        arg_min(acquisition_source, event_at) FILTER (WHERE acquisition_source IS NOT NULL)
+        (list(acquisition_source ORDER BY nth) FILTER (WHERE acquisition_source IS NOT NULL))[1]
             AS acquisition_source,
-        arg_max(initial_extra_steps, event_at) FILTER (WHERE initial_extra_steps IS NOT NULL)
+        (list(initial_extra_steps ORDER BY nth) FILTER (WHERE initial_extra_steps IS NOT NULL))[-1]
             AS initial_extra_steps,
-        count_if(event_name = 'spend_virtual_currency') AS num_spend_events,
-        count_if(event_name = 'app_remove') > 0 AS has_uninstalled
-    FROM stg GROUP BY user_pseudo_id
-),
-user_day_counts AS (
-    SELECT user_pseudo_id, count(*) AS num_days_active FROM user_days GROUP BY user_pseudo_id
+        {n("event_name = 'spend_virtual_currency'")} AS num_spend_events,
+        bool_or(event_name = 'app_remove') AS has_uninstalled
+    FROM sess GROUP BY user_pseudo_id
 ),
-user_session_max AS (
-    SELECT user_pseudo_id, max(session_number) AS num_sessions FROM sess GROUP BY user_pseudo_id
-),
-dim_users AS (
-    SELECT p.user_pseudo_id, p.first_open_at, p.first_open_at IS NOT NULL AS has_observed_first_open,
-        p.first_touch_at, p.first_seen_date, p.last_seen_date, u.num_days_active,
-        s.num_sessions, p.num_events, p.platform, p.first_country, p.acquisition_medium,
-        p.acquisition_source, p.initial_extra_steps, p.num_spend_events, p.has_uninstalled
-    FROM user_rollup p
-    JOIN user_day_counts u ON p.user_pseudo_id = u.user_pseudo_id
-    JOIN user_session_max s ON p.user_pseudo_id = s.user_pseudo_id
+dated_user_days AS (
+    SELECT *, event_date = min(event_date) OVER (PARTITION BY user_pseudo_id) AS is_first_day
+    FROM user_days
 ),
 daily_active_users AS (
-    SELECT activity_date, dau, new_users, dau - new_users AS returning_users, num_sessions,
-        num_events, engagement_minutes, quickplay_users, progressive_users
-    FROM (
-        SELECT ud.event_date AS activity_date,
-            count(DISTINCT ud.user_pseudo_id) AS dau,
-            count(DISTINCT CASE WHEN u.first_seen_date = ud.event_date
-                THEN ud.user_pseudo_id END) AS new_users,
-            CAST(sum(ud.num_sessions) AS BIGINT) AS num_sessions,
-            CAST(sum(ud.num_events) AS BIGINT) AS num_events,
-            CAST(round(sum(CAST(ud.engagement_minutes AS DECIMAL(38, 2))), 1) AS DOUBLE)
-                AS engagement_minutes,
-            count(DISTINCT CASE WHEN ud.has_played_quickplay THEN ud.user_pseudo_id END)
-                AS quickplay_users,
-            count(DISTINCT CASE WHEN ud.has_played_progressive THEN ud.user_pseudo_id END)
-                AS progressive_users
-        FROM user_days ud JOIN dim_users u ON ud.user_pseudo_id = u.user_pseudo_id
-        GROUP BY ud.event_date
-    )
-),
-last_day AS (
-    SELECT max(event_date) AS max_loaded_date FROM user_days
-),
-cohort_members AS (
-    SELECT user_pseudo_id, CAST(first_open_at AS DATE) AS cohort_date, initial_extra_steps
-    FROM dim_users WHERE has_observed_first_open
-),
-member_returns AS (
-    SELECT c.cohort_date, c.user_pseudo_id,
-        count_if(ud.event_date = c.cohort_date + INTERVAL 1 DAY) > 0 AS r1,
-        count_if(ud.event_date = c.cohort_date + INTERVAL 7 DAY) > 0 AS r7,
-        count_if(ud.event_date = c.cohort_date + INTERVAL 30 DAY) > 0 AS r30
-    FROM cohort_members c JOIN user_days ud ON c.user_pseudo_id = ud.user_pseudo_id
-    GROUP BY c.cohort_date, c.user_pseudo_id
-),
-cohort_counts AS (
-    SELECT cohort_date, count(*) AS cohort_size, count_if(r1) AS retained_d1,
-        count_if(r7) AS retained_d7, count_if(r30) AS retained_d30
-    FROM member_returns GROUP BY cohort_date
+    SELECT event_date AS activity_date, count(*) AS dau, {n("is_first_day")} AS new_users,
+        {n("NOT is_first_day")} AS returning_users,
+        CAST(sum(num_sessions) AS BIGINT) AS num_sessions,
+        CAST(sum(num_events) AS BIGINT) AS num_events,
+        CAST(round(sum(CAST(engagement_minutes AS DECIMAL(38, 2))), 1) AS DOUBLE)
+            AS engagement_minutes,
+        {n("has_played_quickplay")} AS quickplay_users,
+        {n("has_played_progressive")} AS progressive_users
+    FROM dated_user_days GROUP BY event_date
+),
+openers AS (
+    SELECT CAST(first_open_at AS DATE) AS cohort_date,
+        coalesce(CAST(initial_extra_steps AS VARCHAR), 'unassigned') AS grant_bucket,
+        (SELECT list(event_date) FROM user_days d WHERE d.user_pseudo_id = u.user_pseudo_id) AS days,
+        (SELECT max(event_date) FROM user_days) AS last_date
+    FROM dim_users u WHERE first_open_at IS NOT NULL
 ),
 retention_cohorts AS (
-    SELECT c.cohort_date, c.cohort_size, c.retained_d1, c.retained_d7, c.retained_d30,
-        CASE WHEN c.cohort_date + INTERVAL 1 DAY <= w.max_loaded_date
-            THEN round(c.retained_d1 / c.cohort_size, 4) END AS retention_d1,
-        CASE WHEN c.cohort_date + INTERVAL 7 DAY <= w.max_loaded_date
-            THEN round(c.retained_d7 / c.cohort_size, 4) END AS retention_d7,
-        CASE WHEN c.cohort_date + INTERVAL 30 DAY <= w.max_loaded_date
-            THEN round(c.retained_d30 / c.cohort_size, 4) END AS retention_d30
-    FROM cohort_counts c, last_day w
-),
-bucket_member_returns AS (
-    SELECT coalesce(CAST(c.initial_extra_steps AS VARCHAR), 'unassigned') AS grant_bucket,
-        c.user_pseudo_id, c.cohort_date,
-        max(CASE WHEN ud.event_date = c.cohort_date + INTERVAL 1 DAY THEN 1 ELSE 0 END) AS r1,
-        max(CASE WHEN ud.event_date = c.cohort_date + INTERVAL 7 DAY THEN 1 ELSE 0 END) AS r7,
-        max(CASE WHEN ud.event_date = c.cohort_date + INTERVAL 30 DAY THEN 1 ELSE 0 END) AS r30
-    FROM cohort_members c JOIN user_days ud ON c.user_pseudo_id = ud.user_pseudo_id
-    GROUP BY 1, 2, 3
-),
-bucket_counts AS (
-    SELECT grant_bucket, count(*) AS cohort_users,
-        count_if(cohort_date + INTERVAL 1 DAY <= w.max_loaded_date) AS d1_denominator,
-        count_if(cohort_date + INTERVAL 7 DAY <= w.max_loaded_date) AS d7_denominator,
-        count_if(cohort_date + INTERVAL 30 DAY <= w.max_loaded_date) AS d30_denominator,
-        CAST(sum(r1) AS BIGINT) AS retained_d1, CAST(sum(r7) AS BIGINT) AS retained_d7,
-        CAST(sum(r30) AS BIGINT) AS retained_d30
-    FROM bucket_member_returns, last_day w GROUP BY grant_bucket
+    SELECT cohort_date, count(*) AS cohort_size,
+    {per_day(n("list_contains(days, cohort_date + {d})") + " AS retained_d{d}")},
+    {per_day("CASE WHEN cohort_date + {d} <= any_value(last_date) "
+             "THEN round(retained_d{d} / cohort_size, 4) END AS retention_d{d}")}
+    FROM openers GROUP BY cohort_date
 ),
 retention_by_grant AS (
-    SELECT grant_bucket, cohort_users, d1_denominator, d7_denominator, d30_denominator,
-        retained_d1, retained_d7, retained_d30,
-        CASE WHEN d1_denominator > 0 THEN round(retained_d1 / d1_denominator, 4) END
-            AS retention_d1,
-        CASE WHEN d7_denominator > 0 THEN round(retained_d7 / d7_denominator, 4) END
-            AS retention_d7,
-        CASE WHEN d30_denominator > 0 THEN round(retained_d30 / d30_denominator, 4) END
-            AS retention_d30
-    FROM bucket_counts
+    SELECT grant_bucket, count(*) AS cohort_users,
+    {per_day(n("cohort_date + {d} <= last_date") + " AS d{d}_denominator")},
+    {per_day(n("list_contains(days, cohort_date + {d})") + " AS retained_d{d}")},
+    {per_day("CASE WHEN d{d}_denominator > 0 "
+             "THEN round(retained_d{d} / d{d}_denominator, 4) END AS retention_d{d}")}
+    FROM openers GROUP BY grant_bucket
 ),
 fct_events AS (
-    SELECT event_pk, event_date, event_at, event_name, user_pseudo_id, session_id, platform,
-        device_category, device_os, country, app_version, board, level_number, level_name,
-        score, event_value, virtual_currency_name, item_name, screen_class,
-        engagement_time_msec, initial_extra_steps
-    FROM sess
-),
-funnel_counts AS (
-    SELECT event_date, board,
-        count_if(event_name = 'level_start_quickplay') AS starts,
-        count_if(event_name = 'level_end_quickplay') AS ends,
-        count_if(event_name = 'level_complete_quickplay') AS completes,
-        count_if(event_name = 'level_fail_quickplay') AS fails,
-        count_if(event_name = 'level_retry_quickplay') AS retries,
-        count_if(event_name = 'level_reset_quickplay') AS resets,
-        count(DISTINCT CASE WHEN event_name = 'level_start_quickplay' THEN user_pseudo_id END)
-            AS users_starting
-    FROM fct_events
-    WHERE event_name LIKE 'level%_quickplay' AND board IS NOT NULL
-    GROUP BY event_date, board
+    SELECT {", ".join(FCT_EVENTS.fieldNames())} FROM sess
 ),
 level_funnel_daily AS (
-    SELECT {skey('event_date', 'board')} AS funnel_day_pk, event_date, board, starts, ends,
-        completes, fails, retries, resets, users_starting,
+    SELECT {skey('event_date', 'board')} AS funnel_day_pk, event_date, board,
+        {", ".join(n(f"event_name = 'level_{step}_quickplay'") + f" AS {column}"
+                   for column, step in FUNNEL_STEPS.items())},
+        {users("event_name = 'level_start_quickplay'")} AS users_starting,
         CASE WHEN starts > 0 THEN round(completes / starts, 4) END AS completion_rate
-    FROM funnel_counts
+    FROM stg
+    WHERE starts_with(event_name, 'level') AND ends_with(event_name, '_quickplay')
+        AND board IS NOT NULL
+    GROUP BY event_date, board
 ),
 economy_daily AS (
     SELECT event_date,
-        count_if(event_name = 'spend_virtual_currency') AS spend_events,
-        round(sum(CASE WHEN event_name = 'spend_virtual_currency' THEN event_value ELSE 0 END), 1)
-            AS steps_spent,
-        count(DISTINCT CASE WHEN event_name = 'spend_virtual_currency' THEN user_pseudo_id END)
-            AS spenders,
-        count_if(event_name = 'use_extra_steps') AS use_events,
-        round(sum(CASE WHEN event_name = 'use_extra_steps' THEN event_value ELSE 0 END), 1)
-            AS steps_used,
-        count_if(event_name = 'no_more_extra_steps') AS exhaustion_events,
-        count(DISTINCT CASE WHEN event_name = 'no_more_extra_steps' THEN user_pseudo_id END)
-            AS exhausted_users,
-        count_if(event_name = 'ad_reward') AS ad_rewards,
-        round(sum(CASE WHEN event_name = 'ad_reward' THEN event_value ELSE 0 END), 1)
-            AS steps_granted_by_ads
-    FROM fct_events
-    WHERE event_name IN {ECON}
-    GROUP BY event_date
+        {n("event_name = 'spend_virtual_currency'")} AS spend_events,
+        {amount("spend_virtual_currency")} AS steps_spent,
+        {users("event_name = 'spend_virtual_currency'")} AS spenders,
+        {n("event_name = 'use_extra_steps'")} AS use_events,
+        {amount("use_extra_steps")} AS steps_used,
+        {n("event_name = 'no_more_extra_steps'")} AS exhaustion_events,
+        {users("event_name = 'no_more_extra_steps'")} AS exhausted_users,
+        {n("event_name = 'ad_reward'")} AS ad_rewards,
+        {amount("ad_reward")} AS steps_granted_by_ads
+    FROM stg WHERE event_name IN {ECON} GROUP BY event_date
 )"""
 
 

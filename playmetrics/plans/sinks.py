@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playmetrics.sources.raw_table import _path_exists
+from playmetrics.sources.files import folders
 
 
 class ContractError(ValueError):
@@ -63,27 +63,36 @@ def incremental_rows(spark: SparkSession, fct: DataFrame, path: str,
     First run (no table yet): everything. With ``rebuild_start_date``: that
     day and every later day. Otherwise the last existing day and the one
     before it, so sessions crossing midnight settle once the next day exists.
-    The bound is a scalar subquery over the existing table's partition column.
+    The bound comes from the names of the table's partitions; no file is opened.
     """
-    if not _path_exists(spark, path):
+    days = partition_days(spark, path, date_column)
+    if not days:
         return fct
-    if rebuild_start_date is not None:
-        return fct.where(F.col(date_column) >= F.lit(rebuild_start_date))
-    existing_max = spark.read.parquet(path).agg(F.max(date_column)).scalar()
-    return fct.where(F.col(date_column) >= F.date_sub(existing_max, 1))
+    since = rebuild_start_date or max(days) - dt.timedelta(days=1)
+    return fct.where(F.col(date_column) >= F.lit(since))
 
 
-def write_incremental(spark: SparkSession, fct: DataFrame, contract: T.StructType, path: str,
-                      rebuild_start_date: dt.date | None = None, name: str = "fct_events",
-                      date_column: str = "event_date") -> None:
-    """Replace exactly the day partitions the increment returns.
+def partition_days(spark: SparkSession, path: str, date_column: str = "event_date") -> list[dt.date]:
+    """Days that the table at ``path`` has partitions for."""
+    mark, null = f"{date_column}=", "__HIVE_DEFAULT_PARTITION__"
+    names = [x.removeprefix(mark) for x in folders(spark, path) if x.startswith(mark)]
+    return [dt.date.fromisoformat(x) for x in names if x != null]
+
+
+def replace_days(rows: DataFrame, path: str, date_column: str = "event_date") -> None:
+    """Replace exactly the day partitions that ``rows`` hold.
 
-    The rows arrive clustered by user (from sessionization), so every task
-    holds every day; a REBALANCE on the date first groups each day into
-    advisory-sized tasks (AQE splits big days, merges small ones), giving a
-    few right-sized files per day partition instead of tasks x days files.
+    A REBALANCE on the date first groups each day into advisory-sized tasks
+    (AQE splits big days, merges small ones), so that a day gets a few
+    right-sized files instead of one from every task.
     """
-    rows = enforce_contract(incremental_rows(spark, fct, path, rebuild_start_date, date_column),
-                            contract, name)
     (rows.hint("rebalance", date_column).write.partitionBy(date_column)
      .option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path))
+
+
+def write_incremental(spark: SparkSession, fct: DataFrame, contract: T.StructType, path: str,
+                      rebuild_start_date: dt.date | None = None, name: str = "fct_events",
+                      date_column: str = "event_date") -> None:
+    """Write the rows of :func:`incremental_rows` into their day partitions."""
+    rows = incremental_rows(spark, fct, path, rebuild_start_date, date_column)
+    replace_days(enforce_contract(rows, contract, name), path, date_column)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playmetrics.operators import quality as Q
+from playmetrics.operators.engagement import RETENTION_DAYS
 from playmetrics.platform_values import PLATFORMS
 
 
@@ -24,26 +25,27 @@ class Decl:
     kind: str          # unique | not_null | accepted_values | expression
     arg: str           # column, or SQL expression
     severity: str = "error"
+    label: str | None = None
 
     @property
     def name(self) -> str:
-        label = self.arg if self.kind != "expression" else _short(self.arg)
-        return f"{self.kind}:{self.model}:{label}"
+        return f"{self.kind}:{self.model}:{self.label or self.arg}"
 
 
-def _short(expr: str) -> str:
-    return " ".join(expr.split())
+def _for_each_day(rule: str) -> str:
+    """A rule with {d} in it, required for every retention day."""
+    return " and ".join(rule.format(d=d) for d in RETENTION_DAYS)
 
 
-RATES_IN_RANGE = ("(retention_d1 is null or retention_d1 between 0 and 1) and "
-                  "(retention_d7 is null or retention_d7 between 0 and 1) and "
-                  "(retention_d30 is null or retention_d30 between 0 and 1)")
-
-
-def declarations(window_start: dt.date, window_end: dt.date) -> list[Decl]:
+def declarations(window_start: dt.date | str, window_end: dt.date | str) -> list[Decl]:
     """The 59 declared tests (the prod-only schema-change monitor is replaced
-    by the contract check at write time)."""
+    by the contract check at write time). The window is two dates, or two SQL
+    expressions for them."""
+    first, last = (x if isinstance(x, str) else f"date '{x.isoformat()}'"
+                   for x in (window_start, window_end))
+    rates = _for_each_day("(retention_d{d} is null or retention_d{d} between 0 and 1)")
     u, n = "unique", "not_null"
+    # Models, columns, limits and expressions are the declared rules.
     d = [
         Decl("stg_events", u, "event_pk"), Decl("stg_events", n, "event_pk"),
         Decl("stg_events", n, "event_date"), Decl("stg_events", n, "event_at"),
@@ -58,8 +60,8 @@ def declarations(window_start: dt.date, window_end: dt.date) -> list[Decl]:
         Decl("fct_events", u, "event_pk"), Decl("fct_events", n, "event_pk"),
         Decl("fct_events", n, "event_date"), Decl("fct_events", n, "event_name"),
         Decl("fct_events", n, "user_pseudo_id"), Decl("fct_events", n, "session_id"),
-        Decl("fct_events", "expression",
-             f"event_date between '{window_start.isoformat()}' and '{window_end.isoformat()}'"),
+        Decl("fct_events", "expression", f"event_date between {first} and {last}",
+             label="event_date within the loaded days"),
         Decl("dim_users", u, "user_pseudo_id"), Decl("dim_users", n, "user_pseudo_id"),
         Decl("dim_users", n, "has_observed_first_open"), Decl("dim_users", n, "first_seen_date"),
         Decl("dim_users", "expression", "last_seen_date >= first_seen_date"),
@@ -71,17 +73,16 @@ def declarations(window_start: dt.date, window_end: dt.date) -> list[Decl]:
         Decl("retention_cohorts", u, "cohort_date"), Decl("retention_cohorts", n, "cohort_date"),
         Decl("retention_cohorts", n, "cohort_size"),
         Decl("retention_cohorts", "expression", "cohort_size > 0"),
-        Decl("retention_cohorts", "expression", RATES_IN_RANGE),
+        Decl("retention_cohorts", "expression", rates, label="rates within 0 and 1"),
         Decl("retention_by_extra_steps_grant", u, "grant_bucket"),
         Decl("retention_by_extra_steps_grant", n, "grant_bucket"),
         Decl("retention_by_extra_steps_grant", n, "cohort_users"),
-        Decl("retention_by_extra_steps_grant", "expression", RATES_IN_RANGE),
+        Decl("retention_by_extra_steps_grant", "expression", rates,
+             label="rates within 0 and 1"),
         Decl("retention_by_extra_steps_grant", "expression",
-             "d1_denominator <= cohort_users and d7_denominator <= cohort_users "
-             "and d30_denominator <= cohort_users"),
+             _for_each_day("d{d}_denominator <= cohort_users")),
         Decl("retention_by_extra_steps_grant", "expression",
-             "retained_d1 <= d1_denominator and retained_d7 <= d7_denominator "
-             "and retained_d30 <= d30_denominator"),
+             _for_each_day("retained_d{d} <= d{d}_denominator")),
         Decl("level_funnel_daily", u, "funnel_day_pk"),
         Decl("level_funnel_daily", n, "funnel_day_pk"),
         Decl("level_funnel_daily", n, "event_date"), Decl("level_funnel_daily", n, "board"),
@@ -99,22 +100,6 @@ def declarations(window_start: dt.date, window_end: dt.date) -> list[Decl]:
     return d
 
 
-def spark_checks(frames: dict, decls: list[Decl]) -> list[Q.Check]:
-    checks = []
-    for decl in decls:
-        df = frames[decl.model]
-        if decl.kind == "unique":
-            v = Q.unique(df, decl.arg)
-        elif decl.kind == "not_null":
-            v = Q.not_null(df, decl.arg)
-        elif decl.kind == "accepted_values":
-            v = Q.accepted_values(df, decl.arg, PLATFORMS)
-        else:
-            v = Q.expression_is_true(df, decl.arg)
-        checks.append(Q.Check(decl.name, v, decl.severity))
-    return checks
-
-
 def row_predicate(decl: Decl) -> Column:
     """The per-row violation predicate of a row-level declaration."""
     if decl.kind == "not_null":

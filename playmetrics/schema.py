@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Column names, order and types have to match the export and the declared marts.
 _S = T.StringType()
 _L = T.LongType()
 _D = T.DoubleType()
@@ -83,14 +84,6 @@ RAW_SCHEMA = T.StructType([
 # Partition column of the loaded raw table (one directory per export day).
 RAW_PARTITION_COLUMN = "shard_date"
 
-STATE_SCHEMA = T.StructType([
-    T.StructField("simulation_start_date", T.DateType(), False),
-    T.StructField("next_shard_date", T.DateType(), False),
-    T.StructField("updated_at", T.TimestampType(), False),
-    T.StructField("skip_runs", T.IntegerType(), True),
-])
-
-
 def _contract(*cols: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in cols])
 

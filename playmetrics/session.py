@@ -60,31 +60,21 @@ def build_session(master: str | None = None, app_name: str = "playmetrics",
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names for checkpoints, if any."""
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - no SparkContext (e.g. a Spark Connect session)
-        return spark.conf.get("spark.checkpoint.dir", None)
-    directory = sc.getCheckpointDir()
-    if directory:
-        return directory
-    return sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None)
-
-
-_LOCAL_SCRATCH: dict[int, str] = {}
+    sc = spark.sparkContext
+    return (sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+            or spark.conf.get("spark.checkpoint.dir", None))
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder; only when none is configured (local runs,
-    tests) create a scratch one. A cluster must name a shared folder."""
+    """The checkpoint folder, set on the context. Without a configured one a local master
+    gets a scratch folder; a cluster has to name one that all its machines share."""
+    sc = spark.sparkContext
     directory = checkpoint_dir(spark)
     if directory is None:
-        directory = _LOCAL_SCRATCH.setdefault(id(spark),
-                                              tempfile.mkdtemp(prefix="playmetrics-ckpt-"))
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001
-        return directory
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError(f"{sc.master}: set spark.checkpoint.dir to a folder that the "
+                               "driver and all executors share")
+        directory = tempfile.mkdtemp(prefix="playmetrics-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(directory)
     return sc.getCheckpointDir() or directory

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from playmetrics.functions.cache import per_jvm
 from playmetrics.schema import EVENT_PARAMS_TYPE, RAW_SCHEMA, USER_PROPERTIES_TYPE
+from playmetrics.session import configure
 
 # Fixed values of the fixture mapping. ``k`` is the integer in ``props``.
 # event_type -> list of (highest k inclusive, event_name), in k order.
@@ -191,18 +192,6 @@ def _adapter_columns() -> tuple[list[Column], ...]:
 
 
 def read_fixture_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw events derived from ``{sf_dir}/events.parquet``.
-
-    A small fixture file is a single scan split; it is spread round-robin over
-    the default parallelism so the per-row building work runs on all cores.
-    A large input already has at least that many splits and is left as is.
-    """
-    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    try:
-        target = spark.sparkContext.defaultParallelism
-        splits = events.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD API (e.g. a Spark Connect session)
-        target = splits = 0
-    if splits < target:
-        events = events.repartition(target)
-    return adapt_events(events)
+    """Raw events derived from ``{sf_dir}/events.parquet``."""
+    configure(spark)
+    return adapt_events(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))

@@ -1,8 +1,9 @@
-"""The day-partitioned raw events table: bounded reads, day loads, load state.
+"""The day-partitioned raw events table: bounded reads, day loads, statistics.
 
-Layout: Parquet under ``<path>/shard_date=YYYY-MM-DD/``. Every load replaces
-exactly the partitions it writes (dynamic partition overwrite, set per write),
-so re-running a load is a no-op and a crash mid-way leaves whole partitions.
+A partition is an export day (shard), whatever the dates in its rows: a row
+dated otherwise, or not dated at all, stays in the shard that delivered it. A
+load replaces exactly the requested days, so repeating one changes nothing and
+no other day is ever touched.
 """
 
 from __future__ import annotations
@@ -11,223 +12,197 @@ import datetime as dt
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playmetrics.schema import RAW_PARTITION_COLUMN, RAW_SCHEMA, STATE_SCHEMA
+from playmetrics.schema import RAW_PARTITION_COLUMN, RAW_SCHEMA
+from playmetrics.sources.files import folders, remove
+from playmetrics.sources.ledger import DayLoad, Ledger
 
 RAW_TABLE_SCHEMA = T.StructType(
     RAW_SCHEMA.fields + [T.StructField(RAW_PARTITION_COLUMN, T.DateType(), True)])
 
-# A source hands back the raw rows of the requested export days.
-ShardSource = Callable[[list[dt.date]], DataFrame]
 
+def _as_date(d: dt.date | str) -> dt.date:
+    return d if isinstance(d, dt.date) else dt.date.fromisoformat(d)
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return fs.exists(hpath)
-    except Exception:  # noqa: BLE001 - no JVM handle (e.g. Spark Connect): probe by reading
-        try:
-            spark.read.format("parquet").load(path).schema  # noqa: B018
-            return True
-        except Exception:  # noqa: BLE001
-            return False
 
+# ------------------------------------------------------------------ sources
 
-def read_raw(spark: SparkSession, path: str, start: dt.date | str | None,
-             end: dt.date | str | None) -> DataFrame:
-    """Raw rows of partitions ``start..end`` (inclusive).
+@dataclass(frozen=True)
+class Shards:
+    """Export days on offer, and how to read some of them.
 
-    Both bounds are mandatory: an unbounded read of the raw table is refused.
-    The explicit superset schema reads older, narrower days with NULLs in the
-    late-added fields; the bound becomes a partition filter, so only the
-    requested day directories are listed and scanned.
+    ``read`` returns raw rows with the day of their shard in the partition
+    column. ``mixed`` says that one task may hold rows of many days.
     """
-    if start is None or end is None:
-        raise ValueError("read_raw needs both start and end: unbounded raw reads are refused")
-    lo, hi = _as_date(start), _as_date(end)
-    df = spark.read.schema(RAW_TABLE_SCHEMA).parquet(path)
-    return df.where(F.col(RAW_PARTITION_COLUMN).between(F.lit(lo), F.lit(hi)))
-
-
-def _as_date(d: dt.date | str) -> dt.date:
-    if isinstance(d, dt.date):
-        return d
-    text = d.replace("-", "")
-    return dt.datetime.strptime(text, "%Y%m%d").date()
-
 
-def frame_source(raw: DataFrame) -> ShardSource:
-    """A source over a DataFrame of raw rows; a day is its ``event_date`` text."""
-    def pick(days: list[dt.date]) -> DataFrame:
-        wanted = [d.strftime("%Y%m%d") for d in days]
-        return raw.where(F.col("event_date").isin(wanted))
-    pick.mixed_days = True   # a task may hold rows of many days
-    return pick
+    days: Callable[[], list[dt.date]]
+    read: Callable[[list[dt.date]], DataFrame]
+    mixed: bool
 
 
-def sharded_parquet_source(spark: SparkSession, root: str,
-                           pattern: str = "events_{:%Y%m%d}") -> ShardSource:
-    """A source over one Parquet directory per export day (``events_YYYYMMDD``)."""
-    def pick(days: list[dt.date]) -> DataFrame:
-        paths = [f"{root.rstrip('/')}/{pattern.format(d)}" for d in days]
-        return spark.read.schema(RAW_SCHEMA).parquet(*paths)
-    return pick
+def row_day() -> Column:
+    """A raw row's own day: its date text, else the UTC day of its time."""
+    return F.coalesce(F.to_date("event_date", "yyyyMMdd"),
+                      F.to_date(F.timestamp_micros("event_timestamp")))
 
 
-def load_days(source: ShardSource, path: str, days: Iterable[dt.date],
-              append: bool = False) -> list[dt.date]:
-    """Write the given export days into their partitions in one job.
+def frame_shards(raw: DataFrame, shard_day: Column | None = None) -> Shards:
+    """Shards of a frame that holds the rows of many days; ``shard_day`` tells a row's shard.
 
-    Overwrite mode replaces exactly those partitions (idempotent); append
-    mode adds the rows again (the duplicate-delivery fault).
-    """
-    days = sorted(set(days))
-    if not days:
-        return []
-    rows = source(days).withColumn(RAW_PARTITION_COLUMN, F.to_date("event_date", "yyyyMMdd"))
-    rows = rows.select(*RAW_TABLE_SCHEMA.fieldNames())
-    # A per-day shard source yields tasks that each hold one day, so each task
-    # writes into a single partition and no shuffle is needed. A source that
-    # mixes days in its tasks is rebalanced by day first (AQE splits big days),
-    # so each day gets a few right-sized files instead of one per task.
-    if getattr(source, "mixed_days", False):
-        rows = rows.hint("rebalance", RAW_PARTITION_COLUMN)
-    writer = rows.write.partitionBy(RAW_PARTITION_COLUMN).option(
-        "partitionOverwriteMode", "dynamic")
-    writer.mode("append" if append else "overwrite").parquet(path)
-    return days
-
-
-@dataclass
-class LoadState:
-    simulation_start_date: dt.date
-    next_shard_date: dt.date
-    skip_runs: int = 0
-
-    @property
-    def loaded_days(self) -> int:
-        return (self.next_shard_date - self.simulation_start_date).days
-
-
-def read_state(spark: SparkSession, state_path: str) -> LoadState | None:
-    """The newest state row; None when the table is missing or empty."""
-    if not _path_exists(spark, state_path):
-        return None
-    state = spark.read.schema(STATE_SCHEMA).parquet(state_path)
-    rows = state.orderBy(F.col("updated_at").desc()).take(1)
-    if not rows:
-        return None
-    row = rows[0]
-    return LoadState(row["simulation_start_date"], row["next_shard_date"],
-                     row["skip_runs"] or 0)
-
-
-def write_state(spark: SparkSession, state_path: str, state: LoadState) -> None:
-    """Record a new state version. Versions are appended (one small file per
-    run, committed atomically by the job) and the newest wins, so a crash
-    while writing can never leave the loader without a state."""
-    row = (state.simulation_start_date, state.next_shard_date,
-           dt.datetime.now(dt.timezone.utc), state.skip_runs)
-    spark.createDataFrame([row], STATE_SCHEMA).coalesce(1).write.mode("append").parquet(
-        state_path)
-
-
-def reset_state(spark: SparkSession, state_path: str, start: dt.date) -> LoadState:
-    state = LoadState(start, start)
-    write_state(spark, state_path, state)
-    return state
-
-
-def days_to_load(state: LoadState, catch_up: int, last_shard_date: dt.date) -> list[dt.date]:
-    """The next ``1 + catch_up`` days, stopping after the last available shard."""
-    days = []
-    day = state.next_shard_date
-    for _ in range(1 + catch_up):
-        if day > last_shard_date:
-            break
-        days.append(day)
-        day += dt.timedelta(days=1)
-    return days
-
-
-def advance(state: LoadState, loaded_through: dt.date) -> LoadState:
-    return LoadState(state.simulation_start_date, loaded_through + dt.timedelta(days=1),
-                     state.skip_runs)
-
-
-def run_load(spark: SparkSession, source: ShardSource, path: str, state_path: str,
-             last_shard_date: dt.date, catch_up: int = 0) -> list[dt.date]:
-    """Load the next day (plus ``catch_up`` more) and advance the state.
-
-    No state is an error; a pending skip (the stalled-load fault) consumes one
-    run and loads nothing; nothing left to load is a no-op without a state
-    write. All days go in one job, then the state is written once, so a crash
-    before the state write only repeats idempotent partition overwrites.
+    A row without a shard is an error, since no load would ever pick it up.
     """
-    state = read_state(spark, state_path)
-    if state is None:
-        raise RuntimeError("no load state found: reset it with a start date first")
-    if state.skip_runs > 0:
-        write_state(spark, state_path, LoadState(state.simulation_start_date,
-                                                 state.next_shard_date, state.skip_runs - 1))
-        return []
-    days = days_to_load(state, catch_up, last_shard_date)
-    if not days:
-        return []
-    load_days(source, path, days)
-    write_state(spark, state_path, advance(state, days[-1]))
-    return days
-
-
-def skip_runs(spark: SparkSession, state_path: str, runs: int = 1) -> LoadState:
-    """Stalled-load fault: the next ``runs`` loads do nothing (freshness then ages)."""
-    state = read_state(spark, state_path)
-    if state is None:
-        raise RuntimeError("no load state found")
-    stalled = LoadState(state.simulation_start_date, state.next_shard_date,
-                        state.skip_runs + runs)
-    write_state(spark, state_path, stalled)
-    return stalled
-
+    tagged = raw.withColumn(RAW_PARTITION_COLUMN, row_day() if shard_day is None else shard_day)
 
-def reload_day(source: ShardSource, path: str, day: dt.date, first_shard_date: dt.date,
-               last_shard_date: dt.date) -> None:
-    """Re-copy one day (the repair path); the state is not touched."""
-    if not first_shard_date <= day <= last_shard_date:
-        raise ValueError(f"{day} is outside the available shard range "
-                         f"({first_shard_date} .. {last_shard_date})")
-    load_days(source, path, [day])
+    def days() -> list[dt.date]:
+        found = [r[0] for r in tagged.select(RAW_PARTITION_COLUMN).distinct().collect()]
+        if None in found:
+            raise ValueError("some raw rows belong to no shard day")
+        return sorted(found)
 
+    def read(wanted: list[dt.date]) -> DataFrame:
+        return tagged.where(F.col(RAW_PARTITION_COLUMN).isin(wanted))
 
-def last_loaded_day(state: LoadState | None) -> dt.date:
-    if state is None or state.next_shard_date == state.simulation_start_date:
-        raise RuntimeError("no loaded days found")
-    return state.next_shard_date - dt.timedelta(days=1)
+    return Shards(days, read, mixed=True)
 
 
-def partition_stats(spark: SparkSession, path: str, start: dt.date | str,
-                    end: dt.date | str) -> DataFrame:
-    """(shard_date, num_rows, num_bytes) per partition in the bounded range.
+def folder_shards(spark: SparkSession, root: str, pattern: str = "events_%Y%m%d") -> Shards:
+    """Shards that lie in one Parquet folder per day, named by ``pattern``.
 
-    Rows are counted by a partial aggregate; bytes are the sizes of the
-    distinct data files, read from the scan's file metadata column.
+    A row's shard is the folder it is read from.
     """
-    df = read_raw(spark, path, start, end)
-    files = df.select(RAW_PARTITION_COLUMN, F.col("_metadata.file_path").alias("_f"),
-                      F.col("_metadata.file_size").alias("_s"))
-    per_file = files.groupBy(RAW_PARTITION_COLUMN, "_f").agg(
-        F.count(F.lit(1)).alias("_n"), F.max("_s").alias("_s"))
-    return per_file.groupBy(RAW_PARTITION_COLUMN).agg(
-        F.sum("_n").alias("num_rows"), F.sum("_s").alias("num_bytes"))
-
-
-def last_modified(spark: SparkSession, path: str, start: dt.date | str,
-                  end: dt.date | str) -> DataFrame:
-    """One row: the newest data-file modification time in the bounded range."""
-    df = read_raw(spark, path, start, end)
-    return df.agg(F.max("_metadata.file_modification_time").alias("loaded_at"))
+    root = root.rstrip("/")
+
+    def days() -> list[dt.date]:
+        out = []
+        for name in folders(spark, root):
+            try:
+                out.append(dt.datetime.strptime(name, pattern).date())
+            except ValueError:  # not a shard folder
+                continue
+        return out
+
+    def read(wanted: list[dt.date]) -> DataFrame:
+        frames = spark.read.schema(RAW_SCHEMA).parquet(
+            *[f"{root}/{d.strftime(pattern)}" for d in wanted])
+        # the folder's name is the last but one part of the file's path
+        folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+        names = F.create_map(*[F.lit(x) for d in wanted for x in (d.strftime(pattern), d)])
+        return frames.withColumn(RAW_PARTITION_COLUMN, names[folder])
+
+    return Shards(days, read, mixed=False)
+
+
+# ------------------------------------------------------------------ the table
+
+class RawTable:
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def read(self, start: dt.date | str | None, end: dt.date | str | None) -> DataFrame:
+        """Raw rows of shards ``start..end`` (inclusive); an unbounded read is refused.
+
+        The superset schema reads older, narrower days with NULLs in fields that
+        came later. The bound is a partition filter: other days are not scanned.
+        """
+        if start is None or end is None:
+            raise ValueError("a raw read needs a first and a last day")
+        df = self.spark.read.schema(RAW_TABLE_SCHEMA).parquet(self.path)
+        return df.where(F.col(RAW_PARTITION_COLUMN).between(_as_date(start), _as_date(end)))
+
+    def days(self) -> list[dt.date]:
+        """Days that have a partition, from the folder names alone."""
+        mark = f"{RAW_PARTITION_COLUMN}="
+        return [dt.date.fromisoformat(x.removeprefix(mark))
+                for x in folders(self.spark, self.path) if x.startswith(mark)]
+
+    def _write(self, shards: Shards, days: list[dt.date], mode: str) -> None:
+        rows = shards.read(days).select(*RAW_TABLE_SCHEMA.fieldNames())
+        # Tasks of a per-day source each write one partition. Mixed rows are
+        # grouped by day first (AQE splits big days), so that a day gets a few
+        # right-sized files instead of one from every task.
+        if shards.mixed:
+            rows = rows.hint("rebalance", RAW_PARTITION_COLUMN)
+        (rows.write.partitionBy(RAW_PARTITION_COLUMN)
+         .option("partitionOverwriteMode", "dynamic").mode(mode).parquet(self.path))
+
+    def replace(self, shards: Shards, days: Iterable[dt.date]) -> list[DayLoad]:
+        """Make the given days equal to their shards; rows and bytes of each."""
+        days = sorted(set(days))
+        if not days:
+            return []
+        again = [d for d in days if d in self.days()]
+        self._write(shards, days, "overwrite")
+        if again:
+            # a shard that has become empty writes no file, so its old partition has to go
+            filled = {r[0] for r in shards.read(again).select(RAW_PARTITION_COLUMN)
+                      .distinct().collect()}
+            for day in set(again) - filled:
+                self.clear(day)
+        return self._measured(days)
+
+    def append(self, shards: Shards, days: Iterable[dt.date]) -> list[DayLoad]:
+        """Add the shards' rows to what the days already hold."""
+        days = sorted(set(days))
+        if not days:
+            return []
+        self._write(shards, days, "append")
+        return self._measured(days)
+
+    def _measured(self, days: list[dt.date]) -> list[DayLoad]:
+        written = {}
+        if self.days():
+            stats = self.stats(days[0], days[-1]).where(F.col(RAW_PARTITION_COLUMN).isin(days))
+            written = {r[0]: DayLoad(*r) for r in stats.collect()}
+        return [written.get(d, DayLoad(d, 0, 0)) for d in days]
+
+    def clear(self, day: dt.date) -> None:
+        """Remove one day's partition."""
+        remove(self.spark, f"{self.path}/{RAW_PARTITION_COLUMN}={day.isoformat()}")
+
+    def stats(self, start: dt.date | str, end: dt.date | str) -> DataFrame:
+        """(shard_date, num_rows, num_bytes) of each partition in the range.
+
+        Bytes are the sizes of the data files, from the scan's file metadata.
+        """
+        files = self.read(start, end).groupBy(
+            RAW_PARTITION_COLUMN, F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_size").alias("size")).agg(F.count(F.lit(1)).alias("n"))
+        return files.groupBy(RAW_PARTITION_COLUMN).agg(
+            F.sum("n").alias("num_rows"), F.sum("size").alias("num_bytes"))
+
+    def last_modified(self, start: dt.date | str, end: dt.date | str) -> DataFrame:
+        """One row: when the newest data file in the range was written."""
+        return self.read(start, end).agg(
+            F.max("_metadata.file_modification_time").alias("loaded_at"))
+
+
+# ------------------------------------------------------------------ loads
+
+def load_pending(table: RawTable, shards: Shards, ledger: Ledger, most: int | None = 1
+                 ) -> list[DayLoad]:
+    """Load the first ``most`` days that are offered but not in the ledger (None: all of them).
+
+    The ledger is written after the data, so a crash in between only repeats
+    loads that change nothing.
+    """
+    state = ledger.state()
+    if state is None:
+        raise RuntimeError("the ledger has not begun: call begin() with the first day wanted")
+    loads = table.replace(shards, state.pending(shards.days())[:most])
+    if loads:
+        ledger.record(loads)
+    return loads
+
+
+def reload_day(table: RawTable, shards: Shards, ledger: Ledger, day: dt.date) -> DayLoad:
+    """Replace one day by its shard again (the repair path) and record the new counts."""
+    if day not in shards.days():
+        raise ValueError(f"no shard is offered for {day}")
+    (load,) = table.replace(shards, [day])
+    state = ledger.state()
+    if state is not None and day in state.loads:
+        ledger.record([load])
+    return load

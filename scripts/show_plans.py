@@ -9,7 +9,6 @@ Usage: python scripts/show_plans.py [sf_dir] > PLANS.md
 
 from __future__ import annotations
 
-import datetime as dt
 import os
 import re
 import sys
@@ -19,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from playmetrics.plans.models import Models  # noqa: E402
 from playmetrics.session import build_session, scratch_path  # noqa: E402
 from playmetrics.sources.fixture_events import read_fixture_raw  # noqa: E402
-from playmetrics.sources.raw_table import frame_source, load_days, read_raw  # noqa: E402
+from playmetrics.sources.raw_table import RawTable, frame_shards  # noqa: E402
 
 KEEP = ("Exchange", "Join", "Window", "HashAggregate", "SortAggregate", "Scan", "Expand",
         "TakeOrdered", "ReusedExchange", "Subquery")
@@ -46,11 +45,11 @@ def main() -> None:
     spark = build_session("local[8]", shuffle_partitions=200)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    first, last = dt.date(2024, 1, 1), dt.date(2024, 1, 30)
-    path = scratch_path(spark, "raw")
-    load_days(frame_source(read_fixture_raw(spark, sf_dir)), path,
-              [first + dt.timedelta(days=i) for i in range(30)])
-    m = Models(read_raw(spark, path, first, last))
+    shards = frame_shards(read_fixture_raw(spark, sf_dir))
+    table = RawTable(spark, scratch_path(spark, "raw"))
+    days = shards.days()
+    table.replace(shards, days)
+    m = Models(table.read(days[0], days[-1]))
     print("# Physical plan shapes (AQE and auto-broadcast off: the large-input plan)\n")
     for name in ("staging", "sessionized", "int_user_days", "dim_users", "daily_active_users",
                  "retention_cohorts", "retention_by_extra_steps_grant", "level_funnel_daily",

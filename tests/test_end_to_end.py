@@ -1,67 +1,106 @@
 """Fault -> detection -> repair over a real build (sf0.001 fixture events)."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from playmetrics.operators import quality as Q
 from playmetrics.operators.diff import key_diff
-from playmetrics.plans.build import build
-from playmetrics.sources.faults import null_out_column
+from playmetrics.operators.masking import masked
+from playmetrics.plans.build import build, scheduled_run
+from playmetrics.session import checkpoint_dir
 from playmetrics.sources.fixture_events import read_fixture_raw
-from playmetrics.sources.raw_table import frame_source, read_raw, reload_day, reset_state, run_load
+from playmetrics.sources.ledger import Ledger
+from playmetrics.sources.raw_table import RawTable, frame_shards
 
-FIRST, LAST = dt.date(2024, 1, 1), dt.date(2024, 1, 30)
 SMALL = "/root/testdata/sf0.001"
+BAND = (1, 10_000)
 
 
 def _report(result):
     return {r.check: r for r in result.report.collect()}
 
 
+def _shards(spark):
+    """Fixture shards without the funnel events, whose random counts break a declared rule."""
+    return frame_shards(read_fixture_raw(spark, SMALL).where(
+        ~F.col("event_name").like("level%quickplay")))
+
+
 def test_null_spike_detected_then_repaired(spark, tmp_dir):
-    source = frame_source(read_fixture_raw(spark, SMALL))
-    raw_path, state = f"{tmp_dir}/raw", f"{tmp_dir}/state"
-    reset_state(spark, state, FIRST)
-    run_load(spark, source, raw_path, state, LAST, catch_up=29)
-    clean = build(spark, read_raw(spark, raw_path, FIRST, LAST), f"{tmp_dir}/clean", FIRST, LAST,
-                  volume_band=(1, 10_000))
+    shards, table = _shards(spark), RawTable(spark, f"{tmp_dir}/raw")
+    days = shards.days()
+    table.replace(shards, days)
+    first, last = days[0], days[-1]
+    clean = build(spark, table.read(first, last), f"{tmp_dir}/clean", first, last, volume_band=BAND)
     assert _report(clean)["monitor:null_rate:platform"].status == "pass"
 
-    bad_day = dt.date(2024, 1, 12)
-    null_out_column(spark, raw_path, "platform", bad_day, 0.35)
+    bad_day = days[11]
+    bad = masked(shards.read([bad_day]).drop("shard_date"), "platform", 0.35)
+    table.replace(frame_shards(bad), [bad_day])
     marts = f"{tmp_dir}/marts"
-    faulted = build(spark, read_raw(spark, raw_path, FIRST, LAST), marts, FIRST, LAST,
-                    volume_band=(1, 10_000))
-    rep = _report(faulted)
-    assert rep["monitor:null_rate:platform"].status == "warn"
-    assert rep["monitor:null_rate:platform"].failures == 1
-
-    reload_day(source, raw_path, bad_day, FIRST, LAST)
-    repaired = build(spark, read_raw(spark, raw_path, FIRST, LAST), marts, FIRST, LAST,
-                     rebuild_start_date=bad_day, volume_band=(1, 10_000))
+    faulted = build(spark, table.read(first, last), marts, first, last, volume_band=BAND)
+    found = _report(faulted)["monitor:null_rate:platform"]
+    assert (found.status, found.failures) == ("warn", 1)
+
+    table.replace(shards, [bad_day])
+    repaired = build(spark, table.read(first, last), marts, first, last,
+                     rebuild_start_date=bad_day, volume_band=BAND)
     assert _report(repaired)["monitor:null_rate:platform"].status == "pass"
     for name in ("fct_events", "dim_users", "daily_active_users", "retention_cohorts"):
         a, b = repaired.read(spark, name), clean.read(spark, name)
         assert a.exceptAll(b.select(*a.columns)).count() == 0, name
         assert b.select(*a.columns).exceptAll(a).count() == 0, name
-    diff = key_diff(repaired.read(spark, "fct_events"), clean.read(spark, "fct_events"),
-                    "event_pk").collect()[0]
+    (diff,) = key_diff(repaired.read(spark, "fct_events"), clean.read(spark, "fct_events"),
+                       "event_pk").collect()
     assert diff.only_in_a == 0 and diff.only_in_b == 0 and diff.a_rows == diff.b_rows
 
 
-def test_error_checks_fail_the_build(spark, tmp_dir):
-    raw = read_fixture_raw(spark, SMALL)
-    # the fixture's random funnel breaks `completes <= starts` on some days
-    result = build(spark, raw, f"{tmp_dir}/m", FIRST, LAST, volume_band=(1, 10_000))
-    failing = [r.check for r in result.report.collect() if r.status == "fail"]
-    if failing:
-        with pytest.raises(Q.QualityError):
-            build(spark, raw, f"{tmp_dir}/m2", FIRST, LAST, volume_band=(1, 10_000),
-                  fail_on_error=True)
-    assert all(r.status in ("pass", "warn") for r in result.report.collect()
-               if r.severity == "warn")
+def test_a_failing_error_check_keeps_the_old_marts(spark, tmp_dir):
+    shards, marts = _shards(spark), f"{tmp_dir}/marts"
+    days = shards.days()
+    raw = shards.read(days).drop("shard_date")
+    build(spark, raw, marts, days[0], days[-1], volume_band=BAND)
+    kept = {name: spark.read.parquet(f"{marts}/{name}").collect() for name in os.listdir(marts)}
+    # the window ends too early, so the fact table breaks the declared range
+    with pytest.raises(Q.QualityError, match="event_date within the loaded days"):
+        build(spark, raw.where(F.col("event_name") != "app_remove"), marts, days[0], days[-3],
+              volume_band=BAND)
+    for name, rows in kept.items():
+        if name != "_checks":
+            assert sorted(map(str, spark.read.parquet(f"{marts}/{name}").collect())) == sorted(
+                map(str, rows)), name
+    report = {r.check: r.status for r in spark.read.parquet(f"{marts}/_checks").collect()}
+    assert report["expression:fct_events:event_date within the loaded days"] == "fail"
+    # without blocking the same build is published; a warning never blocks
+    out = build(spark, raw, marts, days[0], days[-3], volume_band=(1, 2), block_on_errors=False)
+    assert _report(out)["monitor:daily_volume"].status == "warn"
+
+
+def test_a_stale_load_blocks_and_a_late_one_warns(spark, tmp_dir):
+    shards = _shards(spark)
+    days = shards.days()
+    raw = shards.read(days).drop("shard_date")
+    at = dt.datetime(2024, 5, 1, tzinfo=dt.timezone.utc)
+    loaded = spark.createDataFrame([(at,)], "loaded_at timestamp")
+    late = build(spark, raw, f"{tmp_dir}/m", days[0], days[-1], volume_band=BAND, loaded=loaded,
+                 as_of=at + dt.timedelta(hours=30))
+    assert _report(late)["freshness:raw:late"].status == "warn"
+    with pytest.raises(Q.QualityError, match="freshness:raw:stale"):
+        build(spark, raw, f"{tmp_dir}/m", days[0], days[-1], volume_band=BAND, loaded=loaded,
+              as_of=at + dt.timedelta(hours=60))
+
+
+def test_a_build_leaves_no_scratch_tables(spark, tmp_dir):
+    shards = _shards(spark)
+    days = shards.days()
+    root = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    build(spark, shards.read(days).drop("shard_date"), f"{tmp_dir}/m", days[0], days[-1],
+          volume_band=BAND)
+    assert set(os.listdir(root)) == before
 
 
 def test_monitors_fire_on_their_faults(spark, make_raw):
@@ -83,16 +122,14 @@ def test_monitors_fire_on_their_faults(spark, make_raw):
 
 
 def test_scheduled_runs_grow_the_marts_day_by_day(spark, tmp_dir):
-    from playmetrics.plans.build import scheduled_run
-    source = frame_source(read_fixture_raw(spark, SMALL))
-    raw_path, state, marts = f"{tmp_dir}/raw", f"{tmp_dir}/state", f"{tmp_dir}/marts"
-    reset_state(spark, state, FIRST)
-    first = scheduled_run(spark, source, raw_path, state, marts, LAST, catch_up=27,
-                          volume_band=(1, 10_000))
+    shards, table = _shards(spark), RawTable(spark, f"{tmp_dir}/raw")
+    ledger, marts = Ledger(spark, f"{tmp_dir}/ledger"), f"{tmp_dir}/marts"
+    ledger.begin(shards.days()[0])
+    first = scheduled_run(spark, shards, table, ledger, marts, 28, volume_band=BAND)
     days_1 = first.read(spark, "daily_active_users").count()
-    second = scheduled_run(spark, source, raw_path, state, marts, LAST, catch_up=5,
-                           volume_band=(1, 10_000))
+    second = scheduled_run(spark, shards, table, ledger, marts, None, volume_band=BAND)
     assert (days_1, second.read(spark, "daily_active_users").count()) == (28, 30)
+    assert _report(second)["freshness:raw:stale"].status == "pass"
     fct = second.read(spark, "fct_events")
     assert fct.select("event_date").distinct().count() == 30
-    assert scheduled_run(spark, source, raw_path, state, marts, LAST) is None
+    assert scheduled_run(spark, shards, table, ledger, marts, None) is None

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from playmetrics.plans.oracle import bigint_counts
 from playmetrics.plans.sinks import contract_violations
-from playmetrics.sources.faults import null_out, row_fraction
+from playmetrics.operators.masking import masked, row_share
 
 
 def test_bigint_counts_rewrite_keeps_semantics():
@@ -29,17 +29,36 @@ def test_contract_violations_report_order_and_types():
     assert contract_violations(want, want) == []
 
 
-def test_null_out_full_and_partial_are_reproducible(spark, make_raw):
-    rows = [raw_event(user=f"u{i}", name=f"e{i}") for i in range(200)]
-    raw = make_raw(rows)
-    full = null_out(raw, "platform", 1.0)
+def test_masking_is_reproducible_and_bounded(spark, make_raw):
+    raw = make_raw([raw_event(user=f"u{i}", name=f"e{i}") for i in range(200)])
+    full = masked(raw, "platform")
     assert full.where(F.col("platform").isNotNull()).count() == 0
     assert dict(full.dtypes)["platform"] == "string"
-    part = null_out(raw, "platform", 0.35, seed="s")
-    n1 = part.where(F.col("platform").isNull()).count()
-    n2 = null_out(raw, "platform", 0.35, seed="s").where(F.col("platform").isNull()).count()
-    assert n1 == n2 and 30 < n1 < 110
-    fr = raw.select(row_fraction("s").alias("f")).agg(F.min("f"), F.max("f")).first()
-    assert 0 <= fr[0] and fr[1] < 1
-    with pytest.raises(ValueError):
-        null_out(raw, "no_such_column", 0.5)
+    first, again = (masked(raw, "platform", 0.35, seed="s").where("platform is null").count()
+                    for _ in range(2))
+    assert first == again and 30 < first < 110
+    low, high = raw.select(row_share("s").alias("f")).agg(F.min("f"), F.max("f")).first()
+    assert 0 <= low and high < 1
+    for column, share in (("no_such_column", 0.5), ("device.category", 1.0), ("platform", 5),
+                          ("platform", 0)):
+        with pytest.raises(ValueError):
+            masked(raw, column, share)
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    from playmetrics.session import ensure_checkpoint_dir
+    none = SimpleNamespace(get=lambda key, default=None: default)
+    for master, fine in (("yarn", False), ("spark://host:7077", False),
+                         ("local-cluster[2,1,1024]", False), ("local[2]", True)):
+        chosen = []
+        sc = SimpleNamespace(master=master, getConf=lambda: none,
+                             getCheckpointDir=lambda c=chosen: c[0] if c else None,
+                             setCheckpointDir=chosen.append)
+        session = SimpleNamespace(sparkContext=sc, conf=none)
+        if fine:
+            assert ensure_checkpoint_dir(session) == chosen[0]
+        else:
+            with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+                ensure_checkpoint_dir(session)

@@ -105,3 +105,28 @@ def test_events_without_user_or_day_follow_the_join_semantics(spark, make_raw):
     assert dau == {BASE.date(): 1, (BASE + D).date(): 1}
     # the sessions themselves keep the user-less events, one partition of their own
     assert m.sessionized.where("user_pseudo_id IS NULL").count() == 2
+
+
+def test_day_30_retention_has_a_rate_once_it_is_observable(spark, make_raw):
+    rows = []
+    for user, comes_back in (("kept", 30), ("lost", 29), ("early", None)):
+        rows.append(raw_event(user=user, at=BASE, name="first_open"))
+        if comes_back:
+            rows.append(raw_event(user=user, at=BASE + comes_back * D, name="x"))
+    rows += [raw_event(user="late", at=BASE + 20 * D, name="first_open"),
+             raw_event(user="late", at=BASE + 40 * D, name="x")]
+    m = Models(make_raw(rows))
+    by_day = {r.cohort_date: r for r in m.retention_cohorts.collect()}
+    c = by_day[BASE.date()]
+    assert (c.cohort_size, c.retained_d30, c.retention_d30) == (3, 1, 0.3333)
+    late = by_day[(BASE + 20 * D).date()]
+    assert (late.retained_d30, late.retention_d30) == (0, None)
+    (b,) = m.retention_by_extra_steps_grant.collect()
+    assert (b.cohort_users, b.d30_denominator, b.retained_d30, b.retention_d30) == (4, 3, 1, 0.3333)
+
+
+def test_economy_sums_do_not_depend_on_the_order(spark, make_raw):
+    rows = [raw_event(user=f"u{i}", at=BASE + dt.timedelta(seconds=i), name="ad_reward",
+                      params={"value": ("double_value", v)}) for i, v in enumerate([0.1] * 3 + [0.05] * 7)]
+    (r,) = extra_steps_economy_daily(Models(make_raw(rows)).staging).collect()
+    assert r.steps_granted_by_ads == 0.7  # 0.65, rounded up as decimals are

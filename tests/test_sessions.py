@@ -1,10 +1,13 @@
 import datetime as dt
 import random
 
+import pytest
 from conftest import BASE, raw_event
 from pyspark.sql import functions as F
 
-from playmetrics.operators.sessions import hot_keys, sessionize, sessionize_single_window
+from plain_forms import sessionize_single_window
+
+from playmetrics.operators.sessions import hot_keys, sessionize
 from playmetrics.operators.staging import stage_events
 from playmetrics.operators.user_days import user_days
 from playmetrics.plans.models import Models
@@ -67,9 +70,9 @@ def test_two_level_equals_single_window_with_hot_users(spark, make_raw):
         got = sessionize(stg, **kw).select(cols)
         assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
     assert sessionize(stg).where("user_pseudo_id IS NULL").count() == 6
-    hot = hot_keys(raw, min_rows=100, max_keys=1)
+    hot = hot_keys(raw, share=3)
     assert [r.user_pseudo_id for r in hot.collect()] == ["u0"]
-    got = Models(raw, hot_user_min_rows=100, hot_user_limit=1).sessionized.select(cols)
+    got = Models(raw, hot_share=3).sessionized.select(cols)
     assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
 
 
@@ -94,9 +97,27 @@ def test_session_counts_from_summary_match_numbering(spark, make_raw):
             rows.append(raw_event(user=f"u{u}", at=t, name=f"n{i % 4}"))
     rows.append(raw_event(user="u2", at=None, name="untimed"))
     raw = make_raw(rows)
-    lazy = Models(raw, hot_user_min_rows=200, hot_user_limit=1)
+    lazy = Models(raw, hot_share=3)
     via_counts = lazy.dim_users                     # session counts from the summary
     via_numbers = Models(None, sessionized=lazy.sessionized).dim_users
     assert via_counts.exceptAll(via_numbers).count() == 0
     assert via_numbers.exceptAll(via_counts).count() == 0
     assert via_counts.count() == 5
+
+
+def test_many_untimed_events_of_one_user_spread_over_buckets(spark, make_raw):
+    from playmetrics.operators.sessions import _with_bucket
+    raw = make_raw([raw_event(user="u1", at=None, name=f"e{i}") for i in range(300)]
+                   + [raw_event(user="u1", at=BASE + i * S, name=f"t{i}") for i in range(5)])
+    stg = stage_events(raw)
+    assert _with_bucket(stg, 86_400, None, 60).select("_bucket").distinct().count() > 100
+    cols = ["event_pk", "session_number", "is_session_first_event", "seconds_since_previous_event"]
+    got, ref = Models(raw).sessionized.select(cols), sessionize_single_window(stg).select(cols)
+    assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+
+
+def test_a_missing_summary_bucket_is_an_error(spark, make_raw):
+    raw = make_raw([raw_event(at=BASE), raw_event(at=BASE + dt.timedelta(days=2), name="b")])
+    stg = stage_events(raw)
+    with pytest.raises(Exception, match="missing from the session summary"):
+        sessionize(stg, timeline=stg.where(F.col("event_name") != "b")).collect()

@@ -7,7 +7,9 @@ from conftest import BASE, raw_event
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from playmetrics.operators.sessions import sessionize, sessionize_single_window
+from plain_forms import sessionize_single_window
+
+from playmetrics.operators.sessions import sessionize
 from playmetrics.operators.staging import stage_events
 
 GAPS = st.sampled_from([0, 1, 59, 60, 1799, 1800, 1801, 3600, 86_399, 86_400, 90_000])
@@ -33,6 +35,7 @@ def test_two_level_matches_single_window(spark, make_raw, users, bucket, micro,
     hot = raw.select("user_pseudo_id").where("user_pseudo_id = 'u0'") if hot_first else None
     got = sessionize(stg, bucket_seconds=bucket, hot_users=hot, hot_bucket_seconds=60,
                      timeline=raw.selectExpr("user_pseudo_id",
-                                             "timestamp_micros(event_timestamp) AS event_at"))
+                                             "timestamp_micros(event_timestamp) AS event_at",
+                                             "cast(null as string) AS event_pk"))
     got = got.select(cols)
     assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0

@@ -1,36 +1,7 @@
-import datetime as dt
+from plain_forms import spark_checks
 
-from conftest import BASE, raw_event
-from pyspark.sql import functions as F
-
-from playmetrics.operators import quality as Q
 from playmetrics.operators.diff import key_diff, keys_only_in
-from playmetrics.plans.suite import Decl, spark_checks, suite_report
-from playmetrics.sources.raw_table import (
-    last_modified,
-    load_days,
-    read_raw,
-    sharded_parquet_source,
-)
-
-D = dt.timedelta(days=1)
-
-
-def test_load_from_per_day_shard_folders(spark, make_raw, tmp_dir):
-    for i in range(3):
-        day = BASE + i * D
-        rows = [raw_event(user=f"u{j}", at=day + dt.timedelta(minutes=j)) for j in range(i + 1)]
-        make_raw(rows).write.parquet(f"{tmp_dir}/shards/events_{day:%Y%m%d}")
-    source = sharded_parquet_source(spark, f"{tmp_dir}/shards")
-    days = [BASE.date() + i * D for i in range(3)]
-    load_days(source, f"{tmp_dir}/raw", days[1:])
-    raw = read_raw(spark, f"{tmp_dir}/raw", days[0], days[-1])
-    counts = {r.shard_date: r["count"] for r in raw.groupBy("shard_date").count().collect()}
-    assert counts == {days[1]: 2, days[2]: 3}
-    (newest,) = last_modified(spark, f"{tmp_dir}/raw", days[0], days[-1]).collect()
-    age = Q.freshness(last_modified(spark, f"{tmp_dir}/raw", days[0], days[-1]),
-                      newest.loaded_at + dt.timedelta(hours=27)).collect()[0]
-    assert age.status == "warn"
+from playmetrics.plans.suite import Decl, suite_report
 
 
 def test_violation_frames_and_report_agree(spark, make_raw):
@@ -57,3 +28,11 @@ def test_key_diff_and_keys_only_in(spark):
     (d,) = key_diff(a, b, "k").collect()
     assert (d.a_rows, d.b_rows, d.only_in_a, d.only_in_b, d.in_both) == (4, 3, 1, 1, 2)
     assert sorted(r.k for r in keys_only_in(a, b, "k").collect()) == ["k1"]
+
+
+def test_table_diff_does_not_depend_on_the_session_time_zone(spark):
+    from playmetrics.plans.queries import all_queries
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    (d,) = all_queries()["table_diff"](spark, "/root/testdata/sf0.001").collect()
+    assert d.a_rows == d.b_rows == d.in_both + d.only_in_a and 0 < d.only_in_a == d.only_in_b
+    assert d.in_both > 0.9 * d.a_rows
