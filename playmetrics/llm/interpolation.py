@@ -278,24 +278,28 @@ def learn(cells: np.ndarray, counts: np.ndarray, corpus: Corpus, rounds: int = E
     return weights / weights.sum(axis=1, keepdims=True)
 
 
-COUNTED = ("doc_ids array<long>, held array<boolean>, offsets binary, tokens binary, words binary, "
-           "bigrams binary, cells array<long>, cell_counts array<long>")
+COUNTED = ("doc_ids array<long>, held array<boolean>, offsets binary, words binary, bigrams binary, "
+           "cells array<long>, cell_counts array<long>, types long")
 SCORED = ("id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
           "base_score double, score double")
 
 
-def _context_counts(tokens: np.ndarray, words: np.ndarray, starts: np.ndarray,
-                    docs: int) -> np.ndarray:
-    out = np.empty(len(tokens))
-    out[1:] = words[tokens[:-1]]
+def _context_counts(words: np.ndarray, starts: np.ndarray, docs: int) -> np.ndarray:
+    """How often each token's context was seen: the count of the token before it."""
+    out = np.empty(len(words))
+    out[1:] = words[:-1]
     out[starts] = docs
     return out
 
 
 def count(cut: DataFrame, answers: DataFrame, corpus: Corpus) -> DataFrame:
-    """Chunks with the corpus counts of their words and of each token's bigram."""
+    """Chunks as corpus counts: of each token's word and of its bigram.
+
+    ``types`` adds up to the distinct training words over all rows.
+    """
     by_chunk = answers.groupBy("chunk").agg(
-        F.array_sort(F.collect_list(F.struct("kind", "shard", "totals"))).alias("answers"))
+        F.array_sort(F.collect_list(F.struct("kind", "shard", "totals"))).alias("answers"),
+        F.sum(F.when(F.col("kind") == 1, F.col("distinct"))).alias("types"))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -304,19 +308,18 @@ def count(cut: DataFrame, answers: DataFrame, corpus: Corpus) -> DataFrame:
                 got = {kind: np.concatenate([unsqueeze(a["totals"]).astype(np.uint64)
                                              for a in row["answers"] if a["kind"] == kind])
                        for kind in (1, 2)}
-                words = got[1].astype(np.float64)
-                own = got[2][chunk.bigrams()[1]]
-                c1 = _context_counts(chunk.tokens, words, chunk.offsets[:-1], corpus.docs)
+                words, pairs = got[1][chunk.tokens], got[2][chunk.bigrams()[1]]
+                c2, c12 = words.astype(np.float64), pairs.astype(np.float64)
+                c1 = _context_counts(c2, chunk.offsets[:-1], corpus.docs)
                 train = chunk.train
                 cells, counts = np.unique(
-                    deleted_cells(own[train].astype(np.float64), c1[train],
-                                  words[chunk.tokens[train]], corpus), return_counts=True)
+                    deleted_cells(c12[train], c1[train], c2[train], corpus), return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["doc_ids"]], pa.list_(pa.int64())),
                      pa.array([row["held"]], pa.list_(pa.bool_())), pa.array([row["offsets"]]),
-                     pa.array([row["tokens"]]), pa.array([squeeze(_smallest(got[1]))]),
-                     pa.array([squeeze(_smallest(own))]), pa.array([cells], pa.list_(pa.int64())),
-                     pa.array([counts], pa.list_(pa.int64()))],
+                     pa.array([squeeze(_smallest(words))]), pa.array([squeeze(_smallest(pairs))]),
+                     pa.array([cells], pa.list_(pa.int64())),
+                     pa.array([counts], pa.list_(pa.int64())), pa.array([row["types"]], pa.int64())],
                     names=[c.split()[0] for c in COUNTED.split(", ")])
 
     return cut.join(by_chunk, "chunk").mapInArrow(meet, COUNTED)
@@ -326,12 +329,11 @@ def rate(counted: DataFrame, corpus: Corpus, weights: np.ndarray) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                offsets, tokens = unsqueeze(row["offsets"]), unsqueeze(row["tokens"])
-                words = unsqueeze(row["words"]).astype(np.float64)
+                offsets = unsqueeze(row["offsets"])
+                c = unsqueeze(row["words"]).astype(np.float64)
                 c12 = unsqueeze(row["bigrams"]).astype(np.float64)
                 starts = offsets[:-1]
-                c1 = _context_counts(tokens, words, starts, corpus.docs)
-                c = words[tokens]
+                c1 = _context_counts(c, starts, corpus.docs)
                 w = weights[bucket(c1)]
                 p = (w[:, 0] / (corpus.types + 1) + w[:, 1] * c / max(corpus.tokens, 1)
                      + w[:, 2] * c12 / np.maximum(c1, 1))
@@ -353,11 +355,11 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Every row's token counts, add-one unigram score and interpolated score (log10)."""
     spark = prepare(docs.sparkSession)
     cut = chunks(docs, id_col, text_col, chunk_tokens).checkpoint()
-    answers = totals(cut, shuffle_partitions(spark)).checkpoint()
     sums = cut.agg(F.sum("train_tokens").alias("tokens"), F.sum("train_docs").alias("docs")).first()
-    types = answers.where("kind = 1").agg(F.sum("distinct").alias("n")).first()
-    corpus = Corpus(sums.tokens or 0, types.n or 0, sums.docs or 0)
-    counted = count(cut, answers, corpus).checkpoint()
+    seen = Corpus(sums.tokens or 0, 0, sums.docs or 0)
+    counted = count(cut, totals(cut, shuffle_partitions(spark)), seen).checkpoint()
+    types = counted.agg(F.sum("types").alias("n")).first().n
+    corpus = Corpus(seen.tokens, types or 0, seen.docs)
     cells = (counted.select(F.explode(F.arrays_zip("cells", "cell_counts")).alias("x"))
              .groupBy("x.cells").agg(F.sum("x.cell_counts").alias("n")).orderBy("cells").collect())
     weights = learn(np.array([r.cells for r in cells], np.int64),
