@@ -111,7 +111,7 @@ def _bucket_opens(gap_seconds: int) -> tuple[Column, Column]:
 
 def bucket_summary(timeline: DataFrame, gap_seconds: int = 1800,
                    bucket_seconds: int = DAY_SECONDS, hot_users: DataFrame | None = None,
-                   hot_bucket_seconds: int = 60) -> DataFrame:
+                   hot_bucket_seconds: int = 60, prior: DataFrame | None = None) -> DataFrame:
     """Per (user, bucket): the gap from the previous bucket's last event, whether
     the bucket opens a session, and how many sessions began in earlier buckets.
 
@@ -121,6 +121,13 @@ def bucket_summary(timeline: DataFrame, gap_seconds: int = 1800,
     has each user's distinct timestamps and the exact rows without one.
     """
     stats = _bucket_stats(timeline, gap_seconds, bucket_seconds, hot_users, hot_bucket_seconds)
+    if prior is not None:
+        # earlier history is one more bucket, after untimed events and before timed ones
+        stats = stats.unionByName(prior.select(
+            F.struct(F.col(USER).alias("u")).alias("_uk"),
+            F.lit(_NULL_TIME_BUCKET + 16**UNTIMED_DIGITS).alias("_bucket"),
+            F.col("last_at").alias("_b_min"), F.col("last_at").alias("_b_max"),
+            (F.col("sessions") - 1).alias("_b_local")))
     gap, opens = _bucket_opens(gap_seconds)
     ws = Window.partitionBy("_uk").orderBy("_bucket")
     earlier = F.sum(opens.cast("bigint") + F.col("_b_local")).over(
@@ -144,19 +151,23 @@ def user_session_counts(timeline: DataFrame, gap_seconds: int = 1800,
 
 def sessionize(stg: DataFrame, gap_seconds: int = 1800, bucket_seconds: int = DAY_SECONDS,
                hot_users: DataFrame | None = None, hot_bucket_seconds: int = 60,
-               timeline: DataFrame | None = None) -> DataFrame:
+               timeline: DataFrame | None = None, prior: DataFrame | None = None) -> DataFrame:
     """Add session_number, is_session_first_event, seconds_since_previous_event,
     session_id to every staging row (one output row per input row).
 
     ``timeline`` (see :func:`bucket_summary`) lets the small per-bucket
     summary come from a cheap source, e.g. two columns of the raw table,
     instead of a second evaluation of ``stg``; it defaults to ``stg`` itself.
+
+    ``prior`` (user_pseudo_id, last_at, sessions) tells where users' sessions
+    stand before the first of these events, so that new days can be numbered
+    without their history. All events must then have a time after ``prior``.
     """
     columns = stg.columns
     ev = _with_bucket(stg, bucket_seconds, hot_users, hot_bucket_seconds)
     ev = _local_flags(ev, ["event_at", "event_pk"], gap_seconds)
     summary = bucket_summary(stg if timeline is None else timeline, gap_seconds,
-                             bucket_seconds, hot_users, hot_bucket_seconds)
+                             bucket_seconds, hot_users, hot_bucket_seconds, prior)
     # every event's bucket is in the summary; one that is not must not vanish unseen
     joined = ev.join(summary, on=["_uk", "_bucket"], how="left").withColumn(
         "_b_offset", F.coalesce("_b_offset", F.raise_error(F.lit(

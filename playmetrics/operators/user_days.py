@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playmetrics.functions.params import surrogate_key
@@ -29,10 +29,17 @@ def user_days(sessionized: DataFrame) -> DataFrame:
     Rows without a user or a day are left out, as the equi-join of the two
     per-day aggregates in the source definition leaves them out.
     """
-    name = F.col("event_name")
     keyed = sessionized.where(F.col("user_pseudo_id").isNotNull()
                               & F.col("event_date").isNotNull())
-    daily = keyed.groupBy("user_pseudo_id", "event_date").agg(
+    daily = keyed.groupBy("user_pseudo_id", "event_date").agg(*day_measures())
+    return daily.select(surrogate_key("user_pseudo_id", "event_date").alias("user_day_pk"),
+                        *USER_DAY_COLUMNS[1:])
+
+
+def day_measures() -> list[Column]:
+    """The spine's measures, as aggregates over a user's sessionized events of one day."""
+    name = F.col("event_name")
+    return [
         F.count(F.lit(1)).alias("num_events"),
         F.count_distinct("session_number").alias("num_sessions"),
         (F.count_if(name == "first_open") > 0).alias("has_first_open"),
@@ -40,6 +47,4 @@ def user_days(sessionized: DataFrame) -> DataFrame:
         (F.count_if(name.isin(PROGRESSIVE_EVENTS)) > 0).alias("has_played_progressive"),
         (F.count_if(name == "spend_virtual_currency") > 0).alias("has_spent_steps"),
         F.round(F.sum("engagement_time_msec") / 60000, 2).alias("engagement_minutes"),
-    )
-    return daily.select(surrogate_key("user_pseudo_id", "event_date").alias("user_day_pk"),
-                        *USER_DAY_COLUMNS[1:])
+    ]

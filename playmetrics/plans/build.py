@@ -1,11 +1,19 @@
 """One build of the whole model DAG: materialize, stage, check, publish.
 
 Staging with its session columns is computed once and written as a table in
-the shared checkpoint folder; the user-day spine likewise. Every mart is then
-written under its contract to a staging place and the data-test suite runs
-over what is staged. Only if no error-severity check fails are the staged marts
-published; otherwise the old ones stay and the report says why. The tables in
-the checkpoint folder are removed at the end.
+the shared checkpoint folder; what it says about each user and day (see
+``operators.user_state``) likewise. Every mart is then written under its
+contract to a staging place and the data-test suite runs over what is staged.
+Only if no error-severity check fails are the staged marts published; otherwise
+the old ones stay and the report says why. The tables in the checkpoint folder
+are removed at the end.
+
+A build that is told which shards are new (``new_days``) reads only events from
+the earliest day they touch, numbers their sessions on from the published
+user-day state and rewrites that state and the marts from there; its checks and
+monitors cover the same days. This equals a full build as long as those events
+have a time and are dated by it. Where one is not, or no state is published
+yet, the build is a full one.
 """
 
 from __future__ import annotations
@@ -13,10 +21,14 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playmetrics.operators import quality as Q
+from playmetrics.operators.core import fct_events
+from playmetrics.operators.economy import extra_steps_economy_daily
+from playmetrics.operators.funnels import level_funnel_daily
+from playmetrics.operators.user_state import sessions_before, spine, user_day_state, users
 from playmetrics.plans.models import Models
 from playmetrics.plans.sinks import (
     enforce_contract,
@@ -26,13 +38,14 @@ from playmetrics.plans.sinks import (
     write_contracted,
 )
 from playmetrics.plans.suite import declarations, suite_report
-from playmetrics.schema import MART_CONTRACTS
+from playmetrics.schema import MART_CONTRACTS, RAW_PARTITION_COLUMN
 from playmetrics.session import configure, scratch_path
-from playmetrics.sources.files import remove
+from playmetrics.sources.files import exists, remove
 from playmetrics.sources.ledger import Ledger
 from playmetrics.sources.raw_table import RawTable, Shards, load_pending
 
 FCT = "fct_events"
+STATE = "_user_day_state"  # not a mart: what the next build starts from
 
 
 @dataclass
@@ -69,7 +82,7 @@ def build(spark: SparkSession, raw: DataFrame, out_dir: str, window_start: dt.da
           volume_band: tuple[int, int] = (40_000, 60_000), null_rate_column: str = "platform",
           null_rate_threshold: float = 0.01, block_on_errors: bool = True,
           loaded: DataFrame | None = None, as_of: dt.datetime | None = None,
-          **model_kwargs) -> BuildResult:
+          new_days: list[dt.date] | None = None, **model_kwargs) -> BuildResult:
     """Build, check and publish every mart under ``out_dir``.
 
     A failing error check raises :class:`QualityError` after the report is
@@ -78,100 +91,170 @@ def build(spark: SparkSession, raw: DataFrame, out_dir: str, window_start: dt.da
     ``as_of``: late is a warning, far too late an error.
     """
     configure(spark)
+    out = out_dir.rstrip("/")
+    since = None
+    if new_days and rebuild_start_date is None:
+        since = first_day_touched(spark, raw, out, new_days)
     scratch = Scratch(spark)
     try:
-        return _build(spark, scratch, raw, out_dir.rstrip("/"), window_start, window_end,
-                      rebuild_start_date, volume_band, null_rate_column, null_rate_threshold,
-                      block_on_errors, loaded, as_of, model_kwargs)
+        staged, frames, recent = _stage(spark, scratch, raw, out, since, rebuild_start_date,
+                                        model_kwargs)
+        checks = [
+            Q.Check("singular:dau_reconciles",
+                    Q.dau_reconciles(frames["daily_active_users"], frames["int_user_days"])),
+            Q.Check("monitor:daily_volume", Q.daily_volume(frames["stg_events"], *volume_band),
+                    "warn"),
+            Q.Check(f"monitor:null_rate:{null_rate_column}",
+                    Q.null_rate(frames["stg_events"], null_rate_column, null_rate_threshold), "warn"),
+            Q.Check("monitor:redelivered_events",
+                    Q.duplicate_ratio(recent, frames["stg_events"]), "warn"),
+            Q.Check("monitor:event_date_is_utc_day",
+                    frames["stg_events"].where(F.col("event_date") != F.to_date("event_at")), "warn"),
+        ]
+        if loaded is not None:
+            age = Q.freshness(loaded, as_of or dt.datetime.now(dt.timezone.utc))
+            checks += [Q.Check("freshness:raw:late", age.where("status = 'warn'"), "warn"),
+                       Q.Check("freshness:raw:stale", age.where("status = 'error'"))]
+        result = BuildResult({"_checks": f"{out}/_checks"})
+        report = suite_report(spark, frames, declarations(window_start, window_end), checks)
+        report.coalesce(1).write.mode("overwrite").parquet(result.tables["_checks"])
+        result.report = spark.read.parquet(result.tables["_checks"])
+        if block_on_errors:
+            Q.raise_on_errors(result.report.collect())  # one small row per check
+        for name, path in staged.items():
+            result.tables[name] = f"{out}/{name}"
+            if name == FCT or name == STATE and since is not None:
+                replace_days(_read_days(spark, path, name), result.tables[name])
+            else:
+                rows = spark.read.parquet(path)
+                writer = rows.write.mode("overwrite")
+                (writer.partitionBy("event_date") if name == STATE else writer).parquet(
+                    result.tables[name])
+        return result
     finally:
         scratch.drop()
 
 
-def _build(spark, scratch, raw, out, window_start, window_end, rebuild_start_date, volume_band,
-           null_rate_column, null_rate_threshold, block_on_errors, loaded, as_of,
-           model_kwargs) -> BuildResult:
-    base = Models(raw, **model_kwargs)
-    sessionized = scratch.table(base.sessionized, "sessionized")
-    spine = scratch.table(Models(None, sessionized=sessionized).int_user_days, "user-days")
-    m = Models(None, sessionized=sessionized, user_days=spine)
+def _read_days(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """A table with ``event_date`` partitions, the day typed as a date."""
+    if name in MART_CONTRACTS:
+        return spark.read.schema(MART_CONTRACTS[name]).parquet(path)
+    return spark.read.parquet(path).withColumn("event_date", F.col("event_date").cast("date"))
+
+
+def first_day_touched(spark: SparkSession, raw: DataFrame, out: str, new_days: list[dt.date]
+                      ) -> dt.date | None:
+    """The day from which new shards can change anything; None: only a full build will do."""
+    published = partition_days(spark, f"{out}/{FCT}")
+    if not published or not exists(spark, f"{out}/{STATE}"):
+        return None
+    new = raw.where(F.col(RAW_PARTITION_COLUMN).isin(new_days))
+    earliest, odd = new.agg(F.min(F.timestamp_micros("event_timestamp")).cast("date"),
+                            F.count_if(_odd())).first()
+    if odd or earliest is None:
+        return None
+    since = min(earliest, max(published) - dt.timedelta(days=1))
+    return None if recent_rows(raw, since).where(_odd()).limit(1).count() else since
+
+
+def _odd() -> Column:
+    """Events without a time, or not dated by it."""
+    own_day = F.date_format(F.timestamp_micros("event_timestamp"), "yyyyMMdd")
+    return ~F.coalesce(F.col("event_date") == own_day, F.lit(False))
 
-    fct_path, staged = f"{out}/{FCT}", {FCT: scratch.path(FCT)}
-    changed = enforce_contract(incremental_rows(spark, m.fct_events, fct_path, rebuild_start_date),
-                               MART_CONTRACTS[FCT], FCT)
-    replace_days(changed, staged[FCT])
-    fct = _as_published(spark, staged[FCT], fct_path)
+
+def recent_rows(raw: DataFrame, since: dt.date) -> DataFrame:
+    """Raw events from ``since`` on by time or by date, whatever their shard.
+
+    Both conditions reach the Parquet scan, so row groups of older days are
+    skipped by their statistics.
+    """
+    start = int(dt.datetime.combine(since, dt.time(), dt.timezone.utc).timestamp()) * 1_000_000
+    return raw.where((F.col("event_timestamp") >= start)
+                     | (F.col("event_date") >= f"{since:%Y%m%d}"))
+
+
+def _stage(spark, scratch, raw, out, since, rebuild_start_date, model_kwargs
+           ) -> tuple[dict[str, str], dict[str, DataFrame], DataFrame]:
+    """Staged tables by name, the frames to check, and the raw rows they come from."""
+    recent, old_state = raw, None
+    if since is not None:
+        recent = recent_rows(raw, since)
+        old_state = _read_days(spark, f"{out}/{STATE}", STATE).where(
+            F.col("event_date").isNull() | (F.col("event_date") < F.lit(since)))
+        model_kwargs = {**model_kwargs, "prior": sessions_before(old_state)}
+    sessionized = scratch.table(Models(recent, **model_kwargs).sessionized, "sessionized")
+    staged = {STATE: scratch.path(STATE), FCT: scratch.path(FCT)}
+    user_day_state(sessionized).hint("rebalance", "event_date").write.partitionBy(
+        "event_date").parquet(staged[STATE])
+    state = _read_days(spark, staged[STATE], STATE)
+    if old_state is not None:
+        state = state.unionByName(old_state)
+    user_days = spine(state)
+
+    fct_path = f"{out}/{FCT}"
+    events = fct_events(sessionized)
+    changed = (events if since is not None
+               else incremental_rows(spark, events, fct_path, rebuild_start_date))
+    replace_days(enforce_contract(changed, MART_CONTRACTS[FCT], FCT), staged[FCT])
+    fct = (_read_days(spark, staged[FCT], FCT) if since is not None
+           else _as_published(spark, staged[FCT], fct_path))
 
     def stage(df: DataFrame, name: str) -> DataFrame:
         staged[name] = scratch.path(name)
         write_contracted(df, MART_CONTRACTS[name], staged[name], name)
         return spark.read.parquet(staged[name])
 
-    users = stage(m.dim_users, "dim_users")
-    m = Models(None, sessionized=sessionized, user_days=spine, users=users)
+    def stage_daily(df: DataFrame, name: str) -> DataFrame:
+        """Days from ``since`` on are new; published ones before it stay."""
+        if since is not None:
+            old = spark.read.schema(MART_CONTRACTS[name]).parquet(f"{out}/{name}")
+            df = df.unionByName(old.where(F.col("event_date") < F.lit(since)))
+        return stage(df, name)
+
+    known = stage(users(state), "dim_users")
+    m = Models(None, sessionized=sessionized, user_days=user_days, users=known)
     frames = {
         # staging and sessionized events are the same materialized table here;
         # one frame lets their shared uniqueness test run once
         "stg_events": sessionized, "int_events_sessionized": sessionized,
-        "int_user_days": spine, FCT: fct, "dim_users": users,
+        "int_user_days": user_days, FCT: fct, "dim_users": known,
         "daily_active_users": stage(m.daily_active_users, "daily_active_users"),
         "retention_cohorts": stage(m.retention_cohorts, "retention_cohorts"),
         "retention_by_extra_steps_grant": stage(m.retention_by_extra_steps_grant,
                                                 "retention_by_extra_steps_grant"),
         # the funnel and economy marts read the fact table, as in the DAG
-        "level_funnel_daily": stage(Models(None, staging=fct).level_funnel_daily,
-                                    "level_funnel_daily"),
-        "extra_steps_economy_daily": stage(Models(None, staging=fct).extra_steps_economy_daily,
-                                           "extra_steps_economy_daily"),
+        "level_funnel_daily": stage_daily(level_funnel_daily(fct), "level_funnel_daily"),
+        "extra_steps_economy_daily": stage_daily(extra_steps_economy_daily(fct),
+                                                 "extra_steps_economy_daily"),
     }
-    checks = [
-        Q.Check("singular:dau_reconciles", Q.dau_reconciles(frames["daily_active_users"], spine)),
-        Q.Check("monitor:daily_volume", Q.daily_volume(m.staging, *volume_band), "warn"),
-        Q.Check(f"monitor:null_rate:{null_rate_column}",
-                Q.null_rate(m.staging, null_rate_column, null_rate_threshold), "warn"),
-        Q.Check("monitor:redelivered_events", Q.duplicate_ratio(raw, m.staging), "warn"),
-        Q.Check("monitor:event_date_is_utc_day",
-                m.staging.where(F.col("event_date") != F.to_date("event_at")), "warn"),
-    ]
-    if loaded is not None:
-        age = Q.freshness(loaded, as_of or dt.datetime.now(dt.timezone.utc))
-        checks += [Q.Check("freshness:raw:late", age.where("status = 'warn'"), "warn"),
-                   Q.Check("freshness:raw:stale", age.where("status = 'error'"))]
-    result = BuildResult({"_checks": f"{out}/_checks"})
-    report = suite_report(spark, frames, declarations(window_start, window_end), checks)
-    report.coalesce(1).write.mode("overwrite").parquet(result.tables["_checks"])
-    result.report = spark.read.parquet(result.tables["_checks"])
-    if block_on_errors:
-        Q.raise_on_errors(result.report.collect())  # one small row per check
-    for name, path in staged.items():
-        result.tables[name] = f"{out}/{name}"
-        rows = spark.read.schema(MART_CONTRACTS[name]).parquet(path)
-        if name == FCT:
-            replace_days(rows, result.tables[name])
-        else:
-            rows.write.mode("overwrite").parquet(result.tables[name])
-    return result
+    return staged, frames, recent
 
 
 def _as_published(spark: SparkSession, staged: str, published: str) -> DataFrame:
     """The fact table as it will be: staged days, and the published ones they do not replace."""
-    rows = spark.read.schema(MART_CONTRACTS[FCT]).parquet(staged)
+    rows = _read_days(spark, staged, FCT)
     kept = sorted(set(partition_days(spark, published)) - set(partition_days(spark, staged)))
     if not kept:
         return rows
-    old = spark.read.schema(MART_CONTRACTS[FCT]).parquet(published)
+    old = _read_days(spark, published, FCT)
     return rows.unionByName(old.where(F.col("event_date").isin(kept)))
 
 
 def scheduled_run(spark: SparkSession, shards: Shards, table: RawTable, ledger: Ledger, out_dir: str,
                   most_days: int | None = 1, rebuild_start_date: dt.date | None = None,
                   as_of: dt.datetime | None = None, **build_kwargs) -> BuildResult | None:
-    """One scheduled cycle: load what is pending, then rebuild the models over
-    every loaded day (the fact table incrementally). Returns None when there
-    was nothing new to load and no rebuild was asked for."""
+    """One scheduled cycle: load what is pending, then bring the marts up to date
+    (see :func:`build`); a build that was blocked leaves its days to the next
+    one. Returns None when there was nothing new and no rebuild was asked for."""
     loads = load_pending(table, shards, ledger, most_days)
     if not loads and rebuild_start_date is None:
         return None
     state = ledger.state()
     span = (state.first_day, state.last_day)
+    # days after the newest published one are new to the marts, too, if a build was blocked
+    published = partition_days(spark, f"{out_dir.rstrip('/')}/{FCT}")
+    new = {x.day for x in loads} | {d for d in state.loads if published and d > max(published)}
     return build(spark, table.read(*span), out_dir, *span, rebuild_start_date=rebuild_start_date,
-                 loaded=table.last_modified(*span), as_of=as_of, **build_kwargs)
+                 loaded=table.last_modified(*span), as_of=as_of, new_days=sorted(new),
+                 **build_kwargs)

@@ -38,16 +38,18 @@ class Models:
     def __init__(self, raw: DataFrame | None, hot_share: int = HOT_SHARE,
                  staging: DataFrame | None = None,
                  sessionized: DataFrame | None = None, user_days: DataFrame | None = None,
-                 users: DataFrame | None = None):
+                 users: DataFrame | None = None, prior: DataFrame | None = None):
         """``staging``/``sessionized``/``user_days``/``users`` may be given
         pre-materialized (e.g. read back from written tables); models below
-        them are then built from those frames instead of from ``raw``."""
+        them are then built from those frames instead of from ``raw``. ``prior``
+        tells where sessions stand before ``raw`` (see ``sessionize``)."""
         self.raw = raw
         self._hot_share = hot_share
         self._staging = staging
         self._sessionized = sessionized
         self._user_days = user_days
         self._users = users
+        self._prior = prior
 
     @cached_property
     def staging(self) -> DataFrame:
@@ -66,7 +68,8 @@ class Models:
         """Staging plus the four session columns (one row per event)."""
         if self._sessionized is not None:
             return self._sessionized
-        return sessionize(self.staging, hot_users=self.hot_users, timeline=self.timeline)
+        return sessionize(self.staging, hot_users=self.hot_users, timeline=self.timeline,
+                          prior=self._prior)
 
     @cached_property
     def timeline(self) -> DataFrame | None:

@@ -69,7 +69,7 @@ def test_a_failing_error_check_keeps_the_old_marts(spark, tmp_dir):
         build(spark, raw.where(F.col("event_name") != "app_remove"), marts, days[0], days[-3],
               volume_band=BAND)
     for name, rows in kept.items():
-        if name != "_checks":
+        if name not in ("_checks", "_user_day_state"):
             assert sorted(map(str, spark.read.parquet(f"{marts}/{name}").collect())) == sorted(
                 map(str, rows)), name
     report = {r.check: r.status for r in spark.read.parquet(f"{marts}/_checks").collect()}
@@ -133,3 +133,54 @@ def test_scheduled_runs_grow_the_marts_day_by_day(spark, tmp_dir):
     fct = second.read(spark, "fct_events")
     assert fct.select("event_date").distinct().count() == 30
     assert scheduled_run(spark, shards, table, ledger, marts, None) is None
+
+
+def test_daily_builds_equal_a_full_one_and_read_only_recent_days(spark, tmp_dir, monkeypatch):
+    from playmetrics.plans import build as module
+    shards, table = _shards(spark), RawTable(spark, f"{tmp_dir}/raw")
+    ledger, marts = Ledger(spark, f"{tmp_dir}/ledger"), f"{tmp_dir}/marts"
+    days = shards.days()
+    ledger.begin(days[0])
+    scheduled_run(spark, shards, table, ledger, marts, 26, volume_band=BAND)
+    seen = []
+    recent_rows = module.recent_rows
+
+    def watched(raw, since):
+        seen.append(since)
+        return recent_rows(raw, since)
+
+    monkeypatch.setattr(module, "recent_rows", watched)
+    for _ in range(2):
+        scheduled_run(spark, shards, table, ledger, marts, 2, volume_band=BAND)
+    assert set(seen) == {days[24], days[26]}
+    plan = recent_rows(table.read(days[0], days[-1]), days[26])._jdf.queryExecution()
+    assert "GreaterThanOrEqual(event_timestamp" in plan.executedPlan().toString()
+    full = build(spark, table.read(days[0], days[-1]), f"{tmp_dir}/full", days[0], days[-1],
+                 volume_band=BAND)
+    for name in full.tables:
+        if name != "_checks":
+            a, b = spark.read.parquet(f"{marts}/{name}"), full.read(spark, name)
+            b = b.select(*a.columns)
+            assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+
+
+def test_odd_new_events_make_the_build_a_full_one(spark, tmp_dir, make_raw):
+    from conftest import BASE, raw_event
+    from playmetrics.plans.build import first_day_touched
+    day = dt.timedelta(days=1)
+    raw = make_raw([raw_event(user="u", at=BASE + k * day, name=f"e{k}") for k in range(4)])
+    table, out = RawTable(spark, f"{tmp_dir}/raw"), f"{tmp_dir}/m"
+    first = BASE.date()
+    table.replace(frame_shards(raw), [first, first + day, first + 2 * day])
+    build(spark, table.read(first, first + 2 * day), out, first, first + 2 * day, volume_band=BAND)
+    new = [first + 3 * day]
+
+    def touched(*rows):
+        table.replace(frame_shards(make_raw(list(rows)), F.lit(new[0])), new)
+        return first_day_touched(spark, table.read(first, new[0]), out, new)
+
+    assert touched(raw_event(user="u", at=BASE + 3 * day)) == first + day
+    assert touched(raw_event(user="u", at=BASE, name="late")) == first
+    assert touched(raw_event(user="u", at=None)) is None
+    assert touched(raw_event(user="u", at=BASE + 3 * day, event_date=f"{BASE:%Y%m%d}")) is None
+    assert first_day_touched(spark, table.read(first, new[0]), f"{tmp_dir}/none", new) is None
