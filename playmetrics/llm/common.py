@@ -37,6 +37,26 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` checkpointed, without the shuffle files of its making.
+
+    Once the rows are in the checkpoint folder nothing reads those files again,
+    so Spark removes them at the end of this action rather than whenever the
+    driver happens to collect its garbage.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(CLEAN_UP)
+    conf.set(CLEAN_UP, "true")
+    try:
+        # a new plan, since a plan takes the setting when it is made
+        return df.select("*").checkpoint()
+    finally:
+        conf.set(CLEAN_UP, before)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only; null reads as empty.
 

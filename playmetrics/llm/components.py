@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from playmetrics.llm.common import settled
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -28,7 +30,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) for every end of an edge (columns a, b); component is its least id."""
     edges = edges.where("a <> b").select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().checkpoint()
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().transform(settled)
     while True:
         # done when every edge points from a leaf straight to a root
         roots = edges.select(F.col("b").alias("a"))
@@ -36,7 +38,7 @@ def components(edges: DataFrame) -> DataFrame:
         split = edges.groupBy("a").count().where("count > 1").limit(1).count()
         if not chained and not split:
             break
-        edges = _small_star(_large_star(edges)).checkpoint()
+        edges = _small_star(_large_star(edges)).transform(settled)
     leaves = edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
     return leaves.union(edges.select(F.col("b").alias("id"), F.col("b").alias("component"))
                         .distinct())

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from playmetrics.llm.common import ascii_lower, prepare, shuffle_partitions, unused_name
+from playmetrics.llm.common import ascii_lower, prepare, settled, shuffle_partitions, unused_name
 
 HOT_SHARE = 1000
 HOT_SAMPLE_ROWS = 200_000
@@ -97,7 +97,7 @@ def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .select("id", salted.alias("salted"), "rank", "run_keep", "run_size",
                     F.sha2(norm, 256).alias("text_sha256"),
                     F.when(salted & (F.col("rank") == 1), norm).alias("head"))
-            .checkpoint())
+            .transform(settled))
     best = F.max if keep == "largest" else F.min
     heads = (runs.where(F.col("head").isNotNull()).groupBy("head")
              .agg(best("run_keep").alias("all_keep"), F.sum("run_size").alias("all_size"),

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from playmetrics.llm.common import prepare
+from playmetrics.llm.common import prepare, settled
 
 NEIGHBOURS = 16  # links per point on upper layers; twice as many on the ground layer
 BUILD_BEAM = 64
@@ -229,7 +229,7 @@ def build(vectors: DataFrame, top: int, id_col: str = "vec_id", vector_col: str
     rows = vectors.select(F.col(id_col).cast("long").alias("id"),
                           F.col(vector_col).cast("array<float>").alias("vector")).where(
         F.col("id").isNotNull() & usable(F.col("vector"))).distinct()
-    points = _points(rows, top).withColumn("dim", F.size("vector")).checkpoint()
+    points = _points(rows, top).withColumn("dim", F.size("vector")).transform(settled)
     shards = -(-points.count() // shard_rows) or 1
 
     def one(key, frame: pd.DataFrame) -> pd.DataFrame:
@@ -240,7 +240,7 @@ def build(vectors: DataFrame, top: int, id_col: str = "vec_id", vector_col: str
                             columns=[c.split()[0] for c in SHARD.split(", ")])
 
     dealt = points.withColumn("shard", F.expr(f"pmod(xxhash64(vector), {shards})"))
-    return dealt.groupBy("dim", "shard").applyInPandas(one, SHARD).checkpoint()
+    return dealt.groupBy("dim", "shard").applyInPandas(one, SHARD).transform(settled)
 
 
 def search(index: DataFrame, vectors: DataFrame, queries: DataFrame, top: int,

@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playmetrics.llm.common import crc32_mod, prepare, shuffle_partitions
+from playmetrics.llm.common import crc32_mod, prepare, settled, shuffle_partitions
 
 HELD_MODULUS, HELD_REST = 7, 2
 CHUNK_TOKENS = 2_000_000
@@ -354,10 +354,10 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
     """Every row's token counts, add-one unigram score and interpolated score (log10)."""
     spark = prepare(docs.sparkSession)
-    cut = chunks(docs, id_col, text_col, chunk_tokens).checkpoint()
+    cut = chunks(docs, id_col, text_col, chunk_tokens).transform(settled)
     sums = cut.agg(F.sum("train_tokens").alias("tokens"), F.sum("train_docs").alias("docs")).first()
     seen = Corpus(sums.tokens or 0, 0, sums.docs or 0)
-    counted = count(cut, totals(cut, shuffle_partitions(spark)), seen).checkpoint()
+    counted = count(cut, totals(cut, shuffle_partitions(spark)), seen).transform(settled)
     types = counted.agg(F.sum("types").alias("n")).first().n
     corpus = Corpus(seen.tokens, types or 0, seen.docs)
     cells = (counted.select(F.explode(F.arrays_zip("cells", "cell_counts")).alias("x"))

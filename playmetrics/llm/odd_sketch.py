@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from playmetrics.llm.common import prepare, unused_name
+from playmetrics.llm.common import prepare, settled, unused_name
 from playmetrics.llm.components import components
 
 BANDS, ROWS = 32, 4
@@ -213,7 +213,7 @@ def confirm(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int,
     marks = classes.join(ends, "class_id", "left_semi").select("class_id", "set_a", "set_b")
     texts = (docs.select(F.col(id_col).cast("long").alias("class_id"), F.col(text_col).alias("text"))
              .join(marks, "class_id").select("class_id", "text", "set_a", "set_b"))
-    sets = _sets(texts, width).checkpoint()
+    sets = _sets(texts, width).transform(settled)
     left = sets.select(F.col("class_id").alias("a"), F.col("shingles").alias("set_of_a"))
     right = sets.select(F.col("class_id").alias("b"), F.col("shingles").alias("set_of_b"))
     shared = F.size(F.array_intersect("set_of_a", "set_of_b"))
@@ -232,13 +232,13 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, bits:
     prepare(docs.sparkSession)
     words = bits // 64
     ones = most_ones(bands * rows, bits, similarity[0] / similarity[1])
-    signed = signatures(docs, bands, rows, bits, width, id_col, text_col).checkpoint()
+    signed = signatures(docs, bands, rows, bits, width, id_col, text_col).transform(settled)
     classes = (signed.where("n_shingles > 0 and doc_id is not null")
                .groupBy("set_a", "set_b", "n_shingles")
                .agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("copies"),
                     F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
                     F.first("parity").alias("parity"))
-               .checkpoint())
+               .transform(settled))
     members = classes.select(F.explode("bands").alias("bucket"), "class_id", "copies")
     buckets = (members.groupBy("bucket")
                .agg(F.count(F.lit(1)).alias("size"),
@@ -246,16 +246,16 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, bits:
                .where("size > 1").select("bucket", (-F.col("top")["col2"]).alias("pivot")))
     plain = classes.select("class_id", F.col("n_shingles").alias("n"), "sketch", "parity")
     meeting = (members.drop("copies").join(buckets, "bucket").join(plain, "class_id")
-               .checkpoint())  # memberships of buckets with company
+               .transform(settled))  # memberships of buckets with company
 
     alike = _alike(words, similarity, ones)
     tried = (_side(meeting.where("class_id <> pivot").dropDuplicates(["class_id", "pivot"]),
                    "a", F.col("pivot").alias("b"))
-             .join(_side(plain, "b"), "b").where(alike).select("a", "b").checkpoint())
-    links = confirm(docs, classes, tried, width, similarity, id_col, text_col).checkpoint()
-    found = components(links).checkpoint()
+             .join(_side(plain, "b"), "b").where(alike).select("a", "b").transform(settled))
+    links = confirm(docs, classes, tried, width, similarity, id_col, text_col).transform(settled)
+    found = components(links).transform(settled)
 
-    rest = _unmet(meeting, found, tried, alike).checkpoint()
+    rest = _unmet(meeting, found, tried, alike).transform(settled)
     if not rest.isEmpty():
         more = confirm(docs, classes, rest, width, similarity, id_col, text_col)
         found = components(links.union(more))
@@ -263,7 +263,7 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, bits:
                 .join(found, F.col("class_id") == F.col("id"), "left")
                 .select("set_a", "set_b", "n_shingles",
                         F.coalesce("component", "class_id").alias("component_id"))
-                .checkpoint())  # so that the join below can split a set that many rows have
+                .transform(settled))  # so that the join below can split a set that many rows have
     return (signed.select("doc_id", "n_shingles", "set_a", "set_b")
             .join(class_of, ["set_a", "set_b", "n_shingles"], "left")
             .select(F.col("doc_id").alias(id_col), "n_shingles",
@@ -281,7 +281,7 @@ def _unmet(meeting: DataFrame, found: DataFrame, tried: DataFrame, alike: Column
     by_bucket = sizes.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("parts"), F.max(F.struct("size", "part")).alias("top"))
     mixed = by_bucket.where("parts > 1").select("bucket", F.col("top.part").alias("main"))
-    inside = placed.join(mixed, "bucket").checkpoint()
+    inside = placed.join(mixed, "bucket").transform(settled)
     a = _side(inside.where("part <> main"), "a", "bucket", F.col("part").alias("part_a"))
     b = _side(inside, "b", "bucket", "main", F.col("part").alias("part_b"))
     # both ends outside the main component meet once, as a < b

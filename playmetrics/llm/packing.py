@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from playmetrics.llm.common import prepare, shuffle_partitions
+from playmetrics.llm.common import prepare, settled, shuffle_partitions
 
 CAPACITY = 4096
 END_ID = 1
@@ -224,7 +224,7 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     spark = pieces.sparkSession
     buckets = min(shuffle_partitions(spark), MAX_BUCKETS)
     dealt = pieces.withColumn("bucket", F.expr(f"pmod(xxhash64(doc_id, piece), {buckets})"))
-    counts = dealt.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n")).checkpoint()
+    counts = dealt.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n")).transform(settled)
     histogram = counts.groupBy("length").agg(F.sum("n").alias("n")).collect()  # <= capacity rows
     plan = slots(Planner({r.length: r.n for r in histogram}, capacity).plan())
     slot_rows = spark.createDataFrame(
@@ -249,7 +249,7 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID,
          id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """Pieces of all documents with the sequence and the offset each one gets."""
-    pieces = cut(docs, tokenizer, capacity, end_id, id_col, text_col, with_ids).checkpoint()
+    pieces = cut(docs, tokenizer, capacity, end_id, id_col, text_col, with_ids).transform(settled)
     return place(pieces, capacity)
 
 

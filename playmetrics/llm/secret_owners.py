@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playmetrics.llm.common import prepare
+from playmetrics.llm.common import prepare, settled
 
 # Fixed rules of the base spans: kind, pattern, group of the value, least length of the value.
 BASE = (
@@ -112,11 +112,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A document is a repository of its owner.
     """
     prepare(docs.sparkSession)
-    found = candidates(docs, id_col, text_col, owner_col).checkpoint()
+    found = candidates(docs, id_col, text_col, owner_col).transform(settled)
     each = found.select("row", "owner", F.col("id").alias("repository"),
                         F.explode("spans").alias("span"))
     owned = ownership(each.select(F.col("span.value").alias("value"), "owner",
-                                  "repository")).checkpoint()
+                                  "repository")).transform(settled)
     judged = (each.select("row", "span.*").join(owned, "value")
               .withColumn("example", F.col("n_owners") >= EXAMPLE_OWNERS)
               .withColumn("live", ~F.col("example") & F.col("varied")))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playmetrics.llm.common import prepare
+from playmetrics.llm.common import prepare, settled
 
 KINDS = ("email", "ip", "card", "phone")
 LOOSE_KINDS = ("hidden_email", "local_phone", "ssn", "iban", "loose_card")
@@ -298,7 +298,7 @@ def fit(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> SpanMo
                  pa.array([list(c.cells) for c in found], pa.list_(pa.int32()))],
                 names=["votes", "cells"])
 
-    voted = docs.select(text_col).mapInArrow(vote, "votes array<int>, cells array<int>").checkpoint()
+    voted = docs.select(text_col).mapInArrow(vote, "votes array<int>, cells array<int>").transform(settled)
     counted = voted.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).orderBy("votes").collect()
     if not counted:
         return SpanModel(_train([]), np.full((2, LABELERS, 3), 1 / 3))
