@@ -357,7 +357,9 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cut = chunks(docs, id_col, text_col, chunk_tokens).transform(settled)
     sums = cut.agg(F.sum("train_tokens").alias("tokens"), F.sum("train_docs").alias("docs")).first()
     seen = Corpus(sums.tokens or 0, 0, sums.docs or 0)
-    counted = count(cut, totals(cut, shuffle_partitions(spark)), seen).transform(settled)
+    # settled apart, so that the blocks are gone before the chunks are dealt out
+    answers = totals(cut, shuffle_partitions(spark)).transform(settled)
+    counted = count(cut, answers, seen).transform(settled)
     types = counted.agg(F.sum("types").alias("n")).first().n
     corpus = Corpus(seen.tokens, types or 0, seen.docs)
     cells = (counted.select(F.explode(F.arrays_zip("cells", "cell_counts")).alias("x"))
