@@ -15,7 +15,9 @@ from playmetrics.llm.common import settled
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+    # settled, so that the join exchanges both sides and Spark can split a node that very
+    # many edges share
+    least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")).transform(settled)
     return (both.join(least, "a").where("b > a")
             .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
 

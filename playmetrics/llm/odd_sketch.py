@@ -206,7 +206,11 @@ def _side(frame: DataFrame, side: str, *more: str) -> DataFrame:
 
 def confirm(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int,
             similarity: tuple[int, int], id_col: str, text_col: str) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets reach the similarity."""
+    """The pairs (a, b) whose full shingle sets reach the similarity.
+
+    A pair may come twice where an identifier repeats. No grouping follows the
+    joins here, so that Spark can split a pivot that very many classes share.
+    """
     part, whole = similarity
     ends = pairs.select(F.col("a").alias("class_id")).union(
         pairs.select(F.col("b").alias("class_id"))).distinct()
@@ -219,7 +223,7 @@ def confirm(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int,
     shared = F.size(F.array_intersect("set_of_a", "set_of_b"))
     union = F.size("set_of_a") + F.size("set_of_b") - shared
     return (pairs.join(left, "a").join(right, "b").where(whole * shared >= part * union)
-            .select("a", "b").distinct())
+            .select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, bits: int = BITS,
