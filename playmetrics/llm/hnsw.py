@@ -119,7 +119,7 @@ class Graph:
     """Points, the layer each one reaches, and per layer a matrix of neighbour numbers."""
 
     def __init__(self, points: np.ndarray, seed: int = 0, neighbours: int = NEIGHBOURS):
-        self.points = np.ascontiguousarray(points, dtype=np.float32)
+        self._take(np.ascontiguousarray(points, dtype=np.float64))
         n = len(points)
         rng = np.random.default_rng(seed)
         height = np.floor(-np.log(1 - rng.random(n)) / np.log(neighbours)).astype(np.int64)
@@ -137,6 +137,12 @@ class Graph:
             self._insert(self.order[at:at + size])
             at += size
 
+    def _take(self, points: np.ndarray) -> None:
+        """Original vectors; the graph compares them in single precision where that can hold them."""
+        self.exact = points
+        fits = np.abs(points).max(initial=0) < 1e15
+        self.points = points.astype(np.float32) if fits else points
+
     def _descend(self, queries: np.ndarray, layer_to: int) -> np.ndarray:
         entry = np.full((len(queries), 1), self.entry, np.int64)
         for layer in range(len(self.links) - 1, layer_to, -1):
@@ -181,19 +187,19 @@ class Graph:
 
     def search(self, queries: np.ndarray, beam: int) -> np.ndarray:
         """Numbers of the ``beam`` nearest points met, per query, -1 where fewer."""
-        queries = np.ascontiguousarray(queries, dtype=np.float32)
+        queries = np.ascontiguousarray(queries, dtype=self.points.dtype)
         return _beam(self.points, self.links[0], queries, self._descend(queries, 0), beam)[0]
 
     # a shard travels as one row of flat arrays
 
     def flat(self) -> dict:
-        return {"n": len(self.points), "dim": self.points.shape[1], "entry": self.entry,
-                "points": self.points.tobytes(), "layers": [x.tobytes() for x in self.links]}
+        return {"n": len(self.exact), "dim": self.exact.shape[1], "entry": self.entry,
+                "points": self.exact.tobytes(), "layers": [x.tobytes() for x in self.links]}
 
     @classmethod
     def of(cls, n: int, dim: int, entry: int, points: bytes, layers: list[bytes]) -> Graph:
         graph = cls.__new__(cls)
-        graph.points = np.frombuffer(points, np.float32).reshape(n, dim)
+        graph._take(np.frombuffer(points, np.float64).reshape(n, dim))
         graph.links = [np.frombuffer(x, np.int32).reshape(n, -1) for x in layers]
         graph.entry = entry
         return graph
@@ -227,7 +233,7 @@ def build(vectors: DataFrame, top: int, id_col: str = "vec_id", vector_col: str
     """One row per shard: its graph as flat arrays and the identifiers of its points."""
     prepare(vectors.sparkSession)
     rows = vectors.select(F.col(id_col).cast("long").alias("id"),
-                          F.col(vector_col).cast("array<float>").alias("vector")).where(
+                          F.col(vector_col).cast("array<double>").alias("vector")).where(
         F.col("id").isNotNull() & usable(F.col("vector"))).distinct()
     points = _points(rows, top).withColumn("dim", F.size("vector")).transform(settled)
     shards = -(-points.count() // shard_rows) or 1
@@ -248,7 +254,7 @@ def search(index: DataFrame, vectors: DataFrame, queries: DataFrame, top: int,
            beam: int = SEARCH_BEAM) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``top`` nearest found over all shards of ``index``."""
     asked = queries.select(F.col(id_col).cast("long").alias("query_id"),
-                           F.col(vector_col).cast("array<float>").alias("vector")).where(
+                           F.col(vector_col).cast("array<double>").alias("vector")).where(
         F.col("query_id").isNotNull() & usable(F.col("vector"))).distinct()
     asked = asked.withColumn("dim", F.size("vector"))
     count = asked.count()
@@ -266,7 +272,7 @@ def search(index: DataFrame, vectors: DataFrame, queries: DataFrame, top: int,
                 r = batch.slice(k, 1).to_pydict()
                 graph = Graph.of(r["n"][0], r["dim"][0], r["entry"][0], r["points"][0],
                                  r["layers"][0])
-                q = np.array(r["query_vectors"][0], np.float32)
+                q = np.array(r["query_vectors"][0], np.float64)
                 yield from _best(graph, r["ids"][0], r["query_ids"][0], q, top, beam)
 
     found = meeting.mapInArrow(look, "query_id long, vec_id long, score double")
@@ -280,13 +286,12 @@ def search(index: DataFrame, vectors: DataFrame, queries: DataFrame, top: int,
 def _best(graph: Graph, ids: list[list[int]], query_ids: list[int], queries: np.ndarray, top: int,
           beam: int) -> Iterator[pa.RecordBatch]:
     """Each query's ``top`` nearest identifiers in one shard, exact distances."""
-    points = graph.points.astype(np.float64)
     for at in range(0, len(queries), INSERT_BLOCK):
         q = queries[at:at + INSERT_BLOCK]
         near = graph.search(q, max(beam, top + 1))
         which, score = [], []
         out_ids = []
-        exact = np.sqrt(_distances(points, near, q.astype(np.float64)))
+        exact = np.sqrt(_distances(graph.exact, near, q))
         for k, query_id in enumerate(query_ids[at:at + INSERT_BLOCK]):
             rows = [(d, i) for d, p in zip(exact[k].tolist(), near[k].tolist(), strict=True)
                     if p >= 0 for i in ids[p] if i != query_id]

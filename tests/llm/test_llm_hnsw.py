@@ -66,3 +66,11 @@ def test_a_rebuilt_graph_is_the_same():
     assert all((x == y).all() for x, y in zip(a.links, b.links, strict=True))
     again = hnsw.Graph.of(**a.flat())
     assert (again.search(points[:20], 20) == a.search(points[:20], 20)).all()
+
+
+def test_doubles_keep_their_precision_and_range(spark):
+    rows = [(0, [1.0, 0.0]), (1, [1.0 + 1e-12, 0.0]), (2, [1.0 + 3e-12, 0.0]), (3, [1e150, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in hnsw.nearest(df, df).collect()}
+    assert got[0, 1][0] == 1 and abs(got[0, 1][1] - 1e-12) < 1e-15
+    assert got[0, 2][0] == 2 and got[0, 3] == (3, 1e150)
