@@ -115,6 +115,35 @@ FROM d LEFT JOIN f ON f.row = d.row GROUP BY d.row, d.doc_id
 """
 
 
+OP9_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+      WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3),
+                                           lambda i: array_to_string(w[i:i + 4], ' '))
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT l.b, r.other FROM reached r JOIN links l ON l.a = r.doc_id)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id,
+       doc_id = min(other) AS kept
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_hnsw": op1_hnsw,
@@ -131,4 +160,5 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op6_secret_owners": _secret_sql(), "op7_content_sort": OP7_SQL}
+    return {"op6_secret_owners": _secret_sql(), "op7_content_sort": OP7_SQL,
+            "op9_odd_sketch": OP9_SQL}
