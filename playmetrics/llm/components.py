@@ -15,8 +15,8 @@ from playmetrics.llm.common import settled
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    # settled, so that the join exchanges both sides and Spark can split a node that very
-    # many edges share
+    # settled (here and below), so that the join exchanges both sides and Spark can split a
+    # node that very many edges share
     least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")).transform(settled)
     return (both.join(least, "a").where("b > a")
             .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
@@ -24,22 +24,23 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = down.groupBy("a").agg(F.min("b").alias("m")).transform(settled)
     moved = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
 
 
+def _unfinished(edges: DataFrame) -> bool:
+    """Whether an edge does not yet point from a leaf straight to its only root."""
+    chained = edges.join(edges.select(F.col("b").alias("a")), "a", "left_semi").select("a")
+    split = edges.groupBy("a").count().where("count > 1").select("a")
+    return not chained.union(split).isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) for every end of an edge (columns a, b); component is its least id."""
     edges = edges.where("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().transform(settled)
-    while True:
-        # done when every edge points from a leaf straight to a root
-        roots = edges.select(F.col("b").alias("a"))
-        chained = edges.join(roots, "a", "left_semi").limit(1).count()
-        split = edges.groupBy("a").count().where("count > 1").limit(1).count()
-        if not chained and not split:
-            break
+    while _unfinished(edges):
         edges = _small_star(_large_star(edges)).transform(settled)
     leaves = edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
     return leaves.union(edges.select(F.col("b").alias("id"), F.col("b").alias("component"))

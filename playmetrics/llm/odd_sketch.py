@@ -262,7 +262,8 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, bits:
     rest = _unmet(meeting, found, tried, alike).transform(settled)
     if not rest.isEmpty():
         more = confirm(docs, classes, rest, width, similarity, id_col, text_col)
-        found = components(links.union(more))
+        stars = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
+        found = components(stars.union(more))
     class_of = (classes.select("set_a", "set_b", "n_shingles", "class_id")
                 .join(found, F.col("class_id") == F.col("id"), "left")
                 .select("set_a", "set_b", "n_shingles",
