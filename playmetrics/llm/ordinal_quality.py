@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -62,7 +63,7 @@ def _cells(words, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _features(sample: DataFrame, bits: int) -> DataFrame:
-    """(id, grade, cells, shares): the hashed features of labelled texts."""
+    """(id, grade, cells, shares): the hashed features of labelled texts, as packed arrays."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from playmetrics.llm.wordstream import slices
 
@@ -74,16 +75,15 @@ def _features(sample: DataFrame, bits: int) -> DataFrame:
                     own = np.concatenate([word[lo:hi], shape[lo:hi],
                                           np.zeros(int(repeat[lo:hi].sum()), np.int64)])
                     found, counts = np.unique(own, return_counts=True)
-                    cells.append(found)
-                    shares.append(counts / max(hi - lo, 1))
+                    cells.append(found.astype("<i4").tobytes())
+                    shares.append((counts / max(hi - lo, 1)).astype("<f8").tobytes())
                 n = len(cells)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, n), batch.column(1).slice(first, n),
-                     pa.array(cells, pa.list_(pa.int64())),
-                     pa.array(shares, pa.list_(pa.float64()))],
+                     pa.array(cells, pa.binary()), pa.array(shares, pa.binary())],
                     names=["id", "grade", "cells", "shares"])
 
-    return sample.mapInArrow(read, "id long, grade int, cells array<long>, shares array<double>")
+    return sample.mapInArrow(read, "id long, grade int, cells binary, shares binary")
 
 
 # ------------------------------------------------------------------ the model
@@ -112,14 +112,21 @@ class OrdinalModel:
         return _sigmoid(score[:, None] - self.thresholds[None, :])
 
 
+class Rated(NamedTuple):
+    """One labelled text: its grade, and the share of each cell in its features."""
+
+    grade: int
+    cells: np.ndarray
+    shares: np.ndarray
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
-def fit(rows: list, grades: int, bits: int, steps: int = STEPS,
+def fit(rows: list[Rated], grades: int, bits: int, steps: int = STEPS,
         penalty: float = PENALTY) -> OrdinalModel:
-    """Maximum likelihood by Adam over all rows; rows have grade, cells and shares."""
-    rows = [r for r in rows if r.grade is not None]
+    """Maximum likelihood by Adam over all rows."""
     size = 1 << bits
     if not rows:
         return OrdinalModel(np.zeros(size), 0.0, np.arange(grades - 1) * 1e-9, bits)
@@ -181,7 +188,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = (texts.join(F.broadcast(chosen), F.col("id") == F.col("label_id"))  # <= sample_rows
               .select("id", F.col("grade").cast("int"), "text"))
     rows = sorted(_features(sample, bits).collect(), key=lambda r: (r.id, r.grade, r.cells))
-    return fit(rows, grades, bits)
+    return fit([Rated(r.grade, np.frombuffer(r.cells, "<i4"), np.frombuffer(r.shares, "<f8"))
+                for r in rows], grades, bits)
 
 
 def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id",

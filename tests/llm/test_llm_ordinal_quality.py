@@ -3,7 +3,6 @@ import re
 
 import numpy as np
 from helpers import DOC_SCHEMA, documents, odd_documents
-from pyspark.sql import Row
 
 from playmetrics.llm import ordinal_quality as oq
 
@@ -61,7 +60,7 @@ def test_scores_equal_a_plain_loop(spark):
 
 
 def test_thresholds_stay_ordered_and_unused_grades_do_no_harm():
-    rows = [Row(grade=g, cells=[g], shares=[1.0]) for g in (0, 0, 3, 3, 3)]
+    rows = [oq.Rated(g, np.array([g]), np.array([1.0])) for g in (0, 0, 3, 3, 3)]
     model = oq.fit(rows, 5, 4)
     assert (np.diff(model.thresholds) > 0).all()
     f = model.weights[[0, 3]] - model.centre
