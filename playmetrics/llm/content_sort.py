@@ -32,7 +32,7 @@ LEAD_CHARS = 48
 
 
 def hot_texts(docs: DataFrame, text: str, hot_share: int, sample_rows: int) -> dict[int, int]:
-    """Hash of each hot normalised text -> number of salts; at most ``hot_share`` entries.
+    """Hash of each hot normalised text -> number of salts; fewer than ``hot_share`` entries.
 
     Only decides how rows are dealt out, never which rows are equal.
     """
@@ -43,8 +43,7 @@ def hot_texts(docs: DataFrame, text: str, hot_share: int, sample_rows: int) -> d
     counts = (sample.groupBy(F.xxhash64(ascii_lower(F.col(text))).alias("h"))
               .agg(F.count(F.lit(1)).alias("n")))
     seen = min(total, sample_rows)
-    rows = (counts.where(F.col("n") * hot_share > seen)
-            .orderBy(F.desc("n")).limit(hot_share).collect())
+    rows = counts.where(F.col("n") * hot_share > seen).collect()  # fewer than hot_share
     return {r.h: -(-r.n * hot_share // seen) for r in rows}
 
 
