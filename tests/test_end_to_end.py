@@ -104,7 +104,7 @@ def test_a_build_leaves_no_scratch_tables(spark, tmp_dir):
 
 
 def test_monitors_fire_on_their_faults(spark, make_raw):
-    from conftest import BASE, raw_event
+    from raw_events import BASE, raw_event
     rows = [raw_event(user=f"u{i}", at=BASE + dt.timedelta(minutes=i), name=f"e{i}")
             for i in range(10)]
     raw = make_raw(rows + rows[:4])                       # four re-delivered events
@@ -165,7 +165,7 @@ def test_daily_builds_equal_a_full_one_and_read_only_recent_days(spark, tmp_dir,
 
 
 def test_odd_new_events_make_the_build_a_full_one(spark, tmp_dir, make_raw):
-    from conftest import BASE, raw_event
+    from raw_events import BASE, raw_event
     from playmetrics.plans.build import first_day_touched
     day = dt.timedelta(days=1)
     raw = make_raw([raw_event(user="u", at=BASE + k * day, name=f"e{k}") for k in range(4)])

@@ -1,6 +1,6 @@
 import duckdb
 import pytest
-from conftest import raw_event
+from raw_events import raw_event
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

@@ -2,7 +2,7 @@ import datetime as dt
 import os
 
 import pytest
-from conftest import BASE, raw_event
+from raw_events import BASE, raw_event
 from pyspark.sql import functions as F
 
 from playmetrics.operators import quality as Q

@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import BASE, raw_event
+from raw_events import BASE, raw_event
 
 from playmetrics.operators.economy import extra_steps_economy_daily
 from playmetrics.operators.funnels import level_funnel_daily

@@ -3,7 +3,7 @@ for any gaps, bucket widths and hot-user choice."""
 
 import datetime as dt
 
-from conftest import BASE, raw_event
+from raw_events import BASE, raw_event
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 

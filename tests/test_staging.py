@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import BASE, raw_event
+from raw_events import BASE, raw_event
 from pyspark.sql import functions as F
 
 from playmetrics.functions.params import extract_param, param_map

@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import BASE, raw_event
+from raw_events import BASE, raw_event
 
 from playmetrics.sources.raw_table import RawTable
 from playmetrics.streaming.shard_stream import load_landed_shards
