@@ -14,6 +14,7 @@ from playmetrics.llm import (
     ordinal_quality,
     packing,
     piece_bpe,
+    resync_counts,
     secret_owners,
     toxicity,
     weak_pii,
@@ -64,6 +65,11 @@ def op10_bigru_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op13_resync_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resync_counts.token_counts(read(spark, sf_dir, "documents"),
+                                      tokenizer_path("byte_bpe_50k.json"))
+
+
 OP7_SQL = """
 WITH n AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -156,6 +162,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_interpolation": op8_interpolation,
         "op9_odd_sketch": op9_odd_sketch,
         "op10_bigru_toxicity": op10_bigru_toxicity,
+        "op13_resync_counts": op13_resync_counts,
     }
 
 
