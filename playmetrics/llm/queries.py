@@ -16,6 +16,7 @@ from playmetrics.llm import (
     piece_bpe,
     resync_counts,
     secret_owners,
+    term_ranking,
     toxicity,
     weak_pii,
 )
@@ -65,6 +66,10 @@ def op10_bigru_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_accumulator_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return term_ranking.ranked(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op13_resync_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resync_counts.token_counts(read(spark, sf_dir, "documents"),
                                       tokenizer_path("byte_bpe_50k.json"))
@@ -149,6 +154,37 @@ SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_
 FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
 """
 
+OP11_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents),
+totals AS (SELECT count(*) FILTER (len(ts) > 0) AS n_docs, sum(len(ts))::BIGINT AS n_terms FROM docs),
+wanted AS (
+  SELECT item_id, text, term, count(*) AS times FROM (
+    SELECT item_id, text, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY ALL),
+held AS (
+  SELECT r, doc_id, n, term, count(*) AS tf
+  FROM (SELECT r, doc_id, len(ts) AS n, unnest(ts) AS term FROM docs)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+weighed AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM held, totals GROUP BY term),
+scored AS (
+  SELECT item_id, text, r, doc_id, sum(times * w * ((1000000000 * tf)
+      // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM held JOIN weighed USING (term) JOIN wanted USING (term), totals GROUP BY ALL),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id, text
+      ORDER BY score DESC, doc_id NULLS LAST, r) AS place
+  FROM scored WHERE score > 0)
+SELECT item_id, place::INTEGER AS rank, doc_id, score FROM placed WHERE place <= 20
+"""
+
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
@@ -162,10 +198,11 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_interpolation": op8_interpolation,
         "op9_odd_sketch": op9_odd_sketch,
         "op10_bigru_toxicity": op10_bigru_toxicity,
+        "op11_accumulator_limit": op11_accumulator_limit,
         "op13_resync_counts": op13_resync_counts,
     }
 
 
 def llm_oracles() -> dict[str, str]:
     return {"op6_secret_owners": _secret_sql(), "op7_content_sort": OP7_SQL,
-            "op9_odd_sketch": OP9_SQL}
+            "op9_odd_sketch": OP9_SQL, "op11_accumulator_limit": OP11_SQL}

@@ -72,8 +72,9 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
     return mix((sums[ends] - sums[starts]) * inverses[starts])
 
 
-def _split(data: np.ndarray, offsets: np.ndarray, values: np.ndarray) -> Words:
-    inside = ~_SPACE[data]
+def _split(data: np.ndarray, offsets: np.ndarray, values: np.ndarray,
+           outside: np.ndarray = _SPACE) -> Words:
+    inside = ~outside[data]
     n = len(data)
     cuts = offsets[:-1][offsets[:-1] < n]
     first = inside.copy()
@@ -136,11 +137,14 @@ def byte_slices(column: pa.Array,
         row = past
 
 
-def slices(column: pa.Array, most_bytes: int = SLICE_BYTES,
-           fold: bool = True) -> Iterator[tuple[int, Words]]:
-    """(first row, words) for runs of rows; ``fold`` lower-cases A-Z in the hashes."""
+def slices(column: pa.Array, most_bytes: int = SLICE_BYTES, fold: bool = True,
+           outside: np.ndarray = _SPACE) -> Iterator[tuple[int, Words]]:
+    """(first row, words) for runs of rows; ``fold`` lower-cases A-Z in the hashes.
+
+    ``outside`` marks the bytes that are no part of a word: white space, unless given.
+    """
     for row, data, offsets in byte_slices(column, most_bytes):
-        yield row, _split(data, offsets, FOLDED if fold else EXACT)
+        yield row, _split(data, offsets, FOLDED if fold else EXACT, outside)
 
 
 def shingle_hashes(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
