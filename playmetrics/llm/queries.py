@@ -13,6 +13,7 @@ from playmetrics.llm import (
     odd_sketch,
     ordinal_quality,
     packing,
+    phrase_cycles,
     piece_bpe,
     resync_counts,
     secret_owners,
@@ -70,6 +71,10 @@ def op11_accumulator_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return term_ranking.ranked(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op12_dynamic_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_cycles.collocations(read(spark, sf_dir, "documents"))
+
+
 def op13_resync_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resync_counts.token_counts(read(spark, sf_dir, "documents"),
                                       tokenizer_path("byte_bpe_50k.json"))
@@ -185,6 +190,41 @@ placed AS (
 SELECT item_id, place::INTEGER AS rank, doc_id, score FROM placed WHERE place <= 20
 """
 
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(string_split_regex(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS ws
+  FROM documents),
+totals AS (SELECT lang, sum(len(ws))::HUGEINT AS n FROM pieces GROUP BY lang),
+starts AS (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+           FROM pieces, (SELECT unnest(range(1, 6)) AS k)),
+f AS (SELECT lang, ws[i:i + k - 1] AS ph, count(*) AS a FROM starts GROUP BY ALL),
+candidates AS (SELECT * FROM f WHERE len(ph) > 1 AND a >= 100),
+inner_parts AS (
+  SELECT DISTINCT lang, outer_a, ph[i:i + k - 1] AS ph FROM (
+    SELECT lang, ph, k, outer_a, unnest(range(1, len(ph) - k + 2)) AS i FROM (
+      SELECT lang, ph, a AS outer_a, unnest(range(2, len(ph))) AS k FROM candidates))),
+covered AS (SELECT lang, ph, max(outer_a) AS outer_a FROM inner_parts GROUP BY ALL),
+alone AS (
+  SELECT c.* FROM candidates c LEFT JOIN covered o USING (lang, ph)
+  WHERE o.outer_a IS NULL OR 100 * o.outer_a < 100 * c.a),
+cuts AS (SELECT *, unnest(range(1, len(ph))) AS k FROM alone),
+scores AS (
+  SELECT c.lang, c.ph, c.a, k, l.a AS l, r.a AS r, n,
+         (1000::HUGEINT * c.a * n) // (l.a::HUGEINT * r.a) AS score
+  FROM cuts c JOIN totals t ON t.lang = c.lang
+  JOIN f l ON l.lang = c.lang AND l.ph = c.ph[:k]
+  JOIN f r ON r.lang = c.lang AND r.ph = c.ph[k + 1:]),
+low AS (SELECT *, row_number() OVER (PARTITION BY lang, ph ORDER BY score, k) AS at FROM scores),
+placed AS (
+  SELECT lang, array_to_string(ph, ' ') AS phrase, a, l, r, n, score, row_number() OVER (
+      PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(ph, ' ')) AS rank
+  FROM low WHERE at = 1)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM placed WHERE rank <= 2000
+"""
+
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
@@ -199,10 +239,12 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_odd_sketch": op9_odd_sketch,
         "op10_bigru_toxicity": op10_bigru_toxicity,
         "op11_accumulator_limit": op11_accumulator_limit,
+        "op12_dynamic_counting": op12_dynamic_counting,
         "op13_resync_counts": op13_resync_counts,
     }
 
 
 def llm_oracles() -> dict[str, str]:
     return {"op6_secret_owners": _secret_sql(), "op7_content_sort": OP7_SQL,
-            "op9_odd_sketch": OP9_SQL, "op11_accumulator_limit": OP11_SQL}
+            "op9_odd_sketch": OP9_SQL, "op11_accumulator_limit": OP11_SQL,
+            "op12_dynamic_counting": OP12_SQL}
