@@ -216,11 +216,11 @@ scores AS (
   FROM cuts c JOIN totals t ON t.lang = c.lang
   JOIN f l ON l.lang = c.lang AND l.ph = c.ph[:k]
   JOIN f r ON r.lang = c.lang AND r.ph = c.ph[k + 1:]),
-low AS (SELECT *, row_number() OVER (PARTITION BY lang, ph ORDER BY score, k) AS at FROM scores),
+low AS (SELECT *, row_number() OVER (PARTITION BY lang, ph ORDER BY score, k) AS pick FROM scores),
 placed AS (
   SELECT lang, array_to_string(ph, ' ') AS phrase, a, l, r, n, score, row_number() OVER (
       PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(ph, ' ')) AS rank
-  FROM low WHERE at = 1)
+  FROM low WHERE pick = 1)
 SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
 FROM placed WHERE rank <= 2000
 """
