@@ -54,7 +54,7 @@ def hot_keys(df: DataFrame, key: str = USER, share: int = HOT_SHARE) -> DataFram
     return counts.where(F.col("_n") * share > total).select(key)
 
 
-def _with_bucket(df: DataFrame, bucket_seconds: int, hot_users: DataFrame | None,
+def time_buckets(df: DataFrame, bucket_seconds: int, hot_users: DataFrame | None,
                  hot_bucket_seconds: int) -> DataFrame:
     """Add ``_uk`` (the user wrapped in a struct, so a NULL user is an ordinary,
     joinable key, as it is a partition of its own in a window) and ``_bucket``
@@ -91,7 +91,7 @@ def _bucket_stats(timeline: DataFrame, gap_seconds: int, bucket_seconds: int,
                   hot_users: DataFrame | None, hot_bucket_seconds: int) -> DataFrame:
     """Per (user, bucket): first and last timestamp and the number of
     in-bucket session starts (rows after the first whose gap opens one)."""
-    tl = _with_bucket(timeline.select(USER, "event_at", "event_pk"), bucket_seconds, hot_users,
+    tl = time_buckets(timeline.select(USER, "event_at", "event_pk"), bucket_seconds, hot_users,
                       hot_bucket_seconds)
     flagged = _local_flags(tl, ["event_at", "event_pk"], gap_seconds)
     return flagged.groupBy("_uk", "_bucket").agg(
@@ -164,7 +164,7 @@ def sessionize(stg: DataFrame, gap_seconds: int = 1800, bucket_seconds: int = DA
     without their history. All events must then have a time after ``prior``.
     """
     columns = stg.columns
-    ev = _with_bucket(stg, bucket_seconds, hot_users, hot_bucket_seconds)
+    ev = time_buckets(stg, bucket_seconds, hot_users, hot_bucket_seconds)
     ev = _local_flags(ev, ["event_at", "event_pk"], gap_seconds)
     summary = bucket_summary(stg if timeline is None else timeline, gap_seconds,
                              bucket_seconds, hot_users, hot_bucket_seconds, prior)

@@ -13,6 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playmetrics.operators.core import dim_users, fct_events, user_cohort_attributes
+from playmetrics.operators.difficulty import (
+    attempts,
+    board_difficulty_weekly,
+    board_migration_weekly,
+)
 from playmetrics.operators.economy import extra_steps_economy_daily
 from playmetrics.operators.engagement import (
     daily_active_users,
@@ -157,6 +162,19 @@ class Models:
         # no session column, so staging is an equivalent, cheaper input.
         return level_funnel_daily(self.staging)
 
+    @cached_property
+    def attempts(self) -> DataFrame:
+        hot = None if self.raw is None else self.hot_users
+        return attempts(self.staging, hot_users=hot)
+
+    @cached_property
+    def board_difficulty_weekly(self) -> DataFrame:
+        return board_difficulty_weekly(self.attempts)
+
+    @cached_property
+    def board_migration_weekly(self) -> DataFrame:
+        return board_migration_weekly(self.attempts)
+
     @cached_property
     def extra_steps_economy_daily(self) -> DataFrame:
         return extra_steps_economy_daily(self.staging)

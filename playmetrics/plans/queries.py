@@ -187,6 +187,77 @@ def q_economy_daily(spark, sf_dir):
     return models(spark, sf_dir).extra_steps_economy_daily
 
 
+# ---------------------------------------------------------------- board difficulty
+
+# Another route than the operator's: each outcome looks back for the start it belongs
+# to, and a start then takes the earliest outcome that chose it.
+ATTEMPTS_SQL = """
+, starts AS (
+    SELECT user_pseudo_id, board, event_at, event_id,
+        CAST(date_trunc('week', event_date) AS DATE) AS week
+    FROM stg WHERE event_name = 'level_start_quickplay' AND board IS NOT NULL),
+outcomes AS (
+    SELECT user_pseudo_id AS who, board AS on_board, event_at AS ended_at,
+        CASE event_name WHEN 'level_complete_quickplay' THEN 'completed'
+            WHEN 'level_fail_quickplay' THEN 'failed' WHEN 'level_reset_quickplay' THEN 'reset'
+            WHEN 'level_retry_quickplay' THEN 'retried' END AS outcome
+    FROM stg),
+owned AS (
+    SELECT s.event_id, arg_min(outcome, (ended_at, outcome)) AS outcome, min(ended_at) AS ended_at
+    FROM (SELECT * FROM outcomes WHERE outcome IS NOT NULL) o
+    ASOF JOIN starts s ON s.user_pseudo_id = o.who AND s.board = o.on_board
+        AND o.ended_at > s.event_at
+    GROUP BY s.event_id),
+tries AS (
+    SELECT s.*, coalesce(outcome, 'unfinished') AS outcome,
+        (epoch_us(ended_at) - epoch_us(s.event_at)) // 1000000 AS seconds
+    FROM starts s LEFT JOIN owned USING (event_id))
+"""
+
+
+@register("board_difficulty_weekly", with_models(ATTEMPTS_SQL + """
+, weekly AS (
+    SELECT week, board, count(DISTINCT user_pseudo_id) AS players, count(*) AS attempts,
+        count_if(outcome = 'completed') AS completed, count_if(outcome = 'failed') AS failed,
+        count_if(outcome = 'reset') AS reset, count_if(outcome = 'retried') AS retried,
+        count_if(outcome = 'unfinished') AS unfinished,
+        sum(seconds) FILTER (WHERE outcome = 'completed') AS total_seconds
+    FROM tries GROUP BY week, board),
+rated AS (
+    SELECT week, board, players, attempts, completed, failed, reset, retried, unfinished,
+        round(completed / attempts, 4) AS completion_rate,
+        round((retried + reset) / attempts, 4) AS retry_reset_rate,
+        CASE WHEN completed > 0 THEN round(total_seconds / completed, 1) END
+            AS seconds_to_complete
+    FROM weekly)
+SELECT r.*, round(r.completion_rate - b.completion_rate, 4) AS completion_rate_change
+FROM rated r LEFT JOIN rated b ON b.board = r.board
+    AND b.week = (SELECT max(week) FROM rated x WHERE x.board = r.board AND x.week < r.week)
+"""))
+def q_board_difficulty_weekly(spark, sf_dir):
+    """Attempts per quickplay board and week: outcomes, rates and the weekly change."""
+    return models(spark, sf_dir).board_difficulty_weekly
+
+
+@register("board_migration_weekly", with_models(ATTEMPTS_SQL + """
+, begun AS (
+    SELECT user_pseudo_id, (list(board ORDER BY event_at, board))[1] AS first_board
+    FROM starts GROUP BY user_pseudo_id),
+active AS (
+    SELECT first_board, week, count(DISTINCT user_pseudo_id) AS active_players
+    FROM starts JOIN begun USING (user_pseudo_id) GROUP BY ALL)
+SELECT first_board, week, board, count(DISTINCT user_pseudo_id) AS players,
+    any_value(active_players) AS active_players,
+    round(count(DISTINCT user_pseudo_id) / any_value(active_players), 4) AS player_share,
+    count(*) AS attempts, round(count_if(outcome = 'completed') / count(*), 4) AS completion_rate
+FROM tries JOIN begun USING (user_pseudo_id) JOIN active USING (first_board, week)
+GROUP BY first_board, week, board
+"""))
+def q_board_migration_weekly(spark, sf_dir):
+    """Whether players come back to their first board or move to others, by week."""
+    return models(spark, sf_dir).board_migration_weekly
+
+
 # ---------------------------------------------------------------- ingest
 
 FIRST_DAY_SQL = "(SELECT min(CAST(ts AS DATE)) FROM events)"

@@ -106,11 +106,11 @@ def test_session_counts_from_summary_match_numbering(spark, make_raw):
 
 
 def test_many_untimed_events_of_one_user_spread_over_buckets(spark, make_raw):
-    from playmetrics.operators.sessions import _with_bucket
+    from playmetrics.operators.sessions import time_buckets
     raw = make_raw([raw_event(user="u1", at=None, name=f"e{i}") for i in range(300)]
                    + [raw_event(user="u1", at=BASE + i * S, name=f"t{i}") for i in range(5)])
     stg = stage_events(raw)
-    assert _with_bucket(stg, 86_400, None, 60).select("_bucket").distinct().count() > 100
+    assert time_buckets(stg, 86_400, None, 60).select("_bucket").distinct().count() > 100
     cols = ["event_pk", "session_number", "is_session_first_event", "seconds_since_previous_event"]
     got, ref = Models(raw).sessionized.select(cols), sessionize_single_window(stg).select(cols)
     assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
