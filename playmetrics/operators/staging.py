@@ -67,6 +67,13 @@ def flatten_events(raw: DataFrame) -> DataFrame:
     return raw.select(*inner).select(*outer)
 
 
+def keyed_events(raw: DataFrame, *carried: str) -> DataFrame:
+    """Flat events with their content key, repeated deliveries included; ``carried``
+    columns of ``raw`` come along and are no part of the key."""
+    inner, outer, keyed = _staging_columns()
+    return raw.select(*inner, *carried).select(*outer, *carried).select(*keyed, *carried)
+
+
 def stage_events(raw: DataFrame) -> DataFrame:
     """One row per distinct event payload, keyed by ``event_pk``.
 
@@ -78,8 +85,7 @@ def stage_events(raw: DataFrame) -> DataFrame:
     combine (no sort), so a heavily re-delivered event collapses before the
     shuffle.
     """
-    _, _, keyed = _staging_columns()
-    return flatten_events(raw).select(*keyed).distinct()
+    return keyed_events(raw).distinct()
 
 
 @per_jvm

@@ -23,6 +23,7 @@ from playmetrics.plans.sinks import write_incremental
 from playmetrics.plans.suite import Decl, declarations, sql_failures, suite_report
 from playmetrics.schema import FCT_EVENTS, RAW_PARTITION_COLUMN
 from playmetrics.session import configure, scratch_path
+from playmetrics.sources.batch_table import BatchTable
 from playmetrics.sources.fixture_events import read_fixture_raw
 from playmetrics.sources.ledger import Ledger
 from playmetrics.sources.raw_table import (
@@ -32,6 +33,7 @@ from playmetrics.sources.raw_table import (
     load_pending,
     row_day,
 )
+from playmetrics.streaming.event_stream import load_sessions, load_staged_events, numbered
 from playmetrics.streaming.shard_stream import load_landed_shards
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -349,13 +351,16 @@ def q_load_stray_dates(spark, sf_dir):
         F.count_if(dated.isNull()).alias("num_undated"))
 
 
-def _redelivered_raw(raw: DataFrame) -> DataFrame:
-    """The raw rows plus the last day delivered again, differing only in the
-    server offset (metadata the staging model drops)."""
+def _last_day_again(raw: DataFrame) -> DataFrame:
+    """The last day's rows as a second delivery, differing only in the server
+    offset (metadata the staging model drops)."""
     last = raw.agg(F.max("event_date")).scalar()
-    again = raw.where(F.col("event_date") == last).withColumn(
+    return raw.where(F.col("event_date") == last).withColumn(
         "event_server_timestamp_offset", F.lit(17).cast("bigint"))
-    return raw.unionByName(again)
+
+
+def _redelivered_raw(raw: DataFrame) -> DataFrame:
+    return raw.unionByName(_last_day_again(raw))
 
 
 @register("staging_dedup", with_models(f"""
@@ -408,6 +413,89 @@ def q_stream_load(spark, sf_dir):
         F.count_distinct("user_pseudo_id").alias("num_users"))
 
 
+SHARD_FOLDER = "shard=%Y%m%d"
+
+
+def _land(rows: DataFrame, landing: str) -> None:
+    """Raw rows as files of their day's folder."""
+    tagged = rows.withColumn("shard", F.date_format(row_day(), "yyyyMMdd"))
+    tagged.hint("rebalance", "shard").write.partitionBy("shard").mode("append").parquet(landing)
+
+
+def _halves(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The earlier and the later half of the days."""
+    middle = raw.agg(F.expr("percentile_disc(0.5) within group (order by event_date)")).scalar()
+    return raw.where(F.col("event_date") <= middle), raw.where(F.col("event_date") > middle)
+
+
+STREAM_DELAY_HOURS = 48
+
+
+@register("stream_sessions", with_models(f"""
+, all_sessions AS (
+    SELECT user_pseudo_id, session_number, session_id, min(event_at) AS started_at,
+        max(event_at) AS ended_at, count(*) AS num_events
+    FROM sess GROUP BY ALL),
+seen AS (SELECT epoch_us(max(event_at)) // 1000 * 1000 AS newest FROM stg)
+SELECT a.* FROM all_sessions a, seen
+WHERE epoch_us(ended_at) + 1800999999 <= newest - {STREAM_DELAY_HOURS} * 3600000000
+"""))
+def q_stream_sessions(spark, sf_dir):
+    """Sessions that the stream has closed, over two landings of which the second
+    delivers the last day of the first once more."""
+    configure(spark)
+    early, later = _halves(read_fixture_raw(spark, sf_dir))
+    landing, out, checkpoint = (scratch_path(spark, f"sessions-{x}") for x in ("in", "out", "ckpt"))
+    closed = None
+    for rows in (early, later.unionByName(_last_day_again(early))):
+        _land(rows, landing)
+        closed = load_sessions(spark, landing, out, checkpoint, f"{STREAM_DELAY_HOURS} hours",
+                               pattern=SHARD_FOLDER)
+    return numbered(closed)
+
+
+@register("stream_dedup", with_models(f"""
+SELECT event_date,
+    count(*) * CASE WHEN event_date = {LAST_DAY_SQL} THEN 2 ELSE 1 END AS raw_rows,
+    count(*) AS staged_events
+FROM stg GROUP BY event_date
+"""))
+def q_stream_dedup(spark, sf_dir):
+    """The last day is delivered again in a later batch; the stream stages it once."""
+    configure(spark)
+    raw = read_fixture_raw(spark, sf_dir)
+    landing, out, checkpoint = (scratch_path(spark, f"staged-{x}") for x in ("in", "out", "ckpt"))
+    staged = None
+    for rows in (*_halves(raw), _last_day_again(raw)):
+        _land(rows, landing)
+        staged = load_staged_events(spark, landing, out, checkpoint, f"{STREAM_DELAY_HOURS} hours",
+                                    pattern=SHARD_FOLDER)
+    delivered = spark.read.parquet(landing).groupBy(
+        F.to_date("event_date", "yyyyMMdd").alias("event_date")).agg(
+        F.count(F.lit(1)).alias("raw_rows"))
+    return delivered.join(staged.groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("staged_events")), "event_date")
+
+
+@register("stream_late_rows", with_models(f"""
+SELECT (SELECT count(*) FROM stg) AS staged_events, count(*) AS late_rows
+FROM stg WHERE event_date = {FIRST_DAY_SQL}
+"""))
+def q_stream_late_rows(spark, sf_dir):
+    """The first day comes again after everything else, past the watermark: counted, not staged."""
+    configure(spark)
+    raw = read_fixture_raw(spark, sf_dir)
+    landing, out, checkpoint = (scratch_path(spark, f"late-{x}") for x in ("in", "out", "ckpt"))
+    first = raw.agg(F.min("event_date")).scalar()
+    staged = None
+    for rows in (raw, raw.where(F.col("event_date") == first)):
+        _land(rows, landing)
+        staged = load_staged_events(spark, landing, out, checkpoint, f"{STREAM_DELAY_HOURS} hours",
+                                    pattern=SHARD_FOLDER)
+    late = F.lit(BatchTable(spark, out).late_rows()).cast("bigint")
+    return staged.agg(F.count(F.lit(1)).alias("staged_events")).withColumn("late_rows", late)
+
+
 @register("fct_events_incremental", with_models("""
 SELECT event_date, count(*) AS num_events, count(DISTINCT session_id) AS num_sessions
 FROM sess GROUP BY event_date

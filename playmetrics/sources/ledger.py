@@ -11,19 +11,19 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playmetrics.sources.files import exists
 
 LEDGER_SCHEMA = ("version long, action string, day date, num_rows long, num_bytes long, "
-                 "recorded_at timestamp")
-BEGIN, LOAD = "begin", "load"
+                 "recorded_at timestamp, batch long")
+BEGIN, LOAD, BATCH, LATE = "begin", "load", "batch", "late"
 
 
 @dataclass(frozen=True)
 class DayLoad:
-    day: dt.date
+    day: dt.date | None  # a stream's batch is of no one day
     num_rows: int
     num_bytes: int
 
@@ -49,13 +49,16 @@ class Ledger:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def _append(self, action: str, loads: list[DayLoad]) -> None:
-        newest = 0
-        if exists(self.spark, self.path):
-            entries = self.spark.read.schema(LEDGER_SCHEMA).parquet(self.path)
-            newest = entries.agg(F.max("version")).first()[0] or 0
+    def entries(self) -> DataFrame:
+        """Every entry; columns that older entries lack are NULL."""
+        if not exists(self.spark, self.path):
+            return self.spark.createDataFrame([], LEDGER_SCHEMA)
+        return self.spark.read.schema(LEDGER_SCHEMA).parquet(self.path)
+
+    def _append(self, action: str, loads: list[DayLoad], batch: int | None = None) -> None:
+        newest = self.entries().agg(F.max("version")).first()[0] or 0
         now = dt.datetime.now(dt.timezone.utc)
-        rows = [(newest + 1, action, x.day, x.num_rows, x.num_bytes, now) for x in loads]
+        rows = [(newest + 1, action, x.day, x.num_rows, x.num_bytes, now, batch) for x in loads]
         self.spark.createDataFrame(rows, LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(
             self.path)
 
@@ -66,13 +69,24 @@ class Ledger:
     def record(self, loads: list[DayLoad]) -> None:
         self._append(LOAD, loads)
 
+    def record_batch(self, batch: int, num_rows: int) -> None:
+        """A stream's micro-batch is in place; from here on a repeat of it adds nothing."""
+        self._append(BATCH, [DayLoad(None, num_rows, 0)], batch)
+
+    def record_late(self, batch: int, num_rows: int) -> None:
+        """Rows that a micro-batch left out because they came after the watermark."""
+        self._append(LATE, [DayLoad(None, num_rows, 0)], batch)
+
+    def batches(self, action: str = BATCH) -> DataFrame:
+        """(batch, num_rows) of a stream, the newest entry of each batch."""
+        rows = self.entries().where(F.col("action") == action)
+        return rows.groupBy("batch").agg(F.max_by("num_rows", "version").alias("num_rows"))
+
     def state(self) -> LedgerState | None:
         """None before the first beginning. The ledger has a few rows per day, so it fits here."""
-        if not exists(self.spark, self.path):
-            return None
         state = None
-        entries = self.spark.read.schema(LEDGER_SCHEMA).parquet(self.path)
-        for r in entries.orderBy("version", "day").collect():
+        days = self.entries().where(F.col("action").isin(BEGIN, LOAD))
+        for r in days.orderBy("version", "day").collect():
             if r.action == BEGIN:
                 state = LedgerState(r.day)
             elif state is not None:
