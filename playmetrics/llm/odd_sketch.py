@@ -16,12 +16,17 @@ which tells high similarities apart sharply.
    confirm it. The bitmap never rules out a true link: the XOR has at most as
    many ones as elements differ. On sets of up to about ``SET_BITS`` shingles it
    tells 0.75 from 0.7, so a large group of half-alike texts leaves few pairs.
-4. Links give components. Buckets that still hold several components then meet
-   again: every member outside a bucket's largest component meets the members of
-   other components, with the sketch test inside the join. After that, any two
-   classes that share a bucket are in one component or were compared.
-
-Two documents at similarity s share no bucket with probability
+4. Links give components. The classes of buckets that still hold several
+   components meet by an exact prefix join on their full sets: shingles are put
+   in one order, those that no two components share first and frequent ones
+   last; two sets at the similarity must share one of the first few, however
+   many share the frequent ones. How few depends on both sizes, so classes meet
+   by (shingle, size bands), and a match must leave room for the overlap behind
+   its two places. Many texts that share a passage but are not alike thus make no
+   pairs, since the passage stands at the end of their order.
+
+After that, any two classes that share a bucket are in one component or not
+alike. Two documents at similarity s share no bucket with probability
 ``(1 - s ** rows) ** bands``: 5e-6 at 0.75, less above.
 
 Edge cases: a text without words has an empty set and is linked with nothing;
@@ -204,20 +209,30 @@ def _side(frame: DataFrame, side: str, *more: str) -> DataFrame:
                         F.col("parity").alias(f"parity_{side}"))
 
 
-def confirm(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int,
-            similarity: tuple[int, int], id_col: str, text_col: str) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets reach the similarity.
+def class_sets(docs: DataFrame, classes: DataFrame, ids: DataFrame, width: int, id_col: str,
+               text_col: str) -> DataFrame:
+    """(class_id, shingles) of the classes that ``ids`` (class_id) names, settled.
 
-    A pair may come twice where an identifier repeats. No grouping follows the
-    joins here, so that Spark can split a pivot that very many classes share.
+    A class may come twice where an identifier repeats.
     """
-    part, whole = similarity
-    ends = pairs.select(F.col("a").alias("class_id")).union(
-        pairs.select(F.col("b").alias("class_id"))).distinct()
-    marks = classes.join(ends, "class_id", "left_semi").select("class_id", "set_a", "set_b")
+    marks = classes.join(ids, "class_id", "left_semi").select("class_id", "set_a", "set_b")
     texts = (docs.select(F.col(id_col).cast("long").alias("class_id"), F.col(text_col).alias("text"))
              .join(marks, "class_id").select("class_id", "text", "set_a", "set_b"))
-    sets = _sets(texts, width).transform(settled)
+    return _sets(texts, width).transform(settled)
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("class_id")).union(
+        pairs.select(F.col("b").alias("class_id"))).distinct()
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets reach the similarity.
+
+    No grouping follows the joins here, so that Spark can split a pivot that very
+    many classes share.
+    """
+    part, whole = similarity
     left = sets.select(F.col("class_id").alias("a"), F.col("shingles").alias("set_of_a"))
     right = sets.select(F.col("class_id").alias("b"), F.col("shingles").alias("set_of_b"))
     shared = F.size(F.array_intersect("set_of_a", "set_of_b"))
@@ -226,6 +241,75 @@ def confirm(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int,
             .select("a", "b"))
 
 
+# ------------------------------------------------------------------ prefix join
+
+BAND = 1.05  # sizes of a band differ by this factor at most
+
+
+def _band(size: Column) -> Column:
+    return F.floor(F.log(size) / math.log(BAND)).cast("int")
+
+
+def prefix_rows(sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """What two alike sets of different parts must share, of (class_id, part, shingles).
+
+    One row per class, band of partner sizes and shingle of the prefix: shingle, low,
+    high (the two bands), class_id, part, n, place, own, other. The order of the
+    shingles is: those that only one part has, then by the number of classes
+    that have them; only shingles of several parts make rows.
+    """
+    part, whole = similarity
+    size = F.size("shingles")
+    rows = sets.select("class_id", "part", size.alias("n"), F.explode("shingles").alias("shingle"))
+    spread = (rows.groupBy("shingle")
+              .agg(F.count(F.lit(1)).alias("classes"), F.min("part").alias("least"),
+                   F.max("part").alias("most"))
+              .where("least <> most").select("shingle", "classes").transform(settled))
+    common = rows.join(spread, "shingle")
+    mine = Window.partitionBy("class_id")
+    place = (F.col("n") - F.count(F.lit(1)).over(mine)
+             + F.row_number().over(mine.orderBy("classes", "shingle")) - 1)
+    n = F.col("n")
+    least_partner = F.ceil(n * part / whole)
+    most_partner = F.floor(n * whole / part)
+    placed = common.select("class_id", "part", "n", "shingle", place.cast("int").alias("place")).where(
+        F.col("place") <= n - least_partner)
+    banded = placed.select("*", _band(n).alias("own"), F.explode(F.sequence(
+        _band(least_partner), _band(most_partner))).alias("other"))
+    # the smallest partner of the band, and the overlap that it asks for
+    partner = F.greatest(least_partner, F.floor(F.pow(F.lit(BAND), F.col("other"))))
+    overlap = F.ceil((n + partner) * part / (whole + part))
+    return banded.where(F.col("place") <= n - overlap).select(
+        "shingle", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+        "class_id", "part", "n", "place", "own", "other")
+
+
+def prefix_pairs(rows: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """(a, b), a < b, of different parts: every pair at the similarity, and few others.
+
+    Under a key, the largest part's classes do not meet each other.
+    """
+    part, whole = similarity
+    key = ["shingle", "low", "high"]
+    parts = rows.groupBy(*key, "part").agg(F.count(F.lit(1)).alias("size"))
+    mixed = (parts.groupBy(*key).agg(F.count(F.lit(1)).alias("parts"),
+                                     F.max(F.struct("size", "part")).alias("top"))
+             .where("parts > 1").select(*key, F.col("top.part").alias("main")))
+    inside = rows.join(mixed, key).transform(settled)
+
+    def side(frame: DataFrame, name: str) -> DataFrame:
+        return frame.select(*key, F.col("class_id").alias(name), *[
+            F.col(c).alias(f"{c}_{name}") for c in ("part", "n", "place", "own", "other", "main")])
+
+    a, b = side(inside.where("part <> main"), "a"), side(inside, "b")
+    room = F.least(F.expr("n_a - place_a"), F.expr("n_b - place_b"))
+    met = a.join(b, key).where(
+        F.expr("part_a <> part_b and own_a = other_b and own_b = other_a")
+        & (F.expr("part_b = main_b") | (F.col("a") < F.col("b")))
+        & ((whole + part) * room >= part * (F.col("n_a") + F.col("n_b"))))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, bits: int = BITS,
                     width: int = WIDTH, similarity: tuple[int, int] = SIMILARITY,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -256,12 +340,15 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, bits:
     tried = (_side(meeting.where("class_id <> pivot").dropDuplicates(["class_id", "pivot"]),
                    "a", F.col("pivot").alias("b"))
              .join(_side(plain, "b"), "b").where(alike).select("a", "b").transform(settled))
-    links = confirm(docs, classes, tried, width, similarity, id_col, text_col).transform(settled)
+    sets = class_sets(docs, classes, _ends(tried), width, id_col, text_col)
+    links = confirmed(tried, sets, similarity).transform(settled)
     found = components(links).transform(settled)
 
-    rest = _unmet(meeting, found, tried, alike).transform(settled)
-    if not rest.isEmpty():
-        more = confirm(docs, classes, rest, width, similarity, id_col, text_col)
+    apart = _apart_still(meeting, found).transform(settled)
+    if not apart.isEmpty():
+        sets = class_sets(docs, classes, apart, width, id_col, text_col)
+        pairs = _unmet(sets, apart, tried, plain, alike, similarity).transform(settled)
+        more = confirmed(pairs, sets, similarity)
         stars = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
         found = components(stars.union(more))
     class_of = (classes.select("set_a", "set_b", "n_shingles", "class_id")
@@ -277,24 +364,25 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, bits:
             .withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id"))))
 
 
-def _unmet(meeting: DataFrame, found: DataFrame, tried: DataFrame, alike: Column) -> DataFrame:
-    """Pairs of classes that share a bucket, are not yet connected and were not yet compared."""
-    placed = (meeting.drop("pivot").join(found, F.col("class_id") == F.col("id"), "left")
-              .select("bucket", "class_id", "n", "sketch", "parity",
-                      F.coalesce("component", "class_id").alias("part")))
-    sizes = placed.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("size"))
-    by_bucket = sizes.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("parts"), F.max(F.struct("size", "part")).alias("top"))
-    mixed = by_bucket.where("parts > 1").select("bucket", F.col("top.part").alias("main"))
-    inside = placed.join(mixed, "bucket").transform(settled)
-    a = _side(inside.where("part <> main"), "a", "bucket", F.col("part").alias("part_a"))
-    b = _side(inside, "b", "bucket", "main", F.col("part").alias("part_b"))
-    # both ends outside the main component meet once, as a < b
-    once = (F.col("part_b") == F.col("main")) | (F.col("a") < F.col("b"))
-    pairs = a.join(b, "bucket").where(
-        (F.col("part_a") != F.col("part_b")) & once & alike).select("a", "b").distinct()
+def _apart_still(meeting: DataFrame, found: DataFrame) -> DataFrame:
+    """(class_id, part) of the classes in buckets that hold several components."""
+    placed = (meeting.select("bucket", "class_id")
+              .join(found, F.col("class_id") == F.col("id"), "left")
+              .select("bucket", "class_id", F.coalesce("component", "class_id").alias("part")))
+    mixed = (placed.groupBy("bucket").agg(F.min("part").alias("least"), F.max("part").alias("most"))
+             .where("least <> most").select("bucket"))
+    return placed.join(mixed, "bucket", "left_semi").select("class_id", "part").distinct()
+
+
+def _unmet(sets: DataFrame, apart: DataFrame, tried: DataFrame, plain: DataFrame, alike: Column,
+           similarity: tuple[int, int]) -> DataFrame:
+    """Pairs of classes in different components that may be alike and were not yet compared."""
+    once = sets.dropDuplicates(["class_id"]).join(apart, "class_id")
+    pairs = prefix_pairs(prefix_rows(once, similarity).transform(settled), similarity)
     done = tried.union(tried.select("b", "a"))
-    return pairs.join(done, ["a", "b"], "left_anti")
+    rest = pairs.join(done, ["a", "b"], "left_anti")
+    return (rest.join(_side(plain, "a"), "a").join(_side(plain, "b"), "b").where(alike)
+            .select("a", "b"))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id",

@@ -136,3 +136,51 @@ def test_large_group_of_half_alike_texts_leaves_few_pairs(spark):
     rows = odd_sketch.near_duplicates(docs).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute(
         list(enumerate(texts, 1)))
+
+
+@pytest.mark.parametrize("similarity", [(75, 100), (3, 5)])
+def test_prefix_join_finds_every_alike_pair_of_different_parts(spark, similarity):
+    rng = random.Random(9)
+    part, whole = similarity
+    sets, base = {}, [rng.sample(range(4000), rng.randint(1, 90)) for _ in range(40)]
+    for i in range(260):
+        kept = [x for x in base[i % 40] if rng.random() > rng.choice((0, 0.05, 0.15, 0.3))]
+        sets[i] = sorted(set(kept + rng.sample(range(4000, 9000), rng.randint(0, 12))))
+    parts = {i: rng.choice((i, i, 1000 + i % 7)) for i in sets}
+    rows = spark.createDataFrame([(i, parts[i], v) for i, v in sets.items() if v],
+                                 "class_id long, part long, shingles array<long>")
+    got = odd_sketch.prefix_pairs(odd_sketch.prefix_rows(rows, similarity), similarity).collect()
+    wanted = {(a, b) for a in sets for b in sets if a < b and parts[a] != parts[b]
+              and len({*sets[a], *sets[b]}) and whole * len({*sets[a]} & {*sets[b]})
+              >= part * len({*sets[a], *sets[b]})}
+    found = {tuple(r) for r in got}
+    assert len(found) == len(got) and wanted <= found
+    assert all(parts[a] != parts[b] for a, b in found)
+
+
+def test_many_texts_that_share_a_passage_make_few_pairs(spark, monkeypatch):
+    """3,000 texts, each its own class, share 160 words and differ in 50; no two but the
+    planted ones are alike, and what is compared does not grow with their square."""
+    rng = random.Random(8)
+    passage = " ".join(f"p{i}" for i in range(160))
+    own = [[f"o{rng.randrange(10**9)}" for _ in range(50)] for _ in range(3000)]
+    texts = [passage + " " + " ".join(x) for x in own]
+    planted = {}
+    for i in range(0, 300, 10):  # two changed words of the own half
+        words = list(own[i])
+        words[7], words[40] = "changed", f"c{i}"
+        planted[len(texts) + 1] = i + 1
+        texts.append(passage + " " + " ".join(words))
+    pairs = []
+    real = odd_sketch._unmet
+
+    def counted(*args):
+        out = real(*args)
+        pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(odd_sketch, "_unmet", counted)
+    rows = odd_sketch.near_duplicates(documents(spark, texts).repartition(4)).collect()
+    assert {r.doc_id: r.component_id for r in rows} == {
+        i: planted.get(i, i) for i in range(1, len(texts) + 1)}
+    assert sum(pairs) <= len(texts)
