@@ -228,7 +228,7 @@ def _marked(phrases_of: DataFrame, bits: int) -> np.ndarray:
             .groupBy(F.expr(f"slot div {BITMAP}").alias("part"))
             .agg(F.bitmap_construct_agg((F.col("slot") % BITMAP).cast("long")).alias("bits")))
     marked = np.zeros(1 << bits, dtype=bool)
-    for part, packed in rows.toLocalIterator():
+    for part, packed in rows.collect():
         at = part * BITMAP
         found = np.unpackbits(np.frombuffer(packed, np.uint8), bitorder="little").astype(bool)
         marked[at:at + BITMAP] = found[:len(marked) - at]
@@ -237,7 +237,7 @@ def _marked(phrases_of: DataFrame, bits: int) -> np.ndarray:
 
 def frequent(spark: SparkSession, path: str, bits: int, shards: int, least: int,
              longest: int) -> tuple[DataFrame, int]:
-    """(phrase, k, n) of all phrases of up to ``longest`` words, and the steps it took."""
+    """(phrase, k, n) of all phrases of up to ``longest`` words, settled, and the steps taken."""
     table = np.full(1 << bits, NEVER, np.uint8)
     parts = spark.read.parquet(path)
     state, step, last = None, 0, -1
@@ -263,7 +263,9 @@ def frequent(spark: SparkSession, path: str, bits: int, shards: int, least: int,
             table[new], last = step, step
         step += 1
     found = spark.read.parquet(state).where(F.col("n") >= least)
-    return found.select("phrase", (F.col("mark") % 8).alias("k"), "n"), step
+    found = found.select("phrase", (F.col("mark") % 8).alias("k"), "n").transform(settled)
+    files.remove(spark, state)
+    return found, step
 
 
 # ------------------------------------------------------------------ from hashes back to words
@@ -341,7 +343,6 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, be
     if not words:
         return _empty(spark)
     counts, _ = frequent(spark, path, bits, shards, least, longest)
-    counts = counts.transform(settled)
     reached = _marked(counts, bits)
     wanted = _marked(counts.where("k > 1"), bits)
     sent = spark.sparkContext.broadcast((reached, wanted))
