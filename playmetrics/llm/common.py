@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,21 +42,27 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """``df`` checkpointed, without the shuffle files of its making.
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Actions in here leave no shuffle files behind.
 
-    Once the rows are in the checkpoint folder nothing reads those files again,
-    so Spark removes them at the end of this action rather than whenever the
-    driver happens to collect its garbage.
+    Once rows are in the checkpoint folder nothing reads those files again, so
+    Spark removes them at the end of the action rather than whenever the driver
+    happens to collect its garbage.
     """
-    conf = df.sparkSession.conf
-    before = conf.get(CLEAN_UP)
-    conf.set(CLEAN_UP, "true")
+    before = spark.conf.get(CLEAN_UP)
+    spark.conf.set(CLEAN_UP, "true")
     try:
+        yield
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` checkpointed, without the shuffle files of its making."""
+    with tidy(df.sparkSession):
         # a new plan, since a plan takes the setting when it is made
         return df.select("*").checkpoint()
-    finally:
-        conf.set(CLEAN_UP, before)
 
 
 def ascii_lower(text: Column) -> Column:

@@ -41,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from playmetrics.llm.common import prepare, settled
+from playmetrics.llm.common import prepare, settled, tidy
 from playmetrics.session import scratch_path
 from playmetrics.sources import files
 
@@ -250,8 +250,9 @@ def frequent(spark: SparkSession, path: str, bits: int, shards: int, least: int,
         # what is complete and below the threshold is done with
         complete = F.expr(f"mark div 8 + {shards - 1} <= {step}")
         now = scratch_path(spark, "phrase-counts")
-        (added.groupBy("phrase").agg(F.max("mark").alias("mark"), F.sum("n").alias("n"))
-         .where(~complete | (F.col("n") >= least)).write.parquet(now))
+        with tidy(spark):
+            (added.groupBy("phrase").agg(F.max("mark").alias("mark"), F.sum("n").alias("n"))
+             .where(~complete | (F.col("n") >= least)).write.parquet(now))
         sent.destroy()
         if state is not None:
             files.remove(spark, state)
@@ -273,9 +274,14 @@ def frequent(spark: SparkSession, path: str, bits: int, shards: int, least: int,
 MADE = "phrase long, k int, words array<long>, heads array<long>, tails array<long>"
 
 
-def _recover(blocks: DataFrame, sent, longest: int) -> DataFrame:
-    """Words of the marked phrases, and hashes of their first and last 1, 2, ... words."""
+def _recover(blocks: DataFrame, sent, longest: int, one_in: int) -> DataFrame:
+    """Words of the marked phrases, and hashes of their first and last 1, 2, ... words.
+
+    A block tells them of those phrases that it is one of ``one_in`` blocks to tell.
+    """
     def recover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from playmetrics.llm.wordstream import mix
+
         reached, wanted = sent.value
         mask = np.uint64(len(wanted) - 1)
         table = np.where(reached, np.uint8(0), np.uint8(NEVER))
@@ -285,6 +291,9 @@ def _recover(blocks: DataFrame, sent, longest: int) -> DataFrame:
             for k, places, hashes, _ in phrases(words, table, longest):
                 dense.append(hashes)
                 places = places[wanted[hashes[places] & mask]]
+                if one_in > 1:
+                    turn = mix(hashes[places] ^ np.uint64(len(words)) ^ words[-1])
+                    places = places[turn % np.uint64(one_in) == 0]
                 distinct, first = np.unique(hashes[places], return_index=True)
                 new, seen[k] = _unseen(distinct, seen[k])
                 if not new.any():
@@ -301,6 +310,34 @@ def _recover(blocks: DataFrame, sent, longest: int) -> DataFrame:
     return blocks.select("words").mapInArrow(recover, MADE)
 
 
+TURNS = (16, 8, 4, 1)
+
+
+def _made(blocks: DataFrame, counts: DataFrame, bits: int, shards: int,
+          longest: int) -> DataFrame:
+    """(phrase, k, words, heads, tails) of every counted phrase of two words and more.
+
+    A frequent phrase is in many blocks of which one would do. So the first part is
+    asked with one block in 16 telling of a phrase, the next with one in 8, and so
+    on; what is still unknown in the end is looked for in all parts.
+    """
+    spark = blocks.sparkSession
+    reached = _marked(counts, bits)
+    left, found = counts.where("k > 1").select("phrase"), None
+    asked = [(F.col("shard") == i, one_in) for i, one_in in enumerate(TURNS[:shards])]
+    for part, one_in in [*asked, (F.lit(True), 1)]:
+        sent = spark.sparkContext.broadcast((reached, _marked(left, bits)))
+        told = (_recover(blocks.where(part), sent, longest, one_in).groupBy("phrase")
+                .agg(F.first(F.struct("k", "words", "heads", "tails")).alias("m"))
+                .join(left, "phrase", "left_semi").select("phrase", "m.*").transform(settled))
+        sent.destroy()
+        found = told if found is None else found.unionByName(told)
+        left = left.join(told, "phrase", "left_anti").transform(settled)
+        if left.isEmpty():
+            break
+    return found
+
+
 def _lists(matrix: np.ndarray) -> pa.Array:
     n, width = matrix.shape
     return pa.ListArray.from_arrays(pa.array(np.arange(0, n * width + 1, width), pa.int32()),
@@ -343,12 +380,7 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, be
     if not words:
         return _empty(spark)
     counts, _ = frequent(spark, path, bits, shards, least, longest)
-    reached = _marked(counts, bits)
-    wanted = _marked(counts.where("k > 1"), bits)
-    sent = spark.sparkContext.broadcast((reached, wanted))
-    made = (_recover(blocks, sent, longest).groupBy("phrase")
-            .agg(F.first(F.struct("k", "words", "heads", "tails")).alias("m"))
-            .select("phrase", "m.*"))
+    made = _made(blocks, counts, bits, shards, longest)
     names = (blocks.select(F.inline("names"))
              .join(counts.where("k = 1").select(F.col("phrase").alias("value")), "value")
              .groupBy("value").agg(F.first(F.struct("lang", "word")).alias("name"))
@@ -380,7 +412,6 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, be
               .select(F.col("lang").alias(lang_col), F.col("rank").cast("long").alias("rank"),
                       F.col("text").alias("phrase"), "a", "l", "r", "n", "score")
               .transform(settled))
-    sent.destroy()
     files.remove(spark, path)
     return result
 
