@@ -5,20 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from playmetrics.operators.user_state import active_between, active_on
+
 RETENTION_DAYS = (1, 7, 30)
 
 
-def daily_active_users(user_days: DataFrame) -> DataFrame:
+def daily_active_users(user_days: DataFrame, first_seen: DataFrame | None = None) -> DataFrame:
     """One row per activity day.
 
     user days are unique on (user, day), so distinct-user counts are plain
     counts. A user is new on the first day they were seen; that day comes
     from a per-user window over the (small) user-day spine rather than a
-    join with the user dimension. Minutes are summed as decimals so the
-    order of addition cannot move a rounding tie.
+    join with the user dimension, or, where the spine only holds some days, from
+    ``first_seen`` (user_pseudo_id, first_seen_date). Minutes are summed as decimals so
+    the order of addition cannot move a rounding tie.
     """
-    first_seen = F.min("event_date").over(Window.partitionBy("user_pseudo_id"))
-    ud = user_days.withColumn("_first_seen", first_seen)
+    if first_seen is None:
+        seen = F.min("event_date").over(Window.partitionBy("user_pseudo_id"))
+        ud = user_days.withColumn("_first_seen", seen)
+    else:
+        index = first_seen.select("user_pseudo_id", F.col("first_seen_date").alias("_first_seen"))
+        ud = user_days.join(index, "user_pseudo_id", "left")
     daily = ud.groupBy(F.col("event_date").alias("activity_date")).agg(
         F.count(F.lit(1)).alias("dau"),
         F.count_if(F.col("_first_seen") == F.col("event_date")).alias("new_users"),
@@ -52,6 +59,62 @@ def last_loaded_day(user_days: DataFrame) -> Column:
     return user_days.agg(F.max("event_date")).scalar()
 
 
+def retention_flags(totals: DataFrame, days: tuple[int, ...] = RETENTION_DAYS,
+                    rolling: tuple[tuple[int, int], ...] = ()) -> DataFrame:
+    """Users with an observed first open: cohort_date, grant_bucket, and per day N whether
+    they were active N days later (``_rN``); per rolling (a, b) whether on any of the days
+    a to b (``_ra_b``). Read from activity bitmaps, one row per user, without the spine."""
+    cohort = F.to_date("first_open_at")
+    grant = F.coalesce(F.col("initial_extra_steps")["v"].cast("string"), F.lit("unassigned"))
+    known = totals.where(F.col("user_pseudo_id").isNotNull() & (F.col("num_days_active") > 0)
+                         & F.col("first_open_at").isNotNull())
+    return known.select(
+        cohort.alias("cohort_date"), grant.alias("grant_bucket"),
+        *[active_on(F.col("days"), F.date_add(cohort, n)).alias(f"_r{n}") for n in days],
+        *[active_between(F.col("days"), F.date_add(cohort, a), F.date_add(cohort, b))
+          .alias(f"_r{a}_{b}") for a, b in rolling])
+
+
+def retention_cohorts_of(flags: DataFrame, max_loaded: Column,
+                         days: tuple[int, ...] = RETENTION_DAYS) -> DataFrame:
+    """:func:`retention_cohorts` from :func:`retention_flags`, for any days."""
+    counts = flags.groupBy("cohort_date").agg(
+        F.count(F.lit(1)).alias("cohort_size"),
+        *[F.count_if(f"_r{n}").alias(f"retained_d{n}") for n in days])
+    return counts.select("cohort_date", "cohort_size", *[f"retained_d{n}" for n in days], *[
+        F.when(F.date_add("cohort_date", n) <= max_loaded,
+               _rate(F.col(f"retained_d{n}"), F.col("cohort_size"))).alias(f"retention_d{n}")
+        for n in days])
+
+
+def retention_by_grant_of(flags: DataFrame, max_loaded: Column,
+                          days: tuple[int, ...] = RETENTION_DAYS) -> DataFrame:
+    """:func:`retention_by_grant` from :func:`retention_flags`, for any days."""
+    counts = flags.groupBy("grant_bucket").agg(
+        F.count(F.lit(1)).alias("cohort_users"),
+        *[F.count_if(F.date_add("cohort_date", n) <= max_loaded).alias(f"d{n}_denominator")
+          for n in days],
+        *[F.count_if(f"_r{n}").alias(f"retained_d{n}") for n in days])
+    return counts.select("*", *[
+        F.when(F.col(f"d{n}_denominator") > 0,
+               _rate(F.col(f"retained_d{n}"), F.col(f"d{n}_denominator"))).alias(f"retention_d{n}")
+        for n in days])
+
+
+def rolling_returns(flags: DataFrame, max_loaded: Column,
+                    ranges: tuple[tuple[int, int], ...]) -> DataFrame:
+    """Per cohort and range of days (a to b after the first open): users who came back on any of
+    them. The rate is NULL until the whole range is loaded."""
+    parts = [F.struct(F.lit(a).alias("first_day"), F.lit(b).alias("last_day"),
+                      F.col(f"_r{a}_{b}").alias("hit")) for a, b in ranges]
+    counts = (flags.select("cohort_date", F.inline(F.array(*parts)))
+              .groupBy("cohort_date", "first_day", "last_day")
+              .agg(F.count(F.lit(1)).alias("cohort_size"), F.count_if("hit").alias("returned")))
+    seen = F.date_add("cohort_date", F.col("last_day")) <= max_loaded
+    return counts.withColumn("return_rate", F.when(seen, _rate(F.col("returned"),
+                                                               F.col("cohort_size"))))
+
+
 def retention_cohorts(users: DataFrame, user_days: DataFrame,
                       max_loaded: Column | None = None) -> DataFrame:
     """Day-N retention per first_open cohort date, N in 1, 7, 30.

@@ -1,9 +1,11 @@
 """What each user did on each day, in a form that adds up.
 
 One row per (user, day) holds everything the user-day spine and the user
-dimension need, and where the user's sessions stood at the end of the day. A
-build that only sees new days rewrites their rows and still gets every user's
-totals, without reading old events.
+dimension need, and where the user's sessions stood at the end of the day.
+Totals hold the same for all days of a user, with a bitmap of the days on which
+the user was active. They add up: totals through a day and the rows of later
+days give the totals through those, so a build that sees new days needs the
+totals of the users who were active on them, and no old events or old days.
 """
 
 from __future__ import annotations
@@ -51,28 +53,95 @@ def spine(state: DataFrame) -> DataFrame:
     return known.select(surrogate_key(*KEY).alias("user_day_pk"), *USER_DAY_COLUMNS[1:])
 
 
-def users(state: DataFrame) -> DataFrame:
-    """The user dimension: a user's days added up; a user without a dated day has no row."""
-    per_user = state.where(F.col("user_pseudo_id").isNotNull()).groupBy("user_pseudo_id").agg(
-        F.min("first_open_at").alias("first_open_at"),
-        F.min("first_touch_at").alias("first_touch_at"),
-        F.min("event_date").alias("first_seen_date"),
-        F.max("event_date").alias("last_seen_date"),
-        F.count("event_date").alias("num_days_active"),
-        F.max("sessions_through").alias("num_sessions"),
-        F.sum("num_events").alias("num_events"),
-        F.min("platform").alias("platform"),
-        *[(F.max if latest else F.min)(out)["v"].alias(out)
-          for out, (_, latest) in BY_TIME.items()],
-        F.sum("num_spend_events").alias("num_spend_events"),
-        (F.sum("num_uninstalls") > 0).alias("has_uninstalled"),
-    )
-    return per_user.where("num_days_active > 0").withColumn(
-        "has_observed_first_open", F.col("first_open_at").isNotNull()).select(
-        *DIM_USERS.fieldNames())
+# ---------------------------------------------------------------- totals per user
+
+BLOCK = 64  # days in one word of an activity bitmap
+LEAST = ["first_open_at", "first_touch_at", "first_seen_date", "platform", "first_country",
+         "acquisition_medium", "acquisition_source"]
+MOST = ["last_seen_date", "num_sessions", "last_at", "initial_extra_steps"]
+SUMS = ["num_days_active", "num_events", "num_spend_events", "num_uninstalls"]
+
+
+def user_bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("user_pseudo_id"), F.lit(buckets)).cast("int").alias("user_bucket")
+
+
+def day_bit(day: Column) -> tuple[Column, Column]:
+    """The block of a day, counted from 1970-01-01, and the day's bit in it."""
+    number = F.unix_date(day)
+    return (F.floor(number / BLOCK).cast("int"),
+            F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(number, F.lit(BLOCK))))
+
+
+def day_totals(state: DataFrame) -> DataFrame:
+    """Each (user, day) of the state as the totals of a user who was there on that day alone."""
+    block, bit = day_bit(F.col("event_date"))
+    dated = F.col("event_date").isNotNull()
+    bitmap = F.when(dated, F.array(F.struct(block.alias("block"), bit.alias("bits")))).otherwise(
+        F.array().cast("array<struct<block:int,bits:bigint>>"))
+    return state.select(
+        "user_pseudo_id", "first_open_at", "first_touch_at",
+        F.col("event_date").alias("first_seen_date"), F.col("event_date").alias("last_seen_date"),
+        dated.cast("bigint").alias("num_days_active"),
+        F.col("sessions_through").alias("num_sessions"), "num_events", "platform", *BY_TIME,
+        "num_spend_events", "num_uninstalls", "last_at", bitmap.alias("days"))
+
+
+def added_up(totals: DataFrame) -> DataFrame:
+    """One row per user of rows that each hold totals of separate days.
+
+    Everything adds up, whatever the order: least and greatest values, sums, and the
+    bitmaps of active days by OR. Both groupings are by user, and combined before
+    the shuffle.
+    """
+    measures = totals.groupBy("user_pseudo_id").agg(
+        *[F.min(c).alias(c) for c in LEAST], *[F.max(c).alias(c) for c in MOST],
+        *[F.sum(c).alias(c) for c in SUMS])
+    words = (totals.select("user_pseudo_id", F.inline("days"))
+             .groupBy("user_pseudo_id", "block").agg(F.bit_or("bits").alias("bits")))
+    bitmaps = words.groupBy("user_pseudo_id").agg(
+        F.sort_array(F.collect_list(F.struct("block", "bits"))).alias("days"))
+    user = measures["user_pseudo_id"].eqNullSafe(bitmaps["user_pseudo_id"])
+    return measures.join(bitmaps, user, "left").select(
+        measures["user_pseudo_id"], *LEAST, *MOST, *SUMS,
+        F.coalesce("days", F.array().cast("array<struct<block:int,bits:bigint>>")).alias("days"))
+
+
+def users(totals: DataFrame) -> DataFrame:
+    """The user dimension; a user without a key or without a dated day has no row."""
+    known = totals.where(F.col("user_pseudo_id").isNotNull() & (F.col("num_days_active") > 0))
+    return known.select(
+        "user_pseudo_id", "first_open_at",
+        F.col("first_open_at").isNotNull().alias("has_observed_first_open"), "first_touch_at",
+        "first_seen_date", "last_seen_date", "num_days_active", "num_sessions", "num_events",
+        "platform", *[F.col(c)["v"].alias(c) for c in BY_TIME], "num_spend_events",
+        (F.col("num_uninstalls") > 0).alias("has_uninstalled")).select(*DIM_USERS.fieldNames())
+
+
+def sessions_before(totals: DataFrame) -> DataFrame:
+    """(user, last_at, sessions): where each user's sessions stand after the days of the totals."""
+    return totals.select("user_pseudo_id", "last_at", F.col("num_sessions").alias("sessions"))
+
+
+# ---------------------------------------------------------------- activity bitmaps
+
+def active_on(days: Column, day: Column) -> Column:
+    """Whether a bitmap has the day."""
+    block, bit = day_bit(day)
+    return F.exists(days, lambda x: (x["block"] == block) & (x["bits"].bitwiseAND(bit) != 0))
+
+
+def active_between(days: Column, first: Column, last: Column) -> Column:
+    """Whether a bitmap has a day from ``first`` to ``last``, both included."""
+    low, high = F.unix_date(first), F.unix_date(last)
 
+    def hit(x: Column) -> Column:
+        start = x["block"] * BLOCK
+        below = F.greatest(low - start, F.lit(0))          # bits under the range
+        above = F.greatest(start + BLOCK - 1 - high, F.lit(0))  # bits over it
+        every = F.lit(-1).cast("bigint")
+        mask = F.call_function("shiftleft", every, below).bitwiseAND(
+            F.call_function("shiftrightunsigned", every, above))
+        return (below < BLOCK) & (above < BLOCK) & (x["bits"].bitwiseAND(mask) != 0)
 
-def sessions_before(state: DataFrame) -> DataFrame:
-    """(user, last_at, sessions): where each user's sessions stand after the days of ``state``."""
-    return state.groupBy("user_pseudo_id").agg(F.max("last_at").alias("last_at"),
-                                               F.max("sessions_through").alias("sessions"))
+    return (low <= high) & F.exists(days, hit)

@@ -1,60 +1,94 @@
 """One build of the whole model DAG: materialize, stage, check, publish.
 
 Staging with its session columns is computed once and written as a table in
-the shared checkpoint folder; what it says about each user and day (see
-``operators.user_state``) likewise. Every mart is then written under its
-contract to a staging place and the data-test suite runs over what is staged.
-Only if no error-severity check fails are the staged marts published; otherwise
-the old ones stay and the report says why. The tables in the checkpoint folder
-are removed at the end.
+the shared checkpoint folder. What it says about each user and day, and all
+days of each user added up (see ``operators.user_state``), become tables beside
+the marts, for later builds to start from. Every mart is written under its
+contract into new folders, and the data-test suite runs over what is written.
+Only if no error-severity check fails does one version file name the new
+folders (see ``sources.published``): readers see all marts of the old build or all of
+the new one, also when a build stops halfway. Otherwise the old version stays and the
+report says why.
 
 A build that is told which shards are new (``new_days``) reads only events from
-the earliest day they touch, numbers their sessions on from the published
-user-day state and rewrites that state and the marts from there; its checks and
-monitors cover the same days. This equals a full build as long as those events
-have a time and are dated by it. Where one is not, or no state is published
-yet, the build is a full one.
+the earliest day they touch. It takes the totals of the users who were active
+since then from their buckets, numbers their sessions on, adds the new days up
+and writes those buckets; buckets without such users are not read and stay, as
+do older days of the daily tables. Its checks and monitors cover what it writes.
+This equals a full build as long as the events have a time and are dated by
+it. Where one is not, or nothing is published yet, the build is a full one.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from playmetrics.operators import quality as Q
 from playmetrics.operators.core import fct_events
 from playmetrics.operators.economy import extra_steps_economy_daily
+from playmetrics.operators.engagement import (
+    daily_active_users,
+    retention_by_grant_of,
+    retention_cohorts_of,
+    retention_flags,
+)
 from playmetrics.operators.funnels import level_funnel_daily
-from playmetrics.operators.user_state import sessions_before, spine, user_day_state, users
-from playmetrics.plans.models import Models
-from playmetrics.plans.sinks import (
-    enforce_contract,
-    incremental_rows,
-    partition_days,
-    replace_days,
-    write_contracted,
+from playmetrics.operators.user_state import (
+    added_up,
+    day_totals,
+    sessions_before,
+    spine,
+    user_bucket,
+    user_day_state,
+    users,
 )
+from playmetrics.plans.models import Models
+from playmetrics.plans.sinks import enforce_contract
 from playmetrics.plans.suite import declarations, suite_report
-from playmetrics.schema import MART_CONTRACTS, RAW_PARTITION_COLUMN
+from playmetrics.schema import (
+    MART_CONTRACTS,
+    RAW_PARTITION_COLUMN,
+    STATE_SCHEMA,
+    TOTALS_SCHEMA,
+)
 from playmetrics.session import configure, scratch_path
-from playmetrics.sources.files import exists, remove
+from playmetrics.sources.files import remove
 from playmetrics.sources.ledger import Ledger
+from playmetrics.sources.published import NULL_PART, WHOLE, Published
 from playmetrics.sources.raw_table import RawTable, Shards, load_pending
 
 FCT = "fct_events"
-STATE = "_user_day_state"  # not a mart: what the next build starts from
+STATE = "_user_day_state"    # not marts: what the next build starts from
+TOTALS = "_user_totals"      # all days of a user added up
+BEFORE = "_user_totals_before"  # the same, of days before the note of that name
+BUCKET = "user_bucket"
+USER_BUCKETS = 16  # a bucket should hold a few hundred megabytes of users
+DAY = "event_date"
+# how a table is divided into parts; others are replaced whole
+PARTED = {STATE: DAY, FCT: DAY, "level_funnel_daily": DAY, "extra_steps_economy_daily": DAY,
+          "daily_active_users": "activity_date", TOTALS: BUCKET, BEFORE: BUCKET,
+          "dim_users": BUCKET}
 
 
 @dataclass
 class BuildResult:
-    tables: dict[str, str] = field(default_factory=dict)
+    out: str
+    tables: list[str] = field(default_factory=list)  # marts and tables this build has published
     report: DataFrame | None = None
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
-        return spark.read.parquet(self.tables[name])
+        return read_mart(spark, self.out, name)
+
+
+def read_mart(spark: SparkSession, out_dir: str, name: str, version: int | None = None) -> DataFrame:
+    """A mart as the newest (or a given) version has it, with its contracted columns."""
+    return Published(spark, out_dir, version).read(name, MART_CONTRACTS[name])
 
 
 class Scratch:
@@ -82,23 +116,29 @@ def build(spark: SparkSession, raw: DataFrame, out_dir: str, window_start: dt.da
           volume_band: tuple[int, int] = (40_000, 60_000), null_rate_column: str = "platform",
           null_rate_threshold: float = 0.01, block_on_errors: bool = True,
           loaded: DataFrame | None = None, as_of: dt.datetime | None = None,
-          new_days: list[dt.date] | None = None, **model_kwargs) -> BuildResult:
+          new_days: list[dt.date] | None = None, user_buckets: int = USER_BUCKETS,
+          notes: dict[str, str] | None = None, **model_kwargs) -> BuildResult:
     """Build, check and publish every mart under ``out_dir``.
 
     A failing error check raises :class:`QualityError` after the report is
     written and before any mart is replaced, unless ``block_on_errors`` is off.
     ``loaded`` (one row, ``loaded_at``) adds the freshness of the load as of
-    ``as_of``: late is a warning, far too late an error.
+    ``as_of``: late is a warning, far too late an error. ``notes`` are kept with
+    the published version.
     """
     configure(spark)
     out = out_dir.rstrip("/")
+    old = Published(spark, out)
+    if int(old.notes.get("user_buckets", user_buckets)) != user_buckets:
+        new_days = None  # users are divided otherwise: start from their days
     since = None
     if new_days and rebuild_start_date is None:
         since = first_day_touched(spark, raw, out, new_days)
     scratch = Scratch(spark)
+    staged = Staged(spark, old)
     try:
-        staged, frames, recent = _stage(spark, scratch, raw, out, since, rebuild_start_date,
-                                        model_kwargs)
+        frames, recent = _stage(spark, scratch, staged, raw, since, rebuild_start_date,
+                                user_buckets, model_kwargs)
         checks = [
             Q.Check("singular:dau_reconciles",
                     Q.dau_reconciles(frames["daily_active_users"], frames["int_user_days"])),
@@ -115,45 +155,93 @@ def build(spark: SparkSession, raw: DataFrame, out_dir: str, window_start: dt.da
             age = Q.freshness(loaded, as_of or dt.datetime.now(dt.timezone.utc))
             checks += [Q.Check("freshness:raw:late", age.where("status = 'warn'"), "warn"),
                        Q.Check("freshness:raw:stale", age.where("status = 'error'"))]
-        result = BuildResult({"_checks": f"{out}/_checks"})
+        result = BuildResult(out)
         report = suite_report(spark, frames, declarations(window_start, window_end), checks)
-        report.coalesce(1).write.mode("overwrite").parquet(result.tables["_checks"])
-        result.report = spark.read.parquet(result.tables["_checks"])
+        report.coalesce(1).write.mode("overwrite").parquet(f"{out}/_checks")
+        result.report = spark.read.parquet(f"{out}/_checks")
         if block_on_errors:
             Q.raise_on_errors(result.report.collect())  # one small row per check
-        for name, path in staged.items():
-            result.tables[name] = f"{out}/{name}"
-            if name == FCT or name == STATE and since is not None:
-                replace_days(_read_days(spark, path, name), result.tables[name])
-            else:
-                rows = spark.read.parquet(path)
-                writer = rows.write.mode("overwrite")
-                (writer.partitionBy("event_date") if name == STATE else writer).parquet(
-                    result.tables[name])
+        published = staged.publish({"user_buckets": str(user_buckets), **(notes or {})})
+        result.tables = sorted(published.tables)
+        published.vacuum()
         return result
+    except Q.QualityError:
+        staged.drop()
+        raise
     finally:
         scratch.drop()
 
 
-def _read_days(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """A table with ``event_date`` partitions, the day typed as a date."""
-    if name in MART_CONTRACTS:
-        return spark.read.schema(MART_CONTRACTS[name]).parquet(path)
-    return spark.read.parquet(path).withColumn("event_date", F.col("event_date").cast("date"))
+class Staged:
+    """New parts of the tables, written but not yet named by a version."""
+
+    def __init__(self, spark: SparkSession, old: Published):
+        self.spark, self.old = spark, old
+        self.folders: dict[str, str] = {}
+        self.new: dict[str, dict[str, str]] = {}   # parts this build has written
+        self.all: dict[str, dict[str, str]] = {}   # with the old parts that stay
+        self.notes: dict[str, str] = {}
+
+    def write(self, rows: DataFrame, table: str,
+              stays: Callable[[str], bool] = lambda part: False) -> None:
+        """Write a table's new parts; of the old ones those stay that ``stays`` says."""
+        if table in MART_CONTRACTS:
+            wanted = [c for c in rows.columns if c != BUCKET]
+            enforce_contract(rows.select(*wanted), MART_CONTRACTS[table], table)
+        column = PARTED.get(table)
+        self.folders[table] = self.old.new_folder(table)
+        path = f"{self.old.root}/{self.folders[table]}"
+        if column is None:
+            rows.write.parquet(path)
+        else:
+            # a few right-sized files for each part (AQE splits big ones, merges small ones)
+            rows.hint("rebalance", column).write.partitionBy(column).parquet(path)
+        self.new[table] = self.old.written(self.folders[table], column)
+        kept = {x: f for x, f in self.old.tables.get(table, {}).items() if stays(x)}
+        self.all[table] = {**kept, **self.new[table]}
+
+    def _read(self, table: str, parts: dict[str, str], schema: T.StructType | None) -> DataFrame:
+        view = Published(self.spark, self.old.root)
+        view.tables = {table: parts}
+        return view.read(table, schema or MART_CONTRACTS[table])
+
+    def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
+        """The table as it will be published."""
+        return self._read(table, self.all[table], schema)
+
+    def new_rows(self, table: str, schema: T.StructType | None = None) -> DataFrame:
+        """What this build has written of the table."""
+        return self._read(table, self.new[table], schema)
+
+    def publish(self, notes: dict[str, str]) -> Published:
+        return self.old.publish(self.all, {**notes, **self.notes})
+
+    def drop(self) -> None:
+        for folder in self.folders.values():
+            remove(self.spark, f"{self.old.root}/{folder}")
+
+
+def published_days(published: Published, table: str = FCT) -> list[dt.date]:
+    """Days that a daily table has parts for."""
+    return [dt.date.fromisoformat(x) for x in published.parts(table)
+            if x not in (NULL_PART, WHOLE)]
 
 
 def first_day_touched(spark: SparkSession, raw: DataFrame, out: str, new_days: list[dt.date]
                       ) -> dt.date | None:
     """The day from which new shards can change anything; None: only a full build will do."""
-    published = partition_days(spark, f"{out}/{FCT}")
-    if not published or not exists(spark, f"{out}/{STATE}"):
+    published = Published(spark, out)
+    days = published_days(published)
+    if not days or not published.parts(STATE):
         return None
     new = raw.where(F.col(RAW_PARTITION_COLUMN).isin(new_days))
     earliest, odd = new.agg(F.min(F.timestamp_micros("event_timestamp")).cast("date"),
                             F.count_if(_odd())).first()
     if odd or earliest is None:
         return None
-    since = min(earliest, max(published) - dt.timedelta(days=1))
+    # a day that was loaded again may also have lost rows
+    again = [d for d in new_days if d <= max(days)]
+    since = min([earliest, max(days) - dt.timedelta(days=1), *again])
     return None if recent_rows(raw, since).where(_odd()).limit(1).count() else since
 
 
@@ -174,87 +262,114 @@ def recent_rows(raw: DataFrame, since: dt.date) -> DataFrame:
                      | (F.col("event_date") >= f"{since:%Y%m%d}"))
 
 
-def _stage(spark, scratch, raw, out, since, rebuild_start_date, model_kwargs
-           ) -> tuple[dict[str, str], dict[str, DataFrame], DataFrame]:
-    """Staged tables by name, the frames to check, and the raw rows they come from."""
-    recent, old_state = raw, None
+def _before(staged: Staged, recent: DataFrame, since: dt.date, buckets: int
+            ) -> tuple[DataFrame, set[str]]:
+    """Totals of days before ``since`` for all users of the buckets with an active one, and
+    those buckets.
+
+    They come from the totals that the last build left, with the days between added;
+    where there are none, or they reach too far, from all users' days.
+    """
+    old = staged.old
+    noted = old.notes.get("totals_before")
+    until = dt.date.fromisoformat(noted) if noted else None
+    afresh = until is None or until > since
+    earlier = [x for x in old.parts(STATE) if x == NULL_PART or x < since.isoformat()]
+    if not afresh:
+        earlier = [x for x in earlier if x != NULL_PART and x >= until.isoformat()]
+    between = old.read(STATE, STATE_SCHEMA, earlier)
+    rows = day_totals(between)
+    if afresh:
+        wanted = {str(b) for b in range(buckets)}
+    else:
+        # active now, on the days between, or on the days that are written again
+        again = old.read(STATE, STATE_SCHEMA, [x for x in old.parts(STATE) if x >= since.isoformat()])
+        active = recent.select(user_bucket(buckets)).union(
+            between.select(user_bucket(buckets))).union(again.select(user_bucket(buckets)))
+        wanted = {str(r[0]) for r in active.distinct().collect()}  # at most as many as buckets
+        rows = rows.unionByName(old.read(BEFORE, TOTALS_SCHEMA, sorted(wanted)))
+    staged.write(added_up(rows).withColumn(BUCKET, user_bucket(buckets)), BEFORE,
+                 lambda part: not afresh and part not in wanted)
+    staged.notes["totals_before"] = since.isoformat()
+    return staged.new_rows(BEFORE, TOTALS_SCHEMA), wanted
+
+
+def _stage(spark, scratch, staged, raw, since, rebuild_start_date, buckets, model_kwargs
+           ) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Write every table's new parts; the frames to check, and the raw rows they come from."""
+    recent, before, active = raw, None, set()
     if since is not None:
         recent = recent_rows(raw, since)
-        old_state = _read_days(spark, f"{out}/{STATE}", STATE).where(
-            F.col("event_date").isNull() | (F.col("event_date") < F.lit(since)))
-        model_kwargs = {**model_kwargs, "prior": sessions_before(old_state)}
+        before, active = _before(staged, recent, since, buckets)
+        model_kwargs = {**model_kwargs, "prior": sessions_before(before)}
+    else:
+        staged.notes["totals_before"] = ""
+
+    def old_day(part: str) -> bool:
+        return since is not None and (part == NULL_PART or part < since.isoformat())
+
+    def idle_bucket(part: str) -> bool:
+        return since is not None and part not in active
+
     sessionized = scratch.table(Models(recent, **model_kwargs).sessionized, "sessionized")
-    staged = {STATE: scratch.path(STATE), FCT: scratch.path(FCT)}
-    user_day_state(sessionized).hint("rebalance", "event_date").write.partitionBy(
-        "event_date").parquet(staged[STATE])
-    state = _read_days(spark, staged[STATE], STATE)
-    if old_state is not None:
-        state = state.unionByName(old_state)
+    staged.write(user_day_state(sessionized), STATE, old_day)
+    state = staged.new_rows(STATE, STATE_SCHEMA)
     user_days = spine(state)
 
-    fct_path = f"{out}/{FCT}"
+    rows = day_totals(state)
+    if before is not None:
+        rows = rows.unionByName(before)
+    staged.write(added_up(rows).withColumn(BUCKET, user_bucket(buckets)), TOTALS, idle_bucket)
+    totals = staged.new_rows(TOTALS, TOTALS_SCHEMA)
+    staged.write(users(totals).withColumn(BUCKET, user_bucket(buckets)), "dim_users", idle_bucket)
+
     events = fct_events(sessionized)
-    changed = (events if since is not None
-               else incremental_rows(spark, events, fct_path, rebuild_start_date))
-    replace_days(enforce_contract(changed, MART_CONTRACTS[FCT], FCT), staged[FCT])
-    fct = (_read_days(spark, staged[FCT], FCT) if since is not None
-           else _as_published(spark, staged[FCT], fct_path))
-
-    def stage(df: DataFrame, name: str) -> DataFrame:
-        staged[name] = scratch.path(name)
-        write_contracted(df, MART_CONTRACTS[name], staged[name], name)
-        return spark.read.parquet(staged[name])
-
-    def stage_daily(df: DataFrame, name: str) -> DataFrame:
-        """Days from ``since`` on are new; published ones before it stay."""
-        if since is not None:
-            old = spark.read.schema(MART_CONTRACTS[name]).parquet(f"{out}/{name}")
-            df = df.unionByName(old.where(F.col("event_date") < F.lit(since)))
-        return stage(df, name)
-
-    known = stage(users(state), "dim_users")
-    m = Models(None, sessionized=sessionized, user_days=user_days, users=known)
+    days = published_days(staged.old)
+    if since is None and days:
+        # without new days only the last ones, or those from a given day, are rewritten
+        bound = rebuild_start_date or max(days) - dt.timedelta(days=1)
+        staged.write(events.where(F.col(DAY) >= F.lit(bound)), FCT,
+                     lambda part: part == NULL_PART or part < bound.isoformat())
+    else:
+        staged.write(events, FCT, old_day)
+    fct = staged.new_rows(FCT) if since is not None else staged.read(FCT)
+    # the funnel and economy marts read the fact table, as in the DAG
+    staged.write(level_funnel_daily(fct), "level_funnel_daily", old_day)
+    staged.write(extra_steps_economy_daily(fct), "extra_steps_economy_daily", old_day)
+    first_seen = totals.select("user_pseudo_id", "first_seen_date")
+    staged.write(daily_active_users(user_days, first_seen), "daily_active_users", old_day)
+
+    # retention may change for any cohort: one scan of a narrow row per user
+    everyone = staged.read(TOTALS, TOTALS_SCHEMA)
+    newest = everyone.where(F.col("user_pseudo_id").isNotNull()).agg(
+        F.max("last_seen_date")).scalar()
+    flags = retention_flags(everyone)
+    staged.write(retention_cohorts_of(flags, newest), "retention_cohorts")
+    staged.write(retention_by_grant_of(flags, newest), "retention_by_extra_steps_grant")
     frames = {
         # staging and sessionized events are the same materialized table here;
         # one frame lets their shared uniqueness test run once
         "stg_events": sessionized, "int_events_sessionized": sessionized,
-        "int_user_days": user_days, FCT: fct, "dim_users": known,
-        "daily_active_users": stage(m.daily_active_users, "daily_active_users"),
-        "retention_cohorts": stage(m.retention_cohorts, "retention_cohorts"),
-        "retention_by_extra_steps_grant": stage(m.retention_by_extra_steps_grant,
-                                                "retention_by_extra_steps_grant"),
-        # the funnel and economy marts read the fact table, as in the DAG
-        "level_funnel_daily": stage_daily(level_funnel_daily(fct), "level_funnel_daily"),
-        "extra_steps_economy_daily": stage_daily(extra_steps_economy_daily(fct),
-                                                 "extra_steps_economy_daily"),
+        "int_user_days": user_days, FCT: fct,
+        **{name: staged.new_rows(name) for name in MART_CONTRACTS if name != FCT},
     }
-    return staged, frames, recent
-
-
-def _as_published(spark: SparkSession, staged: str, published: str) -> DataFrame:
-    """The fact table as it will be: staged days, and the published ones they do not replace."""
-    rows = _read_days(spark, staged, FCT)
-    kept = sorted(set(partition_days(spark, published)) - set(partition_days(spark, staged)))
-    if not kept:
-        return rows
-    old = _read_days(spark, published, FCT)
-    return rows.unionByName(old.where(F.col("event_date").isin(kept)))
+    return frames, recent
 
 
 def scheduled_run(spark: SparkSession, shards: Shards, table: RawTable, ledger: Ledger, out_dir: str,
                   most_days: int | None = 1, rebuild_start_date: dt.date | None = None,
                   as_of: dt.datetime | None = None, **build_kwargs) -> BuildResult | None:
     """One scheduled cycle: load what is pending, then bring the marts up to date
-    (see :func:`build`); a build that was blocked leaves its days to the next
-    one. Returns None when there was nothing new and no rebuild was asked for."""
-    loads = load_pending(table, shards, ledger, most_days)
-    if not loads and rebuild_start_date is None:
-        return None
+    (see :func:`build`) with every day that was loaded, or loaded again, since the
+    published build: new days, repaired ones, and those of builds that were
+    blocked. Returns None when there are none and no rebuild was asked for."""
+    load_pending(table, shards, ledger, most_days)
     state = ledger.state()
+    built = int(Published(spark, out_dir).notes.get("ledger_version", 0))
+    new = state.loaded_after(built)
+    if not new and rebuild_start_date is None:
+        return None
     span = (state.first_day, state.last_day)
-    # days after the newest published one are new to the marts, too, if a build was blocked
-    published = partition_days(spark, f"{out_dir.rstrip('/')}/{FCT}")
-    new = {x.day for x in loads} | {d for d in state.loads if published and d > max(published)}
     return build(spark, table.read(*span), out_dir, *span, rebuild_start_date=rebuild_start_date,
-                 loaded=table.last_modified(*span), as_of=as_of, new_days=sorted(new),
-                 **build_kwargs)
+                 loaded=table.last_modified(*span), as_of=as_of, new_days=new,
+                 notes={"ledger_version": str(state.version)}, **build_kwargs)

@@ -34,6 +34,7 @@ from playmetrics.operators.sessions import (
 )
 from playmetrics.operators.staging import stage_events
 from playmetrics.operators.user_days import user_days
+from playmetrics.operators.user_state import added_up, day_totals, user_day_state
 
 SESSION_COLUMNS = ["session_number", "is_session_first_event", "seconds_since_previous_event",
                    "session_id"]
@@ -138,6 +139,11 @@ class Models:
             return self._users
         return user_cohort_attributes(self.staging)
 
+    @cached_property
+    def user_totals(self) -> DataFrame:
+        """All days of each user added up, with the bitmap of active days."""
+        return added_up(day_totals(user_day_state(self.sessionized)))
+
     @cached_property
     def activity_days(self) -> DataFrame:
         """(user, event_date) pairs: the spine when given, else distinct pairs of

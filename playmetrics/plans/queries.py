@@ -13,10 +13,18 @@ from pyspark.sql import functions as F
 
 from playmetrics.functions.params import extract_param, param_map
 from playmetrics.operators import quality as Q
+from playmetrics.operators.actives import daily_bitmaps, distinct_users, numbered_users
 from playmetrics.operators.core import _first_non_null
 from playmetrics.operators.diff import key_diff
-from playmetrics.operators.masking import masked_copy
+from playmetrics.operators.engagement import (
+    retention_by_grant_of,
+    retention_cohorts_of,
+    retention_flags,
+    rolling_returns,
+)
+from playmetrics.operators.masking import masked, masked_copy
 from playmetrics.operators.staging import STAGING_COLUMNS, stage_events
+from playmetrics.plans.build import read_mart, scheduled_run
 from playmetrics.plans.models import Models
 from playmetrics.plans.oracle import with_models
 from playmetrics.plans.sinks import write_incremental
@@ -31,6 +39,7 @@ from playmetrics.sources.raw_table import (
     Shards,
     frame_shards,
     load_pending,
+    reload_day,
     row_day,
 )
 from playmetrics.streaming.event_stream import load_sessions, load_staged_events, numbered
@@ -189,6 +198,79 @@ def q_economy_daily(spark, sf_dir):
     return models(spark, sf_dir).extra_steps_economy_daily
 
 
+# ---------------------------------------------------------------- activity bitmaps
+
+RETENTION_ON = (1, 2, 3, 7, 14, 21, 30)
+RETURN_RANGES = ((1, 3), (1, 7), (8, 14), (15, 70))
+
+
+@register("retention_any_day", with_models(f"""
+SELECT cohort_date, count(*) AS cohort_size,
+    {", ".join(f"count_if(list_contains(days, cohort_date + {d})) AS retained_d{d}"
+               for d in RETENTION_ON)},
+    {", ".join(f"CASE WHEN cohort_date + {d} <= any_value(last_date) "
+               f"THEN round(retained_d{d} / cohort_size, 4) END AS retention_d{d}"
+               for d in RETENTION_ON)}
+FROM openers GROUP BY cohort_date
+"""))
+def q_retention_any_day(spark, sf_dir):
+    """Retention on any days, from one bitmap of active days per user."""
+    totals = models(spark, sf_dir).user_totals
+    newest = totals.where("user_pseudo_id is not null").agg(F.max("last_seen_date")).scalar()
+    return retention_cohorts_of(retention_flags(totals, RETENTION_ON), newest, RETENTION_ON)
+
+
+@register("retention_grant_bitmap", with_models("SELECT * FROM retention_by_grant"))
+def q_retention_grant_bitmap(spark, sf_dir):
+    """The retention-by-grant mart from bitmaps, without the spine."""
+    totals = models(spark, sf_dir).user_totals
+    newest = totals.where("user_pseudo_id is not null").agg(F.max("last_seen_date")).scalar()
+    return retention_by_grant_of(retention_flags(totals), newest)
+
+
+@register("rolling_returns", with_models(f"""
+, ranges(first_day, last_day) AS (VALUES {", ".join(map(str, RETURN_RANGES))})
+SELECT cohort_date, first_day, last_day, count(*) AS cohort_size,
+    count_if(len(list_filter(days, lambda d: d >= cohort_date + first_day
+                             AND d <= cohort_date + last_day)) > 0) AS returned,
+    CASE WHEN cohort_date + last_day <= any_value(last_date)
+        THEN round(returned / cohort_size, 4) END AS return_rate
+FROM openers, ranges GROUP BY cohort_date, first_day, last_day
+"""))
+def q_rolling_returns(spark, sf_dir):
+    """Users who come back on any day of a range after their first open."""
+    totals = models(spark, sf_dir).user_totals
+    newest = totals.where("user_pseudo_id is not null").agg(F.max("last_seen_date")).scalar()
+    return rolling_returns(retention_flags(totals, (), RETURN_RANGES), newest, RETURN_RANGES)
+
+
+@register("distinct_users_by_period", with_models("""
+, periods AS (
+    SELECT 'week' AS grain, CAST(date_trunc('week', event_date) AS DATE) AS period, * FROM stg
+    UNION ALL
+    SELECT 'month' AS grain, CAST(date_trunc('month', event_date) AS DATE) AS period, * FROM stg)
+SELECT grain, period, count(DISTINCT user_pseudo_id) AS active_users,
+    count(DISTINCT user_pseudo_id) FILTER (event_name = 'spend_virtual_currency') AS spender_users,
+    count(DISTINCT user_pseudo_id) FILTER (event_name = 'level_start_quickplay') AS starter_users
+FROM periods GROUP BY grain, period
+"""))
+def q_distinct_users_by_period(spark, sf_dir):
+    """Weekly and monthly distinct users, from daily bitmaps stored in two loads, the second
+    of which numbers its new users on."""
+    raw = models(spark, sf_dir).raw
+    stored, numbers = scratch_path(spark, "daily-bitmaps"), None
+    for rows in _halves(raw):
+        events = stage_events(rows)
+        path = scratch_path(spark, "user-numbers")
+        numbered_users(events, numbers).write.parquet(path)
+        numbers = spark.read.parquet(path)
+        daily_bitmaps(events, numbers).write.mode("append").parquet(stored)
+    bitmaps = spark.read.parquet(stored)
+    parts = [distinct_users(bitmaps, F.date_trunc(grain, "event_date").cast("date")).withColumn(
+        "grain", F.lit(grain)) for grain in ("week", "month")]
+    return parts[0].unionByName(parts[1])
+
+
 # ---------------------------------------------------------------- board difficulty
 
 # Another route than the operator's: each outcome looks back for the start it belongs
@@ -496,6 +578,61 @@ def q_stream_late_rows(spark, sf_dir):
     return staged.agg(F.count(F.lit(1)).alias("staged_events")).withColumn("late_rows", late)
 
 
+def _daily_builds(spark: SparkSession, sf_dir: str) -> str:
+    """Marts after a first build of most days and two scheduled runs, of which the second
+    also finds an older day that was loaded again."""
+    shards = frame_shards(read_fixture_raw(spark, sf_dir))
+    table = RawTable(spark, scratch_path(spark, "raw-events"))
+    ledger, out = Ledger(spark, scratch_path(spark, "ledger")), scratch_path(spark, "marts")
+    days = shards.days()
+    ledger.begin(days[0])
+    # the fixture's random funnel breaks a declared rule, so the builds must not block
+    options = {"block_on_errors": False, "volume_band": (0, 1 << 40)}
+    scheduled_run(spark, shards, table, ledger, out, max(len(days) - 3, 1), **options)
+    scheduled_run(spark, shards, table, ledger, out, 1, **options)
+    reload_day(table, shards, ledger, days[-3])
+    scheduled_run(spark, shards, table, ledger, out, None, **options)
+    return out
+
+
+@register("daily_builds_users", with_models("SELECT * FROM dim_users"))
+def q_daily_builds_users(spark, sf_dir):
+    """The user dimension after daily builds that add new days to the totals of active users."""
+    configure(spark)
+    return read_mart(spark, _daily_builds(spark, sf_dir), "dim_users")
+
+
+@register("daily_builds_actives", with_models("SELECT * FROM daily_active_users"))
+def q_daily_builds_actives(spark, sf_dir):
+    """Daily actives after daily builds: new users come from the first days of active ones."""
+    configure(spark)
+    return read_mart(spark, _daily_builds(spark, sf_dir), "daily_active_users")
+
+
+@register("reload_marks_days", with_models(f"""
+SELECT event_date, count(*) AS num_events, count_if(platform IS NULL) AS null_platform
+FROM fct_events GROUP BY event_date
+"""))
+def q_reload_marks_days(spark, sf_dir):
+    """A day is built from a masked shard, its shard is repaired and loaded again, and the
+    next scheduled run brings the marts up to date by itself."""
+    configure(spark)
+    shards = frame_shards(read_fixture_raw(spark, sf_dir))
+    days = shards.days()
+    bad = frame_shards(masked(shards.read(days).drop(RAW_PARTITION_COLUMN), "platform", 0.5,
+                              NULL_SPIKE_SEED, F.col("event_date") == f"{days[3]:%Y%m%d}"))
+    table = RawTable(spark, scratch_path(spark, "raw-events"))
+    ledger, out = Ledger(spark, scratch_path(spark, "ledger")), scratch_path(spark, "marts")
+    ledger.begin(days[0])
+    options = {"block_on_errors": False, "volume_band": (0, 1 << 40)}
+    scheduled_run(spark, bad, table, ledger, out, None, **options)
+    reload_day(table, shards, ledger, days[3])
+    scheduled_run(spark, shards, table, ledger, out, None, **options)
+    return read_mart(spark, out, "fct_events").groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("num_events"),
+        F.count_if(F.col("platform").isNull()).alias("null_platform"))
+
+
 @register("fct_events_incremental", with_models("""
 SELECT event_date, count(*) AS num_events, count(DISTINCT session_id) AS num_sessions
 FROM sess GROUP BY event_date

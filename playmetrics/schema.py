@@ -148,3 +148,24 @@ MART_CONTRACTS: dict[str, T.StructType] = {
     "level_funnel_daily": LEVEL_FUNNEL_DAILY,
     "extra_steps_economy_daily": ECONOMY_DAILY,
 }
+
+# Tables that builds start from: what a user did on a day, and a user's days added up.
+_LATEST = {name: T.StructType([T.StructField("event_at", _TS), T.StructField("event_pk", _S),
+                               T.StructField("v", kind)])
+           for name, kind in (("first_country", _S), ("acquisition_medium", _S),
+                              ("acquisition_source", _S), ("initial_extra_steps", _L))}
+STATE_SCHEMA = _contract(
+    ("user_pseudo_id", _S), ("event_date", _DATE), ("num_events", _L), ("num_sessions", _L),
+    ("has_first_open", _BOOL), ("has_played_quickplay", _BOOL), ("has_played_progressive", _BOOL),
+    ("has_spent_steps", _BOOL), ("engagement_minutes", _D), ("first_open_at", _TS),
+    ("first_touch_at", _TS), ("platform", _S), *_LATEST.items(), ("num_spend_events", _L),
+    ("num_uninstalls", _L), ("last_at", _TS), ("sessions_through", _L),
+)
+TOTALS_SCHEMA = _contract(
+    ("user_pseudo_id", _S), ("first_open_at", _TS), ("first_touch_at", _TS),
+    ("first_seen_date", _DATE), ("last_seen_date", _DATE), ("num_days_active", _L),
+    ("num_sessions", _L), ("num_events", _L), ("platform", _S), *_LATEST.items(),
+    ("num_spend_events", _L), ("num_uninstalls", _L), ("last_at", _TS),
+    ("days", T.ArrayType(T.StructType([T.StructField("block", T.IntegerType()),
+                                       T.StructField("bits", _L)]))),
+)

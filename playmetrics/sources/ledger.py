@@ -34,6 +34,7 @@ class LedgerState:
 
     first_day: dt.date
     loads: dict[dt.date, DayLoad] = field(default_factory=dict)
+    versions: dict[dt.date, int] = field(default_factory=dict)  # of each day's newest load
 
     @property
     def last_day(self) -> dt.date:
@@ -41,6 +42,14 @@ class LedgerState:
             raise RuntimeError("the ledger holds no loaded day")
         return max(self.loads)
 
+    @property
+    def version(self) -> int:
+        return max(self.versions.values(), default=0)
+
+    def loaded_after(self, version: int) -> list[dt.date]:
+        """Days loaded, or loaded again, since the ledger stood at ``version``."""
+        return sorted(d for d, v in self.versions.items() if v > version)
+
     def pending(self, offered: list[dt.date]) -> list[dt.date]:
         return sorted(d for d in set(offered) - self.loads.keys() if d >= self.first_day)
 
@@ -91,4 +100,5 @@ class Ledger:
                 state = LedgerState(r.day)
             elif state is not None:
                 state.loads[r.day] = DayLoad(r.day, r.num_rows, r.num_bytes)
+                state.versions[r.day] = r.version
         return state

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from playmetrics.operators import quality as Q
 from playmetrics.operators.diff import key_diff
 from playmetrics.operators.masking import masked
-from playmetrics.plans.build import build, scheduled_run
+from playmetrics.plans.build import build, read_mart, scheduled_run
+from playmetrics.schema import MART_CONTRACTS
 from playmetrics.session import checkpoint_dir
 from playmetrics.sources.fixture_events import read_fixture_raw
 from playmetrics.sources.ledger import Ledger
@@ -29,6 +30,13 @@ def _shards(spark):
         ~F.col("event_name").like("level%quickplay")))
 
 
+def assert_same_marts(spark, one, other):
+    for name in MART_CONTRACTS:
+        a, b = read_mart(spark, one, name), read_mart(spark, other, name)
+        assert a.columns == b.columns, name
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+
+
 def test_null_spike_detected_then_repaired(spark, tmp_dir):
     shards, table = _shards(spark), RawTable(spark, f"{tmp_dir}/raw")
     days = shards.days()
@@ -63,15 +71,14 @@ def test_a_failing_error_check_keeps_the_old_marts(spark, tmp_dir):
     days = shards.days()
     raw = shards.read(days).drop("shard_date")
     build(spark, raw, marts, days[0], days[-1], volume_band=BAND)
-    kept = {name: spark.read.parquet(f"{marts}/{name}").collect() for name in os.listdir(marts)}
+    kept = {name: read_mart(spark, marts, name).collect() for name in MART_CONTRACTS}
     # the window ends too early, so the fact table breaks the declared range
     with pytest.raises(Q.QualityError, match="event_date within the loaded days"):
         build(spark, raw.where(F.col("event_name") != "app_remove"), marts, days[0], days[-3],
               volume_band=BAND)
     for name, rows in kept.items():
-        if name not in ("_checks", "_user_day_state"):
-            assert sorted(map(str, spark.read.parquet(f"{marts}/{name}").collect())) == sorted(
-                map(str, rows)), name
+        assert sorted(map(str, read_mart(spark, marts, name).collect())) == sorted(
+            map(str, rows)), name
     report = {r.check: r.status for r in spark.read.parquet(f"{marts}/_checks").collect()}
     assert report["expression:fct_events:event_date within the loaded days"] == "fail"
     # without blocking the same build is published; a warning never blocks
@@ -157,11 +164,7 @@ def test_daily_builds_equal_a_full_one_and_read_only_recent_days(spark, tmp_dir,
     assert "GreaterThanOrEqual(event_timestamp" in plan.executedPlan().toString()
     full = build(spark, table.read(days[0], days[-1]), f"{tmp_dir}/full", days[0], days[-1],
                  volume_band=BAND)
-    for name in full.tables:
-        if name != "_checks":
-            a, b = spark.read.parquet(f"{marts}/{name}"), full.read(spark, name)
-            b = b.select(*a.columns)
-            assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+    assert_same_marts(spark, marts, full.out)
 
 
 def test_odd_new_events_make_the_build_a_full_one(spark, tmp_dir, make_raw):
