@@ -16,8 +16,11 @@ which tells high similarities apart sharply.
    confirm it. The bitmap never rules out a true link: the XOR has at most as
    many ones as elements differ. On sets of up to about ``SET_BITS`` shingles it
    tells 0.75 from 0.7, so a large group of half-alike texts leaves few pairs.
-4. Links give components. The classes of buckets that still hold several
-   components meet by an exact prefix join on their full sets: shingles are put
+4. Links give components. Buckets that still hold several components meet again
+   in ``TURNS`` turns with a pivot drawn by a hash of bucket and turn, which
+   again makes one pair per membership at most. A group without a common original
+   thus grows together from many pivots before any of its members meet in pairs.
+5. The classes of buckets that hold several components after that meet by an exact prefix join on their full sets: shingles are put
    in one order, those that no two components share first and frequent ones
    last; two sets at the similarity must share one of the first few, however
    many share the frequent ones. How few depends on both sizes, so classes meet
@@ -53,6 +56,7 @@ BITS = 512
 SET_BITS = 1024
 WIDTH = 5
 SIMILARITY = (75, 100)
+TURNS = 2
 SIGNATURE = ("doc_id long, n_shingles long, set_a long, set_b long, "
              "bands array<long>, sketch array<long>, parity array<long>")
 
@@ -195,11 +199,15 @@ def _alike(words: int, similarity: tuple[int, int], ones: int) -> Column:
     """Whether sizes, odd sketches and set parities allow the similarity of sides a and b."""
     part, whole = similarity
     n_a, n_b = F.col("n_a"), F.col("n_b")
-    # of a + b elements at most this share differs: (1 - s) / (1 + s)
-    sets = (whole + part) * _apart("parity_a", "parity_b", SET_BITS // 64) <= (
-        (whole - part) * (n_a + n_b))
     return ((whole * F.least(n_a, n_b) >= part * F.greatest(n_a, n_b))
-            & (_apart("sketch_a", "sketch_b", words) <= ones) & sets)
+            & (_apart("sketch_a", "sketch_b", words) <= ones) & _parities_allow(similarity))
+
+
+def _parities_allow(similarity: tuple[int, int]) -> Column:
+    """Of a + b elements at most the share (1 - s) / (1 + s) differs."""
+    part, whole = similarity
+    return (whole + part) * _apart("parity_a", "parity_b", SET_BITS // 64) <= (
+        (whole - part) * (F.col("n_a") + F.col("n_b")))
 
 
 def _side(frame: DataFrame, side: str, *more: str) -> DataFrame:
@@ -244,6 +252,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) ->
 # ------------------------------------------------------------------ prefix join
 
 BAND = 1.05  # sizes of a band differ by this factor at most
+EARLIER = 16
 
 
 def _band(size: Column) -> Column:
@@ -254,9 +263,10 @@ def prefix_rows(sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """What two alike sets of different parts must share, of (class_id, part, shingles).
 
     One row per class, band of partner sizes and shingle of the prefix: shingle, low,
-    high (the two bands), class_id, part, n, place, own, other. The order of the
-    shingles is: those that only one part has, then by the number of classes
-    that have them; only shingles of several parts make rows.
+    high (the two bands), class_id, part, n, place, own, other, and the ``EARLIER``
+    shingles before it that could make rows. The order of the shingles is: those
+    that only one part has, then by the number of classes that have them; only
+    shingles of several parts make rows.
     """
     part, whole = similarity
     size = F.size("shingles")
@@ -269,11 +279,13 @@ def prefix_rows(sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     mine = Window.partitionBy("class_id")
     place = (F.col("n") - F.count(F.lit(1)).over(mine)
              + F.row_number().over(mine.orderBy("classes", "shingle")) - 1)
+    earlier = F.collect_list("shingle").over(
+        mine.orderBy("classes", "shingle").rowsBetween(-EARLIER, -1))
     n = F.col("n")
     least_partner = F.ceil(n * part / whole)
     most_partner = F.floor(n * whole / part)
-    placed = common.select("class_id", "part", "n", "shingle", place.cast("int").alias("place")).where(
-        F.col("place") <= n - least_partner)
+    placed = common.select("class_id", "part", "n", "shingle", place.cast("int").alias("place"),
+                           earlier.alias("earlier")).where(F.col("place") <= n - least_partner)
     banded = placed.select("*", _band(n).alias("own"), F.explode(F.sequence(
         _band(least_partner), _band(most_partner))).alias("other"))
     # the smallest partner of the band, and the overlap that it asks for
@@ -281,13 +293,16 @@ def prefix_rows(sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     overlap = F.ceil((n + partner) * part / (whole + part))
     return banded.where(F.col("place") <= n - overlap).select(
         "shingle", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
-        "class_id", "part", "n", "place", "own", "other")
+        "class_id", "part", "n", "place", "own", "other", "earlier")
 
 
-def prefix_pairs(rows: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+def prefix_pairs(rows: DataFrame, similarity: tuple[int, int],
+                 parities: DataFrame | None = None) -> DataFrame:
     """(a, b), a < b, of different parts: every pair at the similarity, and few others.
 
-    Under a key, the largest part's classes do not meet each other.
+    Under a key, the largest part's classes do not meet each other. A pair that
+    meets at an earlier shingle is not made again at a later one, as far as
+    ``earlier`` tells. ``parities`` (class_id, parity) rule pairs out inside the join.
     """
     part, whole = similarity
     key = ["shingle", "low", "high"]
@@ -295,18 +310,25 @@ def prefix_pairs(rows: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     mixed = (parts.groupBy(*key).agg(F.count(F.lit(1)).alias("parts"),
                                      F.max(F.struct("size", "part")).alias("top"))
              .where("parts > 1").select(*key, F.col("top.part").alias("main")))
-    inside = rows.join(mixed, key).transform(settled)
+    inside = rows.join(mixed, key)
+    carried = ["part", "n", "place", "own", "other", "main", "earlier"]
+    if parities is not None:
+        inside = inside.join(parities.select("class_id", "parity"), "class_id")
+        carried.append("parity")
+    inside = inside.transform(settled)
 
     def side(frame: DataFrame, name: str) -> DataFrame:
-        return frame.select(*key, F.col("class_id").alias(name), *[
-            F.col(c).alias(f"{c}_{name}") for c in ("part", "n", "place", "own", "other", "main")])
+        return frame.select(*key, F.col("class_id").alias(name),
+                            *[F.col(c).alias(f"{c}_{name}") for c in carried])
 
     a, b = side(inside.where("part <> main"), "a"), side(inside, "b")
     room = F.least(F.expr("n_a - place_a"), F.expr("n_b - place_b"))
     met = a.join(b, key).where(
         F.expr("part_a <> part_b and own_a = other_b and own_b = other_a")
         & (F.expr("part_b = main_b") | (F.col("a") < F.col("b")))
-        & ((whole + part) * room >= part * (F.col("n_a") + F.col("n_b"))))
+        & ((whole + part) * room >= part * (F.col("n_a") + F.col("n_b")))
+        & ~F.arrays_overlap("earlier_a", "earlier_b")
+        & (F.lit(True) if parities is None else _parities_allow(similarity)))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -346,11 +368,24 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, bits:
 
     apart = _apart_still(meeting, found).transform(settled)
     if not apart.isEmpty():
-        sets = class_sets(docs, classes, apart, width, id_col, text_col)
-        pairs = _unmet(sets, apart, tried, plain, alike, similarity).transform(settled)
-        more = confirmed(pairs, sets, similarity)
-        stars = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
-        found = components(stars.union(more))
+        sets = class_sets(docs, classes, apart.select("class_id").distinct(), width, id_col,
+                          text_col)
+        # turns with other pivots, then what those leave
+        for turn in range(TURNS + 1):
+            pairs = (_turn(apart, turn) if turn < TURNS
+                     else _close(sets, apart, plain, similarity)).join(
+                tried.union(tried.select("b", "a")), ["a", "b"], "left_anti")
+            pairs = _allowed(pairs, plain, alike).transform(settled)
+            more = confirmed(pairs, sets, similarity).transform(settled)
+            if more.isEmpty():
+                continue
+            tried = tried.union(pairs)
+            stars = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
+            found = components(stars.union(more)).transform(settled)
+            if turn < TURNS:
+                apart = _apart_still(meeting, found).transform(settled)
+                if apart.isEmpty():
+                    break
     class_of = (classes.select("set_a", "set_b", "n_shingles", "class_id")
                 .join(found, F.col("class_id") == F.col("id"), "left")
                 .select("set_a", "set_b", "n_shingles",
@@ -365,23 +400,36 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, bits:
 
 
 def _apart_still(meeting: DataFrame, found: DataFrame) -> DataFrame:
-    """(class_id, part) of the classes in buckets that hold several components."""
+    """(bucket, class_id, part) of the buckets that hold several components."""
     placed = (meeting.select("bucket", "class_id")
               .join(found, F.col("class_id") == F.col("id"), "left")
               .select("bucket", "class_id", F.coalesce("component", "class_id").alias("part")))
     mixed = (placed.groupBy("bucket").agg(F.min("part").alias("least"), F.max("part").alias("most"))
              .where("least <> most").select("bucket"))
-    return placed.join(mixed, "bucket", "left_semi").select("class_id", "part").distinct()
+    return placed.join(mixed, "bucket", "left_semi")
+
 
+def _turn(apart: DataFrame, turn: int) -> DataFrame:
+    """(a, b), a < b: every class and the pivot of each of its buckets, if their parts differ."""
+    drawn = F.struct(F.xxhash64(F.lit(turn), "bucket", "class_id"), F.col("class_id"), F.col("part"))
+    pivots = apart.groupBy("bucket").agg(F.min(drawn).alias("p")).select(
+        "bucket", F.col("p.class_id").alias("pivot"), F.col("p.part").alias("pivot_part"))
+    met = apart.join(pivots, "bucket").where("part <> pivot_part")
+    return met.select(F.least("class_id", "pivot").alias("a"),
+                      F.greatest("class_id", "pivot").alias("b")).distinct()
 
-def _unmet(sets: DataFrame, apart: DataFrame, tried: DataFrame, plain: DataFrame, alike: Column,
+
+def _close(sets: DataFrame, apart: DataFrame, plain: DataFrame,
            similarity: tuple[int, int]) -> DataFrame:
-    """Pairs of classes in different components that may be alike and were not yet compared."""
-    once = sets.dropDuplicates(["class_id"]).join(apart, "class_id")
-    pairs = prefix_pairs(prefix_rows(once, similarity).transform(settled), similarity)
-    done = tried.union(tried.select("b", "a"))
-    rest = pairs.join(done, ["a", "b"], "left_anti")
-    return (rest.join(_side(plain, "a"), "a").join(_side(plain, "b"), "b").where(alike)
+    """(a, b), a < b: every pair of classes of different parts that is alike, and few others."""
+    rows = sets.dropDuplicates(["class_id"]).join(
+        apart.select("class_id", "part").distinct(), "class_id")
+    return prefix_pairs(prefix_rows(rows, similarity).transform(settled), similarity, plain)
+
+
+def _allowed(pairs: DataFrame, plain: DataFrame, alike: Column) -> DataFrame:
+    """The pairs whose sizes, sketches and bitmaps allow the similarity."""
+    return (pairs.join(_side(plain, "a"), "a").join(_side(plain, "b"), "b").where(alike)
             .select("a", "b"))
 
 

@@ -172,15 +172,37 @@ def test_many_texts_that_share_a_passage_make_few_pairs(spark, monkeypatch):
         planted[len(texts) + 1] = i + 1
         texts.append(passage + " " + " ".join(words))
     pairs = []
-    real = odd_sketch._unmet
+    real = odd_sketch._close
 
     def counted(*args):
         out = real(*args)
         pairs.append(out.count())
         return out
 
-    monkeypatch.setattr(odd_sketch, "_unmet", counted)
+    monkeypatch.setattr(odd_sketch, "_close", counted)
     rows = odd_sketch.near_duplicates(documents(spark, texts).repartition(4)).collect()
     assert {r.doc_id: r.component_id for r in rows} == {
         i: planted.get(i, i) for i in range(1, len(texts) + 1)}
     assert sum(pairs) <= len(texts)
+
+
+def test_a_group_without_its_original_makes_few_pairs(spark, monkeypatch):
+    """Copies of an absent text, half the pairs of which are alike: pivots connect them, and
+    what is left for the prefix join does not grow with their square."""
+    rng = random.Random(12)
+    words = ["w%d" % i for i in range(160)]
+    texts = [mutated(rng, words, rng.choice((1, 2))) for _ in range(500)]
+    texts += [mutated(rng, words, 7) for _ in range(200)]
+    pairs = []
+    real = odd_sketch.prefix_pairs
+
+    def counted(*args):
+        out = real(*args)
+        pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(odd_sketch, "prefix_pairs", counted)
+    rows = odd_sketch.near_duplicates(documents(spark, texts)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute(
+        list(enumerate(texts, 1)))
+    assert sum(pairs) <= 2 * len(texts)
