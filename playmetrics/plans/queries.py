@@ -24,10 +24,10 @@ from playmetrics.operators.engagement import (
 )
 from playmetrics.operators.masking import masked, masked_copy
 from playmetrics.operators.staging import STAGING_COLUMNS, stage_events
-from playmetrics.plans.build import read_mart, scheduled_run
+from playmetrics.plans.build import build, read_mart, scheduled_run
 from playmetrics.plans.models import Models
 from playmetrics.plans.oracle import with_models
-from playmetrics.plans.sinks import write_incremental
+from playmetrics.plans.sinks import ContractError, write_contracted, write_incremental
 from playmetrics.plans.suite import Decl, declarations, sql_failures, suite_report
 from playmetrics.schema import FCT_EVENTS, RAW_PARTITION_COLUMN
 from playmetrics.session import configure, scratch_path
@@ -406,6 +406,99 @@ def q_load_ledger(spark, sf_dir):
                           (F.col("version") == 2).alias("first_load"))
 
 
+@register("load_append", f"""
+SELECT CAST(ts AS DATE) AS shard_date,
+    count(*) * CASE WHEN CAST(ts AS DATE) = {FIRST_DAY_SQL} THEN 2 ELSE 1 END AS num_rows,
+    count(DISTINCT event_id) AS num_events
+FROM events GROUP BY 1
+""")
+def q_load_append(spark, sf_dir):
+    """Every day replaced, then the first appended once more: its rows are there twice."""
+    shards = frame_shards(read_fixture_raw(spark, sf_dir))
+    table, _ = _loaded(spark, shards)
+    table.append(shards, table.days()[:1])
+    return _all_rows(table).groupBy("shard_date").agg(
+        F.count(F.lit(1)).alias("num_rows"),
+        F.count_distinct("event_bundle_sequence_id").alias("num_events"))
+
+
+@register("round_and_safe_cast", with_models("""
+SELECT user_pseudo_id, event_at, event_name,
+    CASE WHEN starts_with(event_name, 'level_')
+        THEN CAST(round((event_id % 9 - 4) / 2.0) AS BIGINT) END AS level_number,
+    CASE WHEN event_id % 3 <> 0 THEN initial_extra_steps END AS initial_extra_steps
+FROM stg
+"""))
+def q_round_and_safe_cast(spark, sf_dir):
+    """Levels in halves (-2 to 2) and grants of which a third are no integers."""
+    configure(spark)
+    raw, number = read_fixture_raw(spark, sf_dir), F.col("event_bundle_sequence_id")
+
+    def halves(p):
+        level = F.struct(p["key"].alias("key"), F.struct(
+            F.lit(None).cast("string").alias("string_value"),
+            F.lit(None).cast("bigint").alias("int_value"),
+            F.lit(None).cast("double").alias("float_value"),
+            ((number % 9 - 4) / 2.0).alias("double_value")).alias("value"))
+        return F.when(p["key"] == "level", level).otherwise(p)
+
+    def spoiled(p):
+        text = F.when(number % 3 == 0, F.concat(p["value"]["string_value"], F.lit(" steps")))
+        value = p["value"].withField("string_value", F.coalesce(text, p["value"]["string_value"]))
+        return p.withField("value", value)
+
+    changed = raw.withColumn("event_params", F.transform("event_params", halves)).withColumn(
+        "user_properties", F.transform("user_properties", spoiled))
+    return stage_events(changed).select("user_pseudo_id", "event_at", "event_name",
+                                        "level_number", "initial_extra_steps")
+
+
+@register("contracted_sink", with_models("""
+SELECT attempt, attempt = 'as declared' AS written, count(*) AS num_rows
+FROM fct_events, (VALUES ('as declared'), ('extra column'), ('missing column'), ('other type'))
+    attempts(attempt) GROUP BY attempt
+"""))
+def q_contracted_sink(spark, sf_dir):
+    """The fact table written under its contract; frames that break it leave it as it was."""
+    fct = models(spark, sf_dir).fct_events
+    path, outcomes = scratch_path(spark, "contracted"), None
+    for attempt, rows in (("as declared", fct), ("extra column", fct.withColumn("more", F.lit(1))),
+                          ("missing column", fct.drop("board")),
+                          ("other type", fct.withColumn("score", F.col("score").cast("string")))):
+        try:
+            write_contracted(rows, FCT_EVENTS, path, "fct_events")
+            written = True
+        except ContractError:
+            written = False
+        now = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("num_rows")).select(
+            F.lit(attempt).alias("attempt"), F.lit(written).alias("written"), "num_rows")
+        outcomes = now if outcomes is None else outcomes.unionByName(now)
+    return outcomes
+
+
+@register("blocked_build", with_models("""
+SELECT event_date, count(*) AS num_events, true AS was_blocked FROM fct_events
+WHERE NOT (starts_with(event_name, 'level') AND ends_with(event_name, 'quickplay'))
+GROUP BY event_date
+"""))
+def q_blocked_build(spark, sf_dir):
+    """A second build breaks a rule of error severity (its window ends before its events), so
+    the marts of the first one stay."""
+    configure(spark)
+    # without the funnel events, whose random counts break another rule
+    raw = read_fixture_raw(spark, sf_dir).where(~F.col("event_name").like("level%quickplay"))
+    days, out = frame_shards(raw).days(), scratch_path(spark, "marts")
+    build(spark, raw, out, days[0], days[-1], volume_band=(0, 1 << 40))
+    try:
+        build(spark, raw.where(F.col("event_name") != "app_remove"), out, days[0], days[-3],
+              volume_band=(0, 1 << 40))
+        blocked = False
+    except Q.QualityError:
+        blocked = True
+    return read_mart(spark, out, "fct_events").groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("num_events")).withColumn("was_blocked", F.lit(blocked))
+
+
 STRAY, UNDATED = 50, 75  # every so many-th event is dated a day early, or not at all
 
 
