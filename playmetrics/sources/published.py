@@ -19,14 +19,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from playmetrics.sources.files import (
-    exists,
-    file_names,
-    folders,
-    read_text,
-    remove,
-    write_text,
-)
+from playmetrics.sources.files import file_names, folders, read_text, remove, write_text
 
 WHOLE = ""
 VERSIONS = "_versions"
@@ -106,10 +99,3 @@ class Published:
                 for part in inner:
                     if "=" in part and f"{folder}/{part}" not in named and folder not in named:
                         remove(self.spark, f"{self.root}/{folder}/{part}")
-
-    def exists(self, table: str) -> bool:
-        return table in self.tables
-
-
-def is_published(spark: SparkSession, root: str) -> bool:
-    return exists(spark, f"{root.rstrip('/')}/{VERSIONS}")
