@@ -20,13 +20,14 @@ which tells high similarities apart sharply.
    in ``TURNS`` turns with a pivot drawn by a hash of bucket and turn, which
    again makes one pair per membership at most. A group without a common original
    thus grows together from many pivots before any of its members meet in pairs.
-5. The classes of buckets that hold several components after that meet by an exact prefix join on their full sets: shingles are put
-   in one order, those that no two components share first and frequent ones
-   last; two sets at the similarity must share one of the first few, however
-   many share the frequent ones. How few depends on both sizes, so classes meet
-   by (shingle, size bands), and a match must leave room for the overlap behind
-   its two places. Many texts that share a passage but are not alike thus make no
-   pairs, since the passage stands at the end of their order.
+5. The classes of buckets that hold several components after that meet by an
+   exact prefix join on their full sets: shingles are put in one order, those
+   that no two components share first and frequent ones last; two sets at the
+   similarity must share one of the first few, however many share the frequent
+   ones. How few depends on both sizes, so classes meet by (shingle, size bands),
+   a match must leave room for the overlap behind its two places, and the parity
+   bitmaps must allow it. Many texts that share a passage but are not alike thus
+   make no pairs, since the passage stands at the end of their order.
 
 After that, any two classes that share a bucket are in one component or not
 alike. Two documents at similarity s share no bucket with probability
