@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playmetrics.functions.params import extract_param, param_map
+from playmetrics.functions.variants import param_variant, variant_param
 from playmetrics.operators import quality as Q
 from playmetrics.operators.actives import daily_bitmaps, distinct_users, numbered_users
 from playmetrics.operators.core import _first_non_null
@@ -24,6 +25,7 @@ from playmetrics.operators.engagement import (
 )
 from playmetrics.operators.masking import masked, masked_copy
 from playmetrics.operators.staging import STAGING_COLUMNS, stage_events
+from playmetrics.operators.table_diff import diff_report, digests
 from playmetrics.plans.build import build, read_mart, scheduled_run
 from playmetrics.plans.models import Models
 from playmetrics.plans.oracle import with_models
@@ -31,9 +33,11 @@ from playmetrics.plans.sinks import ContractError, write_contracted, write_incre
 from playmetrics.plans.suite import Decl, declarations, sql_failures, suite_report
 from playmetrics.schema import FCT_EVENTS, RAW_PARTITION_COLUMN
 from playmetrics.session import configure, scratch_path
+from playmetrics.sources import bounded_sql
 from playmetrics.sources.batch_table import BatchTable
-from playmetrics.sources.fixture_events import read_fixture_raw
+from playmetrics.sources.fixture_events import ECONOMY_EVENTS, read_fixture_raw
 from playmetrics.sources.ledger import Ledger
+from playmetrics.sources.profiles import ProfileLog
 from playmetrics.sources.raw_table import (
     RawTable,
     Shards,
@@ -72,7 +76,7 @@ def q_staging_events(spark, sf_dir):
     return models(spark, sf_dir).staging.select(*STAGING_NO_KEY)
 
 
-@register("extract_param_modes", with_models("""
+PARAM_MODES_SQL = with_models("""
 SELECT user_pseudo_id, event_at, event_name,
     NULL::VARCHAR AS level_string,
     CASE WHEN starts_with(event_name, 'level_') AND event_id % 2 = 0
@@ -88,28 +92,41 @@ SELECT user_pseudo_id, event_at, event_name,
     NULL::DOUBLE AS engagement_float,
     NULL::VARCHAR AS missing_string
 FROM stg
-"""))
+""")
+
+
+@register("extract_param_modes", PARAM_MODES_SQL)
 def q_extract_param_modes(spark, sf_dir):
     """Each extraction mode on each param, including wrong-slot and missing keys."""
     raw = models(spark, sf_dir).raw
     keys = ["level", "value", "board", "engagement_time_msec", "no_such_key"]
-    p = param_map("event_params", keys)
-    x = raw.select(F.col("user_pseudo_id"), F.timestamp_micros("event_timestamp").alias("event_at"),
-                   "event_name", p.alias("_p"))
+    return _param_modes(raw.withColumn("_p", param_map("event_params", keys)), extract_param)
+
+
+@register("param_variant_modes", PARAM_MODES_SQL)
+def q_param_variant_modes(spark, sf_dir):
+    """The same modes on params that were stored as shredded VARIANT objects."""
+    raw, stored = models(spark, sf_dir).raw, scratch_path(spark, "variant-params")
+    raw.select("user_pseudo_id", "event_timestamp", "event_name",
+               param_variant("event_params").alias("_p")).write.parquet(stored)
+    return _param_modes(spark.read.parquet(stored), variant_param)
+
+
+def _param_modes(rows: DataFrame, of: Callable) -> DataFrame:
     m = F.col("_p")
-    return x.select(
-        "user_pseudo_id", "event_at", "event_name",
-        extract_param(m, "level", "string").alias("level_string"),
-        extract_param(m, "level", "int").alias("level_int"),
-        extract_param(m, "level", "float").alias("level_float"),
-        extract_param(m, "level", "numeric").alias("level_numeric"),
-        extract_param(m, "value", "numeric").alias("value_numeric"),
-        extract_param(m, "value", "int").alias("value_int"),
-        extract_param(m, "board", "string").alias("board_string"),
-        extract_param(m, "board", "int").alias("board_int"),
-        extract_param(m, "engagement_time_msec", "int").alias("engagement_int"),
-        extract_param(m, "engagement_time_msec", "float").alias("engagement_float"),
-        extract_param(m, "no_such_key", "string").alias("missing_string"),
+    return rows.select(
+        "user_pseudo_id", F.timestamp_micros("event_timestamp").alias("event_at"), "event_name",
+        of(m, "level", "string").alias("level_string"),
+        of(m, "level", "int").alias("level_int"),
+        of(m, "level", "float").alias("level_float"),
+        of(m, "level", "numeric").alias("level_numeric"),
+        of(m, "value", "numeric").alias("value_numeric"),
+        of(m, "value", "int").alias("value_int"),
+        of(m, "board", "string").alias("board_string"),
+        of(m, "board", "int").alias("board_int"),
+        of(m, "engagement_time_msec", "int").alias("engagement_int"),
+        of(m, "engagement_time_msec", "float").alias("engagement_float"),
+        of(m, "no_such_key", "string").alias("missing_string"),
     )
 
 
@@ -810,6 +827,145 @@ def q_table_diff(spark, sf_dir):
     return key_diff(clean, stage_events(_masked_rows(spark, sf_dir)), "event_pk")
 
 
+# ---------------------------------------------------------------- bounded SQL, profiles, digests
+
+@register("bounded_sql", with_models("""
+SELECT event_date AS shard_date, count(*) AS num_rows, count(DISTINCT user_pseudo_id) AS num_users,
+    count(board) AS with_board
+FROM stg, (SELECT min(event_date) AS first FROM stg)
+WHERE event_date BETWEEN first + 2 AND first + 20 GROUP BY event_date
+"""))
+def q_bounded_sql(spark, sf_dir):
+    """A SQL statement over the raw table, whose days are arguments that cannot be left out."""
+    table, _ = _loaded(spark, frame_shards(read_fixture_raw(spark, sf_dir)))
+    bounded_sql.register(table)
+    first = table.days()[0]
+    return spark.sql(f"""
+        SELECT shard_date, count(*) AS num_rows, count(DISTINCT user_pseudo_id) AS num_users,
+            count_if(exists(event_params, p -> p.key = 'board')) AS with_board
+        FROM raw_events(DATE '{first}' + 2, DATE '{first}' + 20) GROUP BY shard_date""")
+
+
+NEW_KEY, NEW_SLOT, NO_COUNTRY, SHARE_SHIFT = 10, 15, 20, 500  # days after the first; of 10,000 rows
+
+
+def _drifting_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows with a param that comes later, one whose slot changes, and a column that goes."""
+    raw = read_fixture_raw(spark, sf_dir)
+    nth = F.date_diff(row_day(), F.lit(raw.agg(F.min(row_day())).first()[0]))
+    empty = F.struct(*[F.lit(None).cast(t).alias(f"{n}_value") for n, t in (
+        ("string", "string"), ("int", "bigint"), ("float", "double"), ("double", "double"))])
+    combo = F.array(F.struct(F.lit("combo").alias("key"),
+                             empty.withField("int_value", F.lit(1).cast("bigint")).alias("value")))
+
+    def retyped(p):
+        text = empty.withField("string_value", p["value"]["double_value"].cast("string"))
+        return F.when((p["key"] == "score") & (nth >= NEW_SLOT), p.withField("value", text)).otherwise(p)
+
+    has_combo = (nth >= NEW_KEY) & (F.col("event_name") == "user_engagement")
+    params = F.transform("event_params", retyped)
+    country = F.when(nth < NO_COUNTRY, F.col("geo.country"))
+    return raw.withColumn("event_params", F.when(has_combo, F.concat(params, combo)).otherwise(
+        params)).withColumn("geo", F.col("geo").withField("country", country))
+
+
+_DRIFT_NAMES = [  # scope, name, kind, condition; names that are in all rows of every day are left out
+    *[("event_params", name, "string_value", f"{column} IS NOT NULL") for name, column in (
+        ("board", "board"), ("level_name", "level_name"), ("item_name", "item_name"),
+        ("virtual_currency_name", "virtual_currency_name"), ("firebase_screen", "screen_name"),
+        ("firebase_screen_class", "screen_class"))],
+    *[("event_params", name, kind, f"{column} IS NOT NULL AND event_id % 2 = {odd}")
+      for name, column in (("level", "level_number"), ("value", "event_value"))
+      for odd, kind in enumerate(("int_value", "double_value"))],
+    ("event_params", "engagement_time_msec", "int_value", "engagement_time_msec IS NOT NULL"),
+    ("event_params", "score", "double_value", f"score IS NOT NULL AND nth < {NEW_SLOT}"),
+    ("event_params", "score", "string_value", f"score IS NOT NULL AND nth >= {NEW_SLOT}"),
+    ("event_params", "combo", "int_value", f"event_name = 'user_engagement' AND nth >= {NEW_KEY}"),
+    ("user_properties", "initial_extra_steps", "string_value", "initial_extra_steps IS NOT NULL"),
+    ("column", "geo.country", "string", f"country IS NOT NULL AND nth < {NO_COUNTRY}"),
+    ("column", "traffic_source.medium", "string", "acquisition_medium IS NOT NULL"),
+    ("column", "event_value_in_usd", "double",
+     "event_name IN (" + ", ".join(f"'{e}'" for e in ECONOMY_EVENTS) + ")"),
+]
+
+# Another route than the operator's: every pair of successive days is joined in full.
+_DRIFT_SQL = with_models(f"""
+, dated AS (
+    SELECT *, event_date - (SELECT min(event_date) FROM stg) AS nth FROM stg),
+counted AS ({" UNION ALL ".join(
+    f"SELECT event_date, '{scope}' AS scope, '{name}' AS name, '{kind}' AS kind, "
+    f"count_if({where}) AS n, count(*) AS num_rows FROM dated GROUP BY event_date"
+    for scope, name, kind, where in _DRIFT_NAMES)}),
+held AS (
+    SELECT event_date, scope, name, string_agg(kind, ',' ORDER BY kind) AS kinds,
+        CAST(sum(n) * 10000 // max(num_rows) AS BIGINT) AS share
+    FROM counted WHERE n > 0 GROUP BY event_date, scope, name),
+loads AS (
+    SELECT event_date AS day, lead(event_date) OVER (ORDER BY event_date) AS next_day
+    FROM (SELECT DISTINCT event_date FROM stg)),
+earlier AS (SELECT l.next_day AS shard_date, h.* FROM held h JOIN loads l ON h.event_date = l.day
+            WHERE l.next_day IS NOT NULL),
+later AS (SELECT l.next_day AS shard_date, h.* FROM held h JOIN loads l ON h.event_date = l.next_day),
+pairs AS (
+    SELECT coalesce(a.shard_date, b.shard_date) AS shard_date, coalesce(a.scope, b.scope) AS scope,
+        coalesce(a.name, b.name) AS name, a.kinds AS kinds_before, b.kinds AS kinds_after,
+        a.share AS share_before, b.share AS share_after
+    FROM earlier a FULL JOIN later b
+        ON a.shard_date = b.shard_date AND a.scope = b.scope AND a.name = b.name)
+SELECT *, CASE WHEN kinds_before IS NULL THEN 'new' ELSE 'vanished' END AS change
+FROM pairs WHERE kinds_before IS NULL OR kinds_after IS NULL
+UNION ALL SELECT *, 'retyped' AS change FROM pairs WHERE kinds_before <> kinds_after
+UNION ALL SELECT *, 'share' AS change FROM pairs WHERE abs(share_after - share_before) > {SHARE_SHIFT}
+""")
+
+
+@register("schema_changes", _DRIFT_SQL)
+def q_schema_changes(spark, sf_dir):
+    """What changed from day to day, from profiles that were taken after each of two loads."""
+    configure(spark)
+    shards = frame_shards(_drifting_raw(spark, sf_dir))
+    table = RawTable(spark, scratch_path(spark, "raw-events"))
+    ledger = Ledger(spark, scratch_path(spark, "ledger"))
+    log = ProfileLog(spark, scratch_path(spark, "profiles"))
+    days = shards.days()
+    ledger.begin(days[0])
+    for most in (max(len(days) // 2, 1), None):
+        load_pending(table, shards, ledger, most)
+        log.record_loads(table, ledger)
+    return log.changes(SHARE_SHIFT)
+
+
+LOST, GAINED = 40, 60  # every so many-th event is gone from the first day, or new on the second
+
+
+@register("table_diff_digests", _with_faulted(f"""
+SELECT event_date AS shard_date, 'removed' AS change, NULL::VARCHAR AS column_name, count(*) AS num_rows
+FROM stg WHERE event_date = {FIRST_DAY_SQL} AND event_id % {LOST} = 0 GROUP BY event_date
+UNION ALL
+SELECT event_date, 'added', NULL, count(*)
+FROM stg WHERE event_date = {FIRST_DAY_SQL} + 1 AND event_id % {GAINED} = 0 GROUP BY event_date
+UNION ALL
+SELECT event_date, 'changed', unnest([NULL, 'platform']), count(*)
+FROM stg WHERE event_date = {LAST_DAY_SQL} AND {NULL_SELECTED_SQL} GROUP BY event_date
+"""))
+def q_table_diff_digests(spark, sf_dir):
+    """Two versions of the raw table by their stored digests: rows lost, rows gained, a column masked."""
+    raw, number = read_fixture_raw(spark, sf_dir), F.col("event_bundle_sequence_id")
+    first, last = raw.agg(F.min(row_day()), F.max(row_day())).first()
+    day = row_day()
+    before = raw.where(~((day == F.date_add(F.lit(first), 1)) & (number % GAINED == 0)))
+    after = masked(raw.where(~((day == F.lit(first)) & (number % LOST == 0))), "platform",
+                   NULL_SPIKE_PCT, NULL_SPIKE_SEED, day == F.lit(last))
+    versions, marks = [], []
+    for rows in (before, after):
+        table, _ = _loaded(spark, frame_shards(rows))
+        versions.append(_all_rows(table))
+        stored = scratch_path(spark, "digests")
+        digests(versions[-1], RAW_PARTITION_COLUMN, "event_bundle_sequence_id").write.parquet(stored)
+        marks.append(spark.read.parquet(stored))
+    return diff_report(*versions, *marks, "event_bundle_sequence_id")
+
+
 VOLUME_BAND = (0.8, 1.2)   # the reference's 40k..60k around 50k, as fractions
 
 
