@@ -10,9 +10,10 @@ numbers. A search walks down from the top layer and keeps a beam on the ground
 layer. Each shard returns its best points per query, and these are merged with
 exact distances in double precision.
 
-Queries meet shards in blocks: a shard's graph is one row, a block of queries
-another. No shard, block or merge holds more than a bounded number of rows: a
-shard about ``shard_rows`` points, a block ``QUERY_BLOCK`` queries.
+Queries travel to the shards: a shard's graph is one row that is shuffled once, and
+each block of queries is sent to every shard. Shards are searched side by side, one
+block at a time. No shard, block or merge holds more than a bounded number of rows:
+a shard about ``shard_rows`` points, a block ``QUERY_BLOCK`` queries.
 
 Edge cases: vectors that are null, zero, or hold a null or non-finite component
 take no part. Vectors of different lengths are indexed apart, and a query only
@@ -25,6 +26,7 @@ columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -238,7 +240,7 @@ def build(vectors: DataFrame, top: int, id_col: str = "vec_id", vector_col: str
     points = _points(rows, top).withColumn("dim", F.size("vector")).transform(settled)
     shards = -(-points.count() // shard_rows) or 1
 
-    def one(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def one(key: tuple[Any, ...], frame: pd.DataFrame) -> pd.DataFrame:
         # the order of arrival must not matter: a repeated task has to build the same graph
         frame = frame.assign(first=[x[0] for x in frame["ids"]]).sort_values("first")
         graph = Graph(np.stack(frame["vector"].to_numpy()), int(key[1]), neighbours)
@@ -249,32 +251,47 @@ def build(vectors: DataFrame, top: int, id_col: str = "vec_id", vector_col: str
     return dealt.groupBy("dim", "shard").applyInPandas(one, SHARD).transform(settled)
 
 
-def search(index: DataFrame, vectors: DataFrame, queries: DataFrame, top: int,
-           id_col: str = "vec_id", vector_col: str = "embedding",
-           beam: int = SEARCH_BEAM) -> DataFrame:
-    """(query_id, rank, vec_id, score): the ``top`` nearest found over all shards of ``index``."""
+def meetings(index: DataFrame, queries: DataFrame, id_col: str = "vec_id",
+             vector_col: str = "embedding") -> DataFrame:
+    """One row per shard and block of queries of its length: the graph beside the queries.
+
+    There is one partition per shard, which AQE leaves alone: shards hold megabytes and
+    long work, so they must not be merged by their size.
+    """
     asked = queries.select(F.col(id_col).cast("long").alias("query_id"),
                            F.col(vector_col).cast("array<double>").alias("vector")).where(
         F.col("query_id").isNotNull() & usable(F.col("vector"))).distinct()
     asked = asked.withColumn("dim", F.size("vector"))
-    count = asked.count()
-    blocks = -(-count // QUERY_BLOCK) or 1
+    blocks = -(-asked.count() // QUERY_BLOCK) or 1
     packed = (asked.withColumn("block", F.expr(f"pmod(xxhash64(query_id, vector), {blocks})"))
               .groupBy("dim", "block").agg(F.collect_list("query_id").alias("query_ids"),
                                            F.collect_list("vector").alias("query_vectors")))
-    meeting = (index.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                              F.lit(blocks - 1).cast("long"))))
-               .join(packed, ["dim", "block"]))
+    shards = index.agg(F.count(F.lit(1)).alias("n"), F.max("shard").alias("last")).first()
+    parts = max(shards.n, 1)
+    every = F.sequence(F.lit(0).cast("long"), F.lit(shards.last or 0).cast("long"))
+    sent = packed.withColumn("shard", F.explode(every)).repartition(parts, "dim", "shard")
+    return index.repartition(parts, "dim", "shard").join(sent.hint("merge"), ["dim", "shard"])
 
+
+def search(index: DataFrame, queries: DataFrame, top: int,
+           id_col: str = "vec_id", vector_col: str = "embedding",
+           beam: int = SEARCH_BEAM) -> DataFrame:
+    """(query_id, rank, vec_id, score): the ``top`` nearest found over all shards of ``index``."""
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, graph, ids = None, None, []
         for batch in batches:
             for k in range(batch.num_rows):
-                r = batch.slice(k, 1).to_pydict()
-                graph = Graph.of(r["n"][0], r["dim"][0], r["entry"][0], r["points"][0],
-                                 r["layers"][0])
-                q = np.array(r["query_vectors"][0], np.float64)
-                yield from _best(graph, r["ids"][0], r["query_ids"][0], q, top, beam)
-
+                row = batch.slice(k, 1)
+                at = row.column("dim")[0].as_py(), row.column("shard")[0].as_py()
+                if at != held:  # a shard's blocks follow each other
+                    r = row.select([c.split()[0] for c in SHARD.split(", ")]).to_pydict()
+                    graph = Graph.of(r["n"][0], r["dim"][0], r["entry"][0], r["points"][0],
+                                     r["layers"][0])
+                    held, ids = at, r["ids"][0]
+                q = np.array(row.column("query_vectors")[0].as_py(), np.float64)
+                yield from _best(graph, ids, row.column("query_ids")[0].as_py(), q, top, beam)
+
+    meeting = meetings(index, queries, id_col, vector_col)
     found = meeting.mapInArrow(look, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     # a repeated query identifier with two vectors asks once; the nearer answers stay
@@ -310,4 +327,4 @@ def nearest(vectors: DataFrame, queries: DataFrame, top: int = 10, id_col: str =
     """The ``top`` nearest rows of ``vectors`` found for each row of ``queries``."""
     # one identifier more than asked for, since the query's own may be among them
     index = build(vectors, top + 1, id_col, vector_col, shard_rows)
-    return search(index, vectors, queries, top, id_col, vector_col, beam)
+    return search(index, queries, top, id_col, vector_col, beam)

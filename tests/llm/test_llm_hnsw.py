@@ -1,6 +1,8 @@
 import math
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from playmetrics.llm import hnsw
 
@@ -74,3 +76,48 @@ def test_doubles_keep_their_precision_and_range(spark):
     got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in hnsw.nearest(df, df).collect()}
     assert got[0, 1][0] == 1 and abs(got[0, 1][1] - 1e-12) < 1e-15
     assert got[0, 2][0] == 2 and got[0, 3] == (3, 1e150)
+
+
+def test_shards_are_searched_side_by_side(spark):
+    vectors = np.random.default_rng(5).normal(size=(4000, 8)).astype(np.float32).tolist()
+    df = frame(spark, vectors)
+    index = hnsw.build(df, 11, shard_rows=512)
+    met = hnsw.meetings(index, df.where("vec_id % 2 = 0"))
+    rows = met.select("shard", "block", F.spark_partition_id().alias("task")).collect()
+    shards, blocks = {r.shard for r in rows}, {r.block for r in rows}
+    assert len(shards) == 8 and len(blocks) == 2 and len(rows) == 16
+    assert len({r.task for r in rows}) >= 4
+    for shard in shards:  # a graph is in one place, for all blocks
+        assert len({r.task for r in rows if r.shard == shard}) == 1
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(dim") == 3  # blocks made, blocks sent, graphs
+
+
+def test_several_blocks_and_columns_of_the_same_names(spark, monkeypatch):
+    monkeypatch.setattr(hnsw, "QUERY_BLOCK", 16)
+    vectors = np.random.default_rng(6).normal(size=(300, 6)).astype(np.float32).tolist()
+    df = frame(spark, vectors)
+    for name in ("query_id", "vector", "dim", "shard", "block", "id", "score"):
+        df = df.withColumn(name, F.lit("clash"))
+    rows = hnsw.nearest(df, df, shard_rows=64).collect()
+    hits = sum(r.vec_id in {i for _, i in exact(vectors, r.query_id, 10)} for r in rows)
+    assert len(rows) == 3000 and hits >= 2950
+
+
+@pytest.mark.parametrize("shard_rows", [hnsw.SHARD_ROWS, 200])
+def test_recall_on_the_given_table(spark, shard_rows):
+    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    rows = hnsw.nearest(df, df.where("vec_id % 100 = 0"), shard_rows=shard_rows).collect()
+    every = [(r.vec_id, np.array(r.embedding, float)) for r in df.collect()
+             if r.embedding is not None and None not in r.embedding
+             and np.isfinite(r.embedding).all() and any(r.embedding)]
+    hits = total = 0
+    for q, v in every:
+        if q % 100 == 0:
+            want = sorted((float(np.sqrt(((w - v) ** 2).sum())), i) for i, w in every
+                          if i != q and len(w) == len(v))[:10]
+            got = sorted((r.rank, r.score) for r in rows if r.query_id == q)
+            # by distance, since ties may be more than ten
+            hits += sum(g[1] <= want[-1][0] + 1e-9 for g in got)
+            total += len(want)
+    assert total and hits / total >= 0.9
