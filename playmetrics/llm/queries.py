@@ -116,17 +116,22 @@ WITH d AS (SELECT row_number() OVER () AS row, doc_id, source AS owner, coalesce
            FROM documents),
 found AS (SELECT *, kind || ':' || s::BIGINT || ':' || (s + size)::BIGINT AS w FROM ({
     " UNION ALL ".join(kinds)}) WHERE length(v) >= least),
-own AS (SELECT v, count(DISTINCT coalesce(owner, chr(1))) AS owners FROM found GROUP BY v),
+own AS (
+  SELECT v, count(DISTINCT o) AS owners, count(DISTINCT (o, coalesce(doc_id, -1))) AS repositories
+  FROM (SELECT v, doc_id, coalesce(owner, chr(1)) AS o FROM found) GROUP BY v),
+told AS (
+  SELECT *, owners >= {secret_owners.EXAMPLE_OWNERS}
+            OR repositories >= {secret_owners.EXAMPLE_SPREAD} * owners AS example FROM own),
 judged AS (
-  SELECT f.*, owners >= {secret_owners.EXAMPLE_OWNERS} AS example,
-         owners < {secret_owners.EXAMPLE_OWNERS}
+  SELECT f.*, owners, repositories, example, NOT example
            AND len(list_distinct(string_split(v, ''))) >= {secret_owners.VARIED} AS live
-  FROM found f JOIN own USING (v)),
+  FROM found f JOIN told USING (v)),
 f AS (SELECT * FROM judged WHERE k < {base} OR live)
 SELECT d.doc_id, {counts},
        sha256(coalesce(string_agg(f.w, ',' ORDER BY f.s, f.k) FILTER (f.k < {base}), '')) AS base_sha256,
        coalesce(string_agg(f.w, ',' ORDER BY f.s, f.k), '') AS spans,
-       count(f.k) FILTER (f.live) AS n_live, count(f.k) FILTER (f.example) AS n_example
+       count(f.k) FILTER (f.live) AS n_live, count(f.k) FILTER (f.example) AS n_example,
+       coalesce(max(owners), 0) AS most_owners, coalesce(max(repositories), 0) AS most_repositories
 FROM d LEFT JOIN f ON f.row = d.row GROUP BY d.row, d.doc_id
 """
 

@@ -3,10 +3,12 @@
 Every text is searched for base secrets (assignments, access keys, long hex
 strings) and for tokens in the formats of well-known providers. Each found
 value is hashed, and the corpus is asked how many distinct repositories and
-owners hold it: a value that ``EXAMPLE_OWNERS`` or more owners hold is a widely
-copied example; one that is owner-specific and varied enough to be random looks
-live. Base spans always stay and carry that verdict; a provider token is added
-as a span if it looks live.
+owners hold it. A value that ``EXAMPLE_OWNERS`` or more owners hold is a widely
+copied example, and so is one in ``EXAMPLE_SPREAD`` or more repositories for each
+of its owners: few owners who repeat it everywhere show boilerplate. One that is
+owner-specific by both counts and varied enough to be random looks live. Base
+spans always stay and carry that verdict; a provider token is added as a span if
+it looks live.
 
 Positions come from the lengths of the pieces between matches. Only texts that
 match a pattern are taken apart.
@@ -42,6 +44,7 @@ PROVIDER = ("provider", r"(?:gh[pousr]_[A-Za-z0-9]{36}|sk_live_[A-Za-z0-9]{16,64
                         r"\.[A-Za-z0-9_-]{8,})", 0, 1)
 KINDS = (*BASE, PROVIDER)
 EXAMPLE_OWNERS = 3
+EXAMPLE_SPREAD = 20  # repositories per owner
 VARIED = 6  # different characters of a value that looks random
 BLOCK = 256
 
@@ -107,7 +110,8 @@ def ownership(occurrences: DataFrame) -> DataFrame:
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          owner_col: str = "source") -> DataFrame:
-    """Counts, digest and list of spans per row, with how many look live or are examples.
+    """Counts, digest and list of spans per row, with how many look live or are examples and
+    how many owners and repositories hold the most widely held of them.
 
     A document is a repository of its owner.
     """
@@ -118,7 +122,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     owned = ownership(each.select(F.col("span.value").alias("value"), "owner",
                                   "repository")).transform(settled)
     judged = (each.select("row", "span.*").join(owned, "value")
-              .withColumn("example", F.col("n_owners") >= EXAMPLE_OWNERS)
+              .withColumn("example", (F.col("n_owners") >= EXAMPLE_OWNERS)
+                          | (F.col("n_repositories") >= EXAMPLE_SPREAD * F.col("n_owners")))
               .withColumn("live", ~F.col("example") & F.col("varied")))
     names = F.element_at(F.array(*[F.lit(k[0]) for k in KINDS]), F.col("order") + 1)
     written = F.concat_ws(":", names, F.col("start"), F.col("end"))
@@ -128,7 +133,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         *[F.count_if(F.col("order") == i).alias(f"n_{k[0]}") for i, k in enumerate(BASE)],
         F.array_sort(F.collect_list(F.struct("start", "order", written.alias("s"),
                                              base.alias("base")))).alias("all"),
-        F.count_if("live").alias("n_live"), F.count_if("example").alias("n_example"))
+        F.count_if("live").alias("n_live"), F.count_if("example").alias("n_example"),
+        F.max("n_owners").alias("most_owners"), F.max("n_repositories").alias("most_repositories"))
     listed = lambda spans: F.array_join(F.transform(spans, lambda x: x["s"]), ",")
     zero = F.lit(0).cast("long")
     every = F.coalesce(listed("all"), F.lit(""))
@@ -138,4 +144,6 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     *[F.coalesce(f"n_{k[0]}", zero).alias(f"n_{k[0]}") for k in BASE],
                     F.sha2(basic, 256).alias("base_sha256"), every.alias("spans"),
                     F.coalesce("n_live", zero).alias("n_live"),
-                    F.coalesce("n_example", zero).alias("n_example")))
+                    F.coalesce("n_example", zero).alias("n_example"),
+                    F.coalesce("most_owners", zero).alias("most_owners"),
+                    F.coalesce("most_repositories", zero).alias("most_repositories")))
