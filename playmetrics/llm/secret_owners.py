@@ -50,19 +50,25 @@ BLOCK = 256
 
 
 def running_totals(numbers: Column) -> Column:
-    """Sum of each number and all before it; by blocks, so long arrays stay near linear."""
-    def total(part: Column) -> Column:
-        return F.aggregate(part, F.lit(0), lambda acc, x: acc + x)
+    """Sum of each number and all before it, in one pass.
 
-    blocks = F.sequence(F.lit(0), F.floor((F.size(numbers) - 1) / BLOCK).cast("int"))
-    sums = F.transform(blocks, lambda b: total(F.slice(numbers, b * BLOCK + 1, F.lit(BLOCK))))
-
-    def within(b: Column) -> Column:
-        own = F.slice(numbers, b * BLOCK + 1, F.lit(BLOCK))
-        before = total(F.slice(sums, F.lit(1), b))
-        return F.transform(own, lambda _, i: before + total(F.slice(own, F.lit(1), i + 1)))
-
-    return F.flatten(F.transform(blocks, within))
+    Totals are gathered in blocks, since adding to an array copies it. ``numbers`` is named
+    once, so that whatever computes it is evaluated once and not for every element.
+    """
+    one = F.array().cast("array<int>")
+    start = F.struct(F.lit(0).alias("total"), one.alias("block"),
+                     F.array().cast("array<array<int>>").alias("full"))
+
+    def add(acc: Column, x: Column) -> Column:
+        total, room = acc["total"] + x, F.size(acc["block"]) < BLOCK
+        return F.struct(
+            total.alias("total"),
+            F.when(room, F.concat(acc["block"], F.array(total))).otherwise(F.array(total)).alias("block"),
+            F.when(room, acc["full"]).otherwise(
+                F.concat(acc["full"], F.array(acc["block"]))).alias("full"))
+
+    return F.aggregate(numbers, start, add, lambda acc: F.flatten(
+        F.concat(acc["full"], F.array(acc["block"]))))
 
 
 def _spans_of(text: Column, order: int, kind: str, pattern: str, group: int, least: int) -> Column:
