@@ -6,11 +6,13 @@ and the text takes its highest score, so one toxic passage in a long text
 counts and padding with clean words does not help.
 
 Training sees only labels whose identifier's crc32, modulo 4, is not 2: at most
-``SAMPLE`` toxic documents, at most ``MOST_WINDOWS`` windows of each document, evenly
-spread, and no window of more than ``WINDOW_BYTES`` (documented bounds; all by
-hash, so a repeated run sees the same; twice as many of class 0). A document's loss is that of its pooled
-windows: a soft maximum at first, then the maximum. Scores are shifted to the
-label's share among the training labels. Only the text is an input.
+``SAMPLE`` toxic documents and twice as many others (a documented bound on rows; chosen
+by hash, so a repeated run sees the same). Of these it reads every window, however long
+the text or its words. A document's loss is that of its pooled windows: a soft
+maximum at first, then the maximum. Windows go through the network in blocks, so a long
+text does not need more memory; only windows that the loss depends on are passed
+back. Scores are shifted to the label's share among the training labels. Only the text
+is an input.
 
 Edge cases: a text that is null, empty or without words scores 0. Labels with
 a null identifier or class are ignored, labels without a document have no
@@ -36,8 +38,7 @@ HELD_MODULUS, HELD_REST = 4, 2
 THRESHOLD = 0.3
 WINDOW, STRIDE = 48, 24
 SAMPLE = 1000
-MOST_WINDOWS = 24
-WINDOW_BYTES = 4096
+BLOCK = 2048  # windows that training holds at once
 UPDATES, SOFT_UPDATES, MOST_ROUNDS, BATCH = 260, 100, 30, 40
 HIDDEN = 0.5  # share of a batch's words whose embedding is hidden
 RATE = 0.01
@@ -92,38 +93,9 @@ class ToxicityModel:
 
 # ------------------------------------------------------------------ training
 
-def _training_windows(sample: DataFrame) -> DataFrame:
-    """(id, toxic, windows): the window texts of each sampled document."""
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from playmetrics.llm.wordstream import slices
-
-        for batch in batches:
-            for first, words in slices(batch.column(2)):
-                starts, row = window_starts(words.offsets)
-                raw = words.data.tobytes()
-                texts: list[list[str]] = [[] for _ in range(len(words.offsets) - 1)]
-                for r in range(len(texts)):
-                    own = starts[row == r]
-                    if len(own) > MOST_WINDOWS:
-                        own = own[np.linspace(0, len(own) - 1, MOST_WINDOWS).astype(int)]
-                    for a in own.tolist():
-                        b = min(a + WINDOW, int(words.offsets[r + 1])) - 1
-                        text = raw[words.starts[a]:words.ends[b]]
-                        if len(text) <= WINDOW_BYTES:
-                            texts[r].append(text.decode("utf-8", "replace"))
-                n = len(texts)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, n), batch.column(1).slice(first, n),
-                     pa.array(texts, pa.list_(pa.string()))], names=["id", "toxic", "windows"])
-
-    return sample.mapInArrow(cut, "id long, toxic int, windows array<string>")
-
-
-def fit(rows: list[tuple[int, list[str]]], share: float, seed: int = 0) -> ToxicityModel:
-    """Train on (label, window texts) rows; ``share`` is the label's share among all labels."""
-    from playmetrics.llm.wordstream import slices
-
-    rows = [r for r in rows if r[1]]
+def fit(rows: list[tuple[int, str]], share: float, seed: int = 0) -> ToxicityModel:
+    """Train on (label, text) rows; ``share`` is the label's share among all labels."""
+    rows = [r for r in rows if next(_windows([r[1]]))[1].size]
     labels = np.array([y for y, _ in rows], np.float32)
     if not len(rows) or labels.min() == labels.max():
         return ToxicityModel(None)
@@ -135,21 +107,54 @@ def fit(rows: list[tuple[int, list[str]]], share: float, seed: int = 0) -> Toxic
         order = rng.permutation(len(rows))
         for k in range(0, len(order), BATCH):
             batch = order[k:k + BATCH]
-            texts = [w for i in batch for w in rows[i][1]]
-            sizes = np.array([len(rows[i][1]) for i in batch])
-            _, words = next(slices(pa.array(texts), 1 << 30))
-            _, at, back = np.unique(words.hashes, return_index=True, return_inverse=True)
-            lex = bigru.lexicon(words.hashes[at], words.starts[at], words.ends[at], words.data)
-            grid = _grid(words.offsets[:-1], np.arange(len(texts)), words.offsets)
-            numbers = np.where(grid >= 0, back[np.maximum(grid, 0)], -1)
-            known = (rng.random(len(lex.words)) >= HIDDEN).astype(np.float32)
-            logits, trace = bigru.forward(params, lex, numbers, keep=True, known=known)
-            slope = _pooled_slope(logits, sizes, labels[batch], adam.step < SOFT_UPDATES * updates // UPDATES)
-            adam.update(params, bigru.gradients(params, lex, numbers, trace, slope, known))
+            words, starts, row = next(_windows([rows[i][1] for i in batch]))
+            soft = adam.step < SOFT_UPDATES * updates // UPDATES
+            adam.update(params, _batch_gradients(params, words, starts, row, labels[batch], soft, rng))
     odds = labels.mean() / (1 - labels.mean())
     return ToxicityModel(params, float(np.log(share / (1 - share) / odds)))
 
 
+def _windows(texts: list[str]) -> Iterator[tuple]:
+    """(words, first word and row of each window) of some texts in one go."""
+    from playmetrics.llm.wordstream import slices
+
+    for _, words in slices(pa.array(texts, pa.large_string()), 1 << 40):
+        yield words, *window_starts(words.offsets)
+
+
+def _batch_gradients(params: bigru.Params, words, starts: np.ndarray, row: np.ndarray,
+                     labels: np.ndarray, soft: bool, rng: np.random.Generator,
+                     hidden: float = HIDDEN, block: int = BLOCK) -> dict:
+    """Gradient of the documents' mean loss over all their windows, taken in blocks."""
+    _, at, back = np.unique(words.hashes, return_index=True, return_inverse=True)
+    lex = bigru.lexicon(words.hashes[at], words.starts[at], words.ends[at], words.data)
+    known = (rng.random(len(lex.words)) >= hidden).astype(params["out"].dtype)
+
+    def numbers(part: np.ndarray) -> np.ndarray:
+        grid = _grid(starts[part], row[part], words.offsets)
+        return np.where(grid >= 0, back[np.maximum(grid, 0)], -1)
+
+    everything = np.arange(len(starts))
+    logits = np.concatenate([bigru.forward(params, lex, numbers(everything[k:k + block]), known=known)[0]
+                             for k in range(0, len(starts), block)])
+    slope = _pooled_slope(logits, np.bincount(row, minlength=len(labels)), labels, soft)
+    felt = np.flatnonzero(slope)  # under the maximum, one window of a document
+    total: dict = {}
+    for k in range(0, max(len(felt), 1), block):
+        part = felt[k:k + block] if len(felt) else everything[:1]
+        own = numbers(part)
+        _, trace = bigru.forward(params, lex, own, keep=True, known=known)
+        found = bigru.gradients(params, lex, own, trace, slope[part], known)
+        for name, g in found.items():
+            # a batch's blocks share a lexicon, so their table rows are the same ones
+            grad = g[1] if name in bigru.TABLES else g
+            if name not in total:
+                total[name] = (g[0], grad) if name in bigru.TABLES else grad
+            else:
+                (total[name][1] if name in bigru.TABLES else total[name])[...] += grad
+    return total
+
+
 def _pooled_slope(logits: np.ndarray, sizes: np.ndarray, labels: np.ndarray, soft: bool
                   ) -> np.ndarray:
     """Slope of the mean cross-entropy of pooled logits, in each window's logit."""
@@ -176,8 +181,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     found = (texts.join(F.broadcast(chosen), F.col("id") == F.col("label_id"))  # <= 3 * sample rows
              .select("id", "toxic", "text"))
-    rows = sorted(_training_windows(found).collect(), key=lambda r: (r.id, r.toxic, r.windows))
-    return fit([(r.toxic, r.windows) for r in rows], share)
+    rows = sorted(((r.id, r.toxic, r.text or "") for r in found.collect()))
+    return fit([(toxic, text) for _, toxic, text in rows], share)
 
 
 # ------------------------------------------------------------------ scoring

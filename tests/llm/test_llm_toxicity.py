@@ -109,6 +109,38 @@ def test_scores_equal_one_text_at_a_time(spark):
         assert abs(rows[r.doc_id] - best) < 1e-5
 
 
+def test_blocks_do_not_change_a_gradient():
+    texts = [" ".join(f"w{(i * 7 + k) % 50}" for k in range(n)) for i, n in enumerate((300, 20, 90))]
+    words, starts, row = next(toxicity._windows(texts))
+    params = bigru.initial(2, np.float64)
+    for soft in (True, False):
+        whole, parts = (toxicity._batch_gradients(
+            params, words, starts, row, np.array([1.0, 0.0, 0.0]), soft, np.random.default_rng(4),
+            block=block) for block in (1000, 3))
+        for name, g in whole.items():
+            pairs = zip(g, parts[name], strict=True) if name in bigru.TABLES else [(g, parts[name])]
+            assert all(np.allclose(a, b, atol=1e-6) for a, b in pairs), name
+
+
+def test_a_toxic_place_anywhere_in_long_texts_is_learned_from():
+    """A third of the texts have 60 windows of which one or two hold a toxic word, and every
+    text has a very long word."""
+    rng = random.Random(8)
+    clean = ["calm%d" % i for i in range(300)]
+
+    def text(toxic, size):
+        words = rng.choices(clean, k=size) + ["x" * 5000]
+        if toxic:
+            words[rng.randrange(size)] = rng.choice(("vileness", "vilely", "nasty"))
+        return " ".join(words)
+
+    rows = [(i % 2, text(i % 2, 1500 if i % 3 == 0 else rng.randrange(20, 200))) for i in range(120)]
+    model = toxicity.fit(rows, 0.5)
+    sizes = (30, 1500, 15000)
+    bad, good = ([float(next(model.scores(pa.array([text(t, n)])))[1][0]) for n in sizes] for t in (1, 0))
+    assert min(bad) >= 0.3 and max(good[:2]) < 0.3 and bad[2] > good[2]
+
+
 def test_odd_rows(spark):
     docs = odd_documents(spark)
     none = spark.createDataFrame([], LABELS)
