@@ -13,8 +13,14 @@ from pyspark.sql import functions as F
 from playmetrics.llm.common import settled
 
 
+def _rows(frame: DataFrame, *pairs: tuple[str, str]) -> DataFrame:
+    """(a, b) for each of the named pairs of columns, in one pass over the rows."""
+    made = F.array(*[F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x, y in pairs])
+    return frame.select(F.explode(made).alias("p")).select("p.a", "p.b")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = _rows(edges, ("a", "b"), ("b", "a"))
     # settled (here and below), so that the join exchanges both sides and Spark can split a
     # node that very many edges share
     least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")).transform(settled)
@@ -25,15 +31,19 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m")).transform(settled)
-    moved = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
+    return _rows(down.join(least, "a"), ("a", "m"), ("b", "m")).where("a <> b").distinct()
 
 
 def _unfinished(edges: DataFrame) -> bool:
-    """Whether an edge does not yet point from a leaf straight to its only root."""
-    chained = edges.join(edges.select(F.col("b").alias("a")), "a", "left_semi").select("a")
-    split = edges.groupBy("a").count().where("count > 1").select("a")
-    return not chained.union(split).isEmpty()
+    """Whether an edge does not yet point from a leaf straight to its only root.
+
+    One grouped count tells it: a leaf has one edge and is nobody's root.
+    """
+    ends = F.array(F.struct(F.col("a").alias("id"), F.lit(1).alias("leaf"), F.lit(0).alias("root")),
+                   F.struct(F.col("b").alias("id"), F.lit(0).alias("leaf"), F.lit(1).alias("root")))
+    roles = edges.select(F.explode(ends).alias("end")).select("end.*")
+    counted = roles.groupBy("id").agg(F.sum("leaf").alias("leaf"), F.max("root").alias("root"))
+    return counted.where("leaf + root > 1").agg(F.count(F.lit(1))).first()[0] > 0
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -41,7 +51,8 @@ def components(edges: DataFrame) -> DataFrame:
     edges = edges.where("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().transform(settled)
     while _unfinished(edges):
-        edges = _small_star(_large_star(edges)).transform(settled)
+        # the small star reads its edges twice
+        edges = _small_star(_large_star(edges).transform(settled)).transform(settled)
     leaves = edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
     return leaves.union(edges.select(F.col("b").alias("id"), F.col("b").alias("component"))
                         .distinct())

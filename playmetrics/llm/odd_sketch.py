@@ -16,9 +16,9 @@ which tells high similarities apart sharply.
    confirm it. The bitmap never rules out a true link: the XOR has at most as
    many ones as elements differ. On sets of up to about ``SET_BITS`` shingles it
    tells 0.75 from 0.7, so a large group of half-alike texts leaves few pairs.
-4. Links give components. Buckets that still hold several components meet again
-   in ``TURNS`` turns with a pivot drawn by a hash of bucket and turn, which
-   again makes one pair per membership at most. A group without a common original
+4. Links give components. Classes of buckets that still hold several components
+   meet ``TURNS`` more pivots, drawn by a hash of bucket and turn, which again
+   makes one pair per membership and turn at most. A group without a common original
    thus grows together from many pivots before any of its members meet in pairs.
 5. The classes of buckets that hold several components after that meet by an
    exact prefix join on their full sets: shingles are put in one order, those
@@ -362,7 +362,9 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, bits:
     alike = _alike(words, similarity, ones)
     tried = (_side(meeting.where("class_id <> pivot").dropDuplicates(["class_id", "pivot"]),
                    "a", F.col("pivot").alias("b"))
-             .join(_side(plain, "b"), "b").where(alike).select("a", "b").transform(settled))
+             .join(_side(plain, "b"), "b").where(alike)
+             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+             .transform(settled))
     sets = class_sets(docs, classes, _ends(tried), width, id_col, text_col)
     links = confirmed(tried, sets, similarity).transform(settled)
     found = components(links).transform(settled)
@@ -371,11 +373,10 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, bits:
     if not apart.isEmpty():
         sets = class_sets(docs, classes, apart.select("class_id").distinct(), width, id_col,
                           text_col)
-        # turns with other pivots, then what those leave
-        for turn in range(TURNS + 1):
-            pairs = (_turn(apart, turn) if turn < TURNS
-                     else _close(sets, apart, plain, similarity)).join(
-                tried.union(tried.select("b", "a")), ["a", "b"], "left_anti")
+        # other pivots, then what those leave
+        for last in (False, True):
+            pairs = (_close(sets, apart, plain, similarity) if last else _turns(apart)).join(
+                tried, ["a", "b"], "left_anti")
             pairs = _allowed(pairs, plain, alike).transform(settled)
             more = confirmed(pairs, sets, similarity).transform(settled)
             if more.isEmpty():
@@ -383,8 +384,8 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, bits:
             tried = tried.union(pairs)
             stars = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
             found = components(stars.union(more)).transform(settled)
-            if turn < TURNS:
-                apart = _apart_still(meeting, found).transform(settled)
+            if not last:
+                apart = _apart_still(apart, found).transform(settled)
                 if apart.isEmpty():
                     break
     class_of = (classes.select("set_a", "set_b", "n_shingles", "class_id")
@@ -410,10 +411,12 @@ def _apart_still(meeting: DataFrame, found: DataFrame) -> DataFrame:
     return placed.join(mixed, "bucket", "left_semi")
 
 
-def _turn(apart: DataFrame, turn: int) -> DataFrame:
-    """(a, b), a < b: every class and the pivot of each of its buckets, if their parts differ."""
-    drawn = F.struct(F.xxhash64(F.lit(turn), "bucket", "class_id"), F.col("class_id"), F.col("part"))
-    pivots = apart.groupBy("bucket").agg(F.min(drawn).alias("p")).select(
+def _turns(apart: DataFrame, turns: int = TURNS) -> DataFrame:
+    """(a, b), a < b: every class and the drawn pivots of each of its buckets, if their parts differ."""
+    drawn = [F.min(F.struct(F.xxhash64(F.lit(turn), "bucket", "class_id"), "class_id", "part"))
+             for turn in range(turns)]
+    pivots = apart.groupBy("bucket").agg(F.array(*drawn).alias("drawn")).select(
+        "bucket", F.explode("drawn").alias("p")).select(
         "bucket", F.col("p.class_id").alias("pivot"), F.col("p.part").alias("pivot_part"))
     met = apart.join(pivots, "bucket").where("part <> pivot_part")
     return met.select(F.least("class_id", "pivot").alias("a"),
