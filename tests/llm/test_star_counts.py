@@ -41,7 +41,7 @@ def test_unfinished_is_one_job(spark):
         assert not _unfinished(_edges(spark, [(5, 1), (6, 1), (9, 2)]))
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
-    # the grouped count and its sum; the joined check took three times as many
+    # the grouped count and its sum, nothing else
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) <= 3
     assert _unfinished(_edges(spark, [(5, 1), (6, 5)]))
     assert _unfinished(_edges(spark, [(5, 1), (5, 2)]))
