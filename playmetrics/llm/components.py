@@ -19,19 +19,24 @@ def _rows(frame: DataFrame, *pairs: tuple[str, str]) -> DataFrame:
     return frame.select(F.explode(made).alias("p")).select("p.a", "p.b")
 
 
+def _apart(least: DataFrame) -> DataFrame:
+    """Rows by a computed key, so that a join exchanges both sides and Spark can split a
+    node that very many edges share; grouped rows would keep their partitions."""
+    return least.withColumn("a", F.col("a") + F.lit(0))
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = _rows(edges, ("a", "b"), ("b", "a"))
-    # settled (here and below), so that the join exchanges both sides and Spark can split a
-    # node that very many edges share
-    least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")).transform(settled)
-    return (both.join(least, "a").where("b > a")
-            .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
+    least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+    # a row for each edge at most; the small star makes them distinct
+    return (both.where("b > a").join(_apart(least), "a")
+            .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m")).transform(settled)
-    return _rows(down.join(least, "a"), ("a", "m"), ("b", "m")).where("a <> b").distinct()
+    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    return _rows(down.join(_apart(least), "a"), ("a", "m"), ("b", "m")).where("a <> b").distinct()
 
 
 def _unfinished(edges: DataFrame) -> bool:

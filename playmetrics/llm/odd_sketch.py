@@ -8,18 +8,17 @@ which tells high similarities apart sharply.
 
 1. Documents with equal sets form a class (grouped with map-side combine);
    only one member per class goes on, so copies are never paired.
-2. In each bucket every class meets one pivot, the class with most copies. That
-   is at most one pair per membership, however large the bucket.
+2. In each bucket every class meets the class with most copies and ``TURNS`` pivots
+   drawn by a hash of bucket and turn. That is a bounded number of pairs per
+   membership, however large the bucket. A group without a common original grows
+   together from many pivots before any of its members meet in pairs.
 3. A pair goes on if the sizes allow the similarity, the odd sketch does not
    rule it out (chance of ruling out a true link: about 1e-6) and a parity bitmap
    of the whole sets does not either, and becomes a link if the full sets
    confirm it. The bitmap never rules out a true link: the XOR has at most as
    many ones as elements differ. On sets of up to about ``SET_BITS`` shingles it
    tells 0.75 from 0.7, so a large group of half-alike texts leaves few pairs.
-4. Links give components. Classes of buckets that still hold several components
-   meet ``TURNS`` more pivots, drawn by a hash of bucket and turn, which again
-   makes one pair per membership and turn at most. A group without a common original
-   thus grows together from many pivots before any of its members meet in pairs.
+4. Links give components.
 5. The classes of buckets that hold several components after that meet by an
    exact prefix join on their full sets: shingles are put in one order, those
    that no two components share first and frequent ones last; two sets at the
@@ -350,21 +349,14 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, bits:
                     F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
                     F.first("parity").alias("parity"))
                .transform(settled))
-    members = classes.select(F.explode("bands").alias("bucket"), "class_id", "copies")
-    buckets = (members.groupBy("bucket")
-               .agg(F.count(F.lit(1)).alias("size"),
-                    F.max(F.struct("copies", -F.col("class_id"))).alias("top"))
-               .where("size > 1").select("bucket", (-F.col("top")["col2"]).alias("pivot")))
+    members = classes.select(F.explode("bands").alias("bucket"), "class_id",
+                             F.col("class_id").alias("part"), "copies")
     plain = classes.select("class_id", F.col("n_shingles").alias("n"), "sketch", "parity")
-    meeting = (members.drop("copies").join(buckets, "bucket").join(plain, "class_id")
-               .transform(settled))  # memberships of buckets with company
+    meeting = _company(members, F.struct((-F.col("copies")).alias("place"), "class_id", "part"))
+    meeting = meeting.transform(settled)  # memberships of buckets with company
 
     alike = _alike(words, similarity, ones)
-    tried = (_side(meeting.where("class_id <> pivot").dropDuplicates(["class_id", "pivot"]),
-                   "a", F.col("pivot").alias("b"))
-             .join(_side(plain, "b"), "b").where(alike)
-             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-             .transform(settled))
+    tried = _allowed(_met(meeting), plain, alike).transform(settled)
     sets = class_sets(docs, classes, _ends(tried), width, id_col, text_col)
     links = confirmed(tried, sets, similarity).transform(settled)
     found = components(links).transform(settled)
@@ -373,21 +365,12 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, bits:
     if not apart.isEmpty():
         sets = class_sets(docs, classes, apart.select("class_id").distinct(), width, id_col,
                           text_col)
-        # other pivots, then what those leave
-        for last in (False, True):
-            pairs = (_close(sets, apart, plain, similarity) if last else _turns(apart)).join(
-                tried, ["a", "b"], "left_anti")
-            pairs = _allowed(pairs, plain, alike).transform(settled)
-            more = confirmed(pairs, sets, similarity).transform(settled)
-            if more.isEmpty():
-                continue
-            tried = tried.union(pairs)
+        pairs = _close(sets, apart, plain, similarity).join(tried, ["a", "b"], "left_anti")
+        pairs = _allowed(pairs, plain, alike).transform(settled)
+        more = confirmed(pairs, sets, similarity).transform(settled)
+        if not more.isEmpty():
             stars = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
             found = components(stars.union(more)).transform(settled)
-            if not last:
-                apart = _apart_still(apart, found).transform(settled)
-                if apart.isEmpty():
-                    break
     class_of = (classes.select("set_a", "set_b", "n_shingles", "class_id")
                 .join(found, F.col("class_id") == F.col("id"), "left")
                 .select("set_a", "set_b", "n_shingles",
@@ -411,16 +394,31 @@ def _apart_still(meeting: DataFrame, found: DataFrame) -> DataFrame:
     return placed.join(mixed, "bucket", "left_semi")
 
 
+def _company(apart: DataFrame, *leaders: Column, turns: int = TURNS) -> DataFrame:
+    """(bucket, class_id, part, pivots): rows whose bucket has company, and the bucket's pivots.
+
+    Pivots are the classes with the least of each of ``leaders`` and those drawn.
+    """
+    drawn = [F.struct(F.xxhash64(F.lit(turn), "bucket", "class_id").alias("place"), "class_id",
+                      "part") for turn in range(turns)]
+    least = F.array(*[F.min(x) for x in (*leaders, *drawn)])
+    pivots = (apart.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), least.alias("least"))
+              .where("size > 1")
+              .select("bucket", F.array_distinct(F.transform("least", lambda p: F.struct(
+                  p["class_id"].alias("class_id"), p["part"].alias("part")))).alias("pivots")))
+    return apart.select("bucket", "class_id", "part").join(pivots, "bucket")
+
+
+def _met(company: DataFrame) -> DataFrame:
+    """(a, b), a < b: every class and the pivots of each of its buckets, if their parts differ."""
+    met = company.select("class_id", "part", F.explode("pivots").alias("p")).where("part <> p.part")
+    return met.select(F.least("class_id", "p.class_id").alias("a"),
+                      F.greatest("class_id", "p.class_id").alias("b")).distinct()
+
+
 def _turns(apart: DataFrame, turns: int = TURNS) -> DataFrame:
     """(a, b), a < b: every class and the drawn pivots of each of its buckets, if their parts differ."""
-    drawn = [F.min(F.struct(F.xxhash64(F.lit(turn), "bucket", "class_id"), "class_id", "part"))
-             for turn in range(turns)]
-    pivots = apart.groupBy("bucket").agg(F.array(*drawn).alias("drawn")).select(
-        "bucket", F.explode("drawn").alias("p")).select(
-        "bucket", F.col("p.class_id").alias("pivot"), F.col("p.part").alias("pivot_part"))
-    met = apart.join(pivots, "bucket").where("part <> pivot_part")
-    return met.select(F.least("class_id", "pivot").alias("a"),
-                      F.greatest("class_id", "pivot").alias("b")).distinct()
+    return _met(_company(apart, turns=turns))
 
 
 def _close(sets: DataFrame, apart: DataFrame, plain: DataFrame,

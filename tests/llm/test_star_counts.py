@@ -2,6 +2,9 @@
 
 import random
 
+from helpers import documents
+
+from playmetrics.llm import components as C
 from playmetrics.llm import odd_sketch as O
 from playmetrics.llm.components import _unfinished, components
 
@@ -56,3 +59,31 @@ def test_all_drawn_pivots_meet_at_once(spark):
     assert all(a < b and a % 3 != b % 3 for a, b in twice)
     # every class meets a pivot of another part in each bucket, unless it has all pivots' part
     assert {c for pair in twice for c in pair} == {c for _, c, _ in rows}
+
+
+def test_a_round_writes_its_edges_twice(spark, monkeypatch):
+    rounds, written = [], []
+    settled, unfinished = C.settled, C._unfinished
+    monkeypatch.setattr(C, "settled", lambda df: written.append(1) or settled(df))
+    monkeypatch.setattr(C, "_unfinished", lambda df: rounds.append(1) or unfinished(df))
+    pairs = [(i, i + 1) for i in range(30)]
+    assert {r["component"] for r in components(_edges(spark, pairs)).collect()} == {0}
+    # the edges at first, and both stars of each round; the last look ends them
+    assert len(written) == 1 + 2 * (len(rounds) - 1) and len(rounds) > 2
+
+
+def test_drawn_pivots_meet_with_the_leader(spark, monkeypatch):
+    """Copies of an absent text grow together in one turn, not in one for each kind of pivot."""
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(160)]
+    texts = []
+    for _ in range(300):
+        own = list(words)
+        for _ in range(rng.choice((1, 3, 5))):
+            own[rng.randrange(160)] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(own))
+    calls = []
+    real = O._apart_still
+    monkeypatch.setattr(O, "_apart_still", lambda *a: calls.append(1) or real(*a))
+    rows = O.near_duplicates(documents(spark, texts)).collect()
+    assert len(rows) == 300 and len(calls) == 1
