@@ -1,8 +1,9 @@
 """Phrases whose words keep together, counted by dynamic itemset counting.
 
 The words of all texts are written once as 64-bit values (a hash of word and
-language, 0 between pieces), dealt over ``shards`` parts of the checkpoint folder.
-The parts are then scanned in a circle, one step each:
+language, 0 between pieces), dealt over ``shards`` parts of the checkpoint folder;
+a block lists its distinct values and says by number where they stand. The parts are
+then scanned in a circle, one step each:
 
 * words are counted from the first step on;
 * a longer phrase is activated for the step after both its subphrases (all words
@@ -20,8 +21,12 @@ the hash space: the step at which a phrase of that slot reached ``least``. Its s
 follows the number of words and ends at ``2 ** MOST_BITS`` bytes, whatever the
 corpus. Phrases that share a slot can only be activated early, which costs time
 and no exactness: a slot never changes once set, so a phrase keeps its circle, and what
-stays below ``least`` goes when it is complete. Counts live in tables of the
-checkpoint folder; each step adds its own, combined before they are shuffled.
+stays below ``least`` goes when it is complete. Counts live in bucketed tables in the
+checkpoint folder, so that a step shuffles the counts it adds, combined before that, and
+not those it adds them to.
+
+Only one occurrence of a word in ``NAMED`` is asked for its spelling, since one of the
+``least`` would do. Should a frequent word be left without, all are asked.
 
 Two phrases share a 64-bit hash with a chance of about 2**-60.
 
@@ -33,6 +38,7 @@ Other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +47,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from playmetrics.llm.common import prepare, settled, tidy
+from playmetrics.llm.common import prepare, settled, shuffle_partitions, tidy
 from playmetrics.session import scratch_path
 from playmetrics.sources import files
 
@@ -52,6 +58,7 @@ SHARE = (100, 100)  # a candidate goes if a longer one has this share of its cou
 SHARDS = 4
 FEWEST_BITS, MOST_BITS = 16, 28
 BUFFER = 2_000_000  # phrases a task holds before it adds them up
+NAMED = 4
 BITMAP = 8 * 4096  # bits in one of Spark's bitmaps
 NEVER = 255
 
@@ -66,7 +73,7 @@ _FACTORS = (np.random.default_rng(60210).integers(0, 2**63, 16, dtype=np.uint64)
 
 NAME = pa.struct([("value", pa.int64()), ("lang", pa.string()), ("word", pa.string())])
 TOTAL = pa.struct([("lang", pa.string()), ("n", pa.int64())])
-WRITTEN = ("shard int, words array<long>, names array<struct<value:long,lang:string,word:string>>, "
+WRITTEN = ("shard int, kinds binary, words binary, names array<struct<value:long,lang:string,word:string>>, "
            "totals array<struct<lang:string,n:long>>")
 
 
@@ -90,8 +97,13 @@ def _one(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
-def _block(words, langs: list[str], seen: np.ndarray) -> tuple[list, np.ndarray]:
-    """Values with 0 between pieces, names of words not in ``seen``, and totals by language."""
+def _number(kinds: int) -> type:
+    """What holds the number of each of so many values."""
+    return np.uint16 if kinds <= 1 << 16 else np.uint32
+
+
+def _block(words, langs: list[str], seen: np.ndarray, named: int) -> tuple[list, np.ndarray]:
+    """Values and their places, with 0 between pieces; names of words not in ``seen``; totals."""
     from playmetrics.llm.wordstream import mix
 
     counts = np.diff(words.offsets)
@@ -108,12 +120,15 @@ def _block(words, langs: list[str], seen: np.ndarray) -> tuple[list, np.ndarray]
     apart |= row[1:] != row[:-1]
     place = np.arange(n)
     place[1:] += np.cumsum(apart)
-    spread = np.zeros(int(place[-1]) + 1, np.uint64)
-    spread[place] = values
-
-    distinct, first = np.unique(values, return_index=True)
-    new, seen = _unseen(distinct, seen)
-    fresh, first = distinct[new], first[new]
+    distinct, number = np.unique(values, return_inverse=True)
+    known = np.insert(distinct, 0, np.uint64(0))
+    spread = np.zeros(int(place[-1]) + 1, _number(len(known)))
+    spread[place] = number + 1
+    turn = mix(np.arange(n, dtype=np.uint64) ^ values[-1])
+    asked = np.flatnonzero(turn % np.uint64(named) == 0)
+    fresh, first = np.unique(values[asked], return_index=True)
+    new, seen = _unseen(fresh, seen)
+    fresh, first = fresh[new], asked[first[new]]
     raw = _LOWER[words.data].tobytes()
     texts = [raw[a:b].decode("utf-8", "replace") for a, b in
              zip(words.starts[first].tolist(), words.ends[first].tolist(), strict=True)]
@@ -123,10 +138,11 @@ def _block(words, langs: list[str], seen: np.ndarray) -> tuple[list, np.ndarray]
     by_lang = np.bincount(lang_of, minlength=len(kinds))
     totals = pa.StructArray.from_arrays([pa.array(kinds, pa.string()), pa.array(by_lang)],
                                         fields=list(TOTAL))
-    return [_one(pa.array(spread.view(np.int64))), _one(names), _one(totals)], seen
+    packed = [pa.array([x.tobytes()], pa.binary()) for x in (known, spread)]
+    return [*packed, _one(names), _one(totals)], seen
 
 
-def write_words(texts: DataFrame, shards: int, path: str) -> None:
+def write_words(texts: DataFrame, shards: int, path: str, named: int = NAMED) -> None:
     """(lang, text) as blocks of words, dealt over ``shards`` folders."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -139,13 +155,14 @@ def write_words(texts: DataFrame, shards: int, path: str) -> None:
             for first, words in slices(batch.column(1), outside=OUTSIDE):
                 if len(words.hashes):
                     mine = langs.slice(first, len(words.offsets) - 1).to_pylist()
-                    columns, seen = _block(words, mine, seen)
+                    columns, seen = _block(words, mine, seen, named)
                     shard += 1
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([shard % shards], pa.int32()), *columns],
-                        names=["shard", "words", "names", "totals"])
+                        names=["shard", "kinds", "words", "names", "totals"])
 
-    texts.mapInArrow(encode, WRITTEN).write.partitionBy("shard").parquet(path)
+    (texts.mapInArrow(encode, WRITTEN).write.partitionBy("shard")
+     .option("compression", "zstd").parquet(path))
 
 
 # ------------------------------------------------------------------ phrases of a block
@@ -178,11 +195,11 @@ def phrases(words: np.ndarray, table: np.ndarray, longest: int) -> Iterator[tupl
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """The words of rows (kinds, words)."""
     for batch in batches:
-        lists = batch.column(0)
-        offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy()
-        for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-            yield values[a:b].view(np.uint64)
+        for kinds, words in zip(batch.column(0), batch.column(1), strict=True):
+            known = np.frombuffer(kinds.as_buffer(), np.uint64)
+            yield known[np.frombuffer(words.as_buffer(), _number(len(known)))]
 
 
 COUNTED = "phrase long, mark int, n long"
@@ -218,7 +235,7 @@ def _count(blocks: DataFrame, sent, step: int, shards: int, longest: int) -> Dat
         if held:
             yield added_up()
 
-    return blocks.select("words").mapInArrow(count, COUNTED)
+    return blocks.select("kinds", "words").mapInArrow(count, COUNTED)
 
 
 def _marked(phrases_of: DataFrame, bits: int) -> np.ndarray:
@@ -245,30 +262,44 @@ def frequent(spark: SparkSession, path: str, bits: int, shards: int, least: int,
         sent = spark.sparkContext.broadcast(table)
         mine = parts.where(F.col("shard") == step % shards)
         added = _count(mine, sent, step, shards, longest)
-        if state is not None:
-            added = added.unionByName(spark.read.parquet(state))
         # what is complete and below the threshold is done with
         complete = F.expr(f"mark div 8 + {shards - 1} <= {step}")
-        now = scratch_path(spark, "phrase-counts")
+        now, name = scratch_path(spark, "phrase-counts"), f"phrase_counts_{uuid.uuid4().hex}"
         with tidy(spark):
-            (added.groupBy("phrase").agg(F.max("mark").alias("mark"), F.sum("n").alias("n"))
-             .where(~complete | (F.col("n") >= least)).write.parquet(now))
+            added = added.groupBy("phrase").agg(F.max("mark").alias("mark"), F.sum("n").alias("n"))
+            if state is not None:
+                added = _sum_of(spark.table(state[0]), added)
+            (added.where(~complete | (F.col("n") >= least))
+             .write.bucketBy(shuffle_partitions(spark), "phrase").option("path", now)
+             .saveAsTable(name))
         sent.destroy()
         if state is not None:
-            files.remove(spark, state)
-        state = now
-        counted = spark.read.parquet(state).where(F.col("n") >= least)
+            _drop(spark, *state)
+        state = name, now
+        counted = spark.table(name).where(F.col("n") >= least)
         shorter = _marked(counted.where(F.col("mark") % 8 < longest), bits)
         new = shorter & (table == NEVER)
         if new.any():
             table[new], last = step, step
         step += 1
-    found = spark.read.parquet(state).where(F.col("n") >= least)
+    found = spark.table(state[0]).where(F.col("n") >= least)
     found = found.select("phrase", (F.col("mark") % 8).alias("k"), "n").transform(settled)
-    files.remove(spark, state)
+    _drop(spark, *state)
     return found, step
 
 
+def _sum_of(state: DataFrame, added: DataFrame) -> DataFrame:
+    """The counts of both; neither has a phrase twice. The state's buckets stay where they are."""
+    both = state.alias("s").join(added.alias("t"), "phrase", "full_outer")
+    return both.select("phrase", F.coalesce("s.mark", "t.mark").alias("mark"),
+                       (F.coalesce("s.n", F.lit(0)) + F.coalesce("t.n", F.lit(0))).alias("n"))
+
+
+def _drop(spark: SparkSession, name: str, path: str) -> None:
+    spark.sql(f"DROP TABLE {name}")
+    files.remove(spark, path)
+
+
 # ------------------------------------------------------------------ from hashes back to words
 
 MADE = "phrase long, k int, words array<long>, heads array<long>, tails array<long>"
@@ -307,7 +338,7 @@ def _recover(blocks: DataFrame, sent, longest: int, one_in: int) -> DataFrame:
                      pa.array(np.full(len(at), k, np.int32)), *map(_lists, columns)],
                     names=["phrase", "k", "words", "heads", "tails"])
 
-    return blocks.select("words").mapInArrow(recover, MADE)
+    return blocks.select("kinds", "words").mapInArrow(recover, MADE)
 
 
 TURNS = (16, 8, 4, 1)
@@ -344,6 +375,13 @@ def _lists(matrix: np.ndarray) -> pa.Array:
                                     pa.array(np.ascontiguousarray(matrix).reshape(-1).view(np.int64)))
 
 
+def _named(blocks: DataFrame, values: DataFrame) -> DataFrame:
+    """(value, lang, word) of those of the words whose spelling the blocks tell."""
+    return (blocks.select(F.inline("names")).join(values, "value")
+            .groupBy("value").agg(F.first(F.struct("lang", "word")).alias("name"))
+            .select("value", "name.lang", "name.word").transform(settled))
+
+
 def _scored(candidates: DataFrame, counts: DataFrame, totals: DataFrame) -> DataFrame:
     """The lowest-scoring cut of each candidate (phrase, lang, a, k, heads, tails)."""
     cuts = candidates.select(
@@ -371,7 +409,7 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, be
     path = scratch_path(spark, "phrase-words")
     texts = docs.select(F.col(lang_col).alias("lang"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    write_words(texts, shards, path)
+    write_words(texts, shards, path, NAMED)
     blocks = spark.read.schema(WRITTEN).parquet(path)
     totals = (blocks.select(F.inline("totals")).groupBy("lang").agg(F.sum("n").alias("n"))
               .transform(settled))
@@ -381,10 +419,14 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, be
         return _empty(spark)
     counts, _ = frequent(spark, path, bits, shards, least, longest)
     made = _made(blocks, counts, bits, shards, longest)
-    names = (blocks.select(F.inline("names"))
-             .join(counts.where("k = 1").select(F.col("phrase").alias("value")), "value")
-             .groupBy("value").agg(F.first(F.struct("lang", "word")).alias("name"))
-             .select("value", "name.lang", "name.word").transform(settled))
+    frequent_words = counts.where("k = 1").select(F.col("phrase").alias("value"))
+    names = _named(blocks, frequent_words)
+    left = frequent_words.join(names, "value", "left_anti").transform(settled)
+    if not left.isEmpty():
+        again = scratch_path(spark, "phrase-words")
+        write_words(texts, shards, again, named=1)
+        names = names.union(_named(spark.read.schema(WRITTEN).parquet(again), left))
+        files.remove(spark, again)
     candidates = (counts.where("k > 1").select("phrase", F.col("n").alias("a")).join(made, "phrase")
                   .withColumn("value", F.col("words")[0])
                   .join(names.select("value", "lang"), "value").drop("value").transform(settled))

@@ -101,3 +101,35 @@ def test_empty_tables(spark):
     assert P.collocations(spark.createDataFrame([], DOC_SCHEMA)).count() == 0
     assert P.collocations(documents(spark, ["", None, " . "])).count() == 0
     assert P.collocations(documents(spark, ["a b"])).count() == 0
+
+
+def test_words_that_no_block_spelled_are_asked_for_again(spark, monkeypatch):
+    monkeypatch.setattr(P, "NAMED", 1 << 62)
+    assert check(corpus(spark, 4, 150).repartition(3))
+
+
+def test_blocks_take_few_bytes_a_word(spark):
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(3000)}" for _ in range(4000)) for _ in range(40)]
+    path = scratch_path(spark, "phrase-test")
+    P.write_words(documents(spark, texts).coalesce(1).select("lang", "text"), 2, path)
+    blocks = spark.read.schema(P.WRITTEN).parquet(path)
+    size = blocks.selectExpr("sum(length(kinds) + length(words))").first()[0]
+    assert size <= 3 * 40 * 4000
+
+
+def test_a_step_leaves_the_counts_so_far_where_they_are(spark):
+    """Only what is added is exchanged; the sum is that of both."""
+    path = scratch_path(spark, "phrase-test")
+    state = spark.range(3000).selectExpr("id phrase", "cast(9 as int) mark", "id % 7 n")
+    state.write.bucketBy(4, "phrase").option("path", path).saveAsTable("phrase_test")
+    try:
+        added = spark.range(2000, 5000).selectExpr("id phrase", "cast(9 as int) mark", "1 n")
+        added = added.groupBy("phrase").agg(P.F.max("mark").alias("mark"), P.F.sum("n").alias("n"))
+        total = P._sum_of(spark.table("phrase_test"), added)
+        plan = total._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1
+        got = {r.phrase: (r.mark, r.n) for r in total.collect()}
+        assert got == {i: (9, (i % 7 if i < 3000 else 0) + (i >= 2000)) for i in range(5000)}
+    finally:
+        P._drop(spark, "phrase_test", path)
